@@ -195,8 +195,40 @@ FROM (SELECT *, rows AS k FROM job_logs) j""", "job_logs")
 
 cte("run_events", """
 SELECT id, job, trigger, correlation_id, idempotency_key, 0 AS seq, 'queued' AS state,
-       started_at - INTERVAL 5 SECOND AS at, CAST(NULL AS BIGINT) AS rows FROM run_base
+       started_at - INTERVAL 5 SECOND AS event_at, CAST(NULL AS BIGINT) AS rows FROM run_base
 UNION ALL
 SELECT id, job, trigger, correlation_id, idempotency_key, 1, 'running', started_at, CAST(NULL AS BIGINT) FROM run_base
 UNION ALL
 SELECT id, job, trigger, correlation_id, idempotency_key, 2, status, finished_at, rows FROM run_base""", "run_base")
+
+
+def _runs_sql(where: str) -> str:
+    return f"""
+SELECT id, job, status, trigger, rows, CAST(NULL AS VARCHAR) AS detail, correlation_id, idempotency_key,
+       COALESCE(created_at, running_at, finished_at) AS created_at, started_at, finished_at,
+       date_diff('microsecond', started_at, finished_at) / 1e6 AS duration_s
+FROM (SELECT *, CASE WHEN finished_at IS NOT NULL THEN COALESCE(running_at, finished_at) ELSE running_at END AS started_at
+      FROM (SELECT id, max(job) AS job, max(trigger) AS trigger, max(correlation_id) AS correlation_id,
+                   max(idempotency_key) AS idempotency_key, arg_max(state, seq) AS status,
+                   min(event_at) FILTER (WHERE state = 'queued') AS created_at,
+                   max(event_at) FILTER (WHERE state = 'running') AS running_at,
+                   max(event_at) FILTER (WHERE state IN ('ok', 'failed')) AS finished_at,
+                   max(rows) FILTER (WHERE state IN ('ok', 'failed')) AS rows
+            FROM run_events {where} GROUP BY id) g) s"""
+
+
+RUNS_AS_OF = "2024-01-15 12:00:00"
+cte("runs", _runs_sql(""), "run_events")
+cte("runs_asof", _runs_sql(f"WHERE event_at <= TIMESTAMP '{RUNS_AS_OF}'"), "run_events")
+cte("unified", """
+SELECT 'job' AS type, 0 AS type_rank, event_id, ts, level, correlation_id, source, status, started_at, finished_at,
+       duration_ms, detail, job, rows, NULL::VARCHAR AS method, NULL::VARCHAR AS path, NULL::INTEGER AS status_code,
+       NULL::VARCHAR AS host, NULL::DOUBLE AS cpu_pct, NULL::DOUBLE AS rss_mb, NULL::DOUBLE AS mem_pct,
+       NULL::DOUBLE AS disk_pct, NULL::DOUBLE AS io_counter_mb FROM job_logs
+UNION ALL
+SELECT 'api', 1, event_id, ts, level, correlation_id, source, status, started_at, finished_at, duration_ms, detail,
+       NULL, NULL, method, path, status_code, NULL, NULL, NULL, NULL, NULL, NULL FROM api_logs
+UNION ALL
+SELECT 'performance', 2, event_id, ts, level, correlation_id, source, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       NULL, NULL, NULL, host, cpu_pct, rss_mb, mem_pct, disk_pct, io_counter_mb FROM perf_logs""",
+    "job_logs", "api_logs", "perf_logs")

@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from stockflow.functions.log_fields import duration_ms, job_level, log_level
+from stockflow.operators.sequence import running_sum
 from stockflow.sources.movements import finalize
 from stockflow.sources.tables import read_table
 
@@ -190,13 +190,13 @@ def api_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def performance_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Resource samples. The cumulative IO counter is a running sum over time; the window has
-    no partition key by nature (one counter per host), so it is partitioned by host."""
-    ev = _events(spark, sf_dir, ["view"])
+    """Resource samples with a cumulative IO counter (running sum of ``value`` per host)."""
+    ev = _events(spark, sf_dir, ["view"]).withColumn("host", F.lit(HOST))
+    # One counter per host: a bucketed running sum instead of a single-partition window.
+    ev = running_sum(ev, ["host"], ["ts", "event_id"], "value", "_counter")
     v = F.col("value")
-    counter = F.sum(v).over(Window.partitionBy("host").orderBy("ts", "event_id")
-                            .rowsBetween(Window.unboundedPreceding, 0))
-    return ev.withColumn("host", F.lit(HOST)).select(
+    counter = F.col("_counter")
+    return ev.select(
         "event_id", "ts", F.lit("info").alias("level"), _correlation_id().alias("correlation_id"),
         F.lit("performance").alias("source"), "host",
         F.least(v, F.lit(100.0)).alias("cpu_pct"), (v * 20).alias("rss_mb"),
@@ -217,14 +217,14 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "status", "rows")
     ev = F.explode(F.array(
         F.struct(F.lit(0).alias("seq"), F.lit("queued").alias("state"),
-                 F.timestamp_add("SECOND", F.lit(-5), F.col("started_at")).alias("at"),
+                 F.timestamp_add("SECOND", F.lit(-5), F.col("started_at")).alias("event_at"),
                  F.lit(None).cast("bigint").alias("rows")),
-        F.struct(F.lit(1).alias("seq"), F.lit("running").alias("state"), F.col("started_at").alias("at"),
+        F.struct(F.lit(1).alias("seq"), F.lit("running").alias("state"), F.col("started_at").alias("event_at"),
                  F.lit(None).cast("bigint").alias("rows")),
-        F.struct(F.lit(2).alias("seq"), F.col("status").alias("state"), F.col("finished_at").alias("at"),
+        F.struct(F.lit(2).alias("seq"), F.col("status").alias("state"), F.col("finished_at").alias("event_at"),
                  F.col("rows").alias("rows")),
     ))
     return base.select("id", "job", "trigger", "correlation_id", "idempotency_key", ev.alias("e")) \
         .select("id", "job", "trigger", "correlation_id", "idempotency_key",
-                F.col("e.seq").alias("seq"), F.col("e.state").alias("state"), F.col("e.at").alias("at"),
+                F.col("e.seq").alias("seq"), F.col("e.state").alias("state"), F.col("e.event_at").alias("event_at"),
                 F.col("e.rows").alias("rows"))

@@ -232,3 +232,65 @@ UNION ALL
 SELECT 'performance', 2, event_id, ts, level, correlation_id, source, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
        NULL, NULL, NULL, host, cpu_pct, rss_mb, mem_pct, disk_pct, io_counter_mb FROM perf_logs""",
     "job_logs", "api_logs", "perf_logs")
+
+# ---------------------------------------------------------------- demand / replenishment
+END_DATE = "1998-12-31"
+cte("hist", f"""
+SELECT *, on_hand - net_qty AS on_hand_before, sales - returns AS net_sales, on_hand - net_qty <= 0 AS stockout
+FROM (SELECT *, sum(net_qty) OVER (PARTITION BY company, item_code, warehouse ORDER BY doc_date
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS on_hand
+      FROM (SELECT company, item_code, warehouse, doc_date,
+                   sum(CASE WHEN trans_type = 15 OR (trans_type = 13 AND out_qty > 0) THEN out_qty ELSE 0.0e0 END) AS sales,
+                   sum(CASE WHEN trans_type IN (14, 16) THEN in_qty ELSE 0.0e0 END) AS returns,
+                   sum(in_qty - out_qty) AS net_qty
+            FROM mov GROUP BY ALL) d) r""", "mov")
+cte("ivals", f"""
+SELECT * FROM (
+  SELECT company, item_code, warehouse, doc_date AS valid_from, net_qty,
+         sum(net_qty) OVER (PARTITION BY company, item_code, warehouse ORDER BY doc_date
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS on_hand,
+         COALESCE(CAST(lead(doc_date) OVER (PARTITION BY company, item_code, warehouse ORDER BY doc_date) - 1 AS DATE),
+                  DATE '{END_DATE}') AS valid_to
+  FROM (SELECT company, item_code, warehouse, doc_date, sum(in_qty - out_qty) AS net_qty FROM mov GROUP BY ALL) d) i
+WHERE valid_from <= valid_to""", "mov")
+cte("wsales", f"""
+SELECT company, item_code, CAST({fdiv(days_from_anchor('doc_date'), 7)} AS INTEGER) AS p, sum(out_qty) AS qty
+FROM mov WHERE trans_type IN (13, 15) GROUP BY ALL""", "mov")
+_SERIES = """
+SELECT s.company, s.item_code, s.p, COALESCE(w.qty, 0.0e0) AS qty
+FROM (SELECT company, item_code, CAST(unnest(generate_series(first_p, last_p)) AS INTEGER) AS p
+      FROM (SELECT company, item_code, min(p) AS first_p FROM {w} GROUP BY ALL) f,
+           (SELECT max(p) AS last_p FROM {w}) l) s
+LEFT JOIN {w} w ON s.company = w.company AND s.item_code = w.item_code AND s.p = w.p"""
+cte("series", _SERIES.format(w="wsales"), "wsales")
+cte("wsales91", f"""
+SELECT company, item_code, CAST({fdiv(days_from_anchor('doc_date'), 91)} AS INTEGER) AS p, sum(out_qty) AS qty
+FROM mov WHERE trans_type IN (13, 15) GROUP BY ALL""", "mov")
+cte("series91", _SERIES.format(w="wsales91"), "wsales91")
+cte("origin", """
+SELECT lpad(CAST(f.l_partkey AS VARCHAR), 7, '0') AS item_code,
+       CASE n.n_regionkey % 3 WHEN 0 THEN 'NACIONAL' WHEN 1 THEN 'USA' ELSE 'CHINA' END AS origin
+FROM (SELECT l_partkey, min(l_suppkey) AS s_suppkey FROM lineitem GROUP BY ALL) f
+JOIN supplier s ON f.s_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey""")
+cte("priors", """
+SELECT item_code, origin, lt_days, lt_min, lt_max, (lt_max - lt_min) / 4.0e0 AS lt_sd,
+       CAST(ceil(lt_days / 7) AS INTEGER) AS lt_weeks
+FROM (SELECT item_code, origin,
+             CASE origin WHEN 'NACIONAL' THEN 15 WHEN 'USA' THEN 30 ELSE 150 END AS lt_days,
+             CASE origin WHEN 'NACIONAL' THEN 15 WHEN 'USA' THEN 30 ELSE 120 END AS lt_min,
+             CASE origin WHEN 'NACIONAL' THEN 15 WHEN 'USA' THEN 30 ELSE 180 END AS lt_max FROM origin) o""", "origin")
+_LTD_CASES = " ".join(
+    f"WHEN {n} THEN CASE WHEN count(qty) OVER (PARTITION BY company, item_code ORDER BY p ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) = {n} "
+    f"THEN sum(qty) OVER (PARTITION BY company, item_code ORDER BY p ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) END"
+    for n in (3, 5, 22))
+cte("ltd", f"""
+SELECT * FROM (SELECT company, item_code, p, lt_weeks, CASE lt_weeks {_LTD_CASES} END AS ltd
+               FROM (SELECT s.company, s.item_code, s.p, s.qty, pr.lt_weeks FROM series s
+                     JOIN priors pr ON s.item_code = pr.item_code) j) x WHERE ltd IS NOT NULL""",
+    "series", "priors")
+cte("rop", "SELECT company, item_code, quantile_cont(ltd, 0.95) AS rop FROM ltd GROUP BY ALL", "ltd")
+cte("lod", f"""
+SELECT company, item_code, CAST(season AS INTEGER) AS season, CAST({sql_year_start('season')} + 363 AS DATE) AS season_end,
+       CAST({sql_year_start('season')} + 363 - lt_days AS DATE) AS last_order_date
+FROM (SELECT DISTINCT company, item_code, 2026 + {fdiv('p', 52)} AS season FROM series) s
+JOIN priors USING (item_code)""", "series", "priors")

@@ -28,4 +28,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every catalogue module so their queries register."""
-    from stockflow.plans.catalog import core, demand_q, lake_q, movements, ops  # noqa: F401
+    from stockflow.plans.catalog import core, demand_q, lake_q, movements, ops, streaming_q  # noqa: F401

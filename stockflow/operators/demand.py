@@ -53,7 +53,8 @@ def stock_intervals(mov: DataFrame, end_date, key=KEY) -> DataFrame:
     d = mov.groupBy(*key, "doc_date").agg(F.sum(F.col("in_qty") - F.col("out_qty")).alias("net_qty"))
     w = Window.partitionBy(*key).orderBy("doc_date")
     return (d.withColumn("on_hand", F.sum("net_qty").over(_unbounded(key, ["doc_date"])))
-             .withColumn("valid_to", F.coalesce(F.date_sub(F.lead("doc_date").over(w), 1), F.lit(end_date).cast("date")))
+             .withColumn("valid_to", F.least(F.coalesce(F.date_sub(F.lead("doc_date").over(w), 1), F.lit(end_date).cast("date")),
+                                             F.lit(end_date).cast("date")))
              .withColumnRenamed("doc_date", "valid_from")
              .filter(F.col("valid_from") <= F.col("valid_to")))
 

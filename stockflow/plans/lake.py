@@ -130,10 +130,11 @@ def between_doc_dates(spark: SparkSession, root: str, lo: date, hi: date) -> Dat
 # --- A6 -----------------------------------------------------------------------------------------
 
 def _write_leaves(df: DataFrame, path: str, mode: str) -> None:
-    # Range partitioning on the partition columns plus doc_date gives evenly sized tasks even
-    # when one capture day holds a large share of the rows, and keeps each leaf in few files.
-    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    (df.repartitionByRange(parts, *PARTITION_COLUMNS, "doc_date", "item_code")
+    # REBALANCE: one hash shuffle on the leaf columns so each leaf lands in few files; AQE
+    # splits a skewed leaf (e.g. a month holding a third of the rows) into several tasks and
+    # coalesces small ones. Unlike range partitioning it needs no sampling pass over the input.
+    (df.hint("rebalance", *PARTITION_COLUMNS)
+       .sortWithinPartitions(*PARTITION_COLUMNS, "doc_date")
        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", TARGET_ROWS_PER_FILE)
        .partitionBy(*PARTITION_COLUMNS).parquet(path))

@@ -249,8 +249,8 @@ SELECT * FROM (
   SELECT company, item_code, warehouse, doc_date AS valid_from, net_qty,
          sum(net_qty) OVER (PARTITION BY company, item_code, warehouse ORDER BY doc_date
                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS on_hand,
-         COALESCE(CAST(lead(doc_date) OVER (PARTITION BY company, item_code, warehouse ORDER BY doc_date) - 1 AS DATE),
-                  DATE '{END_DATE}') AS valid_to
+         least(COALESCE(CAST(lead(doc_date) OVER (PARTITION BY company, item_code, warehouse ORDER BY doc_date) - 1 AS DATE),
+                  DATE '{END_DATE}'), DATE '{END_DATE}') AS valid_to
   FROM (SELECT company, item_code, warehouse, doc_date, sum(in_qty - out_qty) AS net_qty FROM mov GROUP BY ALL) d) i
 WHERE valid_from <= valid_to""", "mov")
 cte("wsales", f"""

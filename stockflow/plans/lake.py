@@ -140,56 +140,75 @@ def _write_leaves(df: DataFrame, path: str, mode: str) -> None:
        .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
 
+def _leaf_files(spark, root: str, company: str, months: list[str]) -> dict[tuple[str, str], frozenset]:
+    """File names per existing leaf of ``company`` in ``months`` (driver-side listing only)."""
+    base = f"{root.rstrip('/')}/company={company}"
+    touched = {f"load_month={m}" for m in months}
+    out = {}
+    for y in _list_dirs(spark, base):
+        for m in _list_dirs(spark, f"{base}/{y}"):
+            if m in touched:
+                path, fs = _path(spark, f"{base}/{y}/{m}")
+                out[(y, m)] = frozenset(st.getPath().getName() for st in fs.listStatus(path) if st.isFile())
+    return out
+
+
 def replace_window(spark: SparkSession, root: str, incoming: DataFrame, company: str,
-                   since: date, until: date, allow_empty: bool = False) -> int:
+                   since: date, until: date, allow_empty: bool = False, stage: bool = False) -> int:
     """Remove exactly ``company``'s rows captured in ``[since, until)`` and add ``incoming``.
 
     An empty ``incoming`` is a no-op unless ``allow_empty`` (Q2). Returns rows written.
     Rows of ``incoming`` outside the window or of another company are an error (they would
-    land in leaves the window does not own).
+    land in leaves the window does not own): the write fails before its commit.
+
+    ``incoming`` is computed once, by the single dynamic-overwrite write into the table. Only the
+    kept rows of the (at most two) boundary months are staged first, because a plan may not read
+    and overwrite the same leaves. ``stage=True`` stages ``incoming`` too, for callers whose
+    incoming plan reads the table itself (A10).
     """
     if since >= until:
         return 0
     ensure_table(spark, root)
     months = _months(since, until)
     partial = [m for m in months if _month_bounds(m)[0] < since or _month_bounds(m)[1] > until]
+    has_table = bool(_list_dirs(spark, root))
+    # Rewriting a boundary month with its kept rows only would drop its window rows, so an empty
+    # extract must be caught before that; otherwise it shows as "no leaf changed" below.
+    if partial and has_table and not allow_empty and incoming.isEmpty():
+        return 0
     staging = f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    in_window = ((F.col("company") == company) & (F.col("create_date") >= F.lit(since))
+                 & (F.col("create_date") < F.lit(until)))
     try:
-        inc = incoming.select(*MOVEMENT_COLUMNS).withColumn("load_month", load_month())
-        _write_leaves(inc, staging, "overwrite")
-        staged_inc = _read_raw(spark, staging) if _list_dirs(spark, staging) else None
-        if staged_inc is None:
-            rows, outside = 0, 0
-        else:
-            r = staged_inc.agg(F.count(F.lit(1)).alias("n"), F.count_if(
-                (F.col("company") != company) | (F.col("create_date") < F.lit(since))
-                | (F.col("create_date") >= F.lit(until))).alias("bad")).first()
-            rows, outside = r["n"], r["bad"]
-        if outside:
-            raise ValueError(f"{outside} incoming rows fall outside {company} [{since}, {until})")
-        if rows == 0 and not allow_empty:
-            return 0
-        if partial and _list_dirs(spark, root):
+        inc = incoming.select(*MOVEMENT_COLUMNS)
+        inc = inc.withColumn("company", F.when(in_window, F.col("company")).otherwise(F.raise_error(
+            F.lit(f"incoming row outside {company} [{since}, {until})")).cast("string")))
+        inc = inc.withColumn("load_month", load_month())
+        if stage:
+            _write_leaves(inc, f"{staging}/in", "overwrite")
+            inc = _read_raw(spark, f"{staging}/in") if _list_dirs(spark, f"{staging}/in") else None
+        if partial and has_table:
             # Existing rows of the boundary months that lie outside the window are kept: read
-            # from those leaves only (partition filter) and appended to the staged rows.
+            # from those leaves only (partition filter), staged, and written with the new rows.
             keep = _read_raw(spark, root).filter(
-                (F.col("company") == company) & F.col("load_month").isin(*partial)
-                & ((F.col("create_date") < F.lit(since)) | (F.col("create_date") >= F.lit(until))))
-            _write_leaves(keep, staging, "append")
-        staged = _read_raw(spark, staging) if _list_dirs(spark, staging) else None
-        if staged is not None:
-            _write_leaves(staged, root, "overwrite")
-        produced = set()
-        for y in _list_dirs(spark, f"{staging}/company={company}"):
-            for m in _list_dirs(spark, f"{staging}/company={company}/{y}"):
-                produced.add((y, m))
+                (F.col("company") == company) & F.col("load_month").isin(*partial) & ~in_window)
+            _write_leaves(keep, f"{staging}/keep", "overwrite")
+            if _list_dirs(spark, f"{staging}/keep"):
+                kept = _read_raw(spark, f"{staging}/keep")
+                inc = kept if inc is None else inc.unionByName(kept)
+        before = _leaf_files(spark, root, company, months) if has_table else {}
+        if inc is not None:
+            _write_leaves(inc, root, "overwrite")
+        # Leaves of the window that the new extract did not produce still hold their old files.
+        after = _leaf_files(spark, root, company, months)
+        if after == before and not allow_empty:
+            return 0
         base = f"{root.rstrip('/')}/company={company}"
-        touched = {f"load_month={m}" for m in months}
-        for y in _list_dirs(spark, base):
-            for m in _list_dirs(spark, f"{base}/{y}"):
-                if m in touched and (y, m) not in produced:
-                    _delete(spark, f"{base}/{y}/{m}")
-        return rows
+        for (y, m), files in after.items():
+            if before.get((y, m)) == files:
+                _delete(spark, f"{base}/{y}/{m}")
+        return _read_raw(spark, root).filter(
+            (F.col("company") == company) & F.col("load_month").isin(*months) & in_window).count()
     finally:
         _delete(spark, staging)
 
@@ -235,7 +254,7 @@ def compact(spark: SparkSession, root: str, company: str, since: date, until: da
     cur = _read_raw(spark, root).filter(
         (F.col("company") == company) & F.col("load_month").isin(*_months(since, until))
         & (F.col("create_date") >= F.lit(since)) & (F.col("create_date") < F.lit(until))).select(*MOVEMENT_COLUMNS)
-    return replace_window(spark, root, cur, company, since, until)
+    return replace_window(spark, root, cur, company, since, until, stage=True)
 
 
 def day_after(d: date) -> date:

@@ -26,6 +26,18 @@ def _series_array(series: DataFrame, by=ITEM, value: str = "qty") -> DataFrame:
         F.array_sort(F.collect_list(F.struct(F.col("p"), F.col(value).cast("double").alias("y")))).alias("s"))
 
 
+def _spread(df: DataFrame, keys) -> DataFrame:
+    """Hash-partition on ``item_code`` into the session's shuffle-partition count before a per-key
+    Python fit. The fits cost CPU, not bytes: AQE sizes partitions by bytes and would merge a
+    small input into one task, while an explicit count is kept as is. ``item_code`` alone still
+    clusters every fit key (``groupBy`` adds no shuffle), and differs from the input's own key
+    partitioning, which would make an identical repartition redundant and dropped. Groups are
+    bounded by the calendar (one row per period), so a hot item cannot outgrow a task."""
+    assert "item_code" in keys
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, "item_code")
+
+
 def _d(x) -> Column:
     return F.lit(x).cast("double") if not isinstance(x, Column) else x.cast("double")
 
@@ -119,7 +131,7 @@ def holt_winters(series: DataFrame, m: int = 12, alpha: float = 0.3, beta: float
         lvl, tr, f, sse = _holt_winters_np(pdf["qty"].to_numpy(float), m, alpha, beta, gamma)
         return pd.DataFrame([{"company": pdf["company"].iloc[0], "item_code": pdf["item_code"].iloc[0],
                               "level": lvl, "trend": tr, "forecast_next": f, "sse": sse}])
-    return series.select("company", "item_code", "p", "qty").groupBy(*ITEM).applyInPandas(fit, HW_SCHEMA)
+    return _spread(series.select("company", "item_code", "p", "qty"), ITEM).groupBy(*ITEM).applyInPandas(fit, HW_SCHEMA)
 
 
 FOURIER_SCHEMA = T.StructType([T.StructField("company", T.StringType()), T.StructField("item_code", T.StringType()),
@@ -142,7 +154,8 @@ def fourier_regression(series: DataFrame, k: int = 2, period: int = 52) -> DataF
         r2 = 1 - float((resid ** 2).sum()) / tot if tot > 0 else float("nan")
         return pd.DataFrame([{"company": pdf["company"].iloc[0], "item_code": pdf["item_code"].iloc[0],
                               "intercept": float(coef[0]), "slope": float(coef[1]), "r2": r2, "n": len(y)}])
-    return series.select("company", "item_code", "p", "qty").groupBy(*ITEM).applyInPandas(fit, FOURIER_SCHEMA)
+    return _spread(series.select("company", "item_code", "p", "qty"), ITEM).groupBy(*ITEM).applyInPandas(
+        fit, FOURIER_SCHEMA)
 
 
 def _norm_pdf(a):
@@ -204,7 +217,7 @@ def unconstrain_em(hist: DataFrame, iters: int = 50) -> DataFrame:
         out["demand_em"] = np.where(c, np.maximum(filled, x), x)
         out["mu"], out["sigma"] = mu, sd
         return out
-    return hist.select(*KEY, "doc_date", "sales", "stockout").groupBy(*KEY).applyInPandas(fit, EM_SCHEMA)
+    return _spread(hist.select(*KEY, "doc_date", "sales", "stockout"), KEY).groupBy(*KEY).applyInPandas(fit, EM_SCHEMA)
 
 
 PD_SCHEMA = T.StructType([*(T.StructField(k, T.StringType()) for k in KEY), T.StructField("doc_date", T.DateType()),
@@ -239,7 +252,7 @@ def unconstrain_pd(hist: DataFrame, tau: float = 0.5, iters: int = 20) -> DataFr
         out = pdf[[*KEY, "doc_date", "sales", "stockout"]].copy()
         out["demand_pd"] = y
         return out
-    return hist.select(*KEY, "doc_date", "sales", "stockout").groupBy(*KEY).applyInPandas(fit, PD_SCHEMA)
+    return _spread(hist.select(*KEY, "doc_date", "sales", "stockout"), KEY).groupBy(*KEY).applyInPandas(fit, PD_SCHEMA)
 
 
 KDE_SCHEMA = T.StructType([T.StructField("company", T.StringType()), T.StructField("item_code", T.StringType()),
@@ -271,4 +284,4 @@ def kde_safety_stock(ltd: DataFrame, tau: float = 0.95) -> DataFrame:
         nrm = float(err.std() * z)
         return pd.DataFrame([{"company": pdf["company"].iloc[0], "item_code": pdf["item_code"].iloc[0],
                               "ss_kde": k, "ss_average": (k + emp + nrm) / 3}])
-    return ltd.select("company", "item_code", "ltd").groupBy(*ITEM).applyInPandas(fit, KDE_SCHEMA)
+    return _spread(ltd.select("company", "item_code", "ltd"), ITEM).groupBy(*ITEM).applyInPandas(fit, KDE_SCHEMA)

@@ -30,8 +30,9 @@ def _loaded(spark, sf_dir, tag, companies=COMPANIES):
     apply_session_conf(spark)
     src = fx.movement_source(spark, sf_dir)
     root = _root(spark, tag)
-    for c in companies:
-        lake.replace_window(spark, root, finalize(read_movements(src, c, ALL_START, ALL_END)), c, ALL_START, ALL_END)
+    # A3: all companies in one job, not a loop
+    incoming = finalize(read_movements(src, list(companies), ALL_START, ALL_END))
+    lake.replace_window(spark, root, incoming, list(companies), ALL_START, ALL_END)
     return src, root
 
 

@@ -18,6 +18,7 @@ next to the table (shared storage), never on a machine-local disk.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -153,10 +154,12 @@ def _leaf_files(spark, root: str, company: str, months: list[str]) -> dict[tuple
     return out
 
 
-def replace_window(spark: SparkSession, root: str, incoming: DataFrame, company: str,
+def replace_window(spark: SparkSession, root: str, incoming: DataFrame, company: str | Sequence[str],
                    since: date, until: date, allow_empty: bool = False, stage: bool = False) -> int:
     """Remove exactly ``company``'s rows captured in ``[since, until)`` and add ``incoming``.
 
+    ``company`` may name several companies sharing the window (A3): they load in one job.
+
     An empty ``incoming`` is a no-op unless ``allow_empty`` (Q2). Returns rows written.
     Rows of ``incoming`` outside the window or of another company are an error (they would
     land in leaves the window does not own): the write fails before its commit.
@@ -169,6 +172,7 @@ def replace_window(spark: SparkSession, root: str, incoming: DataFrame, company:
     if since >= until:
         return 0
     ensure_table(spark, root)
+    companies = [company] if isinstance(company, str) else list(company)
     months = _months(since, until)
     partial = [m for m in months if _month_bounds(m)[0] < since or _month_bounds(m)[1] > until]
     has_table = bool(_list_dirs(spark, root))
@@ -177,7 +181,7 @@ def replace_window(spark: SparkSession, root: str, incoming: DataFrame, company:
     if partial and has_table and not allow_empty and incoming.isEmpty():
         return 0
     staging = f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
-    in_window = ((F.col("company") == company) & (F.col("create_date") >= F.lit(since))
+    in_window = (F.col("company").isin(*companies) & (F.col("create_date") >= F.lit(since))
                  & (F.col("create_date") < F.lit(until)))
     try:
         inc = incoming.select(*MOVEMENT_COLUMNS)
@@ -191,24 +195,25 @@ def replace_window(spark: SparkSession, root: str, incoming: DataFrame, company:
             # Existing rows of the boundary months that lie outside the window are kept: read
             # from those leaves only (partition filter), staged, and written with the new rows.
             keep = _read_raw(spark, root).filter(
-                (F.col("company") == company) & F.col("load_month").isin(*partial) & ~in_window)
+                F.col("company").isin(*companies) & F.col("load_month").isin(*partial) & ~in_window)
             _write_leaves(keep, f"{staging}/keep", "overwrite")
             if _list_dirs(spark, f"{staging}/keep"):
                 kept = _read_raw(spark, f"{staging}/keep")
                 inc = kept if inc is None else inc.unionByName(kept)
-        before = _leaf_files(spark, root, company, months) if has_table else {}
+        before = {c: _leaf_files(spark, root, c, months) for c in companies} if has_table else {}
         if inc is not None:
             _write_leaves(inc, root, "overwrite")
         # Leaves of the window that the new extract did not produce still hold their old files.
-        after = _leaf_files(spark, root, company, months)
-        if after == before and not allow_empty:
+        after = {c: _leaf_files(spark, root, c, months) for c in companies}
+        if all(after[c] == before.get(c, {}) for c in companies) and not allow_empty:
             return 0
-        base = f"{root.rstrip('/')}/company={company}"
-        for (y, m), files in after.items():
-            if before.get((y, m)) == files:
-                _delete(spark, f"{base}/{y}/{m}")
+        for c in companies:
+            base = f"{root.rstrip('/')}/company={c}"
+            for (y, m), files in after[c].items():
+                if before.get(c, {}).get((y, m)) == files:
+                    _delete(spark, f"{base}/{y}/{m}")
         return _read_raw(spark, root).filter(
-            (F.col("company") == company) & F.col("load_month").isin(*months) & in_window).count()
+            F.col("company").isin(*companies) & F.col("load_month").isin(*months) & in_window).count()
     finally:
         _delete(spark, staging)
 

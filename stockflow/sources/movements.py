@@ -27,15 +27,16 @@ def window_pred(col: str, since, until) -> Column:
     return pred
 
 
-def read_movements(src: DataFrame, company: str | None = None, since=None, until=None) -> DataFrame:
-    """A1: the twelve source columns of one company's postings captured in ``[since, until)``.
+def read_movements(src: DataFrame, company: str | list[str] | None = None, since=None, until=None) -> DataFrame:
+    """A1: the twelve source columns of one company's (or a list's) postings captured in ``[since, until)``.
 
     ``src`` is any DataFrame with the source columns (parquet, JDBC, the fixture mapping).
     The filters are plain column predicates, so they push into the scan.
     """
     df = src
     if company is not None and "company" in src.columns:
-        df = df.filter(F.col("company") == company)
+        df = df.filter(F.col("company") == company if isinstance(company, str)
+                       else F.col("company").isin(*company))
     df = df.filter(window_pred("create_date", since, until))
     cols = (["company"] if "company" in src.columns else []) + list(SOURCE_COLUMNS)
     return df.select(*cols)

@@ -129,6 +129,24 @@ def adi_cv2(series: DataFrame, by=ITEM, digits: int = 6) -> DataFrame:
     # sums are exact, so the ratio is one correctly rounded division in any engine.
     g = series.groupBy(*by).agg(F.count(F.lit(1)).alias("periods"), F.count(nz).alias("nonzero"),
                                 F.sum(nz * nz).alias("s2"), F.sum(nz).alias("s1"))
+    return _classify_adi_cv2(g, by)
+
+
+def adi_cv2_from_sales(mov: DataFrame, by=ITEM, grain_days: int = 7) -> DataFrame:
+    """H6 straight from the sparse period sales, equal to ``adi_cv2(demand_series(mov))``.
+
+    Zero-filled periods add nothing to the sums, so the spine is never built: an item's period
+    count is its span ``last_p - first_p + 1`` (``last_p``: the data's last period)."""
+    s = weekly_sales(mov, by, grain_days)
+    last_p = s.agg(F.max("p")).scalar()
+    nz = F.when(F.col("qty") > 0, F.col("qty"))
+    g = s.groupBy(*by).agg(F.min("p").alias("first_p"), F.count(nz).alias("nonzero"),
+                           F.sum(nz * nz).alias("s2"), F.sum(nz).alias("s1"))
+    g = g.withColumn("periods", (last_p - F.col("first_p") + 1).cast("bigint"))
+    return _classify_adi_cv2(g, by)
+
+
+def _classify_adi_cv2(g: DataFrame, by) -> DataFrame:
     g = g.withColumn("adi", F.col("periods") / F.col("nonzero")) \
          .withColumn("cv2", (F.col("nonzero") * F.col("s2") - F.col("s1") * F.col("s1")) / (F.col("s1") * F.col("s1")))
     cls = (F.when((F.col("adi") < ADI_CUTOFF) & (F.col("cv2") < CV2_CUTOFF), "smooth")

@@ -99,7 +99,7 @@ FROM (SELECT company, item_code, count(*) AS periods, count(CASE WHEN qty > 0 TH
 
 @query("h6_adi_cv2", with_ctes(_ADI.format(src="series"), "series"))
 def h6(spark, sf_dir):
-    return dm.adi_cv2(_series(spark, sf_dir))
+    return dm.adi_cv2_from_sales(_mov(spark, sf_dir))
 
 
 @query("h6_adi_cv2_quarterly", with_ctes(_ADI.format(src="series91"), "series91"))

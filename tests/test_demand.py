@@ -84,3 +84,12 @@ def test_em_recovers_mean():
     x = np.minimum(d, cap)
     mu, sd, _ = fc.censored_normal_em(x, d > cap)
     assert abs(mu - 20) < 0.5 and abs(sd - 5) < 0.5
+
+
+def test_adi_cv2_from_sales_equals_spine_path(spark):
+    mov = fx.movements(spark, SF0001)
+    for grain in (7, 91):
+        spine = dm.adi_cv2(dm.demand_series(mov, grain_days=grain))
+        sparse = dm.adi_cv2_from_sales(mov, grain_days=grain)
+        assert [(f.name, f.dataType) for f in spine.schema] == [(f.name, f.dataType) for f in sparse.schema]
+        assert sorted(spine.collect()) == sorted(sparse.collect())

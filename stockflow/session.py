@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -53,18 +54,32 @@ def apply_session_conf(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder named by ``spark.checkpoint.dir`` (or set on the context before).
 
-    A cluster names a shared folder there; we only create a local one when the setting is
-    absent, which happens in tests and local runs.
+    Only a local master, where driver and tasks share one disk, may go without: it gets a
+    temporary folder. On a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if current:
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if found:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(found)
+        return found
+    if current := sc.getCheckpointDir():
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="stockflow-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="stockflow-ckpt-"))
+    return sc.getCheckpointDir()
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as Parquet below the shared checkpoint folder and return the written table.
+
+    This cuts lineage like a checkpoint, survives the loss of executors, and is compressed and
+    column-pruned when read again.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

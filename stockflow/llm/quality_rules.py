@@ -115,7 +115,7 @@ def measure(df: DataFrame, piece_path: str, byte_path: str, pattern: str, text:
         fallback = np.array([pieces.is_byte(i) for i in range(pieces.vocab_size())])
 
         def encode_pieces(strings: list[str]):
-            out = pieces.encode([s.lstrip(" ") for s in strings], num_threads=1)
+            out = pieces.encode([s.strip(" ") for s in strings], num_threads=1)
             return np.array([i for own in out for i in own], np.int32), offsets(np.array([len(x) for x in out], np.int64))
 
         byte_model = model(byte_file, pattern)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,10 @@ import regex
 from pyspark.sql import DataFrame
 
 from stockflow.llm.arrays import add_columns, binary_array, broadcast_file, list_array, offsets, ragged
-from stockflow.llm.pieces import PieceCache
+from stockflow.llm.pieces import MatchCache, PieceCache, kept
+
+if TYPE_CHECKING:
+    from stockflow.llm.token_counts import RankMerger
 
 NONE = np.int32(0x7FFFFFFF)
 HEAP_BYTES = 512
@@ -71,8 +75,8 @@ class ByteBpe:
     """Ranks of byte strings, as a tiktoken file lists them; an id is its rank."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
-        self.find = regex.compile(pattern).findall
+        self.ranks = self.whole = ranks
+        self.matches = MatchCache(regex.compile(pattern).findall, self.merge)
         self.single = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         left, right, value = [], [], []
         for token, rank in ranks.items():
@@ -83,32 +87,46 @@ class ByteBpe:
                     right.append(b)
                     value.append(rank)
         self.pairs = PairTable(np.array(left, np.int64), np.array(right, np.int64), np.array(value, np.int32))
-        top = max(ranks.values()) + 1
-        names = [b""] * top
+        self._name(ranks)
+
+    def _name(self, ranks: dict[bytes, int]) -> None:
+        names = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             names[rank] = token
         self.token_off = offsets(np.array([len(x) for x in names]))
         self.token_bytes = np.frombuffer(b"".join(names), np.uint8)
 
+    def _joined(self, a: int, b: int) -> int | None:
+        """The id that two ids merge into, if they do."""
+        name = lambda i: self.token_bytes[self.token_off[i]: self.token_off[i + 1]].tobytes()
+        return self.ranks.get(name(a) + name(b))
+
     @classmethod
     def from_file(cls, data: bytes, pattern: str) -> ByteBpe:
         return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}, pattern)
 
+    @classmethod
+    def from_merges(cls, own: RankMerger) -> ByteBpe:
+        """The same encoder for a merge list whose ids grow with the ranks: only listed pairs merge,
+        and a match that is itself in the vocabulary is built up like any other."""
+        if (np.diff(own.made) <= 0).any():
+            raise ValueError("ids must grow with the ranks of their merges")
+        new = cls.__new__(cls)
+        new.whole, new.single, new.ranks = {}, own.single, {}
+        new.pairs = PairTable(own.left, own.right, own.made)
+        new._pairs = dict(zip(zip(own.left.tolist(), own.right.tolist()), own.made.tolist()))
+        new._joined = lambda a, b: new._pairs.get((a, b))
+        new.matches = MatchCache(own.matches.find, new.merge)
+        return new
+
     def encode(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of strings, each split by the pattern: (flat, offsets)."""
-        matches = [self.find(s) for s in strings]
-        flat_matches = [m for own in matches for m in own]
-        unique = list(dict.fromkeys(flat_matches))
-        flat, off = self.merge([m.encode() for m in unique])
-        place = dict(zip(unique, range(len(unique))))
-        code = np.fromiter(map(place.__getitem__, flat_matches), np.int64, len(flat_matches))
-        length = np.diff(off)[code]
-        return ragged(flat, off[code], length), offsets(length)[offsets(np.array([len(m) for m in matches], np.int64))]
+        return self.matches(strings)
 
     def merge(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of byte strings that the pattern does not split further: (flat, offsets)."""
         size = np.array([len(p) for p in parts], np.int64)
-        known = np.fromiter((self.ranks.get(p, -1) for p in parts), np.int64, len(parts))
+        known = np.fromiter((self.whole.get(p, -1) for p in parts), np.int64, len(parts))
         done: list[tuple[np.ndarray, np.ndarray]] = [(np.flatnonzero(known >= 0), known[known >= 0][:, None].astype(np.int32))]
         data, off = np.frombuffer(b"".join(parts), np.uint8), offsets(size)
         least = 0
@@ -165,7 +183,6 @@ class ByteBpe:
         first = self.pairs(np.array(ids[:-1], np.int32), np.array(ids[1:], np.int32)).tolist()
         heap = [(r, i, ids[i], ids[i + 1]) for i, r in enumerate(first) if r != NONE]
         heapq.heapify(heap)
-        name = lambda i: self.token_bytes[self.token_off[i]: self.token_off[i + 1]].tobytes()
         while heap:
             r, i, a, b = heapq.heappop(heap)
             if ids[i] != a or after[i] >= n or ids[after[i]] != b:
@@ -176,7 +193,7 @@ class ByteBpe:
             if after[i] < n:
                 before[after[i]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y < n and (rank := self.ranks.get(name(ids[x]) + name(ids[y]))) is not None:
+                if x >= 0 and y < n and (rank := self._joined(ids[x], ids[y])) is not None:
                     heapq.heappush(heap, (rank, x, ids[x], ids[y]))
         return np.array([x for x in ids if x >= 0], np.int32)
 
@@ -203,7 +220,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     shared = broadcast_file(df.sparkSession, path)
 
     def make():
-        cache = PieceCache(model(shared, pattern).encode)
+        cache = kept(("bpe", hash((shared.value, pattern))), lambda: PieceCache(model(shared, pattern).encode))
 
         def step(b: pa.RecordBatch) -> list[pa.Array]:
             return [list_array(*cache.ids(b.column(text).to_pylist()), pa.int32())]

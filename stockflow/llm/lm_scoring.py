@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from stockflow.llm import attention as at
 from stockflow.llm.arrays import LOWER, Spans, add_columns, binary_array, broadcast_file, chunks, list_array, offsets, ragged, text_bytes, without, words
 from stockflow.llm.bpe import model
-from stockflow.llm.pieces import PieceCache
+from stockflow.llm.pieces import PieceCache, kept
 from stockflow.session import materialize
 
 FREQUENT = 1 << 17
@@ -174,7 +174,7 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
 
     def make():
         known, count, ends, cl, weights = given.value
-        cache = PieceCache(model(shared, pattern).encode)
+        cache = kept(("lm", hash((shared.value, pattern))), lambda: PieceCache(model(shared, pattern).encode, 600_000))
         known = np.append(known, np.uint64(2 ** 64 - 1))
         count = np.append(count, 0)
 

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.llm.arrays import binary_array, broadcast_file, chunks, offsets, without
-from stockflow.llm.pieces import PieceCache
+from stockflow.llm.bpe import ByteBpe
+from stockflow.llm.pieces import PieceCache, kept
 from stockflow.llm.token_counts import merger, plain_parts
 from stockflow.session import materialize
 
@@ -49,7 +50,7 @@ class Settings:
 def pieces(df: DataFrame, path: str, pattern: str, capacity: int, end_id: int = 0, text: str = "text",
            carry: list[str] | None = None) -> DataFrame:
     """One row for each piece: ``piece int, start long, length long, ids binary`` (unsigned 32-bit,
-    little-endian). Ids are those of the ``tokenizers`` library, then the end id. A text longer than
+    little-endian). Ids are equal to those of the ``tokenizers`` library, then the end id. A text longer than
     ``capacity`` has full pieces behind a first one that may be shorter."""
     shared = broadcast_file(df.sparkSession, path)
     added = T.StructType.fromDDL("piece int, start bigint, length bigint, ids binary")
@@ -57,18 +58,8 @@ def pieces(df: DataFrame, path: str, pattern: str, capacity: int, end_id: int =
     schema = T.StructType([df.schema[c] for c in keep] + added.fields)
 
     def run(batches):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        library, own = Tokenizer.from_str(shared.value.decode()), merger(shared, pattern)
-
-        def encode(strings: list[str]):
-            found = [x.ids for x in library.encode_batch_fast(strings, add_special_tokens=False)]
-            return np.array([i for x in found for i in x], np.int32), offsets(np.array([len(x) for x in found], np.int64))
-
-        cache = PieceCache(encode)
+        own = merger(shared, pattern)
+        cache = kept(("pieces", hash((shared.value, pattern))), lambda: PieceCache(ByteBpe.from_merges(own).encode, 600_000))
         for whole in batches:
             for b in chunks(whole, text):
                 parts, counts, between = plain_parts(b.column(text).to_pylist(), own.special, own.at_special)

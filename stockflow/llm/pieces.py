@@ -1,8 +1,9 @@
-"""Token ids of whole texts through a bounded cache of space-delimited pieces.
+"""Token ids of whole texts through a bounded cache of short pieces.
 
 The splitting pattern of the byte-level vocabularies never lets a match cross into a space that is
-followed by a character other than white space. A text can therefore be cut before each such space
-and the parts encoded alone, so equal parts (most words repeat) are encoded once.
+followed by a character other than white space, nor across a newline that stands alone between two
+such characters. A text can therefore be cut there and the parts encoded alone, so equal parts
+(most words repeat) are encoded once.
 """
 
 from __future__ import annotations
@@ -17,17 +18,42 @@ from stockflow.llm.arrays import offsets, ragged
 
 CUT = regex.compile(r"(?= \S)", regex.V1)
 Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
+IRREGULAR = -2
+#: Stands before a piece that has no leading space. A text that holds it is encoded whole.
+MARK = "\x01"
 
 
-IRREGULAR = -2
+class Ragged:
+    """Growing table of number lists, one for each code."""
+
+    def __init__(self):
+        self.flat, self.start, self.length = np.zeros(1 << 16, np.int32), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.n = self.used = 0
+
+    def add(self, flat: np.ndarray, off: np.ndarray) -> range:
+        k, m = len(off) - 1, len(flat)
+        while self.n + k > len(self.start):
+            self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
+        while self.used + m > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.flat[self.used: self.used + m] = flat
+        self.start[self.n: self.n + k] = off[:-1] + self.used
+        self.length[self.n: self.n + k] = np.diff(off)
+        self.n += k
+        self.used += m
+        return range(self.n - k, self.n)
+
+    def take(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        length = self.length[codes]
+        return ragged(self.flat, self.start[codes], length), offsets(length)
 
 
 class PieceCache:
     """ids(texts) by ``encode(strings) -> (flat ids, offsets)`` on pieces not seen lately.
 
-    A piece is keyed without its leading space; a text's first piece, which has none, by two
-    spaces before it. The cache starts anew when it holds ``limit`` pieces (or 16 ids for each),
-    so memory stays bounded for any corpus.
+    A piece is keyed without its leading space, or with MARK where it has none; an own newline is a
+    piece. The cache starts anew when it holds ``limit`` pieces (or 16 ids for each), so memory
+    stays bounded for any corpus.
     """
 
     def __init__(self, encode: Encoder, limit: int = 300_000):
@@ -35,72 +61,104 @@ class PieceCache:
         self._reset()
 
     def _reset(self) -> None:
-        self.code: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.int32)
-        self.start = np.zeros(1 << 12, np.int64)
-        self.length = np.zeros(1 << 12, np.int64)
-        self.n = self.used = 0
+        # codes of parts cut by spaces and newlines, and of parts cut by CUT
+        self.code: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        self.store = Ragged()
 
     def _learn(self, keys: list[str], whole: bool) -> None:
-        """Encode new keys. ``whole``: parts cut by CUT, else by single spaces, where a part that
-        is empty or starts with white space shows a longer run of it."""
+        """Encode new keys. Of parts cut by spaces and newlines, one that is empty or starts with
+        white space shows a longer run of it."""
         if not whole:
-            odd = [k for k in keys if not k or (k[0].isspace() and k[:2] != "  ")]
-            self.code.update(zip(odd, repeat(IRREGULAR)))
+            odd = [k for k in keys if k != "\n" and (not k.strip(MARK) or k.lstrip(MARK)[0].isspace())]
+            self.code[0].update(zip(odd, repeat(IRREGULAR)))
             gone = set(odd)
             keys = [k for k in keys if k not in gone]
-        flat, off = self.encode([k[2:] if k[:2] == "  " else " " + k for k in keys])
-        k, m = len(keys), len(flat)
-        while self.n + k > len(self.start):
-            self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
-        while self.used + m > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used: self.used + m] = flat
-        self.start[self.n: self.n + k] = off[:-1] + self.used
-        self.length[self.n: self.n + k] = np.diff(off)
-        self.code.update(zip(keys, range(self.n, self.n + k)))
-        self.n += k
-        self.used += m
+        texts = [k[1:] if k[:1] == MARK else k if k == "\n" else " " + k for k in keys]
+        self.code[whole].update(zip(keys, self.store.add(*self.encode(texts))))
 
     def _codes(self, parts: list[str], whole: bool) -> np.ndarray:
-        codes = np.fromiter(map(self.code.get, parts, repeat(-1)), np.int64, len(parts))
-        new = codes < 0 if whole else codes == -1
-        if new.any():
-            self._learn(list(dict.fromkeys(parts[k] for k in np.flatnonzero(new).tolist())), whole)
-            codes = np.fromiter(map(self.code.__getitem__, parts), np.int64, len(parts))
+        codes = np.fromiter(map(self.code[whole].get, parts, repeat(-1)), np.int64, len(parts))
+        new = np.flatnonzero(codes == -1).tolist()
+        if new:
+            missing = [parts[k] for k in new]
+            self._learn(list(dict.fromkeys(missing)), whole)
+            codes[new] = np.fromiter(map(self.code[whole].__getitem__, missing), np.int64, len(missing))
         return codes
 
     def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and row offsets; None counts as empty."""
-        if self.n > self.limit or self.used > 16 * self.limit:
+        if self.store.n > self.limit or self.store.used > 16 * self.limit:
             self._reset()
-        split = [t.split(" ") if t else [] for t in texts]
-        codes = self._codes(_keys(split), False)
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        if (codes == IRREGULAR).any():
-            bad = np.unique(np.searchsorted(offsets(counts), np.flatnonzero(codes == IRREGULAR), "right") - 1)
-            again = [_cut(texts[i]) for i in bad.tolist()]
-            new = self._codes(_keys(again), True)
-            keep = np.ones(len(split), bool)
-            keep[bad] = False
-            rows = np.repeat(np.arange(len(split)), counts)
-            more = np.fromiter(map(len, again), np.int64, len(again))
-            rows = np.concatenate([rows[keep[rows]], np.repeat(bad, more)])
-            codes = np.concatenate([codes[keep[np.repeat(np.arange(len(split)), counts)]], new])[np.argsort(rows, kind="stable")]
+        parts: list[str] = []
+        counts = np.zeros(len(texts), np.int64)
+        marked = []
+        for i, t in enumerate(texts):
+            if t:
+                if MARK in t:
+                    marked.append(i)
+                    continue
+                own = (MARK + t.replace("\n", " \n " + MARK)).split(" ")
+                parts += own
+                counts[i] = len(own)
+        codes = self._codes(parts, False)
+        odd = np.unique(np.searchsorted(offsets(counts), np.flatnonzero(codes == IRREGULAR), "right") - 1)
+        if len(odd) or marked:
+            cut = [_cut(texts[i]) for i in odd.tolist()]
+            new = self._codes([p for own in cut for p in own], True)
+            whole = np.array(self.store.add(*self.encode([texts[i] for i in marked])) if marked else [], np.int64)
+            bad = np.concatenate([odd, np.array(marked, np.int64)])
+            more = np.array([*map(len, cut), *repeat(1, len(marked))], np.int64)
+            rows = np.repeat(np.arange(len(texts)), counts)
+            keep = ~np.isin(rows, bad)
+            order = np.argsort(np.concatenate([rows[keep], np.repeat(bad, more)]), kind="stable")
+            codes = np.concatenate([codes[keep], new, whole])[order]
             counts[bad] = more
-        length = self.length[codes]
-        return ragged(self.flat, self.start[codes], length), offsets(length)[offsets(counts)]
+        flat, off = self.store.take(codes)
+        return flat, off[offsets(counts)]
 
 
 def _cut(text: str) -> list[str]:
+    """Parts before each space that a character other than white space follows; all but the first
+    are keyed without that space."""
     first, *rest = CUT.split(text)
-    return [first, *[p[1:] for p in rest]]
+    return [MARK + first, *[p[1:] for p in rest]]
+
+
+_caches: dict[tuple, object] = {}
 
 
-def _keys(split: list[list[str]]) -> list[str]:
-    out: list[str] = []
-    for own in split:
-        if own:
-            out.append("  " + own[0])
-            out += own[1:]
-    return out
+def kept(key: tuple, make: Callable[[], object]):
+    """The object of ``key`` in this Python worker, so that its next task finds a warm cache."""
+    if key not in _caches:
+        if len(_caches) >= 4:
+            _caches.clear()
+        _caches[key] = make()
+    return _caches[key]
+
+
+class MatchCache:
+    """An Encoder that splits strings by a pattern and encodes each match not seen lately by
+    ``merge(byte strings) -> (flat ids, offsets)``."""
+
+    def __init__(self, find: Callable[[str], list[str]], merge: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], limit: int = 300_000):
+        self.find, self.merge, self.limit = find, merge, limit
+        self._reset()
+
+    def _reset(self) -> None:
+        self.code: dict[str, int] = {}
+        self.store = Ragged()
+
+    def __call__(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.store.n > self.limit or self.store.used > 16 * self.limit:
+            self._reset()
+        matches = list(map(self.find, strings))
+        flat = [m for own in matches for m in own]
+        codes = np.fromiter(map(self.code.get, flat, repeat(-1)), np.int64, len(flat))
+        new = np.flatnonzero(codes < 0).tolist()
+        if new:
+            missing = [flat[k] for k in new]
+            unique = list(dict.fromkeys(missing))
+            self.code.update(zip(unique, self.store.add(*self.merge([m.encode() for m in unique]))))
+            codes[new] = np.fromiter(map(self.code.__getitem__, missing), np.int64, len(missing))
+        out, off = self.store.take(codes)
+        return out, off[offsets(np.fromiter(map(len, matches), np.int64, len(matches)))]

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from stockflow.llm.arrays import SPACE, Spans, add_columns, broadcast_file, mix, offsets, row_sums, text_bytes, words
 from stockflow.llm.bpe import model
-from stockflow.llm.pieces import PieceCache
+from stockflow.llm.pieces import PieceCache, kept
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -123,7 +123,9 @@ def measure(df: DataFrame, piece_path: str, byte_path: str, pattern: str, text:
         def count_bytes(strings: list[str]):
             return np.diff(byte_model.encode(strings)[1]).astype(np.int32), np.arange(len(strings) + 1)
 
-        by_piece, by_byte = PieceCache(encode_pieces), PieceCache(count_bytes)
+        key = hash((piece_file.value, byte_file.value, pattern))
+        by_piece = kept(("fertility", key), lambda: PieceCache(encode_pieces))
+        by_byte = kept(("fertility bytes", key), lambda: PieceCache(count_bytes))
 
         def step(b: pa.RecordBatch) -> list[pa.Array]:
             col = b.column(text)

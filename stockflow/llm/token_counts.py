@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 
 from stockflow.llm.arrays import add_columns, broadcast_file, offsets
 from stockflow.llm.bpe import NONE, PairTable
-from stockflow.llm.pieces import PieceCache
+from stockflow.llm.pieces import MatchCache, PieceCache, kept
 
 
 def byte_alphabet() -> list[str]:
@@ -47,12 +47,12 @@ class RankMerger:
         self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
         vocab, merges = model["vocab"], [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         self.single = np.array([vocab[c] for c in byte_alphabet()], np.int32)
-        left, right = (np.array([vocab[m[k]] for m in merges], np.int64) for k in (0, 1))
+        self.left, self.right = left, right = [np.array([vocab[m[k]] for m in merges], np.int64) for k in (0, 1)]
         self.pairs = PairTable(left, right, np.arange(len(merges), dtype=np.int32))
         self.made = np.array([vocab[a + b] for a, b in merges], np.int32)
         born = dict(zip(self.made.tolist(), range(len(merges))))
         self.ordered = all(born.get(x, -1) < r and born.get(y, -1) < r for r, (x, y) in enumerate(zip(left.tolist(), right.tolist())))
-        self.find = regex.compile(pattern).findall
+        self.matches = MatchCache(regex.compile(pattern).findall, lambda parts: (self.survivors(parts).astype(np.int32), np.arange(len(parts) + 1)))
 
     def survivors(self, parts: list[bytes]) -> np.ndarray:
         """How many symbols each byte string keeps when nothing merges any more."""
@@ -94,12 +94,9 @@ class RankMerger:
 
     def count(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token count of each string, as a ragged array of one number for each."""
-        matches = [self.find(s) for s in strings]
-        flat = [m for own in matches for m in own]
-        unique = list(dict.fromkeys(flat))
-        n = dict(zip(unique, self.survivors([m.encode() for m in unique]).tolist()))
-        total = np.array([sum(map(n.__getitem__, own)) for own in matches], np.int32)
-        return total, np.arange(len(strings) + 1, dtype=np.int64)
+        each, off = self.matches(strings)
+        upto = np.concatenate([[0], np.cumsum(each, dtype=np.int64)])
+        return (upto[off[1:]] - upto[off[:-1]]).astype(np.int32), np.arange(len(strings) + 1, dtype=np.int64)
 
 
 _models: dict[int, RankMerger] = {}
@@ -133,7 +130,7 @@ def count_tokens(df: DataFrame, path: str, pattern: str, text: str = "text", n_t
 
     def make():
         own = merger(shared, pattern)
-        cache = PieceCache(own.count)
+        cache = kept(("counts", hash((shared.value, pattern))), lambda: PieceCache(own.count, 600_000))
 
         def step(b: pa.RecordBatch) -> list[pa.Array]:
             parts, counts, between = plain_parts(b.column(text).to_pylist(), own.special, own.at_special)

@@ -3,7 +3,8 @@
 A subword id has an input class (ids in order of their reversed bytes, cut into classes of equal
 corpus mass, so a class knows how a token ends) and an output class (in order of their bytes, so a
 class knows how a token begins). The model gives p(output class | last input classes); inside its
-class an id has its smoothed corpus frequency. The product is a proper distribution over all ids.
+class an id has its smoothed corpus frequency after the last input class. The product is a proper
+distribution over all ids.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import numpy as np
 WINDOW, STRIDE = 32, 24
 WIDTH, INPUTS, OUTPUTS = 16, 128, 64
 BATCH = 64
+PRIOR = 20.0
 F = np.float32
 SHAPES = {"e": (INPUTS + 1, WIDTH), "p": (WINDOW, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH),
           "o": (WIDTH, WIDTH), "u": (WIDTH, OUTPUTS), "b": (OUTPUTS,)}
@@ -23,11 +25,12 @@ _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, F), 1)
 
 @dataclass
 class Classes:
-    """Classes of ids 0 .. n-1 (the last one ends a text) and their share of their output class."""
+    """Classes of ids 0 .. n-1 (the last one ends a text) and their share of their output class,
+    by the input class before (the last one starts a text)."""
 
     inputs: np.ndarray
     outputs: np.ndarray
-    log_share: np.ndarray
+    log_share: np.ndarray  # float32 [INPUTS + 1, ids]
 
 
 def classes(counts: np.ndarray, names: list[bytes]) -> Classes:
@@ -42,7 +45,20 @@ def classes(counts: np.ndarray, names: list[bytes]) -> Classes:
 
     outputs = cut(names, OUTPUTS)
     total = np.bincount(outputs, mass, OUTPUTS)
-    return Classes(cut([x[::-1] for x in names], INPUTS), outputs, np.log(mass / total[outputs]))
+    share = np.log(mass / total[outputs]).astype(F)
+    return Classes(cut([x[::-1] for x in names], INPUTS), outputs, np.tile(share, (INPUTS + 1, 1)))
+
+
+def given_last(c: Classes, last: np.ndarray, ids: np.ndarray, n: np.ndarray) -> Classes:
+    """Shares that also know the input class before an id, from counts n of (last, id). The plain
+    share stands for PRIOR further observations after each class."""
+    counts = np.zeros(c.log_share.shape)
+    counts[last, ids] = n
+    share = np.exp(c.log_share[0].astype(float))
+    out = np.empty_like(c.log_share)
+    for k, row in enumerate(counts):
+        out[k] = np.log((row + PRIOR * share) / (np.bincount(c.outputs, row, OUTPUTS) + PRIOR)[c.outputs])
+    return Classes(c.inputs, c.outputs, out)
 
 
 def initial(c: Classes, counts: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
@@ -108,7 +124,7 @@ def log_prob(w: dict[str, np.ndarray], c: Classes, ids: np.ndarray, off: np.ndar
         logits -= logits.max(-1, keepdims=True)
         hit = logits[np.arange(len(target)), c.outputs[target]]
         np.exp(logits, out=logits)
-        lp = hit - np.log(logits.sum(-1)) + c.log_share[target]
+        lp = hit - np.log(logits.sum(-1)) + c.log_share[x[i: i + BATCH][want], target]
         total += np.bincount(text[i: i + BATCH][rows], lp, len(total))
     return total
 

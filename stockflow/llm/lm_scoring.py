@@ -36,7 +36,7 @@ FREQUENT = 1 << 17
 
 @dataclass(frozen=True)
 class Settings:
-    share: int = 64      # one training text in so many trains the attention weights
+    share: int = 32      # one training text in so many trains the attention weights
     rounds: int = 2
     rate: float = 0.01
 
@@ -71,26 +71,53 @@ def count_words(texts: DataFrame, text: str) -> DataFrame:
     return texts.select(text).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _subword_counts(vocabulary: DataFrame, shared, pattern: str) -> tuple[np.ndarray, list[bytes]]:
-    """Corpus counts of subword ids, from each distinct word's ids times its count."""
+def _over_words(vocabulary: DataFrame, shared, pattern: str, add, ddl: str) -> pa.Table:
+    """Sums over all distinct words, each encoded once: ``add(total, ids, off, n)`` updates a dict of
+    numpy counts from a slice of words with counts n; Spark sums what the tasks have counted."""
     def count(batches):
         own = model(shared, pattern)
-        total = np.zeros(len(own.token_off), np.int64)
+        total: dict[str, np.ndarray] = {}
         for b in batches:
             for k in range(0, b.num_rows, 50_000):
                 part = b.slice(k, 50_000)
-                names = [" " + w.decode("utf-8", "replace") for w in part.column(0).to_pylist()]
-                ids, off = own.encode(names)
-                total += np.bincount(ids, np.repeat(np.asarray(part.column(1)), np.diff(off)), len(total)).astype(np.int64)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["id", "n"])
-
-    rows = vocabulary.select("word", "n").mapInArrow(count, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-    own = model(shared, pattern)  # as many ids as the vocabulary file has
-    counts = np.zeros(len(own.token_off), np.float64)
+                ids, off = own.encode([" " + w.decode("utf-8", "replace") for w in part.column(0).to_pylist()])
+                add(total, ids.astype(np.int64), off, np.asarray(part.column(1)))
+        for flat in total.values():
+            at_ = np.flatnonzero(flat)
+            yield pa.RecordBatch.from_arrays([pa.array(at_), pa.array(flat.ravel()[at_])], ["id", "n"])
+
+    return vocabulary.select("word", "n").mapInArrow(count, ddl).groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+
+
+def _classes(vocabulary: DataFrame, ends: int, shared, pattern: str) -> tuple[at.Classes, np.ndarray]:
+    """Classes of the subword ids from their corpus counts, and counts of ids after input classes
+    inside words. Both tables are as large as the vocabulary file and the classes make them."""
+    own = model(shared, pattern)
+    n_ids = len(own.token_off)  # the file's ids and the end sign
+
+    def single(total, ids, off, n):
+        total.setdefault("n", np.zeros(n_ids, np.int64))
+        total["n"] += np.bincount(ids, np.repeat(n, np.diff(off)), n_ids).astype(np.int64)
+
+    rows = _over_words(vocabulary, shared, pattern, single, "id bigint, n bigint")
+    counts = np.zeros(n_ids)
     counts[np.asarray(rows["id"])] = np.asarray(rows["n"])
-    names = [own.token_bytes[a:b].tobytes() for a, b in zip(own.token_off, own.token_off[1:])] + [b""]
-    return counts, names
+    counts[-1] = ends
+    c = at.classes(counts, [own.token_bytes[a:b].tobytes() for a, b in zip(own.token_off, own.token_off[1:])] + [b""])
+    inputs = c.inputs
+
+    def pairs(total, ids, off, n):
+        inner = np.ones(len(ids), bool)
+        inner[off[:-1][np.diff(off) > 0]] = False
+        here = np.flatnonzero(inner)
+        key = inputs[ids[here - 1]] * n_ids + ids[here]
+        total.setdefault("n", np.zeros((at.INPUTS + 1) * n_ids, np.int64))
+        keys, back = np.unique(key, return_inverse=True)
+        total["n"][keys] += np.bincount(back, np.repeat(n, np.diff(off))[here], len(keys)).astype(np.int64)
+
+    rows = _over_words(vocabulary, shared, pattern, pairs, "id bigint, n bigint")
+    key = np.asarray(rows["id"])
+    return at.given_last(c, key // n_ids, key % n_ids, np.asarray(rows["n"])), counts
 
 
 def _ids(cache: PieceCache, texts) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +127,9 @@ def _ids(cache: PieceCache, texts) -> tuple[np.ndarray, np.ndarray]:
 
 def _train(train: DataFrame, doc_id: str, text: str, c: at.Classes, counts: np.ndarray, shared, pattern: str, s: Settings):
     spark = train.sparkSession
-    sample = train.where(F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(s.share)) == 0).select(F.col(text).alias("text"))
+    key = F.col(doc_id).cast("string")
+    sample = (train.where(F.pmod(F.xxhash64(key), F.lit(s.share)) == 0)
+              .select(F.col(text).alias("text"), F.xxhash64(key, F.lit(5)).alias("part")))
 
     def encode():
         cache = PieceCache(model(shared, pattern).encode)
@@ -110,11 +139,11 @@ def _train(train: DataFrame, doc_id: str, text: str, c: at.Classes, counts: np.n
             return [list_array(ids, off, pa.int32())]
         return step
 
-    encoded = materialize(add_columns(sample, "text", "ids array<int>", encode, []).withColumn("part", F.xxhash64("ids")), "lm-sample")
+    encoded = materialize(add_columns(sample, "text", "ids array<int>", encode, ["part"]), "lm-sample")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     flat = at.pack(at.initial(c, counts))
     for k in range(s.rounds):
-        given = spark.sparkContext.broadcast((flat, c))
+        given = spark.sparkContext.broadcast((flat, at.Classes(c.inputs, c.outputs, np.zeros((0, 0)))))
 
         def run(batches, k=k, given=given):
             start, own = given.value
@@ -144,9 +173,7 @@ def fit(train: DataFrame, path: str, pattern: str, s: Settings = Settings(), doc
     vocabulary = materialize(count_words(train, text), "lm-words")
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = train.count()
-    counts, names = _subword_counts(vocabulary, shared, pattern)
-    counts[-1] = ends
-    c = at.classes(counts, names)
+    c, counts = _classes(vocabulary, ends, shared, pattern)
     weights = _train(train, doc_id, text, c, counts, shared, pattern, s)
     return Model(vocabulary, total["n"] + ends, total["v"] + (ends > 0), ends, c, weights)
 

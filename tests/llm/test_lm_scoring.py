@@ -72,18 +72,43 @@ def test_each_place_is_scored_once_by_its_window():
             a = np.exp(a - a.max())
             out = h[-1] + (a / a.sum()) @ (h @ w["v"]) @ w["o"]
             logits = out @ w["u"] + w["b"]
-            total += logits[c.outputs[target[t]]] - logits.max() - np.log(np.exp(logits - logits.max()).sum()) + c.log_share[target[t]]
+            total += logits[c.outputs[target[t]]] - logits.max() - np.log(np.exp(logits - logits.max()).sum()) + c.log_share[given[t], target[t]]
         assert abs(total - got[i]) < 1e-3 * max(1, abs(total))
 
 
 def test_distribution_sums_to_one():
-    c, w, _ = toy()
-    p = [math.exp(at.log_prob(w, c, np.array([3, i]), np.array([0, 2]))[0] - 0) for i in range(50)]
-    rest = at.log_prob(w, c, np.array([3]), np.array([0, 1]))[0]
-    # p(3) * (p(end) + sum over next ids of p(id)) with the end factor taken out again
-    share = np.zeros(at.OUTPUTS)
-    np.add.at(share, c.outputs, np.exp(c.log_share))
-    assert np.allclose(share[np.unique(c.outputs)], 1) and len(p) == 50 and rest < 0
+    c, w, rng = toy()
+    c = at.given_last(c, rng.integers(0, at.INPUTS, 300), rng.integers(0, 51, 300), rng.integers(1, 9, 300))
+    for start in ([], [3], [3, 7, 7]):
+        text = lambda ids: at.log_prob(w, c, np.array([*start, *ids], int), np.array([0, len(start) + len(ids)]))[0]
+        x, y, _ = at.windows(np.array([*start, 0]), np.array([0, len(start) + 1]), c)
+        h = at._attend(w, x)[-1][0, len(start)]
+        logits = h @ w["u"] + w["b"]
+        p = np.exp(logits - logits.max())
+        p /= p.sum()
+        every = p[c.outputs] * np.exp(c.log_share[x[0, len(start)]])
+        assert abs(every[np.isin(c.outputs, c.outputs)].sum() + p[~np.isin(np.arange(at.OUTPUTS), c.outputs)].sum() - 1) < 1e-4
+        assert abs(text([]) - (np.log(every[50]) + _prefix(w, c, start))) < 1e-3
+
+
+def _prefix(w, c, start):
+    """Log-probability of a prefix, place by place."""
+    total = 0.0
+    for t, i in enumerate(start):
+        x, _, _ = at.windows(np.array(start[:t] + [0], int), np.array([0, t + 1]), c)
+        logits = at._attend(w, x)[-1][0, t] @ w["u"] + w["b"]
+        total += logits[c.outputs[i]] - logits.max() - np.log(np.exp(logits - logits.max()).sum()) + c.log_share[x[0, t], i]
+    return total
+
+
+def test_shares_after_a_class_by_brute_force():
+    c, _, rng = toy()
+    last, ids, n = rng.integers(0, at.INPUTS, 40), np.arange(40), rng.integers(1, 9, 40)
+    new = at.given_last(c, last, ids, n)
+    for k, i in zip(last.tolist(), ids.tolist()):
+        own = {j: m for q, j, m in zip(last.tolist(), ids.tolist(), n.tolist()) if q == k and c.outputs[j] == c.outputs[i]}
+        want = (own[i] + at.PRIOR * math.exp(c.log_share[0, i])) / (sum(own.values()) + at.PRIOR)
+        assert abs(math.exp(new.log_share[k, i]) - want) < 1e-5
 
 
 def test_gradients_by_differences():

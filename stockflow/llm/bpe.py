@@ -223,7 +223,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
         cache = kept(("bpe", hash((shared.value, pattern))), lambda: PieceCache(model(shared, pattern).encode))
 
         def step(b: pa.RecordBatch) -> list[pa.Array]:
-            return [list_array(*cache.ids(b.column(text).to_pylist()), pa.int32())]
+            return [list_array(*cache.ids(b.column(text)), pa.int32())]
         return step
 
     return add_columns(df, text, f"`{ids}` array<int>", make, carry)

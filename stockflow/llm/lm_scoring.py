@@ -120,8 +120,8 @@ def _classes(vocabulary: DataFrame, ends: int, shared, pattern: str) -> tuple[at
     return at.given_last(c, key // n_ids, key % n_ids, np.asarray(rows["n"])), counts
 
 
-def _ids(cache: PieceCache, texts) -> tuple[np.ndarray, np.ndarray]:
-    ids, off = cache.ids(texts)
+def _ids(cache: PieceCache, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    ids, off = cache.ids(col)
     return ids.astype(np.int64), off
 
 
@@ -135,7 +135,7 @@ def _train(train: DataFrame, doc_id: str, text: str, c: at.Classes, counts: np.n
         cache = PieceCache(model(shared, pattern).encode)
 
         def step(b: pa.RecordBatch) -> list[pa.Array]:
-            ids, off = cache.ids(b.column("text").to_pylist())
+            ids, off = cache.ids(b.column("text"))
             return [list_array(ids, off, pa.int32())]
         return step
 
@@ -221,7 +221,7 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
             first = np.flatnonzero(new)
             times = np.diff(np.append(first, len(r)))
             rare_off = offsets(np.bincount(r[first], minlength=n))
-            lp = at.log_prob(weights, cl, *_ids(cache, b.column(text).to_pylist())) / np.log(10)
+            lp = at.log_prob(weights, cl, *_ids(cache, b.column(text))) / np.log(10)
             return [pa.array(tokens), pa.array(seen.astype(np.int64)), pa.array(base), pa.array(lp),
                     list_array(x[first].view(np.int64), rare_off, pa.int64()), list_array(times, rare_off, pa.int64())]
         return step

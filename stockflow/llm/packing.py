@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from stockflow.llm.arrays import binary_array, broadcast_file, chunks, offsets, without
 from stockflow.llm.bpe import ByteBpe
 from stockflow.llm.pieces import PieceCache, kept
-from stockflow.llm.token_counts import merger, plain_parts
+from stockflow.llm.token_counts import merger
 from stockflow.session import materialize
 
 
@@ -58,17 +58,14 @@ def pieces(df: DataFrame, path: str, pattern: str, capacity: int, end_id: int =
     schema = T.StructType([df.schema[c] for c in keep] + added.fields)
 
     def run(batches):
-        own = merger(shared, pattern)
-        cache = kept(("pieces", hash((shared.value, pattern))), lambda: PieceCache(ByteBpe.from_merges(own).encode, 600_000))
+        def fresh() -> PieceCache:
+            own = merger(shared, pattern)
+            return PieceCache(ByteBpe.from_merges(own).encode, 600_000, own.special)
+
+        cache = kept(("pieces", hash((shared.value, pattern))), fresh)
         for whole in batches:
             for b in chunks(whole, text):
-                parts, counts, between = plain_parts(b.column(text).to_pylist(), own.special, own.at_special)
-                flat, off = cache.ids(parts)
-                first = offsets(counts)
-                if any(between):
-                    flat, off = _with_special(flat, off, first, between, own.special)
-                else:
-                    off = off[first]
+                flat, off = cache.ids(b.column(text))
                 size = np.diff(off) + 1
                 ids = np.insert(flat.astype(np.uint32), off[1:], end_id)
                 n = -(-size // capacity)
@@ -84,17 +81,6 @@ def pieces(df: DataFrame, path: str, pattern: str, capacity: int, end_id: int =
     return df.select(*[f"`{c}`" for c in dict.fromkeys([*keep, text])]).mapInArrow(run, schema)
 
 
-def _with_special(flat, off, first, between, special):
-    out, size = [], np.zeros(len(between), np.int64)
-    for i, names in enumerate(between):
-        for k in range(first[i], first[i + 1]):
-            out.append(flat[off[k]: off[k + 1]])
-            if k - first[i] < len(names):
-                out.append(np.array([special[names[k - first[i]]]], np.int32))
-        size[i] = off[first[i + 1]] - off[first[i]] + len(names)
-    return np.concatenate(out), offsets(size)
-
-
 # -- the genetic algorithm on one block -----------------------------------------------------------
 
 def best_fit(free: list[tuple[int, int]], items: list[int], length: np.ndarray, capacity: int, bins: np.ndarray, fresh: int) -> int:

@@ -2,8 +2,9 @@
 
 The splitting pattern of the byte-level vocabularies never lets a match cross into a space that is
 followed by a character other than white space, nor across a newline that stands alone between two
-such characters. A text can therefore be cut there and the parts encoded alone, so equal parts
-(most words repeat) are encoded once.
+such characters, nor from an ASCII letter or digit into a mark that ends a word. A text can
+therefore be cut there and the parts encoded alone, so equal parts (most words repeat) are encoded
+once. Pieces are found, hashed (64 bits) and looked up in numpy; only new ones become strings.
 """
 
 from __future__ import annotations
@@ -12,15 +13,20 @@ from collections.abc import Callable
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
-from stockflow.llm.arrays import offsets, ragged
+from stockflow.llm.arrays import Spans, offsets, ragged, text_bytes
 
-CUT = regex.compile(r"(?= \S)", regex.V1)
 Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
-IRREGULAR = -2
-#: Stands before a piece that has no leading space. A text that holds it is encoded whole.
-MARK = "\x01"
+_WORD = np.zeros(256, bool)
+_WORD[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,;:!?")] = True
+#: First bytes of characters that may be white space other than space and newline.
+_MAYBE_SPACE = np.zeros(256, bool)
+_MAYBE_SPACE[[9, 11, 12, 13, 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 class Ragged:
@@ -48,80 +54,123 @@ class Ragged:
         return ragged(self.flat, self.start[codes], length), offsets(length)
 
 
+class HashIndex:
+    """Open-addressing table from 64-bit hashes to codes, in numpy."""
+
+    def __init__(self, bits: int):
+        self.shift = np.uint64(64 - bits)
+        self.last = (1 << bits) - 1
+        self.keys, self.codes = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Code of each hash, -1 where there is none."""
+        slot = (h >> self.shift).astype(np.int64)
+        out = self.codes[slot]
+        todo = np.flatnonzero((self.keys[slot] != h) & (out >= 0))
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & self.last
+            code = self.codes[slot[todo]]
+            out[todo] = code
+            todo = todo[(code >= 0) & (self.keys[slot[todo]] != h[todo])]
+        return out
+
+    def add(self, h: np.ndarray, codes: np.ndarray) -> None:
+        """Put in distinct hashes that are not there yet."""
+        slot, todo = (h >> self.shift).astype(np.int64), np.arange(len(h))
+        while len(todo):
+            free = todo[self.codes[slot[todo]] < 0]
+            _, one = np.unique(slot[free], return_index=True)
+            won = free[one]
+            self.keys[slot[won]], self.codes[slot[won]] = h[won], codes[won]
+            todo = np.setdiff1d(todo, won, assume_unique=True)
+            slot[todo] = (slot[todo] + 1) & self.last
+
+
 class PieceCache:
-    """ids(texts) by ``encode(strings) -> (flat ids, offsets)`` on pieces not seen lately.
+    """ids(column) by ``encode(strings) -> (flat numbers, offsets)`` on pieces not seen lately.
 
-    A piece is keyed without its leading space, or with MARK where it has none; an own newline is a
-    piece. The cache starts anew when it holds ``limit`` pieces (or 16 ids for each), so memory
-    stays bounded for any corpus.
+    ``special`` maps strings that are tokens wherever they stand to their numbers. ``marks`` says
+    whether marks that end a word are pieces of their own. The cache starts anew when it holds
+    ``limit`` pieces (or 16 numbers for each), so memory stays bounded for any corpus. Texts with
+    longer runs of white space or special strings are encoded whole.
     """
 
-    def __init__(self, encode: Encoder, limit: int = 300_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Encoder, limit: int = 300_000, special: dict[str, int] | None = None, marks: bool = True):
+        self.encode, self.limit, self.marks = encode, limit, marks
+        self.special = special or {}
+        self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
         self._reset()
 
     def _reset(self) -> None:
-        # codes of parts cut by spaces and newlines, and of parts cut by CUT
-        self.code: tuple[dict[str, int], dict[str, int]] = ({}, {})
-        self.store = Ragged()
-
-    def _learn(self, keys: list[str], whole: bool) -> None:
-        """Encode new keys. Of parts cut by spaces and newlines, one that is empty or starts with
-        white space shows a longer run of it."""
-        if not whole:
-            odd = [k for k in keys if k != "\n" and (not k.strip(MARK) or k.lstrip(MARK)[0].isspace())]
-            self.code[0].update(zip(odd, repeat(IRREGULAR)))
-            gone = set(odd)
-            keys = [k for k in keys if k not in gone]
-        texts = [k[1:] if k[:1] == MARK else k if k == "\n" else " " + k for k in keys]
-        self.code[whole].update(zip(keys, self.store.add(*self.encode(texts))))
-
-    def _codes(self, parts: list[str], whole: bool) -> np.ndarray:
-        codes = np.fromiter(map(self.code[whole].get, parts, repeat(-1)), np.int64, len(parts))
-        new = np.flatnonzero(codes == -1).tolist()
-        if new:
-            missing = [parts[k] for k in new]
-            self._learn(list(dict.fromkeys(missing)), whole)
-            codes[new] = np.fromiter(map(self.code[whole].__getitem__, missing), np.int64, len(missing))
-        return codes
-
-    def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids and row offsets; None counts as empty."""
+        self.index, self.store = HashIndex((2 * self.limit).bit_length() + 1), Ragged()
+
+    def _whole(self, text: str) -> np.ndarray:
+        parts, names = self.at_special.split(text), self.at_special.findall(text)
+        flat, off = self.encode(parts)
+        if not names:
+            return flat
+        out = [flat[off[0]: off[1]]]
+        for k, name in enumerate(names, 1):
+            out += [np.array([self.special[name]], np.int32), flat[off[k]: off[k + 1]]]
+        return np.concatenate(out)
+
+    def ids(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat numbers and row offsets of a string column; null counts as empty."""
+        data, off = text_bytes(col)
+        n = len(data)
+        if not n:
+            return np.zeros(0, np.int32), np.zeros(len(off), np.int64)
+        gap, newline = data == 32, data == 10
+        begins = np.zeros(n + 1, bool)
+        begins[off] = True  # a row starts here, or the column ends
+        solid = ~(gap | newline)
+        after = np.ones(n, bool)     # the byte before is no solid one of the same row
+        after[1:] = begins[1:n] | ~solid[:-1]
+        before = np.ones(n, bool)    # the byte behind is no solid one of the same row
+        before[:-1] = begins[1:n] | ~solid[1:]
+        start = solid & after
+        odd = np.flatnonzero((~solid & before) | (start & _MAYBE_SPACE[data]))
+        if self.marks:
+            mark = solid & before & ~after & _MARK[data]
+            mark[1:] &= _WORD[data[:-1]]
+            start |= mark
+        end = solid & before
+        if self.marks:
+            end[:-1] |= mark[1:]
+        start |= newline
+        end |= newline
+        s, e = np.flatnonzero(start), np.flatnonzero(end) + 1
+        # a leading space belongs to the piece
+        s = s - ((s > 0) & ~begins[s] & gap[np.maximum(s - 1, 0)] & solid[s])
+        row = np.searchsorted(off, s, "right") - 1
+        bad = np.zeros(len(off), bool)
+        bad[np.searchsorted(off, odd, "right") - 1] = True
+        for name in self.special:
+            bad[:-1] |= np.asarray(pc.fill_null(pc.match_substring(col, name), False), bool)
+        bad = bad[:-1]
+        if bad.any():
+            good = ~bad[row]
+            s, e, row = s[good], e[good], row[good]
         if self.store.n > self.limit or self.store.used > 16 * self.limit:
             self._reset()
-        parts: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        marked = []
-        for i, t in enumerate(texts):
-            if t:
-                if MARK in t:
-                    marked.append(i)
-                    continue
-                own = (MARK + t.replace("\n", " \n " + MARK)).split(" ")
-                parts += own
-                counts[i] = len(own)
-        codes = self._codes(parts, False)
-        odd = np.unique(np.searchsorted(offsets(counts), np.flatnonzero(codes == IRREGULAR), "right") - 1)
-        if len(odd) or marked:
-            cut = [_cut(texts[i]) for i in odd.tolist()]
-            new = self._codes([p for own in cut for p in own], True)
-            whole = np.array(self.store.add(*self.encode([texts[i] for i in marked])) if marked else [], np.int64)
-            bad = np.concatenate([odd, np.array(marked, np.int64)])
-            more = np.array([*map(len, cut), *repeat(1, len(marked))], np.int64)
-            rows = np.repeat(np.arange(len(texts)), counts)
-            keep = ~np.isin(rows, bad)
-            order = np.argsort(np.concatenate([rows[keep], np.repeat(bad, more)]), kind="stable")
-            codes = np.concatenate([codes[keep], new, whole])[order]
-            counts[bad] = more
-        flat, off = self.store.take(codes)
-        return flat, off[offsets(counts)]
-
-
-def _cut(text: str) -> list[str]:
-    """Parts before each space that a character other than white space follows; all but the first
-    are keyed without that space."""
-    first, *rest = CUT.split(text)
-    return [MARK + first, *[p[1:] for p in rest]]
+        h = Spans(data).hash(s, e)
+        codes = self.index.find(h).astype(np.int64)
+        new = np.flatnonzero(codes < 0)
+        if len(new):
+            hashes, first, back = np.unique(h[new], return_index=True, return_inverse=True)
+            raw, at = data.tobytes(), new[first]
+            strings = [raw[a:b].decode() for a, b in zip(s[at].tolist(), e[at].tolist())]
+            own = np.array(self.store.add(*self.encode(strings)), np.int32)
+            self.index.add(hashes, own)
+            codes[new] = own[back]
+        if bad.any():
+            rows = np.flatnonzero(bad)
+            whole = [self._whole(col[i].as_py()) for i in rows.tolist()]
+            more = np.array(self.store.add(np.concatenate(whole), offsets(np.array([len(w) for w in whole], np.int64))), np.int64)
+            order = np.argsort(np.concatenate([row, rows]), kind="stable")
+            codes, row = np.concatenate([codes, more])[order], np.concatenate([row, rows])[order]
+        flat, at = self.store.take(codes)
+        return flat, at[offsets(np.bincount(row, minlength=len(off) - 1))]
 
 
 _caches: dict[tuple, object] = {}
@@ -138,9 +187,9 @@ def kept(key: tuple, make: Callable[[], object]):
 
 class MatchCache:
     """An Encoder that splits strings by a pattern and encodes each match not seen lately by
-    ``merge(byte strings) -> (flat ids, offsets)``."""
+    ``merge(byte strings) -> (flat numbers, offsets)``."""
 
-    def __init__(self, find: Callable[[str], list[str]], merge: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], limit: int = 300_000):
+    def __init__(self, find: Callable[[str], list[str]], merge: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], limit: int = 200_000):
         self.find, self.merge, self.limit = find, merge, limit
         self._reset()
 

@@ -115,7 +115,7 @@ def measure(df: DataFrame, piece_path: str, byte_path: str, pattern: str, text:
         fallback = np.array([pieces.is_byte(i) for i in range(pieces.vocab_size())])
 
         def encode_pieces(strings: list[str]):
-            out = pieces.encode([s.strip(" ") for s in strings], num_threads=1)
+            out = pieces.encode([s.strip(" \n") for s in strings], num_threads=1)
             return np.array([i for own in out for i in own], np.int32), offsets(np.array([len(x) for x in out], np.int64))
 
         byte_model = model(byte_file, pattern)
@@ -124,17 +124,16 @@ def measure(df: DataFrame, piece_path: str, byte_path: str, pattern: str, text:
             return np.diff(byte_model.encode(strings)[1]).astype(np.int32), np.arange(len(strings) + 1)
 
         key = hash((piece_file.value, byte_file.value, pattern))
-        by_piece = kept(("fertility", key), lambda: PieceCache(encode_pieces))
+        by_piece = kept(("fertility", key), lambda: PieceCache(encode_pieces, marks=False))
         by_byte = kept(("fertility bytes", key), lambda: PieceCache(count_bytes))
 
         def step(b: pa.RecordBatch) -> list[pa.Array]:
             col = b.column(text)
             data, off = text_bytes(col)
-            texts = col.to_pylist()
             base = base_counts(data, off)
-            ids, at = by_piece.ids(texts)
+            ids, at = by_piece.ids(col)
             n = np.diff(at)
-            byte_n = row_sums(*by_byte.ids(texts))
+            byte_n = row_sums(*by_byte.ids(col))
             chars = row_sums((data & 0xC0) != 0x80, off)
             return [*[pa.array(v.astype(np.int64)) for v in base.values()],
                     pa.array(chars / np.maximum(n, 1)), pa.array(chars / np.maximum(byte_n, 1)),

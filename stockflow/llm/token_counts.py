@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from stockflow.llm.arrays import add_columns, broadcast_file, offsets
+from stockflow.llm.arrays import add_columns, broadcast_file, offsets, row_sums
 from stockflow.llm.bpe import NONE, PairTable
 from stockflow.llm.pieces import MatchCache, PieceCache, kept
 
@@ -44,7 +44,6 @@ class RankMerger:
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
             raise ValueError("added tokens must match as they stand")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
         vocab, merges = model["vocab"], [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         self.single = np.array([vocab[c] for c in byte_alphabet()], np.int32)
         self.left, self.right = left, right = [np.array([vocab[m[k]] for m in merges], np.int64) for k in (0, 1)]
@@ -109,35 +108,20 @@ def merger(shared, pattern: str) -> RankMerger:
     return _models[key]
 
 
-def plain_parts(texts: list[str | None], names: dict[str, int], special: regex.Pattern) -> tuple[list[str | None], np.ndarray, list[list[str]]]:
-    """Texts cut at special tokens: the parts, how many each text has, and the tokens between."""
-    parts, counts, between = [], np.ones(len(texts), np.int64), [[]] * len(texts)
-    for i, t in enumerate(texts):
-        found = special.findall(t) if t and any(x in t for x in names) else []
-        if found:
-            own = special.split(t)
-            parts += own
-            counts[i], between[i] = len(own), found
-        else:
-            parts.append(t)
-    return parts, counts, between
-
-
 def count_tokens(df: DataFrame, path: str, pattern: str, text: str = "text", n_tokens: str = "n_tokens",
                  carry: list[str] | None = None) -> DataFrame:
     """Add ``n_tokens long``: tokens of every whole text by the vocabulary file ``path``."""
     shared = broadcast_file(df.sparkSession, path)
 
     def make():
-        own = merger(shared, pattern)
-        cache = kept(("counts", hash((shared.value, pattern))), lambda: PieceCache(own.count, 600_000))
+        def fresh() -> PieceCache:
+            own = merger(shared, pattern)
+            return PieceCache(own.count, 600_000, dict.fromkeys(own.special, 1))
+
+        cache = kept(("counts", hash((shared.value, pattern))), fresh)
 
         def step(b: pa.RecordBatch) -> list[pa.Array]:
-            parts, counts, between = plain_parts(b.column(text).to_pylist(), own.special, own.at_special)
-            flat, off = cache.ids(parts)
-            upto = np.concatenate([[0], np.cumsum(flat, dtype=np.int64)])
-            first = off[offsets(counts)]
-            return [pa.array(upto[first[1:]] - upto[first[:-1]] + np.array([len(x) for x in between], np.int64))]
+            return [pa.array(row_sums(*cache.ids(b.column(text))))]
         return step
 
     return add_columns(df, text, f"`{n_tokens}` bigint", make, carry)

@@ -5,7 +5,9 @@ source, language, length and line layout. Each view has a logistic model for two
 quality and toxic. In every round each view labels the pool documents it is most sure of for the
 *other* view, and both are fitted again. Both views are then calibrated on labelled rows kept out
 of the fit (Platt scaling), and a last logistic model combines the two calibrated log-odds.
-All documents are scored with the broadcast weights.
+All documents are scored with the broadcast weights. Copies and near copies in the sample, whose
+shared words would pass for signs of their label, count once: of documents that agree in minima of
+their rarer features only one is fitted.
 
 Fitting uses at most ``max_labelled`` labelled documents and a pool of at most ``max_pool`` others,
 both those with the smallest hashes of ``doc_id``, so the driver's share is bounded. Scoring covers
@@ -48,7 +50,7 @@ class Settings:
     rounds: int = 3
     confident: float = 0.95      # a pseudo-label needs this probability of its class
     grow: int = 400              # and at most so many of each class are handed over in a round
-    min_chi2: float = 25.0       # text features kept: association with the target in labelled rows
+    min_chi2: float = 40.0       # text features kept: association with the target in labelled rows
     min_count: int = 8
     steps: int = 60
     l2: float = 1e-3
@@ -96,6 +98,10 @@ def text_features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     n_words = np.bincount(wr, minlength=n)
     distinct = np.unique(word + wr.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), return_index=True)[1]
     share = np.bincount(wr[distinct], minlength=n) / np.maximum(n_words, 1)
+    three = np.flatnonzero(wr[2:] == wr[:-2])
+    window = mix(mix(mix(word[three]) + word[three + 1]) + word[three + 2]) + wr[three].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    fresh = np.unique(window, return_index=True)[1]
+    repeats = 1 - np.bincount(wr[three[fresh]], minlength=n) / np.maximum(np.bincount(wr[three], minlength=n), 1)
     letters = np.maximum(row_sums(_LETTER[data], off), 1)
     size = np.maximum(np.diff(off), 1)
     rows = np.arange(n)
@@ -103,6 +109,7 @@ def text_features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
              (_bin(np.ceil(64 * row_sums(_MARK[data], off) / size), 12)),
              (_bin(100 * np.floor(10 * share) + _log2(n_words), 13)),
              (_bin(_log2(n_words), 14)),
+             (_bin(np.ceil(10 * repeats) + 100 * (n_words < 8), 17)),
              (_bin(np.ceil(16 * np.bincount(mr[long], minlength=n) / np.maximum(n_words, 1)), 15)),
              (_bin(np.ceil(16 * np.bincount(mr, minlength=n) / np.maximum(n_words, 1)), 16))]
     key = np.concatenate([wr << 20 | _bucket(word, 1), mr << 20 | _bucket(mark, 2), *[rows << 20 | s for s in shape]])
@@ -148,6 +155,25 @@ class _Rows:
         pick = np.repeat(rows, np.diff(self.off))
         return np.bincount(self.bucket[pick], minlength=BUCKETS)
 
+    def alone(self) -> np.ndarray:
+        """True for one document of each family of (near) copies: rows that agree in the three least
+        hashes of their rarer features, under any of six hashings, are one family."""
+        row = np.repeat(np.arange(len(self.off) - 1), np.diff(self.off))
+        rare = np.bincount(self.bucket, minlength=BUCKETS)[self.bucket] <= max(50, len(self.off) // 50)
+        row, bucket = row[rare], self.bucket[rare]
+        keep = np.ones(len(self.off) - 1, bool)
+        size = np.bincount(row, minlength=len(keep))
+        three = size[row] >= 3
+        row, bucket = row[three], bucket[three]
+        for k in range(6):
+            order = np.lexsort((_bucket(bucket.astype(np.uint64), 100 + k), row))
+            begin = np.flatnonzero(np.r_[True, np.diff(row[order]) > 0]) if len(order) else order
+            least = [bucket[order[begin + j]] for j in range(3)] if len(order) else [order] * 3
+            _, first, back = np.unique(np.stack(least), axis=1, return_index=True, return_inverse=True) if len(order) else (0, order, order)
+            later = np.arange(len(begin)) != first[back] if len(order) else order
+            keep[row[order[begin]][later]] = False
+        return keep
+
     def fit(self, y: np.ndarray, use: np.ndarray, s: Settings) -> tuple[np.ndarray, float]:
         """Logistic weights by AdaGrad over rows ``use``, on features associated with ``y``."""
         n, pos = use.sum(), (use & (y > 0)).sum()
@@ -201,6 +227,7 @@ def train(table: pa.Table, s: Settings) -> Model:
     views = {"text": _Rows(table, "text_features"), "meta": _Rows(table, "meta_features")}
     model = Model(View(), View(), np.zeros((len(TARGETS), 3)))
     held = np.asarray(table["held"], bool)
+    alone = views["text"].alone()
     for t, target in enumerate(TARGETS):
         raw = np.asarray(pa.compute.fill_null(table[target], -1), np.int64)
         if not (raw >= 0).any():
@@ -212,7 +239,7 @@ def train(table: pa.Table, s: Settings) -> Model:
         for k in range(s.rounds + 1):
             for v, rows in views.items():
                 view = getattr(model, v)
-                view.weights[t], view.bias[t] = rows.fit(own[v], (own[v] >= 0) & ~held, s)
+                view.weights[t], view.bias[t] = rows.fit(own[v], (own[v] >= 0) & ~held & alone, s)
             if k == s.rounds:
                 break
             for v, other in (("text", "meta"), ("meta", "text")):
@@ -221,7 +248,7 @@ def train(table: pa.Table, s: Settings) -> Model:
                     ok = np.flatnonzero(pool[other] & (own[other] < 0) & ~held & (sure >= s.confident))
                     best = ok[np.argsort(-sure[ok], kind="stable")[: s.grow]]
                     own[other][best] = value
-        check = held & (raw >= 0)
+        check = held & (raw >= 0) & alone
         sides = []
         for v, rows in views.items():
             view = getattr(model, v)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.functions import calendar as cal
-from stockflow.functions.calendar import py_retail_date
 from stockflow.sources.movements import window_pred
 
 
@@ -40,7 +39,7 @@ def between_doc_dates(mov: DataFrame, lo, hi) -> DataFrame:
     On a table partitioned by ``retail_year`` the second predicate prunes partitions, which
     Catalyst cannot derive from a ``doc_date`` filter by itself.
     """
-    y_lo, y_hi = py_retail_date(lo)["year"], py_retail_date(hi)["year"]
+    y_lo, y_hi = cal.retail_year_of(lo), cal.retail_year_of(hi)
     return mov.filter(F.col("retail_year").between(y_lo, y_hi)
                       & F.col("doc_date").between(F.lit(lo), F.lit(hi)))
 

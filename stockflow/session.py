@@ -24,18 +24,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
     On a cluster ``master`` stays None and the launcher decides; tests pass ``local[N]``.
     """
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
     builder = SparkSession.builder.appName(app_name)
+    conf = dict(SESSION_CONF)
+    conf.update({"spark.ui.enabled": "false", "spark.sql.execution.arrow.pyspark.enabled": "true",
+                 "spark.ui.showConsoleProgress": "false"})
     if master:
         builder = builder.master(master)
-    conf = dict(SESSION_CONF)
-    conf.update({
-        "spark.ui.enabled": "false",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or cpus),
-        "spark.driver.memory": os.environ.get("STOCKFLOW_DRIVER_MEMORY", "16g"),
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.ui.showConsoleProgress": "false",
-    })
+        if master.startswith("local"):  # one process: sizes that fit a workstation
+            conf["spark.driver.memory"] = os.environ.get("STOCKFLOW_DRIVER_MEMORY", "8g")
+            shuffle_partitions = shuffle_partitions or int(os.environ.get("BENCH_CPUS", "8"))
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -91,7 +91,11 @@ def test_seek_union_pages_cover_all_once(spark):
 def test_narrow_kinds():
     assert lg.narrow_kinds(status="ok") == ["job", "api"]
     assert lg.narrow_kinds(job="x") == ["job"]
+    assert lg.narrow_kinds(path="/y") == ["api"]
     assert lg.narrow_kinds(job="x", path="/y") == []
+    assert lg.narrow_kinds("performance") == ["performance"]
+    assert lg.narrow_kinds("performance", status="ok") == []
+    assert lg.narrow_kinds() == ["job", "api", "performance"]
     import pytest
     with pytest.raises(ValueError):
         lg.sort_spec("name")
@@ -100,7 +104,8 @@ def test_narrow_kinds():
 def test_interval_join_bucketed_equals_plain(spark):
     jobs, perf = fx.job_logs(spark, SF0001), fx.performance_logs(spark, SF0001)
     a = lg.activity_during(jobs, perf).select("a.event_id", "p.event_id").collect()
-    b = lg.activity_during_plain(jobs, perf).select("a.event_id", "p.event_id").collect()
+    b = jobs.alias("a").join(perf.alias("p"), (F.col("a.started_at") <= F.col("p.ts")) & (F.col("p.ts") <= F.col("a.finished_at"))) \
+        .select("a.event_id", "p.event_id").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
@@ -119,3 +124,55 @@ def test_cap_detail(spark):
     df = spark.createDataFrame([("ñandú" * 3, True), ("x", False)], "d string, f boolean")
     r = df.select(cap_detail("d", F.col("f"), 5).alias("c")).collect()
     assert r[0]["c"].startswith("ñan") and len(r[0]["c"].encode()) <= 8 and r[1]["c"] is None
+
+
+def _land(spark, df):
+    import os
+    import uuid
+
+    from stockflow.session import ensure_checkpoint_dir
+    path = os.path.join(ensure_checkpoint_dir(spark), f"t-stream-{uuid.uuid4().hex}")
+    df.write.parquet(path + "/in")
+    return path
+
+
+def test_long_activities_match_or_fail(spark):
+    import pytest
+
+    from stockflow.streaming import streams as st
+    jobs = spark.createDataFrame([(1, T0, T0 + timedelta(hours=12))], "event_id long, started_at timestamp_ntz, finished_at timestamp_ntz")
+    perf = spark.createDataFrame([(i, T0 + timedelta(hours=i), 1.0) for i in range(-2, 14)], "event_id long, ts timestamp_ntz, rss_mb double")
+    j, p = _land(spark, jobs), _land(spark, perf)
+
+    def run(bound, k):
+        st.stream_activity_perf(spark, j + "/in", jobs.schema, p + "/in", perf.schema, f"{j}/out{k}", f"{j}/ck{k}", bound)
+        return spark.read.parquet(f"{j}/out{k}").count()
+
+    assert run(12 * 3600, 1) == 13
+    with pytest.raises(Exception):
+        run(9 * 3600, 2)
+
+
+def test_a_stream_that_is_not_done_fails(spark):
+    import pytest
+
+    from stockflow.streaming import streams as st
+    logs = spark.createDataFrame([(1, T0)], "event_id long, ts timestamp_ntz")
+    path = _land(spark, logs)
+
+    def slow(batch, _):
+        import time
+        time.sleep(20)
+
+    stream = spark.readStream.schema(logs.schema).parquet(path + "/in")
+    with pytest.raises(TimeoutError):
+        st._run(stream.writeStream.foreachBatch(slow).option("checkpointLocation", path + "/ck"), True, 2)
+    for q in spark.streams.active:
+        q.stop()
+
+
+def test_planted_lifecycles_are_found(spark):
+    ev = fx.run_events(spark, "/root/testdata/sf0.01", planted=True)
+    kinds = {r["violation"] for r in rn.lifecycle_violations(ev).select("violation").distinct().collect()}
+    assert kinds == {"running_not_from_queued", "terminal_twice", "finish_before_start"}
+    assert rn.lifecycle_violations(fx.run_events(spark, SF0001)).count() == 0

@@ -19,24 +19,27 @@ from stockflow.session import apply_session_conf, ensure_checkpoint_dir
 from stockflow.sources import fixtures as fx
 from stockflow.sources.movements import COMPANIES, finalize, read_movements
 
-ALL_START, ALL_END = date(1990, 1, 1), date(2010, 1, 1)
-
-
 def _root(spark, tag):
     return os.path.join(ensure_checkpoint_dir(spark), f"lake-{tag}-{uuid.uuid4().hex}")
 
 
+def _span(src):
+    """First capture day and the day after the last one: a window that holds the whole journal."""
+    lo, hi = src.agg(F.min("create_date"), F.max("create_date")).first()
+    return lo, lake.day_after(hi)
+
+
 def _loaded(spark, sf_dir, tag, companies=COMPANIES):
     apply_session_conf(spark)
     src = fx.movement_source(spark, sf_dir)
     root = _root(spark, tag)
+    since, until = _span(src)
     # A3: all companies in one job, not a loop
-    incoming = finalize(read_movements(src, list(companies), ALL_START, ALL_END))
-    lake.replace_window(spark, root, incoming, list(companies), ALL_START, ALL_END)
+    lake.replace_window(spark, root, finalize(read_movements(src, list(companies), since, until)), list(companies), since, until)
     return src, root
 
 
-@query("a5_ensure_table", with_ctes("SELECT * FROM mov_nopen WHERE company = 'HR'", "mov_nopen"))
+@query("a5_ensure_table", with_ctes("SELECT * FROM mov_nopen", "mov_nopen"))
 def a5(spark, sf_dir):
     apply_session_conf(spark)
     root = _root(spark, "a5")
@@ -45,7 +48,8 @@ def a5(spark, sf_dir):
     empty = lake.read_table(spark, root)
     assert empty.count() == 0
     src = fx.movement_source(spark, sf_dir)
-    lake.replace_window(spark, root, finalize(read_movements(src, "HR", ALL_START, ALL_END)), "HR", ALL_START, ALL_END)
+    since, until = _span(src)
+    lake.replace_window(spark, root, finalize(read_movements(src, list(COMPANIES), since, until)), COMPANIES, since, until)
     return lake.read_table(spark, root)
 
 
@@ -65,22 +69,24 @@ def a6(spark, sf_dir):
     return lake.read_table(spark, root)
 
 
-@query("a7_sync", with_ctes("SELECT * FROM mov_nopen WHERE company = 'HR'", "mov_nopen"))
+@query("a7_sync", with_ctes("SELECT * FROM mov_nopen", "mov_nopen"))
 def a7(spark, sf_dir):
     apply_session_conf(spark)
     src = fx.movement_source(spark, sf_dir)
     root = _root(spark, "a7")
-    lake.sync(spark, root, src, "HR", until=date(1997, 6, 1), since=ALL_START)
-    lake.sync(spark, root, src, "HR", until=ALL_END)  # resumes at the watermark
+    since, until = _span(src)
+    for company in COMPANIES:  # each has its own watermark
+        lake.sync(spark, root, src, company, until=since + (until - since) // 2, since=since)
+        lake.sync(spark, root, src, company, until=until)  # resumes at the watermark
     return lake.read_table(spark, root)
 
 
-@query("a8_backfill", with_ctes("SELECT * FROM mov_nopen WHERE company = 'CAP'", "mov_nopen"))
+@query("a8_backfill", with_ctes("SELECT * FROM mov_nopen", "mov_nopen"))
 def a8(spark, sf_dir):
     apply_session_conf(spark)
     src = fx.movement_source(spark, sf_dir)
     root = _root(spark, "a8")
-    report = lake.backfill(spark, root, src, "CAP", date(1994, 1, 1), date(2002, 1, 1))
+    report = lake.backfill(spark, root, src, COMPANIES, *_span(src))
     assert len(report) >= 2
     return lake.read_table(spark, root)
 
@@ -93,8 +99,8 @@ def a9(spark, sf_dir):
 
 @query("a10_compact", with_ctes("SELECT * FROM mov_nopen", "mov_nopen"))
 def a10(spark, sf_dir):
-    _, root = _loaded(spark, sf_dir, "a10")
-    lake.compact(spark, root, "COMERCIAL", date(1995, 1, 1), date(1999, 1, 1))
+    src, root = _loaded(spark, sf_dir, "a10")
+    lake.compact(spark, root, "COMERCIAL", *_span(src))
     return lake.read_table(spark, root)
 
 

@@ -1,8 +1,9 @@
 """Catalogue: streaming flows.
 
-Each query lands data derived from the tables as a sequence of files (one arrival per time
-chunk, written in order), runs the flow with ``availableNow`` and returns the sink read back.
-All folders live under the session's checkpoint directory.
+Each query lands data derived from the tables as a few arrivals in time order, runs the flow with
+``availableNow`` after each arrival (so it resumes from its checkpoint), and returns the sink read
+back. The arrivals cover the data's own time span. All folders live under the session's checkpoint
+directory.
 """
 
 from __future__ import annotations
@@ -17,25 +18,29 @@ from stockflow.operators import runs as rn
 from stockflow.plans import lake
 from stockflow.plans.catalog import query
 from stockflow.plans.oracle_sql import with_ctes
-from stockflow.session import apply_session_conf, ensure_checkpoint_dir
+from stockflow.session import apply_session_conf, ensure_checkpoint_dir, materialize
 from stockflow.sources import fixtures as fx
 from stockflow.streaming import streams as st
 
+ARRIVALS = 3
+
 
 def _dirs(spark, tag):
     base = os.path.join(ensure_checkpoint_dir(spark), f"stream-{tag}-{uuid.uuid4().hex}")
     return base + "/in", base + "/out", base + "/ckpt"
 
 
-def _land(df, path, chunk_col, bounds):
-    """Write ``df`` as consecutive arrivals: one file per ``[lo, hi)`` chunk of ``chunk_col``."""
-    for lo, hi in bounds:
-        part = df.filter((F.col(chunk_col) >= F.lit(lo)) & (F.col(chunk_col) < F.lit(hi)))
-        part.coalesce(1).write.mode("append").parquet(path)
-
-
-DAYS = [(f"2024-01-{d:02d}", f"2024-01-{d + 5:02d}" if d + 5 <= 31 else "2024-02-01") for d in (1, 6, 11, 16, 21, 26)]
-DAYS = [(lo, hi) for lo, hi in DAYS]
+def _arrivals(landings, flow, n=ARRIVALS):
+    """Land every ``(df, path, time column)`` in ``n`` equal stretches of time, running ``flow``
+    after each. Each df is computed once; an arrival may have several files."""
+    landings = [(materialize(df, "landing"), path, F.unix_micros(F.col(col).cast("timestamp"))) for df, path, col in landings]
+    ends = [df.agg(F.min(t), F.max(t)).first() for df, _, t in landings]
+    lo, hi = min(r[0] for r in ends), max(r[1] for r in ends)
+    cuts = [lo + (hi - lo) * k // n for k in range(n)] + [hi + 1]
+    for since, until in zip(cuts, cuts[1:]):
+        for df, path, t in landings:
+            df.filter((t >= since) & (t < until)).write.mode("append").parquet(path)
+        flow()
 
 
 @query("i1_stream_sync", with_ctes("SELECT * FROM mov_nopen", "mov_nopen"))
@@ -43,9 +48,9 @@ def i1(spark, sf_dir):
     apply_session_conf(spark)
     src = fx.movement_source(spark, sf_dir)
     inp, out, ck = _dirs(spark, "i1")
-    years = [(f"{y}-01-01", f"{y + 1}-01-01") for y in range(1990, 2005)]
-    _land(src, inp, "create_date", years)
-    st.stream_sync(spark, inp, src.schema, out, ck)
+    # four files that each hold a share of every window, taken in by two batches
+    src.repartition(4).write.parquet(inp)
+    st.stream_sync(spark, inp, src.schema, out, ck, max_files=2)
     return lake.read_table(spark, out)
 
 
@@ -56,8 +61,7 @@ def i2(spark, sf_dir):
           "performance": fx.performance_logs(spark, sf_dir)}
     u = lg.unified_logs(fr).select("type", "event_id", "ts", "level", "correlation_id")
     inp, out, ck = _dirs(spark, "i2")
-    _land(u, inp, "ts", DAYS)
-    st.stream_logs(spark, inp, u.schema, out, ck)
+    _arrivals([(u, inp, "ts")], lambda: st.stream_logs(spark, inp, u.schema, out, ck, max_files=2))
     return spark.read.parquet(out).select("type", "event_id", "ts", "level", "correlation_id")
 
 
@@ -70,39 +74,48 @@ def i3(spark, sf_dir):
     apply_session_conf(spark)
     perf = fx.performance_logs(spark, sf_dir)
     inp, out, ck = _dirs(spark, "i3")
-    _land(perf, inp, "ts", DAYS)
-    st.stream_perf_windows(spark, inp, perf.schema, out, ck, max_files=1)
+    _arrivals([(perf, inp, "ts")], lambda: st.stream_perf_windows(spark, inp, perf.schema, out, ck))
     return spark.read.parquet(out)
 
 
-@query("i4_stream_activity_perf", with_ctes("""SELECT a.event_id AS job_event, p.event_id AS sample_event, p.rss_mb
-FROM job_logs a JOIN perf_logs p ON a.started_at <= p.ts AND p.ts <= a.finished_at""", "job_logs", "perf_logs"))
+@query("i4_stream_activity_perf", with_ctes("""SELECT a.event_id AS job_event, count(*) AS samples, max(p.rss_mb) AS max_rss_mb
+FROM job_logs a JOIN perf_logs p ON a.started_at <= p.ts AND p.ts <= a.finished_at GROUP BY ALL""", "job_logs", "perf_logs"))
 def i4(spark, sf_dir):
     apply_session_conf(spark)
     jobs, perf = fx.job_logs(spark, sf_dir), fx.performance_logs(spark, sf_dir)
     jin, out, ck = _dirs(spark, "i4")
     pin = jin + "-perf"
-    _land(jobs, jin, "ts", DAYS)
-    _land(perf, pin, "ts", DAYS)
-    st.stream_activity_perf(spark, jin, jobs.schema, pin, perf.schema, out, ck, max_files=1)
-    return spark.read.parquet(out)
-
-
-@query("i5_stream_dedup_requests")
+    micros = F.unix_micros(F.col("finished_at").cast("timestamp")) - F.unix_micros(F.col("started_at").cast("timestamp"))
+    longest = jobs.agg(F.max(micros)).first()[0] or 0
+    bound = -(-longest // 1_000_000)
+    _arrivals([(jobs, jin, "ts"), (perf, pin, "ts")],
+              lambda: st.stream_activity_perf(spark, jin, jobs.schema, pin, perf.schema, out, ck, bound))
+    # one row for each activity: pairs grow with the square of the event rate
+    return spark.read.parquet(out).groupBy("job_event").agg(F.count("*").alias("samples"), F.max("rss_mb").alias("max_rss_mb"))
+
+
+@query("i5_stream_dedup_requests", with_ctes("""SELECT count(*) AS requests, count(DISTINCT idempotency_key) AS keys,
+  CAST(count_if(idempotency_key IS NULL) AS BIGINT) AS keyless FROM (
+    SELECT idempotency_key FROM runs WHERE idempotency_key IS NULL
+    UNION ALL SELECT DISTINCT idempotency_key FROM runs WHERE idempotency_key IS NOT NULL) r""", "runs"))
 def i5(spark, sf_dir):
+    """Requests that survive. Which of several requests of a key in one batch survives is not
+    promised, so the result counts them. The delay spans the data, as a key may come back any time."""
     apply_session_conf(spark)
     runs = rn.fold_runs(fx.run_events(spark, sf_dir)).select("id", "job", "idempotency_key", "created_at")
     inp, out, ck = _dirs(spark, "i5")
-    _land(runs, inp, "created_at", DAYS)
-    st.stream_dedup_requests(spark, inp, runs.schema, out, ck, max_files=1)
-    return spark.read.parquet(out)
+    _arrivals([(runs, inp, "created_at")], lambda: st.stream_dedup_requests(spark, inp, runs.schema, out, ck, delay="3650 days"))
+    kept = spark.read.parquet(out)
+    return kept.agg(F.count("*").alias("requests"), F.count_distinct("idempotency_key").alias("keys"),
+                    F.count_if(F.col("idempotency_key").isNull()).alias("keyless"))
 
 
-@query("i6_stream_run_state")
+@query("i6_stream_run_state", with_ctes("""SELECT id, job, status, created_at, started_at, finished_at, rows FROM runs""", "runs"))
 def i6(spark, sf_dir):
     apply_session_conf(spark)
     ev = fx.run_events(spark, sf_dir)
     inp, out, ck = _dirs(spark, "i6")
-    _land(ev, inp, "event_at", DAYS)
-    st.stream_run_state(spark, inp, ev.schema, out, ck, max_files=1)
-    return spark.read.parquet(out)
+    # runs last up to hours of event time here, so "stuck" only begins beyond the data's span
+    _arrivals([(ev, inp, "event_at")], lambda: st.stream_run_state(spark, inp, ev.schema, out, ck, stuck_s=10 * 365 * 86400, delay="1 day"))
+    ntz = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("created_at", "started_at", "finished_at")]
+    return spark.read.parquet(out).select("id", "job", "status", *ntz, "rows")

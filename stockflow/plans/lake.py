@@ -1,18 +1,19 @@
-"""Movement table sink: ensure, window replace, sync, back-fill, partitioned read, compaction
+"""Movement table sink: ensure, window replace, merge, sync, back-fill, partitioned read, compaction
 (A5-A10, D5 helper).
 
-Layout: Parquet under ``root/company=C/retail_year=Y/load_month=YYYY-MM``. Load windows are on
-``create_date`` (the capture date); ``load_month`` is its month. Replacing ``[since, until)``
-rewrites only the months the window touches: months fully inside the window are replaced by the
-incoming rows alone, and the at most two boundary months keep their existing rows outside the
-window (read back from those leaves only). Leaves of the window that the new extract no longer
-produces are removed. Cost is proportional to the window plus two months, never the table.
-``retail_year`` (of the business date) is the middle level so analytics on ``doc_date`` prune
-folders (D5).
-
-Guarantee: not atomic across partitions. Each step is idempotent; re-running the same window
-repairs an interrupted replace, and D4 reconciliation detects a torn load. Staging folders live
-next to the table (shared storage), never on a machine-local disk.
+Layout: Parquet under ``root/company=C/load_month=YYYY-MM``. Load windows are on ``create_date``
+(the capture date); ``load_month`` is its month. Files are sorted by ``retail_year`` and
+``doc_date``, so reads by business date (D5, A9) skip row groups by their statistics.
+
+Replacing ``[since, until)`` rewrites only the months the window touches: months fully inside it
+are replaced by the incoming rows alone, and the at most two boundary months keep their existing
+rows outside the window, which are staged first. Leaves of the window that the new extract no
+longer produces are removed. Cost is proportional to the window plus two months, never the table.
+
+Guarantee: one writer; not atomic across partitions. Re-running a window repairs an interrupted
+replace. The staged rows of boundary months outlive a failed write, and the next call on the table
+puts back those that the cut-off commit removed (``recover``). Staging folders live next to the
+table (shared storage), never on a machine-local disk.
 """
 
 from __future__ import annotations
@@ -25,12 +26,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockflow.functions.calendar import py_retail_date, py_retail_year_windows
+from stockflow.functions.calendar import retail_year_cuts, retail_year_of
 from stockflow.schemas import MOVEMENT_COLUMNS, MOVEMENT_SCHEMA
 from stockflow.sources.movements import FLOOR_DATE, finalize, read_movements
 
-PARTITION_COLUMNS = ("company", "retail_year", "load_month")
+PARTITION_COLUMNS = ("company", "load_month")
 TARGET_ROWS_PER_FILE = 5_000_000
+#: Written into a staging folder just before the table is touched.
+MARKER = "COMMITTING"
 
 
 # --- file-system helpers (Hadoop FileSystem API; works for any shared store) -----------------
@@ -56,7 +59,7 @@ def _list_dirs(spark, p: str) -> list[str]:
     path, fs = _path(spark, p)
     if not fs.exists(path):
         return []
-    return [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    return [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory() and s.getPath().getName()[0] not in "_."]
 
 
 # --- A5 / A9 ------------------------------------------------------------------------------------
@@ -112,7 +115,7 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
 
 def read_partitioned(spark: SparkSession, root: str, years: list[int] | None = None,
                      companies: list[str] | None = None) -> DataFrame:
-    """Partition-pruned read by retail year (and company)."""
+    """Read by company (folders are pruned) and retail year (row groups are skipped)."""
     df = read_table(spark, root)
     if years is not None:
         df = df.filter(F.col("retail_year").isin(*years))
@@ -122,9 +125,8 @@ def read_partitioned(spark: SparkSession, root: str, years: list[int] | None = N
 
 
 def between_doc_dates(spark: SparkSession, root: str, lo: date, hi: date) -> DataFrame:
-    """D5 on the table: the doc_date range plus the implied retail-year range (prunes folders)."""
-    y_lo, y_hi = py_retail_date(lo)["year"], py_retail_date(hi)["year"]
-    return read_table(spark, root).filter(F.col("retail_year").between(y_lo, y_hi)
+    """D5 on the table: the doc_date range plus the implied retail-year range (both skip row groups)."""
+    return read_table(spark, root).filter(F.col("retail_year").between(retail_year_of(lo), retail_year_of(hi))
                                           & F.col("doc_date").between(F.lit(lo), F.lit(hi)))
 
 
@@ -135,25 +137,46 @@ def _write_leaves(df: DataFrame, path: str, mode: str) -> None:
     # splits a skewed leaf (e.g. a month holding a third of the rows) into several tasks and
     # coalesces small ones. Unlike range partitioning it needs no sampling pass over the input.
     (df.hint("rebalance", *PARTITION_COLUMNS)
-       .sortWithinPartitions(*PARTITION_COLUMNS, "doc_date")
+       .sortWithinPartitions(*PARTITION_COLUMNS, "retail_year", "doc_date")
        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", TARGET_ROWS_PER_FILE)
        .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
 
-def _leaf_files(spark, root: str, company: str, months: list[str]) -> dict[tuple[str, str], frozenset]:
-    """File names per existing leaf of ``company`` in ``months`` (driver-side listing only)."""
-    base = f"{root.rstrip('/')}/company={company}"
-    touched = {f"load_month={m}" for m in months}
+def _leaf_files(spark, root: str, companies: list[str], months: list[str]) -> dict[str, frozenset]:
+    """File names of each existing leaf of the companies and months (driver-side listing only)."""
     out = {}
-    for y in _list_dirs(spark, base):
-        for m in _list_dirs(spark, f"{base}/{y}"):
-            if m in touched:
-                path, fs = _path(spark, f"{base}/{y}/{m}")
-                out[(y, m)] = frozenset(st.getPath().getName() for st in fs.listStatus(path) if st.isFile())
+    for c in companies:
+        for m in set(_list_dirs(spark, f"{root}/company={c}")) & {f"load_month={m}" for m in months}:
+            path, fs = _path(spark, f"{root}/company={c}/{m}")
+            out[f"company={c}/{m}"] = frozenset(st.getPath().getName() for st in fs.listStatus(path) if st.isFile())
     return out
 
 
+def _staged(spark: SparkSession, path: str) -> DataFrame | None:
+    return _read_raw(spark, path) if _list_dirs(spark, path) else None
+
+
+def _months_of(spark: SparkSession, root: str, companies: list[str], months: list[str]) -> DataFrame:
+    return _read_raw(spark, root).filter(F.col("company").isin(*companies) & F.col("load_month").isin(*months))
+
+
+def recover(spark: SparkSession, root: str) -> int:
+    """Put back the staged rows that a cut-off commit removed; returns how many staging folders it
+    settled. Appending the rows that the table lacks (by ``mov_id``) can be repeated safely."""
+    folder = f"{root.rstrip('/')}/_staging"
+    names = _list_dirs(spark, folder)
+    for name in names:
+        own = f"{folder}/{name}"
+        kept = _staged(spark, f"{own}/keep") if _exists(spark, f"{own}/{MARKER}") else None
+        if kept is not None:
+            have = read_table(spark, root).select("mov_id", "company").join(
+                kept.select("company").distinct(), "company", "left_semi").select("mov_id").distinct()
+            _write_leaves(kept.join(have, "mov_id", "left_anti"), root, "append")
+        _delete(spark, own)
+    return len(names)
+
+
 def replace_window(spark: SparkSession, root: str, incoming: DataFrame, company: str | Sequence[str],
                    since: date, until: date, allow_empty: bool = False, stage: bool = False) -> int:
     """Remove exactly ``company``'s rows captured in ``[since, until)`` and add ``incoming``.
@@ -164,66 +187,80 @@ def replace_window(spark: SparkSession, root: str, incoming: DataFrame, company:
     Rows of ``incoming`` outside the window or of another company are an error (they would
     land in leaves the window does not own): the write fails before its commit.
 
-    ``incoming`` is computed once, by the single dynamic-overwrite write into the table. Only the
-    kept rows of the (at most two) boundary months are staged first, because a plan may not read
-    and overwrite the same leaves. ``stage=True`` stages ``incoming`` too, for callers whose
-    incoming plan reads the table itself (A10).
+    ``incoming`` is computed once. Where the window has boundary months, or ``stage`` says that
+    its plan reads the table itself (A10), it is staged, since a plan may not read and overwrite
+    the same leaves; otherwise it goes straight into the table.
     """
     if since >= until:
         return 0
+    root = root.rstrip("/")
     ensure_table(spark, root)
+    recover(spark, root)
     companies = [company] if isinstance(company, str) else list(company)
     months = _months(since, until)
     partial = [m for m in months if _month_bounds(m)[0] < since or _month_bounds(m)[1] > until]
     has_table = bool(_list_dirs(spark, root))
-    # Rewriting a boundary month with its kept rows only would drop its window rows, so an empty
-    # extract must be caught before that; otherwise it shows as "no leaf changed" below.
-    if partial and has_table and not allow_empty and incoming.isEmpty():
-        return 0
-    staging = f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    staging = f"{root}/_staging/{uuid.uuid4().hex}"
     in_window = (F.col("company").isin(*companies) & (F.col("create_date") >= F.lit(since))
                  & (F.col("create_date") < F.lit(until)))
-    try:
-        inc = incoming.select(*MOVEMENT_COLUMNS)
-        inc = inc.withColumn("company", F.when(in_window, F.col("company")).otherwise(F.raise_error(
-            F.lit(f"incoming row outside {company} [{since}, {until})")).cast("string")))
-        inc = inc.withColumn("load_month", load_month())
-        if stage:
-            _write_leaves(inc, f"{staging}/in", "overwrite")
-            inc = _read_raw(spark, f"{staging}/in") if _list_dirs(spark, f"{staging}/in") else None
+    inc = incoming.select(*MOVEMENT_COLUMNS)
+    inc = inc.withColumn("company", F.when(in_window, F.col("company")).otherwise(F.raise_error(
+        F.lit(f"incoming row outside {company} [{since}, {until})")).cast("string")))
+    inc = inc.withColumn("load_month", load_month())
+    n_kept = 0
+    if stage or (partial and has_table):
+        _write_leaves(inc, f"{staging}/in", "overwrite")
+        inc = _staged(spark, f"{staging}/in")
+        if inc is None and not allow_empty:
+            _delete(spark, staging)
+            return 0
         if partial and has_table:
-            # Existing rows of the boundary months that lie outside the window are kept: read
-            # from those leaves only (partition filter), staged, and written with the new rows.
-            keep = _read_raw(spark, root).filter(
-                F.col("company").isin(*companies) & F.col("load_month").isin(*partial) & ~in_window)
-            _write_leaves(keep, f"{staging}/keep", "overwrite")
-            if _list_dirs(spark, f"{staging}/keep"):
-                kept = _read_raw(spark, f"{staging}/keep")
+            _write_leaves(_months_of(spark, root, companies, partial).filter(~in_window), f"{staging}/keep", "overwrite")
+            kept = _staged(spark, f"{staging}/keep")
+            if kept is not None:
+                n_kept = kept.count()
                 inc = kept if inc is None else inc.unionByName(kept)
-        before = {c: _leaf_files(spark, root, c, months) for c in companies} if has_table else {}
-        if inc is not None:
-            _write_leaves(inc, root, "overwrite")
-        # Leaves of the window that the new extract did not produce still hold their old files.
-        after = {c: _leaf_files(spark, root, c, months) for c in companies}
-        if all(after[c] == before.get(c, {}) for c in companies) and not allow_empty:
-            return 0
-        for c in companies:
-            base = f"{root.rstrip('/')}/company={c}"
-            for (y, m), files in after[c].items():
-                if before.get(c, {}).get((y, m)) == files:
-                    _delete(spark, f"{base}/{y}/{m}")
-        return _read_raw(spark, root).filter(
-            F.col("company").isin(*companies) & F.col("load_month").isin(*months) & in_window).count()
-    finally:
-        _delete(spark, staging)
+        path, fs = _path(spark, f"{staging}/{MARKER}")
+        fs.create(path).close()
+    before = _leaf_files(spark, root, companies, months)
+    if inc is not None:
+        _write_leaves(inc, root, "overwrite")
+    # Leaves of the window that the new extract did not produce still hold their old files.
+    after = _leaf_files(spark, root, companies, months)
+    if after == before and not allow_empty:
+        return 0
+    for leaf, files in after.items():
+        if before.get(leaf) == files:
+            _delete(spark, f"{root}/{leaf}")
+    n = _months_of(spark, root, companies, months).count() - n_kept if _list_dirs(spark, root) else 0  # from footers
+    _delete(spark, staging)
+    return n
+
+
+def merge_window(spark: SparkSession, root: str, batch: DataFrame, company: str, since: date, until: date) -> int:
+    """Add ``batch`` to ``[since, until)``; rows that it brings again, equal in all columns, stand once.
+
+    ``mov_id`` alone would not do: documents that collide in it (E8) may come in different files."""
+    ensure_table(spark, root)
+    recover(spark, root)
+    if not _list_dirs(spark, root):
+        return replace_window(spark, root, batch, company, since, until)
+    here = _months_of(spark, root, [company], _months(since, until)).filter(
+        (F.col("create_date") >= F.lit(since)) & (F.col("create_date") < F.lit(until))).select(*MOVEMENT_COLUMNS)
+    row = F.xxhash64(*MOVEMENT_COLUMNS)
+    again = batch.select("mov_id", row.alias("_row")).distinct()
+    other = here.withColumn("_row", row).join(again, ["mov_id", "_row"], "left_anti").select(*MOVEMENT_COLUMNS)
+    return replace_window(spark, root, batch.select(*MOVEMENT_COLUMNS).unionByName(other), company, since, until, stage=True)
 
 
 # --- A7 / A8 ------------------------------------------------------------------------------------
 
 def table_watermark(spark: SparkSession, root: str, company: str):
-    """E2 on the table for one company (None when empty)."""
-    r = read_table(spark, root).filter(F.col("company") == company).agg(F.max("create_date").alias("w")).first()
-    return r["w"] if r else None
+    """E2 on the table for one company (None when empty), from its newest capture month alone."""
+    months = [m.partition("=")[2] for m in _list_dirs(spark, f"{root.rstrip('/')}/company={company}")]
+    if not months:
+        return None
+    return _months_of(spark, root, [company], [max(months)]).agg(F.max("create_date")).first()[0]
 
 
 def sync(spark: SparkSession, root: str, source: DataFrame, company: str, until: date,
@@ -236,17 +273,22 @@ def sync(spark: SparkSession, root: str, source: DataFrame, company: str, until:
     return replace_window(spark, root, incoming, company, eff, until)
 
 
-def backfill(spark: SparkSession, root: str, source: DataFrame, company: str,
+def backfill(spark: SparkSession, root: str, source: DataFrame, company: str | Sequence[str],
              start: date = FLOOR_DATE, end: date | None = None) -> list[tuple[date, date, int]]:
-    """One replace per retail-year window; resumable (each window is idempotent)."""
+    """Load ``[start, end)`` in one partitioned write, so the source is read once, and report
+    the rows of each retail-year window. Running it again replaces the same window."""
     if end is None:
         raise ValueError("end is required")
-    ensure_table(spark, root)
-    out = []
-    for ws, we in py_retail_year_windows(start, end):
-        incoming = finalize(read_movements(source, company, ws, we))
-        out.append((ws, we, replace_window(spark, root, incoming, company, ws, we)))
-    return out
+    companies = [company] if isinstance(company, str) else list(company)
+    replace_window(spark, root, finalize(read_movements(source, companies, start, end)), companies, start, end)
+    windows = retail_year_cuts(start, end)
+    which = F.lit(None).cast("int")
+    for k, (since, _) in enumerate(windows):
+        which = F.when(F.col("create_date") >= F.lit(since), k).otherwise(which)
+    rows = (read_table(spark, root).filter(F.col("company").isin(*companies) & (F.col("create_date") < F.lit(end)))
+            .groupBy(which.alias("k")).count().where("k is not null").collect())  # one row for each year
+    n = {r["k"]: r["count"] for r in rows}
+    return [(since, until, n.get(k, 0)) for k, (since, until) in enumerate(windows)]
 
 
 # --- A10 ----------------------------------------------------------------------------------------

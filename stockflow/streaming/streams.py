@@ -22,32 +22,44 @@ from stockflow.sources.movements import finalize
 STUCK_SECONDS = 3600
 
 
-def _run(writer, available_now: bool = True, timeout_s: int = 1800):
+def _run(writer, available_now: bool = True, timeout_s: int | None = None):
+    """Start the flow. A catch-up run is waited for; beyond ``timeout_s`` it is stopped and fails,
+    so a sink that is not complete is never read as if it were."""
     q = (writer.trigger(availableNow=True) if available_now else writer).start()
     if available_now:
-        q.awaitTermination(timeout_s)
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
+            q.stop()
+            raise TimeoutError(f"the stream was still running after {timeout_s} s")
         if q.exception():
             raise q.exception()
     return q
 
 
+def _files(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None) -> DataFrame:
+    """File stream; ``max_files`` bounds the intake of a trigger (None: all that have arrived)."""
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
+
+
 def stream_sync(spark: SparkSession, src_path: str, schema: T.StructType, table_root: str, checkpoint: str,
-                max_files: int = 1, available_now: bool = True):
-    """New movement extract files -> finalize -> window replace per company and batch.
+                max_files: int | None = None, available_now: bool = True):
+    """New movement extract files -> finalize -> window merge per company and batch.
 
-    Progress is by capture date: each batch replaces ``[min(create_date), max(create_date)+1)``
+    Progress is by capture date: each batch is merged into ``[min(create_date), max(create_date)+1)``
     of every company it carries, so back-dated documents (old doc_date, new capture date) are
-    loaded with the batch that captured them. Replaying a batch after a failure re-replaces the
-    same windows (idempotent)."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(src_path)
+    loaded with the batch that captured them. A window may arrive in several files and batches:
+    rows of earlier files stay, and a batch replayed after a failure only replaces its own rows."""
+    stream = _files(spark, src_path, schema, max_files)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         mov = finalize(batch).persist()
         try:
             bounds = mov.groupBy("company").agg(F.min("create_date").alias("lo"), F.max("create_date").alias("hi")).collect()
             for r in bounds:  # one row per company in the batch (three at most)
-                lake.replace_window(spark, table_root, mov.filter(F.col("company") == r["company"]), r["company"],
-                                    r["lo"], r["hi"] + timedelta(days=1))
+                lake.merge_window(spark, table_root, mov.filter(F.col("company") == r["company"]), r["company"],
+                                  r["lo"], r["hi"] + timedelta(days=1))
         finally:
             mov.unpersist()
 
@@ -56,11 +68,11 @@ def stream_sync(spark: SparkSession, src_path: str, schema: T.StructType, table_
 
 
 def stream_logs(spark: SparkSession, src_path: str, schema: T.StructType, out_path: str, checkpoint: str,
-                max_files: int = 2, available_now: bool = True):
+                max_files: int | None = None, available_now: bool = True):
     """Append log records with bounded intake per trigger (back-pressure without loss; the
     source's drop-when-full queue is replaced by ``maxFilesPerTrigger``), files partitioned by
     kind and day."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(src_path)
+    stream = _files(spark, src_path, schema, max_files)
     out = stream.withColumn("day", F.to_date("ts").cast("string"))
     w = (out.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
             .partitionBy("type", "day").outputMode("append"))
@@ -78,9 +90,9 @@ def perf_windows(samples: DataFrame, window: str = "1 hour", slide: str | None =
 
 
 def stream_perf_windows(spark, src_path, schema, out_path, checkpoint, window="1 hour", delay="10 minutes",
-                        max_files: int = 2, available_now: bool = True):
+                        max_files: int | None = None, available_now: bool = True):
     """Windowed aggregates written in append mode (each window once, when final)."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(src_path)
+    stream = _files(spark, src_path, schema, max_files)
     agg = perf_windows(stream, window, None, delay).select(
         "host", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("w.end").cast("timestamp_ntz").alias("window_end"), "samples", "avg_cpu_pct", "max_rss_mb")
@@ -88,15 +100,18 @@ def stream_perf_windows(spark, src_path, schema, out_path, checkpoint, window="1
     return _run(w, available_now)
 
 
-def activity_perf_join(jobs: DataFrame, perf: DataFrame, max_activity: str = "9 hours",
-                       delay: str = "1 day") -> DataFrame:
+def activity_perf_join(jobs: DataFrame, perf: DataFrame, max_activity_s: int, delay: str = "1 day") -> DataFrame:
     """I4 (plan): D6 as a stream-stream interval join. Stream joins need an equality, so both
     sides carry the hour bucket (activities exploded over the buckets they span, as in D6).
-    Watermarks on both sides plus the bound ``finished_at <= ts + max_activity`` let Spark drop
-    join state that can no longer match."""
+    Watermarks on both sides plus the bound ``finished_at <= ts + max_activity_s`` let Spark drop
+    join state that can no longer match. An activity longer than the bound fails the job: its
+    matches could not be complete."""
     us = 3600 * 1_000_000
+    length = F.unix_micros("a_end") - F.unix_micros("a_start")
     a = (jobs.select(F.col("event_id").alias("job_event"), F.col("started_at").cast("timestamp").alias("a_start"),
                      F.col("finished_at").cast("timestamp").alias("a_end"))
+             .withColumn("a_start", F.when(length <= max_activity_s * 1_000_000, F.col("a_start")).otherwise(F.raise_error(
+                 F.lit(f"an activity is longer than {max_activity_s} s")).cast("timestamp")))
              .withColumn("a_bucket", F.explode(F.sequence(F.floor(F.unix_micros("a_start") / us).cast("bigint"),
                                                           F.floor(F.unix_micros("a_end") / us).cast("bigint"))))
              .withWatermark("a_end", delay))
@@ -104,16 +119,14 @@ def activity_perf_join(jobs: DataFrame, perf: DataFrame, max_activity: str = "9
              .withColumn("p_bucket", F.floor(F.unix_micros("p_ts") / us).cast("bigint"))
              .withWatermark("p_ts", delay))
     cond = ((F.col("a_bucket") == F.col("p_bucket")) & (F.col("a_start") <= F.col("p_ts")) & (F.col("p_ts") <= F.col("a_end"))
-            & (F.col("a_end") <= F.col("p_ts") + F.expr(f"INTERVAL {max_activity}")))
+            & (F.col("a_end") <= F.col("p_ts") + F.expr(f"INTERVAL {max_activity_s} SECONDS")))
     return a.join(p, cond, "inner").select("job_event", "sample_event", "rss_mb")
 
 
 def stream_activity_perf(spark, jobs_path, jobs_schema, perf_path, perf_schema, out_path, checkpoint,
-                         max_files: int = 2, available_now: bool = True):
+                         max_activity_s: int, max_files: int | None = None, available_now: bool = True):
     """I4: run the interval join incrementally into a parquet sink."""
-    jobs = spark.readStream.schema(jobs_schema).option("maxFilesPerTrigger", max_files).parquet(jobs_path)
-    perf = spark.readStream.schema(perf_schema).option("maxFilesPerTrigger", max_files).parquet(perf_path)
-    j = activity_perf_join(jobs, perf)
+    j = activity_perf_join(_files(spark, jobs_path, jobs_schema, max_files), _files(spark, perf_path, perf_schema, max_files), max_activity_s)
     w = j.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint).outputMode("append")
     return _run(w, available_now)
 
@@ -127,10 +140,10 @@ def dedup_requests(requests: DataFrame, key: str = "idempotency_key", ts: str =
     return keyed.unionByName(r.filter(F.col(key).isNull())).drop("ets")
 
 
-def stream_dedup_requests(spark, src_path, schema, out_path, checkpoint, max_files: int = 2,
-                          available_now: bool = True):
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(src_path)
-    w = (dedup_requests(s).writeStream.format("parquet").option("path", out_path)
+def stream_dedup_requests(spark, src_path, schema, out_path, checkpoint, max_files: int | None = None,
+                          available_now: bool = True, delay: str = "1 hour"):
+    s = _files(spark, src_path, schema, max_files)
+    w = (dedup_requests(s, delay=delay).writeStream.format("parquet").option("path", out_path)
             .option("checkpointLocation", checkpoint).outputMode("append"))
     return _run(w, available_now)
 
@@ -187,8 +200,9 @@ def run_state(events: DataFrame, stuck_s: int = STUCK_SECONDS, delay: str = "10
         _run_state_fn(stuck_s), RUN_STATE_OUT, RUN_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def stream_run_state(spark, src_path, schema, out_path, checkpoint, max_files: int = 2, available_now: bool = True):
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(src_path)
-    w = (run_state(s).writeStream.format("parquet").option("path", out_path)
+def stream_run_state(spark, src_path, schema, out_path, checkpoint, max_files: int | None = None, available_now: bool = True,
+                     stuck_s: int = STUCK_SECONDS, delay: str = "10 minutes"):
+    s = _files(spark, src_path, schema, max_files)
+    w = (run_state(s, stuck_s, delay).writeStream.format("parquet").option("path", out_path)
             .option("checkpointLocation", checkpoint).outputMode("append"))
     return _run(w, available_now)

@@ -107,3 +107,48 @@ def test_sync_resumes_at_watermark(spark):
     assert w < date(1996, 1, 1)
     lake.sync(spark, root, src, "HR", until=date(2005, 1, 1))
     assert _rows(lake.read_table(spark, root)) == _rows(finalize(read_movements(src, "HR", None, None)))
+
+
+def test_interrupted_write_loses_no_row_outside_its_window(spark, monkeypatch):
+    src = fx.movement_source(spark, SF0001)
+    root = _root(spark)
+    lake.backfill(spark, root, src, "HR", date(1990, 1, 1), date(2005, 1, 1))
+    expected = _rows(lake.read_table(spark, root))
+    since, until = date(1996, 3, 10), date(1996, 5, 20)
+    inc = finalize(read_movements(src, "HR", since, until))
+    real = lake._write_leaves
+
+    def cut_off(df, path, mode):
+        if path == root and mode == "overwrite":  # a commit that removed leaves and wrote nothing
+            for month in ("1996-03", "1996-04", "1996-05"):
+                lake._delete(spark, f"{root}/company=HR/load_month={month}")
+            raise RuntimeError("cut off")
+        real(df, path, mode)
+
+    monkeypatch.setattr(lake, "_write_leaves", cut_off)
+    try:
+        lake.replace_window(spark, root, inc, "HR", since, until)
+    except RuntimeError:
+        pass
+    assert _rows(lake.read_table(spark, root)) != expected
+    monkeypatch.setattr(lake, "_write_leaves", real)
+    assert lake.replace_window(spark, root, inc, "HR", since, until) == inc.count()
+    assert _rows(lake.read_table(spark, root)) == expected
+    assert lake.recover(spark, root) == 0
+
+
+def test_several_files_of_one_window_all_arrive(spark):
+    from stockflow.streaming import streams as st
+
+    src = fx.movement_source(spark, SF0001).filter("create_date >= '1996-01-01' and create_date < '1996-02-01'")
+    base = _root(spark)
+    src.repartition(3).write.parquet(base + "/in")
+    st.stream_sync(spark, base + "/in", src.schema, base + "/out", base + "/ckpt", max_files=1)
+    assert _rows(lake.read_table(spark, base + "/out")) == _rows(finalize(src))
+
+
+def test_rows_outside_the_window_fail(spark):
+    src = fx.movement_source(spark, SF0001)
+    import pytest
+    with pytest.raises(Exception, match="outside"):
+        lake.replace_window(spark, _root(spark), finalize(read_movements(src, "HR", None, None)), "HR", date(1996, 1, 1), date(1996, 2, 1))

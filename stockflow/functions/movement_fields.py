@@ -12,6 +12,12 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def item_code(partkey) -> Column:
+    """Item code of a numeric key: padded to seven digits, longer keys stay whole."""
+    s = (F.col(partkey) if isinstance(partkey, str) else partkey).cast("string")
+    return F.lpad(s, F.greatest(F.length(s), F.lit(7)), F.lit("0"))
+
+
 def doc_ts(doc_date="doc_date", doc_time="doc_time") -> Column:
     """B2: business timestamp = date at midnight + HHMM; null time is midnight.
 

@@ -1,4 +1,4 @@
-"""Demand analytics on the movement journal.
+"""Demand analytics on the movement journal.
 
 Every series here is per item (or per key) and per day / retail week / retail period. Windows
 are partitioned by item and ordered by time, after the movements are collapsed to one row per
@@ -13,6 +13,8 @@ from pyspark.sql.window import Window
 
 from stockflow.functions import calendar as cal
 from stockflow.functions.calendar import fdiv
+from stockflow.functions.movement_fields import item_code
+from stockflow.operators.sequence import running_by_value
 
 KEY = ["company", "item_code", "warehouse"]
 ITEM = ["company", "item_code"]
@@ -47,19 +49,20 @@ def sales_history(mov: DataFrame, threshold: float = 0.0, key=KEY) -> DataFrame:
              .withColumn("stockout", F.col("on_hand_before") <= threshold))
 
 
-def stock_intervals(mov: DataFrame, end_date, key=KEY) -> DataFrame:
+def stock_intervals(mov: DataFrame, end_date=None, key=KEY) -> DataFrame:
     """On-hand validity intervals: each movement day's end-of-day stock holds until the day
-    before the key's next movement day (the last one until ``end_date``)."""
+    before the key's next movement day (the last one until ``end_date``, by default the last day
+    of the journal)."""
+    end = F.lit(end_date).cast("date") if end_date is not None else mov.agg(F.max("doc_date")).scalar()
     d = mov.groupBy(*key, "doc_date").agg(F.sum(F.col("in_qty") - F.col("out_qty")).alias("net_qty"))
     w = Window.partitionBy(*key).orderBy("doc_date")
     return (d.withColumn("on_hand", F.sum("net_qty").over(_unbounded(key, ["doc_date"])))
-             .withColumn("valid_to", F.least(F.coalesce(F.date_sub(F.lead("doc_date").over(w), 1), F.lit(end_date).cast("date")),
-                                             F.lit(end_date).cast("date")))
+             .withColumn("valid_to", F.least(F.coalesce(F.date_sub(F.lead("doc_date").over(w), 1), end), end))
              .withColumnRenamed("doc_date", "valid_from")
              .filter(F.col("valid_from") <= F.col("valid_to")))
 
 
-def stockout_days(mov: DataFrame, end_date, threshold: float = 0.0, key=KEY) -> DataFrame:
+def stockout_days(mov: DataFrame, end_date=None, threshold: float = 0.0, key=KEY) -> DataFrame:
     """H2 (counts): stock-out days per key from the first movement to ``end_date``; interval
     lengths are summed, nothing is exploded."""
     iv = stock_intervals(mov, end_date, key)
@@ -79,7 +82,7 @@ def stockout_spine(mov: DataFrame, start_date, end_date, threshold: float = 0.0,
               .withColumn("stockout", F.col("on_hand") <= threshold))
 
 
-def stockout_episodes(mov: DataFrame, end_date, threshold: float = 0.0, key=KEY) -> DataFrame:
+def stockout_episodes(mov: DataFrame, end_date=None, threshold: float = 0.0, key=KEY) -> DataFrame:
     """H3: consecutive stock-out days grouped (gaps and islands over validity intervals)."""
     iv = stock_intervals(mov, end_date, key).withColumn("out", F.col("on_hand") <= threshold)
     w = Window.partitionBy(*key).orderBy("valid_from")
@@ -90,35 +93,32 @@ def stockout_episodes(mov: DataFrame, end_date, threshold: float = 0.0, key=KEY)
     return ep.select(*key, "start", "end", (F.datediff("end", "start") + 1).alias("length"))
 
 
-def unconstrain_v1(hist: DataFrame, key=KEY, digits: int = 6) -> DataFrame:
-    """H4: on stock-out days impute the mean sale of comparable in-stock days (same retail
-    period and weekday, then same period, then the key); baselines *leave* and *discard*."""
-    h = hist.withColumn("r_period", cal.period_of_week(cal.retail_week("doc_date"))) \
-            .withColumn("r_dow", cal.day_of_week("doc_date"))
-    ok = F.when(~F.col("stockout"), F.col("sales"))
-    m1 = F.avg(ok).over(Window.partitionBy(*key, "r_period", "r_dow"))
-    m2 = F.avg(ok).over(Window.partitionBy(*key, "r_period"))
-    m3 = F.avg(ok).over(Window.partitionBy(*key))
-    imputed = F.round(F.coalesce(m1, m2, m3), digits)
-    return h.select(*key, "doc_date", "sales", "stockout",
-                    F.col("sales").alias("demand_leave"),
-                    F.when(~F.col("stockout"), F.col("sales")).alias("demand_discard"),
-                    F.when(F.col("stockout"), imputed).otherwise(F.col("sales")).alias("demand_v1"))
-
-
 def weekly_sales(mov: DataFrame, by=ITEM, grain_days: int = 7) -> DataFrame:
     s = mov.filter(F.col("trans_type").isin(*SALE_TYPES))
     return s.groupBy(*by, period_index("doc_date", grain_days).alias("p")).agg(F.sum("out_qty").alias("qty"))
 
 
+def demand_arrays(mov: DataFrame, by=ITEM, grain_days: int = 7) -> DataFrame:
+    """Per item: ``first_p`` and the zero-filled demand ``q`` of every period from the item's first
+    sale to the last period of the data. The sparse period sales are aggregated once and the gaps
+    are filled inside the item's array (as long as the calendar), without a spine to join."""
+    s = weekly_sales(mov, by, grain_days)
+    g = (s.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("p", "qty"))).alias("s"))
+          .withColumn("last_p", s.agg(F.max("p")).scalar()))  # scalar subquery: the data's last period
+
+    def with_gap(e, i):
+        until = F.coalesce(F.get(F.col("s"), i + 1)["p"], F.col("last_p") + 1)
+        return F.concat(F.array(e["qty"]), F.array_repeat(F.lit(0.0), until - e["p"] - 1))
+
+    return g.select(*by, F.col("s")[0]["p"].alias("first_p"), F.flatten(F.transform("s", with_gap)).alias("q"))
+
+
 def demand_series(mov: DataFrame, by=ITEM, grain_days: int = 7) -> DataFrame:
     """H5: zero-filled demand per item and period, from the item's first sale to the last
-    period of the data. The spine is per item (a ``sequence`` over its own span)."""
-    s = weekly_sales(mov, by, grain_days)
-    last_p = s.agg(F.max("p")).scalar()  # scalar subquery: the data's last period
-    first = s.groupBy(*by).agg(F.min("p").alias("first_p"))
-    spine = first.select(*by, F.explode(F.sequence(F.col("first_p"), last_p)).alias("p"))
-    return spine.join(s, [*by, "p"], "left").select(*by, "p", F.coalesce("qty", F.lit(0.0)).alias("qty"))
+    period of the data."""
+    a = demand_arrays(mov, by, grain_days)
+    return (a.select(*by, "first_p", F.posexplode("q").alias("_i", "qty"))
+             .select(*by, (F.col("first_p") + F.col("_i")).alias("p"), "qty"))
 
 
 def adi_cv2(series: DataFrame, by=ITEM, digits: int = 6) -> DataFrame:
@@ -172,36 +172,33 @@ def lifecycle_stage(series: DataFrame, by=ITEM, new_periods: int = 8, window: in
     return g.select(*by, "age", "recent", "prior", F.round(ratio, 6).alias("trend_ratio"), stage.alias("stage"))
 
 
-def abc_by_period(mov: DataFrame, a: float = 0.8, b: float = 0.95, digits: int = 2) -> DataFrame:
-    """H8: per retail period, items ranked by sales value; cumulative share -> A / B / C."""
+def _abc(share, own, a: float, b: float) -> Column:
+    before = F.round(share, 6) - F.round(own, 6)
+    return F.when(before < a, "A").when(before < b, "B").otherwise("C")
+
+
+def abc_by_period(mov: DataFrame, a: float = 0.8, b: float = 0.95, digits: int = 2, weights=(0.6, 0.25, 0.15)) -> DataFrame:
+    """H8: per retail period, items ranked by sales value; cumulative share -> A / B / C.
+
+    ``abc_multi`` ranks by several criteria: the weighted mean of the item's shares of the period's
+    sales value, units and sales days. Shares run over value buckets, so a period with all items is
+    not sorted in one task."""
     s = mov.filter(F.col("trans_type").isin(*SALE_TYPES)).select(
-        "company", "item_code", F.abs("trans_value").alias("v"),
+        "company", "item_code", F.abs("trans_value").alias("v"), "out_qty", "doc_date",
         cal.retail_year("doc_date").alias("r_year"), cal.period_of_week(cal.retail_week("doc_date")).alias("r_period"))
-    g = s.groupBy("r_year", "r_period", "company", "item_code").agg(F.round(F.sum("v"), digits).alias("value"))
-    w = Window.partitionBy("r_year", "r_period").orderBy(F.desc("value"), "company", "item_code")
-    g = g.withColumn("cum", F.sum("value").over(w.rowsBetween(Window.unboundedPreceding, 0))) \
-         .withColumn("total", F.sum("value").over(Window.partitionBy("r_year", "r_period")))
-    share = F.round(F.try_divide(F.col("cum"), F.col("total")), 6)
-    prev_share = share - F.round(F.try_divide(F.col("value"), F.col("total")), 6)
-    cls = F.when(prev_share < a, "A").when(prev_share < b, "B").otherwise("C")
-    return g.select("r_year", "r_period", "company", "item_code", "value", share.alias("cum_share"), cls.alias("abc"))
-
-
-def service_kpis(hist: DataFrame, unc: DataFrame, key=KEY, digits: int = 6) -> DataFrame:
-    """Stock-out rate, fill rate (sales / unconstrained demand), cycle service level
-    (share of receipt-to-receipt cycles without a stock-out day), weeks of cover, turnover."""
-    h = hist.join(unc.select(*key, "doc_date", "demand_v1"), [*key, "doc_date"])
-    w = Window.partitionBy(*key).orderBy("doc_date").rowsBetween(Window.unboundedPreceding, 0)
-    h = h.withColumn("cycle", F.sum(F.when(F.col("net_qty") > 0, 1).otherwise(0)).over(w))
-    cyc = h.groupBy(*key, "cycle").agg(F.max(F.col("stockout").cast("int")).alias("had_out"))
-    cyc = cyc.groupBy(*key).agg(F.round(1 - F.avg("had_out"), digits).alias("cycle_service_level"))
-    span = F.greatest(F.datediff(F.max("doc_date"), F.min("doc_date")), F.lit(1))
-    g = h.groupBy(*key).agg(
-        F.round(F.avg(F.col("stockout").cast("double")), digits).alias("stockout_rate"),
-        F.round(F.try_divide(F.sum("sales"), F.sum("demand_v1")), digits).alias("fill_rate"),
-        F.round(F.try_divide(F.max_by("on_hand", "doc_date"), F.sum("sales") / span * 7), digits).alias("weeks_of_cover"),
-        F.round(F.try_divide(F.sum("sales"), F.avg("on_hand")), digits).alias("turnover"))
-    return g.join(cyc, key)
+    period, ties = ["r_year", "r_period"], ["company", "item_code"]
+    g = s.groupBy(*period, *ties).agg(F.round(F.sum("v"), digits).alias("value"), F.sum("out_qty").alias("units"),
+                                      F.count_distinct("doc_date").alias("sales_days"))
+    g = running_by_value(g, period, "value", ties, "value", "cum", "total")
+    whole = Window.partitionBy(*period)
+    score = sum(w * F.coalesce(F.try_divide(F.col(c).cast("double"), t), F.lit(0.0)) for w, c, t in zip(
+        weights, ("value", "units", "sales_days"), (F.col("total"), F.sum("units").over(whole), F.sum("sales_days").over(whole))))
+    # scores are scaled to millions so that the value buckets tell them apart
+    g = running_by_value(g.withColumn("score", F.round(score * 1e6, 3)), period, "score", ties, "score", "score_cum", "score_total")
+    share = lambda x, t: F.try_divide(F.col(x), F.col(t))
+    return g.select(*period, *ties, "value", F.round(share("cum", "total"), 6).alias("cum_share"),
+                    _abc(share("cum", "total"), share("value", "total"), a, b).alias("abc"),
+                    F.col("score"), _abc(share("score_cum", "score_total"), share("score", "score_total"), a, b).alias("abc_multi"))
 
 
 def moving_average_forecast(series: DataFrame, by=ITEM, k: int = 4) -> DataFrame:
@@ -224,7 +221,7 @@ def forecast_error(fc: DataFrame, by=ITEM, digits: int = 6) -> DataFrame:
 
 
 def with_category(df: DataFrame, part: DataFrame, level: str = "p_brand") -> DataFrame:
-    p = part.select(F.lpad(F.col("p_partkey").cast("string"), 7, "0").alias("item_code"),
+    p = part.select(item_code("p_partkey").alias("item_code"),
                     F.col(level).alias("category"))
     return df.join(p, "item_code")
 

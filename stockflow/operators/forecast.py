@@ -4,8 +4,8 @@ Recursive smoothers (Croston, SBA, TSB, SES, Holt) are native folds: the item's
 gathered as an array sorted by period (its length is the number of periods in the time span,
 independent of data volume) and reduced with the ``aggregate`` higher-order function, which
 runs in the JVM. Model fits that need linear algebra or numerical search (Holt-Winters, Fourier
-least squares, censored-demand EM, projection detruncation, KDE quantiles) run per item with
-``applyInPandas``; Spark still shuffles and schedules the items.
+least squares, KDE quantiles) run per item with ``applyInPandas``; Spark still shuffles and
+schedules the items.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockflow.operators.demand import ITEM, KEY
+from stockflow.operators.demand import ITEM
 
 
 def _series_array(series: DataFrame, by=ITEM, value: str = "qty") -> DataFrame:
@@ -44,7 +44,8 @@ def _d(x) -> Column:
 
 def croston_family(series: DataFrame, alpha: float = 0.1, beta: float = 0.1, by=ITEM) -> DataFrame:
     """Croston and SBA (update only on positive demand) and TSB (demand probability
-    updated every period). Returns the next-period forecasts per item."""
+    updated every period). Returns the next-period forecasts per item, and the hybrid that
+    switches from SBA to TSB once no demand has come for twice the smoothed interval."""
     init = F.struct(_d(None).alias("z"), _d(None).alias("x"), _d(1).alias("q"), _d(None).alias("d"),
                     _d(None).alias("tz"))
 
@@ -65,8 +66,10 @@ def croston_family(series: DataFrame, alpha: float = 0.1, beta: float = 0.1, by=
     st = F.aggregate("s", init, step)
     out = a.select(*by, st.alias("st"))
     cro = F.col("st.z") / F.col("st.x")
-    return out.select(*by, F.round(cro, 6).alias("croston"), F.round(cro * (1 - alpha / 2), 6).alias("sba"),
-                      F.round(F.col("st.d") * F.coalesce(F.col("st.tz"), _d(0)), 6).alias("tsb"))
+    sba, tsb = cro * (1 - alpha / 2), F.col("st.d") * F.coalesce(F.col("st.tz"), _d(0))
+    obsolete = F.col("st.q") - 1 > 2 * F.col("st.x")  # periods since the last demand
+    return out.select(*by, F.round(cro, 6).alias("croston"), F.round(sba, 6).alias("sba"), F.round(tsb, 6).alias("tsb"),
+                      obsolete.alias("obsolete"), F.round(F.when(obsolete, tsb).otherwise(sba), 6).alias("hybrid"))
 
 
 def ses_holt(series: DataFrame, alpha: float = 0.3, beta: float = 0.1, by=ITEM) -> DataFrame:
@@ -102,157 +105,78 @@ def one_step_errors(fits: DataFrame, series: DataFrame, by=ITEM) -> DataFrame:
 
 HW_SCHEMA = T.StructType([T.StructField("company", T.StringType()), T.StructField("item_code", T.StringType()),
                           T.StructField("level", T.DoubleType()), T.StructField("trend", T.DoubleType()),
-                          T.StructField("forecast_next", T.DoubleType()), T.StructField("sse", T.DoubleType())])
+                          T.StructField("forecast_next", T.DoubleType()), T.StructField("sse", T.DoubleType()),
+                          T.StructField("forecast_next_mul", T.DoubleType()), T.StructField("sse_mul", T.DoubleType())])
 
 
-def _holt_winters_np(y: np.ndarray, m: int, alpha: float, beta: float, gamma: float):
+def _holt_winters_np(y: np.ndarray, m: int, alpha: float, beta: float, gamma: float, multiplicative: bool = False):
+    """Level, trend, next forecast and squared error; nan for the multiplicative form of a series
+    whose first level is not positive."""
+    nan = float("nan")
     if len(y) < 2 * m:
         lvl = float(np.mean(y)) if len(y) else 0.0
-        return lvl, 0.0, lvl, float("nan")
+        return lvl, 0.0, lvl, nan
     lvl = y[:m].mean()
+    if multiplicative and lvl <= 0:
+        return nan, nan, nan, nan
     trend = (y[m:2 * m].mean() - y[:m].mean()) / m
-    season = list(y[:m] - lvl)
+    season = list(y[:m] / lvl if multiplicative else y[:m] - lvl)
     sse = 0.0
     for t in range(len(y)):
-        s = season[t % m]
-        f = lvl + trend + s
-        sse += (y[t] - f) ** 2
-        new_lvl = alpha * (y[t] - s) + (1 - alpha) * (lvl + trend)
+        s, base = season[t % m], lvl + trend
+        sse += (y[t] - (base * s if multiplicative else base + s)) ** 2
+        free = (y[t] / s if s > 0 else base) if multiplicative else y[t] - s
+        new_lvl = alpha * free + (1 - alpha) * base
         trend = beta * (new_lvl - lvl) + (1 - beta) * trend
-        season[t % m] = gamma * (y[t] - new_lvl) + (1 - gamma) * s
+        own = (y[t] / new_lvl if new_lvl > 0 else s) if multiplicative else y[t] - new_lvl
+        season[t % m] = gamma * own + (1 - gamma) * s
         lvl = new_lvl
-    return float(lvl), float(trend), float(lvl + trend + season[len(y) % m]), float(sse)
+    s = season[len(y) % m]
+    return float(lvl), float(trend), float((lvl + trend) * s if multiplicative else lvl + trend + s), float(sse)
 
 
 def holt_winters(series: DataFrame, m: int = 12, alpha: float = 0.3, beta: float = 0.05, gamma: float = 0.2) -> DataFrame:
-    """Additive Holt-Winters per item on retail periods (season length ``m``)."""
+    """Additive and multiplicative Holt-Winters per item on retail periods (season length ``m``)."""
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("p")
-        lvl, tr, f, sse = _holt_winters_np(pdf["qty"].to_numpy(float), m, alpha, beta, gamma)
+        y = pdf.sort_values("p")["qty"].to_numpy(float)
+        lvl, tr, f, sse = _holt_winters_np(y, m, alpha, beta, gamma)
+        _, _, fm, ssem = _holt_winters_np(y, m, alpha, beta, gamma, True)
         return pd.DataFrame([{"company": pdf["company"].iloc[0], "item_code": pdf["item_code"].iloc[0],
-                              "level": lvl, "trend": tr, "forecast_next": f, "sse": sse}])
+                              "level": lvl, "trend": tr, "forecast_next": f, "sse": sse, "forecast_next_mul": fm, "sse_mul": ssem}])
     return _spread(series.select("company", "item_code", "p", "qty"), ITEM).groupBy(*ITEM).applyInPandas(fit, HW_SCHEMA)
 
 
 FOURIER_SCHEMA = T.StructType([T.StructField("company", T.StringType()), T.StructField("item_code", T.StringType()),
                                T.StructField("intercept", T.DoubleType()), T.StructField("slope", T.DoubleType()),
+                               T.StructField("harmonics", T.ArrayType(T.DoubleType())), T.StructField("forecast_next", T.DoubleType()),
                                T.StructField("r2", T.DoubleType()), T.StructField("n", T.LongType())])
 
 
 def fourier_regression(series: DataFrame, k: int = 2, period: int = 52) -> DataFrame:
-    """Least squares on [1, t, sin/cos(2 pi j w / 52), j = 1..k] per item."""
+    """Least squares on [1, t, sin/cos(2 pi j w / 52), j = 1..k] per item: intercept, slope,
+    the harmonic coefficients (sin, cos for each j), the forecast of the next period and r2."""
+    def design(t, first):
+        cols = [np.ones_like(t), t - first]
+        for j in range(1, k + 1):
+            cols += [np.sin(2 * math.pi * j * t / period), np.cos(2 * math.pi * j * t / period)]
+        return np.column_stack(cols)
+
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         t = pdf["p"].to_numpy(float)
         y = pdf["qty"].to_numpy(float)
-        cols = [np.ones_like(t), t - t.min()]
-        for j in range(1, k + 1):
-            cols += [np.sin(2 * math.pi * j * t / period), np.cos(2 * math.pi * j * t / period)]
-        x = np.column_stack(cols)
+        x = design(t, t.min())
         coef, *_ = np.linalg.lstsq(x, y, rcond=None)
         resid = y - x @ coef
         tot = float(((y - y.mean()) ** 2).sum())
         r2 = 1 - float((resid ** 2).sum()) / tot if tot > 0 else float("nan")
         return pd.DataFrame([{"company": pdf["company"].iloc[0], "item_code": pdf["item_code"].iloc[0],
-                              "intercept": float(coef[0]), "slope": float(coef[1]), "r2": r2, "n": len(y)}])
+                              "intercept": float(coef[0]), "slope": float(coef[1]), "harmonics": coef[2:].tolist(),
+                              "forecast_next": float((design(np.array([t.max() + 1]), t.min()) @ coef)[0]), "r2": r2, "n": len(y)}])
     return _spread(series.select("company", "item_code", "p", "qty"), ITEM).groupBy(*ITEM).applyInPandas(
         fit, FOURIER_SCHEMA)
 
 
-def _norm_pdf(a):
-    return np.exp(-0.5 * a * a) / math.sqrt(2 * math.pi)
-
-
-def _erf(x):
-    """Vectorised erf (Abramowitz-Stegun 7.1.26, |error| < 1.5e-7)."""
-    x = np.asarray(x, dtype=float)
-    s = np.sign(x)
-    a = np.abs(x)
-    t = 1.0 / (1.0 + 0.3275911 * a)
-    y = 1.0 - (((((1.061405429 * t - 1.453152027) * t) + 1.421413741) * t - 0.284496736) * t + 0.254829592) * t * np.exp(-a * a)
-    return s * y
-
-
-def _norm_sf(a):
-    return 0.5 * (1.0 - _erf(np.atleast_1d(a) / math.sqrt(2)))
-
-
-def censored_normal_em(x: np.ndarray, censored: np.ndarray, iters: int = 50):
-    """EM for normal demand where censored observations are lower bounds."""
-    if len(x) == 0:
-        return float("nan"), float("nan"), x
-    obs = x[~censored]
-    mu = float(obs.mean()) if len(obs) else float(x.mean())
-    sd = float(obs.std()) if len(obs) > 1 else max(float(x.std()), 1.0)
-    sd = max(sd, 1e-6)
-    filled = x.astype(float).copy()
-    for _ in range(iters):
-        if not censored.any():
-            break
-        c = x[censored]
-        a = (c - mu) / sd
-        lam = _norm_pdf(a) / np.maximum(_norm_sf(a), 1e-12)
-        e1 = mu + sd * lam
-        e2 = mu * mu + sd * sd + sd * (c + mu) * lam
-        filled[censored] = e1
-        s1 = filled.sum()
-        s2 = (x[~censored] ** 2).sum() + e2.sum()
-        mu = s1 / len(x)
-        sd = math.sqrt(max(s2 / len(x) - mu * mu, 1e-12))
-    return mu, sd, filled
-
-
-EM_SCHEMA = T.StructType([*(T.StructField(k, T.StringType()) for k in KEY), T.StructField("doc_date", T.DateType()),
-                          T.StructField("sales", T.DoubleType()), T.StructField("stockout", T.BooleanType()),
-                          T.StructField("demand_em", T.DoubleType()), T.StructField("mu", T.DoubleType()),
-                          T.StructField("sigma", T.DoubleType())])
-
-
-def unconstrain_em(hist: DataFrame, iters: int = 50) -> DataFrame:
-    """EM imputation of demand on stock-out days (censored normal), per key."""
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf["sales"].to_numpy(float)
-        c = pdf["stockout"].to_numpy(bool)
-        mu, sd, filled = censored_normal_em(x, c, iters)
-        out = pdf[[*KEY, "doc_date", "sales", "stockout"]].copy()
-        out["demand_em"] = np.where(c, np.maximum(filled, x), x)
-        out["mu"], out["sigma"] = mu, sd
-        return out
-    return _spread(hist.select(*KEY, "doc_date", "sales", "stockout"), KEY).groupBy(*KEY).applyInPandas(fit, EM_SCHEMA)
-
-
-PD_SCHEMA = T.StructType([*(T.StructField(k, T.StringType()) for k in KEY), T.StructField("doc_date", T.DateType()),
-                          T.StructField("sales", T.DoubleType()), T.StructField("stockout", T.BooleanType()),
-                          T.StructField("demand_pd", T.DoubleType())])
-
-
-def unconstrain_pd(hist: DataFrame, tau: float = 0.5, iters: int = 20) -> DataFrame:
-    """Projection detruncation: censored values are raised towards the conditional
-    tau-quantile above the observed value under a normal fit, iterated to a fixed point."""
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf["sales"].to_numpy(float)
-        c = pdf["stockout"].to_numpy(bool)
-        y = x.copy()
-        for _ in range(iters):
-            mu, sd = y.mean(), max(y.std(), 1e-6)
-            if not c.any():
-                break
-            # P(D > y) = (1 - tau) * P(D > x): solve on the normal via bisection
-            tail = (1 - tau) * _norm_sf((x[c] - mu) / sd)
-            lo, hi = x[c].copy(), x[c] + 10 * sd + 1
-            for _ in range(40):
-                mid = (lo + hi) / 2
-                above = _norm_sf((mid - mu) / sd) > tail
-                lo, hi = np.where(above, mid, lo), np.where(above, hi, mid)
-            y_new = y.copy()
-            y_new[c] = np.maximum((lo + hi) / 2, x[c])
-            if np.allclose(y_new, y):
-                y = y_new
-                break
-            y = y_new
-        out = pdf[[*KEY, "doc_date", "sales", "stockout"]].copy()
-        out["demand_pd"] = y
-        return out
-    return _spread(hist.select(*KEY, "doc_date", "sales", "stockout"), KEY).groupBy(*KEY).applyInPandas(fit, PD_SCHEMA)
+_erf = np.frompyfunc(math.erf, 1, 1)
 
 
 KDE_SCHEMA = T.StructType([T.StructField("company", T.StringType()), T.StructField("item_code", T.StringType()),
@@ -266,7 +190,7 @@ def kde_quantile(x: np.ndarray, tau: float, grid: int = 512) -> float:
     sd = x.std()
     bw = 1.06 * sd * n ** (-0.2) if sd > 0 else 1.0
     g = np.linspace(x.min() - 4 * bw, x.max() + 4 * bw, grid)
-    cdf = (0.5 * (1 + _erf((g[:, None] - x[None, :]) / (bw * math.sqrt(2))))).mean(axis=1)
+    cdf = (0.5 * (1 + _erf((g[:, None] - x[None, :]) / (bw * math.sqrt(2))).astype(float))).mean(axis=1)
     return float(np.interp(tau, cdf, g))
 
 

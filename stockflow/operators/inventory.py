@@ -42,15 +42,16 @@ def on_hand_before_movement(mov: DataFrame, key=KEY) -> DataFrame:
     gives the opening of the day, and the intra-day running sum is partitioned by key *and*
     day, so a hot key is split across its days.
     """
-    day = daily_net(mov, key).withColumn(
-        "day_open", F.sum("net_qty").over(_running(key, ["doc_date"])) - F.col("net_qty")
-    ).select(*key, "doc_date", "day_open")
     net = F.col("in_qty") - F.col("out_qty")
-    w = Window.partitionBy(*key, "doc_date").orderBy(*MOVEMENT_ORDER).rowsBetween(Window.unboundedPreceding, -1)
-    intra = mov.withColumn("intra_before", F.coalesce(F.sum(net).over(w), F.lit(0.0)))
+    of_day = Window.partitionBy(*key, "doc_date").orderBy(*MOVEMENT_ORDER)
+    intra = (mov.withColumn("intra", F.sum(net).over(of_day.rowsBetween(Window.unboundedPreceding, 0)))
+                .withColumn("last_of_day", F.lead(F.lit(1)).over(of_day).isNull()))
+    # the day's total stands in its last row, so the journal is computed and shuffled once
+    day = (intra.filter("last_of_day").select(*key, "doc_date", F.col("intra").alias("day_net"))
+                .withColumn("day_open", F.sum("day_net").over(_running(key, ["doc_date"])) - F.col("day_net")).drop("day_net"))
     return (intra.join(day, on=[*key, "doc_date"])
-                 .withColumn("on_hand_before", F.col("day_open") + F.col("intra_before"))
-                 .drop("day_open", "intra_before"))
+                 .withColumn("on_hand_before", F.col("day_open") + F.col("intra") - net)
+                 .drop("day_open", "intra", "last_of_day"))
 
 
 def inventory_asof(mov: DataFrame, probes: DataFrame, key=KEY, date_col: str = "probe_date") -> DataFrame:

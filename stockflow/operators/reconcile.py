@@ -18,7 +18,7 @@ def on_hand(mov: DataFrame, key=KEY) -> DataFrame:
 def reconcile(mov: DataFrame, stock: DataFrame, tol: float = DEFAULT_TOLERANCE, key=KEY) -> DataFrame:
     """Aggregate first, then full outer join with the snapshot; missing side counts 0.
 
-    Keeps rows with ``abs(diff) > tol`` (strict). Null keys never match (plain equi-join).
+    Keeps rows with ``abs(diff) > tol`` (strict), largest difference first. Null keys never match (plain equi-join).
     Both sides are one row per key after the aggregate, so the join shuffles each side once
     on the key and the stream is bounded by the number of keys, not movements.
     """
@@ -27,7 +27,7 @@ def reconcile(mov: DataFrame, stock: DataFrame, tol: float = DEFAULT_TOLERANCE,
     joined = recon.join(sap, on=key, how="full")
     diff = F.coalesce(F.col("qty_recon"), F.lit(0.0)) - F.coalesce(F.col("qty_sap"), F.lit(0.0))
     return (joined.select(*key, "qty_recon", "qty_sap", diff.alias("diff"))
-                  .filter(F.abs(F.col("diff")) > tol))
+                  .filter(F.abs(F.col("diff")) > tol).orderBy(F.desc("diff")))
 
 
 def missing_in(mov: DataFrame, stock: DataFrame, key=KEY) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stockflow.functions import calendar as cal
-from stockflow.operators.demand import ITEM, KEY, SALE_TYPES, with_category
+from stockflow.functions.movement_fields import item_code
+from stockflow.operators.demand import ITEM, KEY, SALE_TYPES, demand_arrays, with_category
 
 # fixed values: lead-time priors per origin (days: mean, min, max) and origin by region
 LEADTIME_PRIORS = {"NACIONAL": (15, 15, 15), "USA": (30, 30, 30), "CHINA": (150, 120, 180)}
@@ -18,10 +19,6 @@ RECEIPT_TYPES = (20, 59)
 SEASON_DAYS = 91
 
 
-def lead_weeks(days: int) -> int:
-    return -(-days // 7)
-
-
 def _prior(origin: Column, idx: int) -> Column:
     m = F.create_map(*[x for o, v in LEADTIME_PRIORS.items() for x in (F.lit(o), F.lit(v[idx]))])
     return F.element_at(m, origin)
@@ -34,7 +31,7 @@ def item_origin(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame) ->
     m = F.pmod(F.col("n_regionkey"), F.lit(3))
     origin = F.when(m == 0, ORIGIN_BY_REGION_MOD3[0]).when(m == 1, ORIGIN_BY_REGION_MOD3[1]).otherwise(ORIGIN_BY_REGION_MOD3[2])
     return first.join(sn, "s_suppkey").select(
-        F.lpad(F.col("l_partkey").cast("string"), 7, "0").alias("item_code"), origin.alias("origin"))
+        item_code("l_partkey").alias("item_code"), origin.alias("origin"))
 
 
 def leadtime_prior(origins: DataFrame) -> DataFrame:
@@ -56,18 +53,16 @@ def receipt_cadence(mov: DataFrame, key=KEY, digits: int = 6) -> DataFrame:
         F.percentile("gap", 0.9).alias("p90_gap"))
 
 
-def leadtime_demand(series: DataFrame, priors: DataFrame, by=ITEM) -> DataFrame:
-    """Forward rolling sum of demand over each item's lead time (in periods); tails
-    without a full lead time are dropped. One window per distinct lead time of the fixed prior
-    table, all computed in the same sort."""
-    x = series.join(priors.select("item_code", "lt_weeks"), "item_code")
-    w = Window.partitionBy(*by).orderBy("p")
-    ltd, full = F.lit(None).cast("double"), F.lit(False)
-    for n in sorted({lead_weeks(v[0]) for v in LEADTIME_PRIORS.values()}):
-        frame = w.rowsBetween(0, n - 1)
-        ltd = F.when(F.col("lt_weeks") == n, F.sum("qty").over(frame)).otherwise(ltd)
-        full = F.when(F.col("lt_weeks") == n, F.count("qty").over(frame) == n).otherwise(full)
-    return x.withColumn("ltd", ltd).withColumn("_full", full).filter("_full").select(*by, "p", "lt_weeks", "ltd")
+def leadtime_demand(arrays: DataFrame, priors: DataFrame, by=ITEM) -> DataFrame:
+    """Forward rolling sum of demand over each item's own lead time (in periods); tails
+    without a full lead time are dropped. Works on the demand arrays, so any lead time is one
+    slice of the item's array."""
+    n = F.col("lt_weeks")
+    sums = F.transform(F.sequence(F.lit(1), F.size("q") - n + 1),
+                       lambda i: F.aggregate(F.slice("q", i, n), F.lit(0.0), lambda acc, x: acc + x))
+    x = arrays.join(priors.select("item_code", "lt_weeks"), "item_code").filter(F.size("q") >= n)
+    return (x.select(*by, "first_p", "lt_weeks", F.posexplode(sums).alias("_i", "ltd"))
+             .select(*by, (F.col("first_p") + F.col("_i")).alias("p"), "lt_weeks", "ltd"))
 
 
 def reorder_point(ltd: DataFrame, tau: float = 0.95, by=ITEM) -> DataFrame:
@@ -75,21 +70,24 @@ def reorder_point(ltd: DataFrame, tau: float = 0.95, by=ITEM) -> DataFrame:
     return ltd.groupBy(*by).agg(F.percentile("ltd", tau).alias("rop"))
 
 
-def safety_stock(ltd: DataFrame, series: DataFrame, tau: float = 0.95, by=ITEM, digits: int = 6) -> DataFrame:
+def safety_stock(ltd: DataFrame, series: DataFrame, priors: DataFrame, tau: float = 0.95, by=ITEM, digits: int = 6) -> DataFrame:
     """Empirical (quantile - mean), normal (z * sd of lead-time demand), a normality
-    flag (zero share > 50 % or |skewness| > 1) and the textbook z * sd_weekly * sqrt(LT)."""
+    flag (zero share > 50 % or |skewness| > 1), the textbook z * sd_weekly * sqrt(LT), and the form
+    that adds the spread of the lead time: z * sqrt(LT * sd_weekly^2 + mean_weekly^2 * sd_LT^2)."""
     z = NormalDist().inv_cdf(tau)
     g = ltd.groupBy(*by).agg(F.percentile("ltd", tau).alias("q"), F.avg("ltd").alias("m"),
                              F.stddev_pop("ltd").alias("sd"), F.skewness("ltd").alias("skew"),
                              F.avg((F.col("ltd") == 0).cast("double")).alias("zero_share"),
                              F.max("lt_weeks").alias("lt_weeks"))
-    wk = series.groupBy(*by).agg(F.stddev_pop("qty").alias("sd_week"))
-    g = g.join(wk, by)
+    wk = series.groupBy(*by).agg(F.stddev_pop("qty").alias("sd_week"), F.avg("qty").alias("mean_week"))
+    g = g.join(wk, by).join(priors.select("item_code", (F.col("lt_sd") / 7).alias("lt_sd_weeks")), "item_code")
     doubtful = (F.col("zero_share") > 0.5) | (F.abs(F.coalesce(F.col("skew"), F.lit(0.0))) > 1)
+    sq = lambda c: F.col(c) * F.col(c)
     return g.select(
         *by, F.round(F.col("q") - F.col("m"), digits).alias("ss_empirical"),
         F.round(F.col("sd") * z, digits).alias("ss_normal"), doubtful.alias("normal_doubtful"),
         F.round(F.col("sd_week") * z * F.sqrt("lt_weeks"), digits).alias("ss_textbook"),
+        F.round(z * F.sqrt(F.col("lt_weeks") * sq("sd_week") + sq("mean_week") * sq("lt_sd_weeks")), digits).alias("ss_variable_lead"),
         F.lit("textbook form assumes independent normal weekly demand").alias("textbook_warning"))
 
 
@@ -107,47 +105,62 @@ def policy_params(rop: DataFrame, series: DataFrame, review_periods: int = 4, by
     m = series.groupBy(*by).agg(F.avg("qty").alias("mean_qty"))
     x = rop.join(m, by)
     q = F.ceil(F.col("mean_qty") * review_periods).cast("double")
-    return x.select(*by, F.col("rop").alias("s"), q.alias("Q"), (F.col("rop") + q).alias("S"),
-                    F.lit(review_periods).alias("R"),
-                    F.round(F.col("rop") + F.col("mean_qty") * review_periods, 6).alias("S_review"))
-
-
-def reorder_report(mov: DataFrame, rop: DataFrame, lod: DataFrame, series: DataFrame, as_of,
-                   review_periods: int = 4, by=ITEM) -> DataFrame:
-    """Items whose on-hand at ``as_of`` is at or below ROP, before their last order date,
-    with the quantity that brings them to ROP + review-period demand."""
-    oh = mov.filter(F.col("doc_date") <= F.lit(as_of).cast("date")).groupBy(*by).agg(
-        F.sum(F.col("in_qty") - F.col("out_qty")).alias("on_hand"))
-    season = cal.retail_year(F.lit(as_of).cast("date")).cast("int")
-    lo = lod.filter(F.col("season") == season).select(*by, "last_order_date")
-    m = series.groupBy(*by).agg(F.avg("qty").alias("mean_qty"))
-    x = rop.join(oh, by).join(lo, by).join(m, by)
+    return x.select(*by, F.col("rop").alias("reorder_point"), q.alias("order_qty"), (F.col("rop") + q).alias("order_up_to"),
+                    F.lit(review_periods).alias("review_periods"),
+                    F.round(F.col("rop") + F.col("mean_qty") * review_periods, 6).alias("review_up_to"))
+
+
+def reorder_report(mov: DataFrame, priors: DataFrame, as_of, tau: float = 0.95, review_periods: int = 4, by=ITEM) -> DataFrame:
+    """Items (with their origin) whose on-hand at ``as_of`` is at or below ROP, before their
+    last order date, with the quantity that brings them to ROP + review-period demand. Only
+    movements up to ``as_of`` are looked at, for the demand as well."""
+    day = F.lit(as_of).cast("date")
+    known = mov.filter(F.col("doc_date") <= day)
+    oh = known.groupBy(*by).agg(F.sum(F.col("in_qty") - F.col("out_qty")).alias("on_hand"))
+    arrays = demand_arrays(known, by)
+    n = F.size("q")
+    mean = F.aggregate("q", F.lit(0.0), lambda acc, x: acc + x) / n
+    # the season that holds as_of; an item sold at least once before it
+    season = cal.retail_year(day).cast("int")
+    first = (F.lit(cal.ANCHOR_YEAR) + cal.fdiv(F.col("first_p"), 52))
+    last = (F.lit(cal.ANCHOR_YEAR) + cal.fdiv(F.col("first_p") + n - 1, 52))
+    items = (arrays.filter((first <= season) & (last >= season))
+             .select(*by, mean.alias("mean_qty")).join(priors.select("item_code", "origin", "lt_days"), "item_code")
+             .withColumn("last_order_date", F.date_sub(cal.year_end(season), F.col("lt_days"))))
+    rop = reorder_point(leadtime_demand(arrays, priors, by), tau, by)
+    x = rop.join(oh, by).join(items, by)
     rec = F.ceil(F.col("rop") + F.col("mean_qty") * review_periods - F.col("on_hand"))
-    return (x.filter((F.col("on_hand") <= F.col("rop")) & (F.lit(as_of).cast("date") <= F.col("last_order_date")))
-             .select(*by, "on_hand", "rop", "last_order_date", rec.cast("bigint").alias("recommended_qty")))
+    return (x.filter((F.col("on_hand") <= F.col("rop")) & (day <= F.col("last_order_date")))
+             .select(*by, "origin", "on_hand", "rop", "last_order_date", rec.cast("bigint").alias("recommended_qty")))
 
 
 def cold_start(series: DataFrame, part: DataFrame, min_periods: int = 13, by=ITEM, digits: int = 6) -> DataFrame:
-    """H28 (analog): new items (short history) get the mean weekly demand of established items
-    of the same brand and type, scaled by relative price; fall back to brand, then type."""
-    p = part.select(F.lpad(F.col("p_partkey").cast("string"), 7, "0").alias("item_code"),
-                    "p_brand", "p_type", "p_retailprice")
+    """New items (short history) get the mean weekly demand of established items of the same
+    brand and type, scaled by relative price; fall back to brand, then type, then the mean of all.
+
+    ``attribute_weekly_qty`` predicts from the item's attributes instead: a regression of demand on
+    price within the brand, falling back to the brand's mean and the mean of all."""
+    p = part.select(item_code("p_partkey").alias("item_code"), "p_brand", "p_type", "p_retailprice")
     stats = series.groupBy(*by).agg(F.count(F.lit(1)).alias("periods"), F.avg("qty").alias("mean_qty")).join(p, "item_code")
     est = stats.filter(F.col("periods") >= min_periods)
     new = stats.filter(F.col("periods") < min_periods)
 
-    def prof(keys, name):
-        return est.groupBy(*keys).agg(F.avg("mean_qty").alias(f"{name}_qty"), F.avg("p_retailprice").alias(f"{name}_px"))
+    def prof(keys, name, *more):
+        return est.groupBy(*keys).agg(F.avg("mean_qty").alias(f"{name}_qty"), F.avg("p_retailprice").alias(f"{name}_px"), *more)
 
+    line = [F.regr_slope("mean_qty", "p_retailprice").alias("slope"), F.regr_intercept("mean_qty", "p_retailprice").alias("icept")]
+    whole = est.agg(F.avg("mean_qty")).scalar()
     j = (new.join(prof(["p_brand", "p_type"], "bt"), ["p_brand", "p_type"], "left")
-            .join(prof(["p_brand"], "b"), ["p_brand"], "left")
-            .join(prof(["p_type"], "t"), ["p_type"], "left"))
-    qty = F.coalesce(F.col("bt_qty") * F.col("p_retailprice") / F.col("bt_px"),
-                     F.col("b_qty") * F.col("p_retailprice") / F.col("b_px"),
-                     F.col("t_qty") * F.col("p_retailprice") / F.col("t_px"))
+            .join(prof(["p_brand"], "b", *line), ["p_brand"], "left")
+            .join(prof(["p_type"], "t"), ["p_type"], "left").withColumn("all_qty", whole))
+    px = F.col("p_retailprice")
+    qty = F.coalesce(F.col("bt_qty") * px / F.col("bt_px"), F.col("b_qty") * px / F.col("b_px"),
+                     F.col("t_qty") * px / F.col("t_px"), "all_qty")
     level = F.when(F.col("bt_qty").isNotNull(), "brand+type").when(F.col("b_qty").isNotNull(), "brand") \
-             .when(F.col("t_qty").isNotNull(), "type")
-    return j.select(*by, "periods", F.round(qty, digits).alias("analog_weekly_qty"), level.alias("analog_level"))
+             .when(F.col("t_qty").isNotNull(), "type").when(F.col("all_qty").isNotNull(), "all")
+    fitted = F.coalesce(F.col("icept") + F.col("slope") * px, "b_qty", "all_qty")
+    return j.select(*by, "periods", F.round(qty, digits).alias("analog_weekly_qty"), level.alias("analog_level"),
+                    F.round(fitted, digits).alias("attribute_weekly_qty"))
 
 
 def newsvendor(series: DataFrame, cu: float, co: float, by=ITEM) -> DataFrame:
@@ -190,28 +203,30 @@ def allocate(mov: DataFrame, dc_warehouse: str = "A00", by=ITEM) -> DataFrame:
     return x.select(*by, "warehouse", "demand", "dc_qty", alloc.cast("bigint").alias("allocated"))
 
 
-def open_to_buy(mov: DataFrame, part: DataFrame, level: str = "p_brand", cover_periods: int = 1,
-                lead_days: int = 30, digits: int = 2) -> DataFrame:
+def open_to_buy(mov: DataFrame, part: DataFrame, priors: DataFrame, level: str = "p_brand", cover_periods: int = 1,
+                digits: int = 2) -> DataFrame:
     """Budget by category and retail period: planned sales (same period last year) +
-    target closing stock (next period's plan x cover) - opening stock - receipts on order in
-    the period; released ``lead_days`` before the period starts."""
-    m = with_category(mov.select("item_code", "trans_type", "in_qty", "out_qty", "doc_date"), part, level)
-    wk = cal.retail_week("doc_date")
-    m = m.withColumn("r_year", cal.retail_year("doc_date").cast("int")).withColumn("r_period", cal.period_of_week(wk))
+    target closing stock (next period's plan x cover) - opening stock - receipts on order (captured
+    before the period and due in it); released the category's mean lead time before the period."""
+    m = with_category(mov.select("item_code", "trans_type", "in_qty", "out_qty", "doc_date", "create_date"), part, level)
+    index = lambda day: cal.retail_year(day).cast("int") * 12 + cal.period_of_week(cal.retail_week(day))
+    m = m.withColumn("r_year", cal.retail_year("doc_date").cast("int")).withColumn("r_period", cal.period_of_week(cal.retail_week("doc_date")))
+    ordered = (F.col("trans_type") == 20) & (index("create_date") < index("doc_date"))
     g = m.groupBy("category", "r_year", "r_period").agg(
         F.sum(F.when(F.col("trans_type").isin(*SALE_TYPES), F.col("out_qty")).otherwise(0.0)).alias("sales"),
-        F.sum(F.when(F.col("trans_type") == 20, F.col("in_qty")).otherwise(0.0)).alias("on_order"),
+        F.sum(F.when(ordered, F.col("in_qty")).otherwise(0.0)).alias("on_order"),
         F.sum(F.col("in_qty") - F.col("out_qty")).alias("net"))
     w = Window.partitionBy("category").orderBy("r_year", "r_period")
     g = g.withColumn("opening", F.coalesce(F.sum("net").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
     ly = Window.partitionBy("category", "r_period").orderBy("r_year")
     g = g.withColumn("planned", F.lag("sales").over(ly))
     g = g.withColumn("target_close", F.lead("planned").over(w) * cover_periods)
+    lead = with_category(priors.select("item_code", "lt_days"), part, level).groupBy("category").agg(F.ceil(F.avg("lt_days")).cast("int").alias("lead_days"))
     otb = F.col("planned") + F.col("target_close") - F.col("opening") - F.col("on_order")
     start = cal.week_start("r_year", cal.period_first_week("r_period"))
-    return (g.filter(F.col("planned").isNotNull() & F.col("target_close").isNotNull())
+    return (g.filter(F.col("planned").isNotNull() & F.col("target_close").isNotNull()).join(lead, "category")
              .select("category", "r_year", "r_period", "planned", "target_close", "opening", "on_order",
-                     F.round(otb, digits).alias("open_to_buy"), F.date_sub(start, lead_days).alias("release_date")))
+                     F.round(otb, digits).alias("open_to_buy"), F.date_sub(start, F.col("lead_days")).alias("release_date")))
 
 
 def preseason_split(series: DataFrame, priors: DataFrame, by=ITEM, digits: int = 6) -> DataFrame:

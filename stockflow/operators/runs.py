@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stockflow.functions.log_fields import duration_s
-from stockflow.operators.sequence import prefix_max
+from stockflow.operators.sequence import exact_percentile, prefix_max
 
 # fixed values: states, active states and the staleness limit
 TERMINAL = ("ok", "failed")
@@ -119,10 +119,10 @@ def job_health(runs: DataFrame, q: float = 0.95, digits: int = 3) -> DataFrame:
     """Per job runs, failures, rows, mean / p95 duration and the last terminal status."""
     agg = runs.groupBy("job").agg(
         F.count(F.lit(1)).alias("runs"), F.count_if(F.col("status") == "failed").alias("failures"),
-        F.sum("rows").alias("rows"), F.round(F.avg("duration_s"), digits).alias("mean_duration_s"),
-        F.round(F.percentile("duration_s", q), digits).alias("p95_duration_s"))
+        F.sum("rows").alias("rows"), F.round(F.avg("duration_s"), digits).alias("mean_duration_s"))
+    p95 = exact_percentile(runs, ["job"], "duration_s", q, "_p").select("job", F.round("_p", digits).alias("p95_duration_s"))
     last = latest_terminal(runs).select("job", F.col("status").alias("last_status"))
-    return agg.join(last, "job", "left")
+    return agg.join(p95, "job", "left").join(last, "job", "left")
 
 
 def replay_entity(events: DataFrame, entity: str = "id", order=("seq", "event_at"), state: str = "state",

@@ -73,3 +73,44 @@ def prefix_max(events: DataFrame, by: list[str], ts: str, delta: str, out: str,
     w_b = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     per_b = per_b.withColumn("_offset", F.coalesce(F.sum("_total").over(w_b), F.lit(0)))
     return per_b.groupBy(*by).agg(F.max(F.col("_offset") + F.col("_max_intra")).alias(out))
+
+
+VALUE_STEPS = 16  # value buckets for each factor of e
+
+
+def value_bucket(value, steps: int = VALUE_STEPS) -> Column:
+    """A bucket number that grows with the value: even steps of its logarithm, either side of 0."""
+    v = F.col(value) if isinstance(value, str) else value
+    return (F.signum(v) * F.floor(F.log1p(F.abs(v)) * steps)).cast("int")
+
+
+def running_by_value(df: DataFrame, by: list[str], value: str, ties: list[str], add: str, out: str, total: str,
+                     desc: bool = True) -> DataFrame:
+    """``out``: inclusive running sum of ``add`` per ``by`` in order of ``value`` (ties by the columns
+    ``ties``); ``total``: the sum of the whole group.
+
+    A group is split into value buckets, so no task sorts a whole group; only bucket totals, whose
+    number follows the range of the values, are summed across buckets."""
+    b = "_bucket"
+    way = F.desc if desc else F.asc
+    x = df.withColumn(b, value_bucket(value))
+    w_in = Window.partitionBy(*by, b).orderBy(way(value), *ties).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("_intra", F.sum(add).over(w_in))
+    totals = x.groupBy(*by, b).agg(F.sum(add).alias("_sum"))
+    group = Window.partitionBy(*by)
+    ordered = group.orderBy(way(b)).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*by, b, F.coalesce(F.sum("_sum").over(ordered), F.lit(0)).alias("_offset"), F.sum("_sum").over(group).alias(total))
+    return x.join(totals, on=[*by, b]).withColumn(out, F.col("_offset") + F.col("_intra")).drop(b, "_intra", "_offset")
+
+
+def exact_percentile(df: DataFrame, by: list[str], value: str, q: float, out: str) -> DataFrame:
+    """Percentile by linear interpolation, as ``percentile`` gives it, without a buffer that holds all
+    of a group's values: equal values are counted first, and the two values around the wanted
+    position are found by running counts."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    x = running_by_value(counts, by, value, [], "_n", "_upto", "_total", desc=False)
+    at = (F.col("_total") - 1) * F.lit(q)
+    holds = lambda p: (F.col("_upto") > p) & (F.col("_upto") - F.col("_n") <= p)
+    g = x.groupBy(*by).agg(F.max(at).alias("_at"), F.max(F.when(holds(F.floor(at)), F.col(value))).alias("_low"),
+                           F.max(F.when(holds(F.ceil(at)), F.col(value))).alias("_high"))
+    return g.select(*by, (F.col("_low") + (F.col("_at") - F.floor("_at")) * (F.col("_high") - F.col("_low"))).alias(out))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
 from statistics import NormalDist
 
 from pyspark.sql import functions as F
@@ -10,16 +9,16 @@ from pyspark.sql import functions as F
 from stockflow.operators import demand as dm
 from stockflow.operators import forecast as fc
 from stockflow.operators import replenish as rp
+from stockflow.operators import unconstrain as un
 from stockflow.plans.catalog import query
-from stockflow.plans.oracle_sql import END_DATE, fdiv, sql_period_of_week, sql_retail_week, sql_retail_year, with_ctes
+from stockflow.plans.oracle_sql import DEMAND_AS_OF as AS_OF
+from stockflow.plans.oracle_sql import fdiv, sql_item_code, sql_period_of_week, sql_retail_week, sql_retail_year, with_ctes
 from stockflow.session import apply_session_conf
 from stockflow.sources import fixtures as fx
 from stockflow.sources.tables import read_table
 
-END = date.fromisoformat(END_DATE)
 K3 = "company, item_code, warehouse"
 Z95 = repr(NormalDist().inv_cdf(0.95))
-AS_OF = "1998-06-01"
 
 
 def _mov(spark, sf_dir):
@@ -43,7 +42,7 @@ def _part(spark, sf_dir):
 
 
 def _ltd(spark, sf_dir):
-    return rp.leadtime_demand(_series(spark, sf_dir), _priors(spark, sf_dir))
+    return rp.leadtime_demand(dm.demand_arrays(_mov(spark, sf_dir)), _priors(spark, sf_dir))
 
 
 @query("h1_sales_history", with_ctes("SELECT * FROM hist", "hist"))
@@ -55,7 +54,7 @@ def h1(spark, sf_dir):
   CAST(sum(CASE WHEN on_hand <= 0 THEN valid_to - valid_from + 1 ELSE 0 END) AS BIGINT) AS stockout_days
 FROM ivals GROUP BY ALL""", "ivals"))
 def h2(spark, sf_dir):
-    return dm.stockout_days(_mov(spark, sf_dir), END)
+    return dm.stockout_days(_mov(spark, sf_dir))
 
 
 @query("h3_stockout_episodes", with_ctes(f"""SELECT {K3}, min(valid_from) AS start, max(valid_to) AS "end",
@@ -64,22 +63,20 @@ FROM (SELECT *, sum(CASE WHEN on_hand <= 0 THEN 0 ELSE 1 END) OVER (PARTITION BY
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM ivals) i
 WHERE on_hand <= 0 GROUP BY company, item_code, warehouse, island""", "ivals"))
 def h3(spark, sf_dir):
-    return dm.stockout_episodes(_mov(spark, sf_dir), END)
+    return dm.stockout_episodes(_mov(spark, sf_dir))
 
 
 _RP = sql_period_of_week(sql_retail_week("doc_date"))
-_RDOW = "CAST(((date_diff('day', DATE '2026-02-01', doc_date) % 7) + 7) % 7 + 1 AS INTEGER)"
 
 
-@query("h4_unconstrain_v1", with_ctes(f"""SELECT {K3}, doc_date, sales, stockout, sales AS demand_leave,
-  CASE WHEN NOT stockout THEN sales END AS demand_discard,
-  CASE WHEN stockout THEN round(COALESCE(m1, m2, m3), 6) ELSE sales END AS demand_v1
-FROM (SELECT *, avg(CASE WHEN NOT stockout THEN sales END) OVER (PARTITION BY {K3}, rp, rdow) AS m1,
-             avg(CASE WHEN NOT stockout THEN sales END) OVER (PARTITION BY {K3}, rp) AS m2,
-             avg(CASE WHEN NOT stockout THEN sales END) OVER (PARTITION BY {K3}) AS m3
-      FROM (SELECT *, {_RP} AS rp, {_RDOW} AS rdow FROM hist) h) x""", "hist"))
+@query("h2_stockout_by_period", with_ctes(f"SELECT {K3}, r_year, r_period, days, stockout_days FROM uncon", "uncon"))
+def h2p(spark, sf_dir):
+    return un.unconstrain_periods(_mov(spark, sf_dir)).select("company", "item_code", "warehouse", "r_year", "r_period", "days", "stockout_days")
+
+
+@query("h4_unconstrain_v1", with_ctes("SELECT * FROM uncon", "uncon"))
 def h4(spark, sf_dir):
-    return dm.unconstrain_v1(dm.sales_history(_mov(spark, sf_dir)))
+    return un.unconstrain_periods(_mov(spark, sf_dir))
 
 
 @query("h5_demand_series", with_ctes("SELECT * FROM series", "series"))
@@ -120,15 +117,24 @@ def h7(spark, sf_dir):
     return dm.lifecycle_stage(_series(spark, sf_dir))
 
 
+def _abc_sql(cum, own, total):
+    before = f"round({cum} / {total}, 6) - round({own} / {total}, 6)"
+    return f"CASE WHEN {before} < 0.8 THEN 'A' WHEN {before} < 0.95 THEN 'B' ELSE 'C' END"
+
+
 @query("h8_abc_by_period", with_ctes(f"""SELECT r_year, r_period, company, item_code, value, round(cum / total, 6) AS cum_share,
-  CASE WHEN round(cum / total, 6) - round(value / total, 6) < 0.8 THEN 'A'
-       WHEN round(cum / total, 6) - round(value / total, 6) < 0.95 THEN 'B' ELSE 'C' END AS abc
+  {_abc_sql('cum', 'value', 'total')} AS abc, score, {_abc_sql('score_cum', 'score', 'score_total')} AS abc_multi
 FROM (SELECT *, sum(value) OVER (PARTITION BY r_year, r_period ORDER BY value DESC, company, item_code
                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
-             sum(value) OVER (PARTITION BY r_year, r_period) AS total
-      FROM (SELECT {sql_retail_year('doc_date')} AS r_year, {_RP} AS r_period, company, item_code,
-                   round(sum(abs(trans_value)), 2) AS value FROM mov WHERE trans_type IN (13, 15) GROUP BY ALL) a) b""",
-    "mov"))
+             sum(score) OVER (PARTITION BY r_year, r_period ORDER BY score DESC, company, item_code
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS score_cum,
+             sum(score) OVER (PARTITION BY r_year, r_period) AS score_total
+      FROM (SELECT *, sum(value) OVER w AS total,
+                   round((0.6e0 * COALESCE(CAST(value AS DOUBLE) / sum(value) OVER w, 0.0e0) + 0.25e0 * COALESCE(CAST(units AS DOUBLE) / sum(units) OVER w, 0.0e0)
+                          + 0.15e0 * COALESCE(CAST(sales_days AS DOUBLE) / sum(sales_days) OVER w, 0.0e0)) * 1e6, 3) AS score
+            FROM (SELECT {sql_retail_year('doc_date')} AS r_year, {_RP} AS r_period, company, item_code, round(sum(abs(trans_value)), 2) AS value,
+                         sum(out_qty) AS units, count(DISTINCT doc_date) AS sales_days
+                  FROM mov WHERE trans_type IN (13, 15) GROUP BY ALL) a WINDOW w AS (PARTITION BY r_year, r_period)) b) c""", "mov"))
 def h8(spark, sf_dir):
     return dm.abc_by_period(_mov(spark, sf_dir))
 
@@ -161,17 +167,18 @@ def h12(spark, sf_dir):
 @query("h13_safety_stock", with_ctes(f"""SELECT g.company, g.item_code, round(q - m, 6) AS ss_empirical,
   round(sd * {Z95}, 6) AS ss_normal,
   zero_share > 0.5 OR abs(COALESCE(skew, 0.0e0)) > 1 AS normal_doubtful,
-  round(sd_week * {Z95} * sqrt(lt_weeks), 6) AS ss_textbook,
+  round(sd_week * {Z95} * sqrt(g.lt_weeks), 6) AS ss_textbook,
+  round({Z95} * sqrt(g.lt_weeks * sd_week * sd_week + mean_week * mean_week * (lt_sd / 7) * (lt_sd / 7)), 6) AS ss_variable_lead,
   'textbook form assumes independent normal weekly demand' AS textbook_warning
 FROM (SELECT company, item_code, quantile_cont(ltd, 0.95) AS q, avg(ltd) AS m, stddev_pop(ltd) AS sd,
              CASE WHEN var_pop(ltd) > 0 THEN (avg(ltd * ltd * ltd) - 3 * avg(ltd) * avg(ltd * ltd) + 2 * pow(avg(ltd), 3))
                   / pow(var_pop(ltd), 1.5) END AS skew,
              avg(CASE WHEN ltd = 0 THEN 1.0e0 ELSE 0.0e0 END) AS zero_share, max(lt_weeks) AS lt_weeks
       FROM ltd GROUP BY ALL) g
-JOIN (SELECT company, item_code, stddev_pop(qty) AS sd_week FROM series GROUP BY ALL) w USING (company, item_code)""",
-    "ltd", "series"))
+JOIN (SELECT company, item_code, stddev_pop(qty) AS sd_week, avg(qty) AS mean_week FROM series GROUP BY ALL) w
+  USING (company, item_code) JOIN priors USING (item_code)""", "ltd", "series", "priors"))
 def h13(spark, sf_dir):
-    return rp.safety_stock(_ltd(spark, sf_dir), _series(spark, sf_dir))
+    return rp.safety_stock(_ltd(spark, sf_dir), _series(spark, sf_dir), _priors(spark, sf_dir))
 
 
 @query("h14_last_order_date", with_ctes("SELECT * FROM lod", "lod"))
@@ -179,54 +186,37 @@ def h14(spark, sf_dir):
     return rp.last_order_date(_series(spark, sf_dir), _priors(spark, sf_dir))
 
 
-@query("h15_reorder_report", with_ctes(f"""SELECT r.company, r.item_code, o.on_hand, r.rop, l.last_order_date,
+@query("h15_reorder_report", with_ctes(f"""SELECT r.company, r.item_code, p.origin, o.on_hand, r.rop, l.last_order_date,
   CAST(ceil(r.rop + m.mean_qty * 4 - o.on_hand) AS BIGINT) AS recommended_qty
-FROM rop r
-JOIN (SELECT company, item_code, sum(in_qty - out_qty) AS on_hand FROM mov WHERE doc_date <= DATE '{AS_OF}' GROUP BY ALL) o
+FROM rop_asof r JOIN priors p USING (item_code)
+JOIN (SELECT company, item_code, sum(in_qty - out_qty) AS on_hand FROM mov_asof GROUP BY ALL) o
   USING (company, item_code)
-JOIN (SELECT * FROM lod WHERE season = {sql_retail_year(f"DATE '{AS_OF}'")}) l USING (company, item_code)
-JOIN (SELECT company, item_code, avg(qty) AS mean_qty FROM series GROUP BY ALL) m USING (company, item_code)
-WHERE o.on_hand <= r.rop AND DATE '{AS_OF}' <= l.last_order_date""", "rop", "lod", "series", "mov"))
+JOIN (SELECT * FROM lod_asof WHERE season = {sql_retail_year(f"DATE '{AS_OF}'")}) l USING (company, item_code)
+JOIN (SELECT company, item_code, avg(qty) AS mean_qty FROM series_asof GROUP BY ALL) m USING (company, item_code)
+WHERE o.on_hand <= r.rop AND DATE '{AS_OF}' <= l.last_order_date""", "rop_asof", "lod_asof", "series_asof", "mov_asof", "priors"))
 def h15(spark, sf_dir):
-    mov = _mov(spark, sf_dir)
-    series = dm.demand_series(mov)
-    pri = _priors(spark, sf_dir)
-    rop = rp.reorder_point(rp.leadtime_demand(series, pri))
-    return rp.reorder_report(mov, rop, rp.last_order_date(series, pri), series, AS_OF)
+    return rp.reorder_report(_mov(spark, sf_dir), _priors(spark, sf_dir), AS_OF)
 
 
-@query("h16_policy_params", with_ctes("""SELECT company, item_code, rop AS s, CAST(ceil(mean_qty * 4) AS DOUBLE) AS "Q",
-  rop + CAST(ceil(mean_qty * 4) AS DOUBLE) AS "S", 4 AS "R", round(rop + mean_qty * 4, 6) AS "S_review"
+@query("h16_policy_params", with_ctes("""SELECT company, item_code, rop AS reorder_point, CAST(ceil(mean_qty * 4) AS DOUBLE) AS order_qty,
+  rop + CAST(ceil(mean_qty * 4) AS DOUBLE) AS order_up_to, 4 AS review_periods, round(rop + mean_qty * 4, 6) AS review_up_to
 FROM rop JOIN (SELECT company, item_code, avg(qty) AS mean_qty FROM series GROUP BY ALL) m USING (company, item_code)""",
     "rop", "series"))
 def h16(spark, sf_dir):
-    series = _series(spark, sf_dir)
-    rop = rp.reorder_point(rp.leadtime_demand(series, _priors(spark, sf_dir)))
-    return rp.policy_params(rop, series)
+    return rp.policy_params(rp.reorder_point(_ltd(spark, sf_dir)), _series(spark, sf_dir))
 
 
 @query("h17_service_kpis", with_ctes(f"""
-SELECT g.*, c.cycle_service_level FROM (
-  SELECT {K3}, round(avg(CASE WHEN stockout THEN 1.0e0 ELSE 0.0e0 END), 6) AS stockout_rate,
-         round(sum(sales) / NULLIF(sum(demand_v1), 0), 6) AS fill_rate,
-         round(arg_max(on_hand, doc_date) / NULLIF(sum(sales) / greatest(max(doc_date) - min(doc_date), 1) * 7, 0), 6) AS weeks_of_cover,
-         round(sum(sales) / NULLIF(avg(on_hand), 0), 6) AS turnover
-  FROM hu GROUP BY ALL) g
-JOIN (SELECT {K3}, round(1 - avg(had_out), 6) AS cycle_service_level FROM (
-        SELECT {K3}, cycle, max(CAST(stockout AS INTEGER)) AS had_out FROM hu GROUP BY ALL) x GROUP BY ALL) c
-  USING (company, item_code, warehouse)""", "hist", "mov").replace("\nSELECT g.*", f""",
-hu AS (SELECT h.*, u.demand_v1, sum(CASE WHEN h.net_qty > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY h.company, h.item_code,
-         h.warehouse ORDER BY h.doc_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cycle
-       FROM hist h JOIN (SELECT {K3}, doc_date, CASE WHEN stockout THEN round(COALESCE(m1, m2, m3), 6) ELSE sales END AS demand_v1
-         FROM (SELECT *, avg(CASE WHEN NOT stockout THEN sales END) OVER (PARTITION BY {K3}, rp, rdow) AS m1,
-                      avg(CASE WHEN NOT stockout THEN sales END) OVER (PARTITION BY {K3}, rp) AS m2,
-                      avg(CASE WHEN NOT stockout THEN sales END) OVER (PARTITION BY {K3}) AS m3
-               FROM (SELECT *, {_RP} AS rp, {_RDOW} AS rdow FROM hist) h0) x) u
-       USING (company, item_code, warehouse, doc_date))
-SELECT g.*""", 1))
+SELECT {K3}, round(n_out / days, 6) AS stockout_rate, round(sales / NULLIF(demand_v1, 0), 6) AS fill_rate,
+       round(cycle_service_level, 6) AS cycle_service_level, round(on_hand / NULLIF(sales / days * 7, 0), 6) AS weeks_of_cover,
+       round(sales / NULLIF(mean_stock, 0), 6) AS turnover
+FROM (SELECT {K3}, count(*) AS days, count_if(stockout) AS n_out, sum(sales) AS sales, sum(on_hand) / count(*) AS mean_stock,
+             arg_max(on_hand, day) AS on_hand FROM dense GROUP BY ALL) d
+JOIN (SELECT {K3}, 1 - avg(had_out) AS cycle_service_level FROM (
+        SELECT {K3}, cycle, max(CAST(stockout AS INTEGER)) AS had_out FROM dense GROUP BY ALL) x GROUP BY ALL) c USING ({K3})
+JOIN (SELECT {K3}, sum(demand_v1) AS demand_v1 FROM uncon GROUP BY ALL) u USING ({K3})""", "dense", "uncon"))
 def h17(spark, sf_dir):
-    hist = dm.sales_history(_mov(spark, sf_dir))
-    return dm.service_kpis(hist, dm.unconstrain_v1(hist))
+    return un.service_kpis(_mov(spark, sf_dir))
 
 
 @query("h18_forecast_error", with_ctes("""SELECT company, item_code, round(avg(f - qty), 6) AS bias,
@@ -239,12 +229,33 @@ def h18(spark, sf_dir):
     return dm.forecast_error(dm.moving_average_forecast(_series(spark, sf_dir)))
 
 
-@query("h19_croston_sba_tsb")
+_H19_EMPTY = "'z': NULL::DOUBLE, 'x': NULL::DOUBLE, 'q': 1.0e0, 'd': NULL::DOUBLE"
+_H19_FOLD = f"""list_reduce(list_prepend({{'v': 0.0e0, {_H19_EMPTY}}}, list({{'v': qty, {_H19_EMPTY}}} ORDER BY p)), lambda a, e: {{
+  'v': 0.0e0,
+  'z': CASE WHEN e.v > 0 THEN CASE WHEN a.z IS NULL THEN e.v ELSE a.z + 0.1e0 * (e.v - a.z) END ELSE a.z END,
+  'x': CASE WHEN e.v > 0 THEN CASE WHEN a.x IS NULL THEN a.q ELSE a.x + 0.1e0 * (a.q - a.x) END ELSE a.x END,
+  'q': CASE WHEN e.v > 0 THEN 1.0e0 ELSE a.q + 1 END,
+  'd': CASE WHEN a.d IS NULL THEN CASE WHEN e.v > 0 THEN 1.0e0 ELSE 0.0e0 END
+            ELSE a.d + 0.1e0 * (CASE WHEN e.v > 0 THEN 1.0e0 ELSE 0.0e0 END - a.d) END}})"""
+
+
+@query("h19_croston_sba_tsb", with_ctes(f"""
+SELECT company, item_code, round(t.z / t.x, 6) AS croston, round(t.z / t.x * 0.95e0, 6) AS sba, round(t.d * t.z, 6) AS tsb,
+       t.q - 1 > 2 * t.x AS obsolete, round(CASE WHEN t.q - 1 > 2 * t.x THEN t.d * t.z ELSE t.z / t.x * 0.95e0 END, 6) AS hybrid
+FROM (SELECT company, item_code, {_H19_FOLD} AS t FROM series GROUP BY ALL) s""", "series"))
 def h19(spark, sf_dir):
     return fc.croston_family(_series(spark, sf_dir))
 
 
-@query("h20_ses_holt")
+@query("h20_ses_holt", with_ctes("""
+SELECT company, item_code, round(t.l, 6) AS ses, round(t.hl + t.hb, 6) AS holt
+FROM (SELECT company, item_code, list_reduce(
+        list_prepend({'y': 0.0e0, 'l': NULL::DOUBLE, 'hl': NULL::DOUBLE, 'hb': NULL::DOUBLE},
+                     list({'y': qty, 'l': NULL::DOUBLE, 'hl': NULL::DOUBLE, 'hb': NULL::DOUBLE} ORDER BY p)),
+        lambda a, e: {'y': 0.0e0, 'l': CASE WHEN a.l IS NULL THEN e.y ELSE a.l + 0.3e0 * (e.y - a.l) END,
+          'hl': CASE WHEN a.l IS NULL THEN e.y ELSE 0.3e0 * e.y + 0.7e0 * (a.hl + a.hb) END,
+          'hb': CASE WHEN a.l IS NULL THEN 0.0e0 ELSE 0.1e0 * (0.3e0 * e.y + 0.7e0 * (a.hl + a.hb) - a.hl) + 0.9e0 * a.hb END}) AS t
+      FROM series GROUP BY ALL) s""", "series"))
 def h20(spark, sf_dir):
     return fc.ses_holt(_series(spark, sf_dir)).drop("periods", "ses_one_step")
 
@@ -259,7 +270,7 @@ def h22(spark, sf_dir):
     return fc.fourier_regression(_series(spark, sf_dir))
 
 
-_CAT = "p_brand AS category, lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS item_code"
+_CAT = f"p_brand AS category, {sql_item_code('p_partkey')} AS item_code"
 
 
 @query("h23_seasonal_index", with_ctes(f"""SELECT w.category, w.r_week, round(w.week_mean / t.mean, 6) AS seasonal_index
@@ -284,12 +295,12 @@ def h24(spark, sf_dir):
 
 @query("h25_unconstrain_em")
 def h25(spark, sf_dir):
-    return fc.unconstrain_em(dm.sales_history(_mov(spark, sf_dir)))
+    return un.unconstrain_fits(_mov(spark, sf_dir)).drop("demand_pd", "demand_proportional")
 
 
 @query("h26_unconstrain_pd")
 def h26(spark, sf_dir):
-    return fc.unconstrain_pd(dm.sales_history(_mov(spark, sf_dir)))
+    return un.unconstrain_fits(_mov(spark, sf_dir)).drop("method", "mu", "sigma", "demand_em")
 
 
 @query("h27_kde_safety_stock")
@@ -299,21 +310,27 @@ def h27(spark, sf_dir):
 
 @query("h28_cold_start", with_ctes(f"""
 SELECT n.company, n.item_code, n.periods,
-  round(COALESCE(bt.q * n.px / bt.px, b.q * n.px / b.px, t.q * n.px / t.px), 6) AS analog_weekly_qty,
-  CASE WHEN bt.q IS NOT NULL THEN 'brand+type' WHEN b.q IS NOT NULL THEN 'brand' WHEN t.q IS NOT NULL THEN 'type' END AS analog_level
+  round(COALESCE(bt.q * n.px / bt.px, b.q * n.px / b.px, t.q * n.px / t.px, a.q), 6) AS analog_weekly_qty,
+  CASE WHEN bt.q IS NOT NULL THEN 'brand+type' WHEN b.q IS NOT NULL THEN 'brand' WHEN t.q IS NOT NULL THEN 'type'
+       WHEN a.q IS NOT NULL THEN 'all' END AS analog_level,
+  round(COALESCE(r.icept + r.slope * n.px, b.q, a.q), 6) AS attribute_weekly_qty
 FROM (SELECT * FROM st WHERE periods < 13) n
 LEFT JOIN (SELECT p_brand, p_type, avg(mean_qty) AS q, avg(px) AS px FROM st WHERE periods >= 13 GROUP BY ALL) bt
   ON n.p_brand = bt.p_brand AND n.p_type = bt.p_type
 LEFT JOIN (SELECT p_brand, avg(mean_qty) AS q, avg(px) AS px FROM st WHERE periods >= 13 GROUP BY ALL) b ON n.p_brand = b.p_brand
-LEFT JOIN (SELECT p_type, avg(mean_qty) AS q, avg(px) AS px FROM st WHERE periods >= 13 GROUP BY ALL) t ON n.p_type = t.p_type""",
-    "series").replace("\nSELECT n.company", """,
+LEFT JOIN (SELECT p_type, avg(mean_qty) AS q, avg(px) AS px FROM st WHERE periods >= 13 GROUP BY ALL) t ON n.p_type = t.p_type
+LEFT JOIN (SELECT p_brand, regr_slope(mean_qty, px) AS slope, regr_intercept(mean_qty, px) AS icept FROM st WHERE periods >= 13 GROUP BY ALL) r
+  ON n.p_brand = r.p_brand
+LEFT JOIN (SELECT avg(mean_qty) AS q FROM st WHERE periods >= 13) a ON true""",
+    "series").replace("\nSELECT n.company", f""",
+snew AS (SELECT * FROM series WHERE CAST(item_code AS BIGINT) % 41 <> 0 OR p > (SELECT max(p) FROM series) - 10),
 st AS (SELECT s.company, s.item_code, count(*) AS periods, avg(qty) AS mean_qty, any_value(p.p_brand) AS p_brand,
               any_value(p.p_type) AS p_type, any_value(p.p_retailprice) AS px
-       FROM series s JOIN (SELECT lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS item_code, p_brand, p_type, p_retailprice FROM part) p
+       FROM snew s JOIN (SELECT {sql_item_code('p_partkey')} AS item_code, p_brand, p_type, p_retailprice FROM part) p
        USING (item_code) GROUP BY s.company, s.item_code)
 SELECT n.company""", 1))
 def h28(spark, sf_dir):
-    return rp.cold_start(_series(spark, sf_dir), _part(spark, sf_dir))
+    return rp.cold_start(fx.with_new_items(_series(spark, sf_dir)), _part(spark, sf_dir))
 
 
 @query("h29_newsvendor", with_ctes(
@@ -340,9 +357,9 @@ def h29g(spark, sf_dir):
 
 
 @query("h30_open_to_buy", with_ctes(f"""
-SELECT category, r_year, r_period, planned, target_close, opening, on_order,
+SELECT k.category, r_year, r_period, planned, target_close, opening, on_order,
   round(planned + target_close - opening - on_order, 2) AS open_to_buy,
-  CAST(DATE '2026-02-01' + CAST((r_year - 2026) * 364 + (fw - 1) * 7 AS INTEGER) - 30 AS DATE) AS release_date
+  CAST(DATE '2026-02-01' + CAST((r_year - 2026) * 364 + (fw - 1) * 7 AS INTEGER) - lead_days AS DATE) AS release_date
 FROM (SELECT *, lead(planned) OVER (PARTITION BY category ORDER BY r_year, r_period) * 1 AS target_close FROM (
         SELECT *, COALESCE(sum(net) OVER (PARTITION BY category ORDER BY r_year, r_period
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0e0) AS opening,
@@ -350,12 +367,15 @@ FROM (SELECT *, lead(planned) OVER (PARTITION BY category ORDER BY r_year, r_per
                CAST((((r_period - 1) // 3) * 13 + CASE (r_period - 1) % 3 WHEN 0 THEN 0 WHEN 1 THEN 4 ELSE 9 END + 1) AS INTEGER) AS fw
         FROM (SELECT c.category, CAST({sql_retail_year('doc_date')} AS INTEGER) AS r_year, {_RP} AS r_period,
                      sum(CASE WHEN trans_type IN (13, 15) THEN out_qty ELSE 0.0e0 END) AS sales,
-                     sum(CASE WHEN trans_type = 20 THEN in_qty ELSE 0.0e0 END) AS on_order,
+                     sum(CASE WHEN trans_type = 20 AND {sql_retail_year('create_date')} * 12 + {sql_period_of_week(sql_retail_week('create_date'))}
+                              < {sql_retail_year('doc_date')} * 12 + {_RP} THEN in_qty ELSE 0.0e0 END) AS on_order,
                      sum(in_qty - out_qty) AS net
               FROM mov m JOIN (SELECT {_CAT} FROM part) c USING (item_code) GROUP BY ALL) g) h) k
-WHERE planned IS NOT NULL AND target_close IS NOT NULL""", "mov"))
+JOIN (SELECT category, CAST(ceil(avg(lt_days)) AS INTEGER) AS lead_days FROM priors JOIN (SELECT {_CAT} FROM part) c USING (item_code) GROUP BY ALL) l
+  ON k.category = l.category
+WHERE planned IS NOT NULL AND target_close IS NOT NULL""", "mov", "priors"))
 def h30(spark, sf_dir):
-    return rp.open_to_buy(_mov(spark, sf_dir), _part(spark, sf_dir))
+    return rp.open_to_buy(_mov(spark, sf_dir), _part(spark, sf_dir), _priors(spark, sf_dir))
 
 
 @query("h31_allocate", with_ctes("""
@@ -375,19 +395,26 @@ def h31(spark, sf_dir):
     return rp.allocate(_mov(spark, sf_dir))
 
 
-@query("h32_two_stage")
+@query("h32_two_stage", with_ctes("""
+SELECT company, item_code, CAST(t.n AS INTEGER) AS periods, round(t.er / t.n + 1e-9, 6) AS bias_raw, round(t.ea / t.n + 1e-9, 6) AS bias_unconstrained,
+       round(t.ar / NULLIF(t.y, 0) + 1e-9, 6) AS wmape_raw, round(t.aa / NULLIF(t.y, 0) + 1e-9, 6) AS wmape_unconstrained
+FROM (SELECT company, item_code, list_reduce(
+        list_prepend({'raw': 0.0e0, 'adj': 0.0e0, 'o': 0.0e0, 'lr': NULL::DOUBLE, 'la': NULL::DOUBLE, 'n': 0.0e0, 'er': 0.0e0, 'ea': 0.0e0, 'ar': 0.0e0, 'aa': 0.0e0, 'y': 0.0e0},
+          list({'raw': raw, 'adj': adj, 'o': o, 'lr': NULL::DOUBLE, 'la': NULL::DOUBLE, 'n': 0.0e0, 'er': 0.0e0, 'ea': 0.0e0, 'ar': 0.0e0, 'aa': 0.0e0, 'y': 0.0e0} ORDER BY p)),
+        lambda a, e: {'raw': 0.0e0, 'adj': 0.0e0, 'o': 0.0e0,
+          'lr': CASE WHEN a.lr IS NULL THEN e.raw ELSE a.lr + 0.3e0 * (e.raw - a.lr) END,
+          'la': CASE WHEN a.la IS NULL THEN e.adj ELSE a.la + 0.3e0 * (e.adj - a.la) END,
+          'n': a.n + CASE WHEN a.lr IS NOT NULL AND e.o = 0 THEN 1.0e0 ELSE 0.0e0 END,
+          'er': a.er + CASE WHEN a.lr IS NOT NULL AND e.o = 0 THEN a.lr - e.raw ELSE 0.0e0 END,
+          'ea': a.ea + CASE WHEN a.lr IS NOT NULL AND e.o = 0 THEN a.la - e.raw ELSE 0.0e0 END,
+          'ar': a.ar + CASE WHEN a.lr IS NOT NULL AND e.o = 0 THEN abs(a.lr - e.raw) ELSE 0.0e0 END,
+          'aa': a.aa + CASE WHEN a.lr IS NOT NULL AND e.o = 0 THEN abs(a.la - e.raw) ELSE 0.0e0 END,
+          'y': a.y + CASE WHEN a.lr IS NOT NULL AND e.o = 0 THEN e.raw ELSE 0.0e0 END}) AS t
+      FROM (SELECT company, item_code, r_year * 12 + r_period - 1 AS p, sum(demand_leave) AS raw, sum(demand_v1) AS adj,
+                   CAST(sum(stockout_days) AS DOUBLE) AS o FROM uncon GROUP BY ALL) u GROUP BY company, item_code) s
+WHERE t.n > 0""", "uncon"))
 def h32(spark, sf_dir):
-    """Stock-out detection -> unconstraining -> SES forecast -> error against the raw baseline."""
-    hist = dm.sales_history(_mov(spark, sf_dir))
-    unc = dm.unconstrain_v1(hist)
-    wk = dm.period_index("doc_date", 7)
-    raw = unc.groupBy("company", "item_code", wk.alias("p")).agg(F.sum("demand_leave").alias("qty"))
-    adj = unc.groupBy("company", "item_code", wk.alias("p")).agg(F.sum("demand_v1").alias("qty"))
-    e_raw = dm.forecast_error(fc.one_step_errors(fc.ses_holt(raw), raw))
-    e_adj = dm.forecast_error(fc.one_step_errors(fc.ses_holt(adj), adj))
-    return e_raw.alias("r").join(e_adj.alias("u"), ["company", "item_code"]).select(
-        "company", "item_code", F.col("r.bias").alias("bias_raw"), F.col("u.bias").alias("bias_unconstrained"),
-        F.col("r.wmape").alias("wmape_raw"), F.col("u.wmape").alias("wmape_unconstrained"))
+    return un.two_stage(_mov(spark, sf_dir))
 
 
 @query("h33_decompose", with_ctes("""SELECT company, item_code, p, qty, round(trend, 6) AS trend, round(seasonal, 6) AS seasonal,

@@ -58,14 +58,11 @@ def a3(spark, sf_dir):
     return mv.union_companies(per)
 
 
-@query("a4_empty_movements", with_ctes("SELECT * FROM mov WHERE false", "mov"))
+@query("a4_empty_movements", with_ctes("SELECT * FROM mov", "mov"))
 def a4(spark, sf_dir):
     apply_session_conf(spark)
-    # The empty frame of the pinned schema; unioned with an empty window of the real journal
-    # so the query still reads the tables.
-    empty = mv.empty_movements(spark)
-    real = _mov(spark, sf_dir).filter(F.col("create_date") > F.col("doc_date") + 1000000)
-    return empty.unionByName(real)
+    # A company without data is the empty frame: a union with it leaves the journal as it is.
+    return mv.empty_movements(spark).unionByName(_mov(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- B: enrichment
@@ -363,11 +360,12 @@ SELECT COALESCE(o.company, i.company) AS company, COALESCE(o.item_code, i.item_c
        CASE WHEN o.out_qty IS NULL OR i.in_qty IS NULL THEN 'unmatched'
             WHEN o.out_qty <> i.in_qty THEN 'qty_mismatch' ELSE 'matched' END AS pair_status
 FROM (SELECT * FROM mov WHERE trans_type = 67 AND out_qty > 0) o
-FULL OUTER JOIN (SELECT * FROM mov WHERE trans_type = 67 AND in_qty > 0) i
+FULL OUTER JOIN (SELECT * FROM (SELECT * REPLACE (CASE WHEN trans_type = 67 AND in_qty > 0 AND base_entry % 97 = 0 THEN in_qty - 1 ELSE in_qty END AS in_qty)
+                 FROM mov) m WHERE trans_type = 67 AND in_qty > 0) i
   ON o.company = i.company AND o.item_code = i.item_code AND o.base_entry = i.base_entry AND o.doc_line = i.doc_line""",
     "mov"))
 def d12(spark, sf_dir):
-    return rc.transfer_pairs(_mov(spark, sf_dir))
+    return rc.transfer_pairs(fx.with_transfer_faults(_mov(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- E: aggregates
@@ -403,10 +401,11 @@ def e5(spark, sf_dir):
 
 @query("e6_transfer_netting", with_ctes("""SELECT * FROM (
   SELECT company, base_entry, round(sum(in_qty - out_qty), 4) AS net_qty, round(sum(trans_value), 4) AS net_value,
-         count(*) AS legs FROM mov WHERE trans_type = 67 GROUP BY ALL) t
+         count(*) AS legs FROM (SELECT * REPLACE (CASE WHEN trans_type = 67 AND in_qty > 0 AND base_entry % 97 = 0 THEN in_qty - 1 ELSE in_qty END AS in_qty)
+                                FROM mov) m WHERE trans_type = 67 GROUP BY ALL) t
 WHERE abs(net_qty) > 1e-6 OR abs(net_value) > 1e-6""", "mov"))
 def e6(spark, sf_dir):
-    return ag.transfer_netting(_mov(spark, sf_dir))
+    return ag.transfer_netting(fx.with_transfer_faults(_mov(spark, sf_dir)))
 
 
 @query("e7_load_audit", with_ctes(f"""SELECT *, round(back_dated / rows, 6) AS back_dated_share FROM (

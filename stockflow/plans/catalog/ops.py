@@ -63,10 +63,10 @@ SELECT id, seq, state, event_at, violation FROM (
   FROM (SELECT *, lag(state) OVER (PARTITION BY id ORDER BY seq, event_at) AS prev_state,
                count(*) FILTER (WHERE state IN ('ok', 'failed')) OVER (PARTITION BY id) AS terminals,
                max(event_at) FILTER (WHERE state = 'running') OVER (PARTITION BY id) AS running_at
-        FROM run_events) e) v WHERE violation IS NOT NULL""", "run_events"))
+        FROM run_events_planted) e) v WHERE violation IS NOT NULL""", "run_events_planted"))
 def g4(spark, sf_dir):
     apply_session_conf(spark)
-    return rn.lifecycle_violations(fx.run_events(spark, sf_dir))
+    return rn.lifecycle_violations(fx.run_events(spark, sf_dir, planted=True))
 
 
 @query("g5_stuck_runs", with_ctes(f"""SELECT * FROM runs_asof WHERE status IN ('queued', 'running')
@@ -98,10 +98,11 @@ def g6j(spark, sf_dir):
     return rn.peak_overlap(_runs(spark, sf_dir), ["job"]).select("job", F.col("peak_overlap").cast("bigint"))
 
 
-@query("g7_one_active_violations", with_ctes("""SELECT job, count(*) AS active_api_runs FROM runs_asof
-  WHERE status IN ('queued', 'running') AND trigger = 'api' GROUP BY job HAVING count(*) > 1""", "runs_asof"))
+@query("g7_one_active_violations", with_ctes("""SELECT job, count(*) AS active_api_runs FROM runs_asof_planted
+  WHERE status IN ('queued', 'running') AND trigger = 'api' GROUP BY job HAVING count(*) > 1""", "runs_asof_planted"))
 def g7(spark, sf_dir):
-    return rn.one_active_violations(_runs(spark, sf_dir, AS_OF))
+    apply_session_conf(spark)
+    return rn.one_active_violations(rn.fold_runs(fx.run_events(spark, sf_dir, planted=True), AS_OF))
 
 
 @query("g8_job_health", with_ctes("""
@@ -122,6 +123,12 @@ def g11(spark, sf_dir):
     return rn.replay_entity(fx.run_events(spark, sf_dir))
 
 
+@query("g11_current_state", with_ctes("SELECT id, arg_max(state, seq) AS state FROM run_events GROUP BY id", "run_events"))
+def g11c(spark, sf_dir):
+    apply_session_conf(spark)
+    return rn.current_state(fx.run_events(spark, sf_dir))
+
+
 @query("f3_latest_terminal", with_ctes("""SELECT job, r.id, r.status, r.created_at, r.finished_at, r.rows FROM (
   SELECT job, arg_max({'id': id, 'status': status, 'created_at': created_at, 'finished_at': finished_at, 'rows': rows},
                       (created_at, id)) AS r FROM runs WHERE status IN ('ok', 'failed') GROUP BY job) t""", "runs"))
@@ -212,12 +219,13 @@ def d3(spark, sf_dir):
                             correlation_id=None).select("event_id", "job", "status")
 
 
-@query("d6_activity_during", with_ctes("""SELECT a.event_id AS job_event, p.event_id AS sample_event, p.rss_mb
-FROM job_logs a JOIN perf_logs p ON a.started_at <= p.ts AND p.ts <= a.finished_at""", "job_logs", "perf_logs"))
+@query("d6_activity_during", with_ctes("""SELECT a.event_id AS job_event, count(*) AS samples, max(p.rss_mb) AS max_rss_mb
+FROM job_logs a JOIN perf_logs p ON a.started_at <= p.ts AND p.ts <= a.finished_at GROUP BY ALL""", "job_logs", "perf_logs"))
 def d6(spark, sf_dir):
+    """Per activity, as pairs grow with the square of the event rate; the filtered form lists them."""
     fr = _frames(spark, sf_dir)
-    return lg.activity_during(fr["job"], fr["performance"]).select(
-        F.col("a.event_id").alias("job_event"), F.col("p.event_id").alias("sample_event"), F.col("p.rss_mb"))
+    return lg.activity_during(fr["job"], fr["performance"]).groupBy(F.col("a.event_id").alias("job_event")).agg(
+        F.count("*").alias("samples"), F.max("p.rss_mb").alias("max_rss_mb"))
 
 
 @query("d6_activity_during_high_rss", with_ctes("""SELECT a.event_id AS job_event, p.event_id AS sample_event, p.rss_mb
@@ -240,17 +248,17 @@ def d7(spark, sf_dir):
 
 
 @query("d8_runs_with_logs", with_ctes("""SELECT r.id, r.status, j.status AS log_status, j.ts AS log_ts, j.ts IS NOT NULL AS has_log
-FROM runs r LEFT JOIN job_logs j ON r.id = j.event_id""", "runs", "job_logs"))
+FROM runs r LEFT JOIN (SELECT * FROM job_logs WHERE event_id % 83 <> 0) j ON r.id = j.event_id""", "runs", "job_logs"))
 def d8(spark, sf_dir):
     fr = _frames(spark, sf_dir)
-    return lg.runs_with_logs(_runs(spark, sf_dir), fr["job"]).select("id", "status", "log_status", "log_ts", "has_log")
+    return lg.runs_with_logs(_runs(spark, sf_dir), fx.without_lost_logs(fr["job"])).select("id", "status", "log_status", "log_ts", "has_log")
 
 
-@query("d8_runs_without_logs", with_ctes("SELECT id FROM runs WHERE id NOT IN (SELECT event_id FROM job_logs)",
+@query("d8_runs_without_logs", with_ctes("SELECT id FROM runs WHERE id NOT IN (SELECT event_id FROM job_logs WHERE event_id % 83 <> 0)",
                                           "runs", "job_logs"))
 def d8a(spark, sf_dir):
     fr = _frames(spark, sf_dir)
-    return lg.runs_without_logs(_runs(spark, sf_dir), fr["job"]).select("id")
+    return lg.runs_without_logs(_runs(spark, sf_dir), fx.without_lost_logs(fr["job"])).select("id")
 
 
 @query("d13_lookup", with_ctes("""SELECT r.* FROM runs r JOIN (SELECT job, min(event_id) AS first_id FROM job_logs GROUP BY job) k
@@ -274,7 +282,7 @@ def d14(spark, sf_dir):
     return fl.text_search(_frames(spark, sf_dir)["job"], "BackFill", ["job", "status"]).select("event_id", "job")
 
 
-@query("a11_roll_off_logs")
+@query("a11_roll_off_logs", with_ctes("SELECT type, event_id, ts, level, correlation_id, CAST(ts AS DATE) AS day FROM unified", "unified"))
 def a11(spark, sf_dir):
     u = lg.unified_logs(_frames(spark, sf_dir)).select("type", "event_id", "ts", "level", "correlation_id")
     path = os.path.join(ensure_checkpoint_dir(spark), f"rolloff-{uuid.uuid4().hex}")
@@ -291,9 +299,13 @@ def a12(spark, sf_dir):
 
 @query("a13_append_batches", with_ctes("SELECT * FROM api_logs", "api_logs"))
 def a13(spark, sf_dir):
-    fr = _frames(spark, sf_dir)
-    assert lg.typed_batch(fr["api"], "unknown-kind") is None
-    return lg.typed_batch(fr["api"], "api")
+    api = _frames(spark, sf_dir)["api"]
+    path = os.path.join(ensure_checkpoint_dir(spark), f"append-{uuid.uuid4().hex}")
+    assert lg.append_batches(api, "unknown-kind", path) == 0
+    odd = F.pmod("event_id", F.lit(2)) == 1
+    lg.append_batches(api.filter(odd), "api", path)  # two batches land side by side
+    lg.append_batches(api.filter(~odd), "api", path)
+    return spark.read.parquet(path)
 
 
 @query("b9_log_level", with_ctes("""SELECT event_id, status_code,

@@ -59,6 +59,11 @@ def sql_year_start(y: str) -> str:
     return f"CAST(DATE '2026-02-01' + CAST((({y}) - 2026) * 364 AS INTEGER) AS DATE)"
 
 
+def sql_item_code(key: str) -> str:
+    text = f"CAST({key} AS VARCHAR)"
+    return f"lpad({text}, greatest(CAST(length({text}) AS INTEGER), 7), '0')"
+
+
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 
@@ -98,9 +103,9 @@ JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN supplier s ON l.l_suppkey = s.s_suppkey
 JOIN nation n ON s.s_nationkey = n.n_nationkey""")
 
-cte("src", """
+cte("src", f"""
 SELECT CASE l_partkey % 3 WHEN 0 THEN 'COMERCIAL' WHEN 1 THEN 'HR' ELSE 'CAP' END AS company,
-       lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS item_code,
+       {sql_item_code('l_partkey')} AS item_code,
        'A0' || CAST((n_regionkey + g.leg) % 5 AS VARCHAR) AS warehouse,
        doc_date,
        CAST(CASE WHEN l_linenumber <> 1 THEN (l_orderkey % 24) * 100 + (l_linenumber * 7) % 60 END AS SMALLINT) AS doc_time,
@@ -202,7 +207,20 @@ UNION ALL
 SELECT id, job, trigger, correlation_id, idempotency_key, 2, status, finished_at, rows FROM run_base""", "run_base")
 
 
-def _runs_sql(where: str) -> str:
+cte("run_events_planted", """
+SELECT id, job, trigger, correlation_id, idempotency_key, 0 AS seq, 'queued' AS state,
+       started_at - INTERVAL 5 SECOND AS event_at, CAST(NULL AS BIGINT) AS rows FROM run_base WHERE id % 53 <> 0
+UNION ALL
+SELECT id, job, trigger, correlation_id, idempotency_key, 1, 'running', started_at, CAST(NULL AS BIGINT) FROM run_base
+UNION ALL
+SELECT id, job, trigger, correlation_id, idempotency_key, 2, status,
+       CASE WHEN id % 61 = 0 THEN started_at - INTERVAL 1 SECOND ELSE finished_at END, rows FROM run_base WHERE id % 67 <> 0
+UNION ALL
+SELECT id, job, trigger, correlation_id, idempotency_key, 3, 'failed', finished_at + INTERVAL 1 SECOND, rows FROM run_base
+WHERE id % 59 = 0""", "run_base")
+
+
+def _runs_sql(where: str, events: str = "run_events") -> str:
     return f"""
 SELECT id, job, status, trigger, rows, CAST(NULL AS VARCHAR) AS detail, correlation_id, idempotency_key,
        COALESCE(created_at, running_at, finished_at) AS created_at, started_at, finished_at,
@@ -214,12 +232,13 @@ FROM (SELECT *, CASE WHEN finished_at IS NOT NULL THEN COALESCE(running_at, fini
                    max(event_at) FILTER (WHERE state = 'running') AS running_at,
                    max(event_at) FILTER (WHERE state IN ('ok', 'failed')) AS finished_at,
                    max(rows) FILTER (WHERE state IN ('ok', 'failed')) AS rows
-            FROM run_events {where} GROUP BY id) g) s"""
+            FROM {events} {where} GROUP BY id) g) s"""
 
 
 RUNS_AS_OF = "2024-01-15 12:00:00"
 cte("runs", _runs_sql(""), "run_events")
 cte("runs_asof", _runs_sql(f"WHERE event_at <= TIMESTAMP '{RUNS_AS_OF}'"), "run_events")
+cte("runs_asof_planted", _runs_sql(f"WHERE event_at <= TIMESTAMP '{RUNS_AS_OF}'", "run_events_planted"), "run_events_planted")
 cte("unified", """
 SELECT 'job' AS type, 0 AS type_rank, event_id, ts, level, correlation_id, source, status, started_at, finished_at,
        duration_ms, detail, job, rows, NULL::VARCHAR AS method, NULL::VARCHAR AS path, NULL::INTEGER AS status_code,
@@ -234,7 +253,6 @@ SELECT 'performance', 2, event_id, ts, level, correlation_id, source, NULL, NULL
     "job_logs", "api_logs", "perf_logs")
 
 # ---------------------------------------------------------------- demand / replenishment
-END_DATE = "1998-12-31"
 cte("hist", f"""
 SELECT *, on_hand - net_qty AS on_hand_before, sales - returns AS net_sales, on_hand - net_qty <= 0 AS stockout
 FROM (SELECT *, sum(net_qty) OVER (PARTITION BY company, item_code, warehouse ORDER BY doc_date
@@ -250,25 +268,66 @@ SELECT * FROM (
          sum(net_qty) OVER (PARTITION BY company, item_code, warehouse ORDER BY doc_date
                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS on_hand,
          least(COALESCE(CAST(lead(doc_date) OVER (PARTITION BY company, item_code, warehouse ORDER BY doc_date) - 1 AS DATE),
-                  DATE '{END_DATE}'), DATE '{END_DATE}') AS valid_to
+                  (SELECT max(doc_date) FROM mov)), (SELECT max(doc_date) FROM mov)) AS valid_to
   FROM (SELECT company, item_code, warehouse, doc_date, sum(in_qty - out_qty) AS net_qty FROM mov GROUP BY ALL) d) i
 WHERE valid_from <= valid_to""", "mov")
-cte("wsales", f"""
-SELECT company, item_code, CAST({fdiv(days_from_anchor('doc_date'), 7)} AS INTEGER) AS p, sum(out_qty) AS qty
-FROM mov WHERE trans_type IN (13, 15) GROUP BY ALL""", "mov")
+cte("dense", f"""
+SELECT company, item_code, warehouse, cycle, on_hand, CAST(doc_date + CAST(i AS INTEGER) AS DATE) AS day, CASE WHEN i = 0 THEN sales ELSE 0.0e0 END AS sales,
+       CASE WHEN i = 0 THEN stockout ELSE on_hand <= 0 END AS stockout
+FROM (SELECT *, unnest(range(0, date_diff('day', doc_date, upto) + 1)) AS i FROM (
+        SELECT *, sum(CASE WHEN net_qty > 0 THEN 1 ELSE 0 END) OVER w AS cycle,
+               COALESCE(CAST(lead(doc_date) OVER w - 1 AS DATE), (SELECT max(doc_date) FROM mov)) AS upto
+        FROM hist WINDOW w AS (PARTITION BY company, item_code, warehouse ORDER BY doc_date)) h) d""", "hist")
+cte("cells", f"""
+SELECT company, item_code, warehouse, CAST({sql_retail_year('day')} AS INTEGER) AS r_year, {sql_period_of_week(sql_retail_week('day'))} AS r_period,
+       {sql_day_of_week('day')} AS dow, count(*) AS days, count_if(stockout) AS n_out, sum(sales) AS sales,
+       sum(CASE WHEN NOT stockout THEN sales ELSE 0.0e0 END) AS in_sales
+FROM dense GROUP BY ALL""", "dense")
+cte("uncon", """
+SELECT company, item_code, warehouse, r_year, r_period, CAST(sum(days) AS BIGINT) AS days, CAST(sum(n_out) AS BIGINT) AS stockout_days,
+       sum(sales) AS demand_leave, sum(in_sales) AS demand_discard,
+       round(CASE WHEN any_value(mk) IS NULL THEN sum(sales) ELSE sum(in_sales) + sum(n_out * COALESCE(m1, mp, mk)) END, 6) AS demand_v1
+FROM (SELECT *, sum(in_sales) OVER a / NULLIF(sum(days - n_out) OVER a, 0) AS m1, sum(in_sales) OVER b / NULLIF(sum(days - n_out) OVER b, 0) AS mp,
+             sum(in_sales) OVER c / NULLIF(sum(days - n_out) OVER c, 0) AS mk
+      FROM cells WINDOW a AS (PARTITION BY company, item_code, warehouse, r_period, dow),
+                        b AS (PARTITION BY company, item_code, warehouse, r_period), c AS (PARTITION BY company, item_code, warehouse)) x
+GROUP BY company, item_code, warehouse, r_year, r_period""", "cells")
 _SERIES = """
 SELECT s.company, s.item_code, s.p, COALESCE(w.qty, 0.0e0) AS qty
 FROM (SELECT company, item_code, CAST(unnest(generate_series(first_p, last_p)) AS INTEGER) AS p
       FROM (SELECT company, item_code, min(p) AS first_p FROM {w} GROUP BY ALL) f,
            (SELECT max(p) AS last_p FROM {w}) l) s
 LEFT JOIN {w} w ON s.company = w.company AND s.item_code = w.item_code AND s.p = w.p"""
-cte("series", _SERIES.format(w="wsales"), "wsales")
+
+
+def _demand(tag: str, mov: str) -> None:
+    """Weekly demand, lead-time demand, reorder points and last order dates of one journal."""
+    cte(f"wsales{tag}", f"""
+SELECT company, item_code, CAST({fdiv(days_from_anchor('doc_date'), 7)} AS INTEGER) AS p, sum(out_qty) AS qty
+FROM {mov} WHERE trans_type IN (13, 15) GROUP BY ALL""", mov)
+    cte(f"series{tag}", _SERIES.format(w=f"wsales{tag}"), f"wsales{tag}")
+    cte(f"upto{tag}", f"""SELECT s.*, pr.lt_weeks, sum(qty) OVER (PARTITION BY s.company, s.item_code ORDER BY s.p
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM series{tag} s JOIN priors pr USING (item_code)""", f"series{tag}", "priors")
+    cte(f"ltd{tag}", f"""SELECT a.company, a.item_code, a.p, a.lt_weeks, b.cum - a.cum + a.qty AS ltd FROM upto{tag} a
+JOIN upto{tag} b ON a.company = b.company AND a.item_code = b.item_code AND b.p = a.p + a.lt_weeks - 1""", f"upto{tag}")
+    cte(f"rop{tag}", f"SELECT company, item_code, quantile_cont(ltd, 0.95) AS rop FROM ltd{tag} GROUP BY ALL", f"ltd{tag}")
+    cte(f"lod{tag}", f"""
+SELECT company, item_code, CAST(season AS INTEGER) AS season, CAST({sql_year_start('season')} + 363 AS DATE) AS season_end,
+       CAST({sql_year_start('season')} + 363 - lt_days AS DATE) AS last_order_date
+FROM (SELECT DISTINCT company, item_code, 2026 + {fdiv('p', 52)} AS season FROM series{tag}) s
+JOIN priors USING (item_code)""", f"series{tag}", "priors")
+
+
+DEMAND_AS_OF = "1998-06-01"
+cte("mov_asof", f"SELECT * FROM mov WHERE doc_date <= DATE '{DEMAND_AS_OF}'", "mov")
+_demand("", "mov")
+_demand("_asof", "mov_asof")
 cte("wsales91", f"""
 SELECT company, item_code, CAST({fdiv(days_from_anchor('doc_date'), 91)} AS INTEGER) AS p, sum(out_qty) AS qty
 FROM mov WHERE trans_type IN (13, 15) GROUP BY ALL""", "mov")
 cte("series91", _SERIES.format(w="wsales91"), "wsales91")
-cte("origin", """
-SELECT lpad(CAST(f.l_partkey AS VARCHAR), 7, '0') AS item_code,
+cte("origin", f"""
+SELECT {sql_item_code('f.l_partkey')} AS item_code,
        CASE n.n_regionkey % 3 WHEN 0 THEN 'NACIONAL' WHEN 1 THEN 'USA' ELSE 'CHINA' END AS origin
 FROM (SELECT l_partkey, min(l_suppkey) AS s_suppkey FROM lineitem GROUP BY ALL) f
 JOIN supplier s ON f.s_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey""")
@@ -279,18 +338,3 @@ FROM (SELECT item_code, origin,
              CASE origin WHEN 'NACIONAL' THEN 15 WHEN 'USA' THEN 30 ELSE 150 END AS lt_days,
              CASE origin WHEN 'NACIONAL' THEN 15 WHEN 'USA' THEN 30 ELSE 120 END AS lt_min,
              CASE origin WHEN 'NACIONAL' THEN 15 WHEN 'USA' THEN 30 ELSE 180 END AS lt_max FROM origin) o""", "origin")
-_LTD_CASES = " ".join(
-    f"WHEN {n} THEN CASE WHEN count(qty) OVER (PARTITION BY company, item_code ORDER BY p ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) = {n} "
-    f"THEN sum(qty) OVER (PARTITION BY company, item_code ORDER BY p ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) END"
-    for n in (3, 5, 22))
-cte("ltd", f"""
-SELECT * FROM (SELECT company, item_code, p, lt_weeks, CASE lt_weeks {_LTD_CASES} END AS ltd
-               FROM (SELECT s.company, s.item_code, s.p, s.qty, pr.lt_weeks FROM series s
-                     JOIN priors pr ON s.item_code = pr.item_code) j) x WHERE ltd IS NOT NULL""",
-    "series", "priors")
-cte("rop", "SELECT company, item_code, quantile_cont(ltd, 0.95) AS rop FROM ltd GROUP BY ALL", "ltd")
-cte("lod", f"""
-SELECT company, item_code, CAST(season AS INTEGER) AS season, CAST({sql_year_start('season')} + 363 AS DATE) AS season_end,
-       CAST({sql_year_start('season')} + 363 - lt_days AS DATE) AS last_order_date
-FROM (SELECT DISTINCT company, item_code, 2026 + {fdiv('p', 52)} AS season FROM series) s
-JOIN priors USING (item_code)""", "series", "priors")

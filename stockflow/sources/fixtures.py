@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow.functions.log_fields import duration_ms, job_level, log_level
+from stockflow.functions.movement_fields import item_code
 from stockflow.operators.sequence import running_sum
 from stockflow.sources.movements import finalize
 from stockflow.sources.tables import read_table
@@ -30,6 +31,11 @@ JOB_BY_EVENT = {"signup": "sync-movements", "purchase": "backfill-movements"}
 API_BY_EVENT = {"click": ("GET", "/v1/logs"), "error": ("POST", "/v1/jobs")}
 TRIGGER_BY_K_MOD4 = ("api", "scheduled", "cli", "manual")
 HOST = "host-1"
+# planted faults, by the remainder of the document or run number
+TRANSFER_SHORT_MOD = 97                       # a transfer's in-leg lacks one unit
+NO_QUEUED_MOD, TWICE_MOD, EARLY_FINISH_MOD, NEVER_ENDS_MOD = 53, 59, 61, 67
+LOST_LOG_MOD = 83                             # a run whose log record is lost
+NEW_ITEM_MOD, NEW_ITEM_PERIODS = 41, 10       # an item with a history of a few periods only
 # -----------------------------------------------------------------------------------------------
 
 
@@ -54,18 +60,8 @@ def movement_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
                     "l_linestatus", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
-    supplier = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
-    # nation has 25 rows by definition: a fixed-size broadcast.
-    sup_region = supplier.join(F.broadcast(nation), supplier.s_nationkey == nation.n_nationkey) \
-        .select("s_suppkey", "n_regionkey")
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-           .join(sup_region, li.l_suppkey == sup_region.s_suppkey)
-           .withColumn("trans_type", _trans_type(F.col("l_linenumber"), F.col("l_returnflag"),
-                                                 F.col("l_linestatus"))))
-    # Transfers (67) post two legs: out of one warehouse, into the next one.
-    j = j.withColumn("leg", F.explode(F.when(F.col("trans_type") == 67, F.array(F.lit(0), F.lit(1)))
-                                      .otherwise(F.array(F.lit(0)))))
+    sup = _supplier_region(spark, sf_dir)
+    j = _with_legs(li.join(orders, li.l_orderkey == orders.o_orderkey).join(sup, li.l_suppkey == sup.s_suppkey))
     tt, leg, q, px = F.col("trans_type"), F.col("leg"), F.col("l_quantity"), F.col("l_extendedprice")
     in_qty = (F.when(tt == 20, q * 3).when((tt == 16) | ((tt == 67) & (leg == 1)), q)
               .otherwise(F.lit(0.0)))
@@ -75,8 +71,8 @@ def movement_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc_time = F.when(ln != 1, F.pmod(F.col("l_orderkey"), F.lit(24)) * 100 + F.pmod(ln * 7, F.lit(60)))
     return j.select(
         _company(F.col("l_partkey")).alias("company"),
-        F.lpad(F.col("l_partkey").cast("string"), 7, "0").alias("item_code"),
-        F.concat(F.lit("A0"), F.pmod(F.col("n_regionkey") + leg, F.lit(5)).cast("string")).alias("warehouse"),
+        item_code("l_partkey").alias("item_code"),
+        _warehouse().alias("warehouse"),
         F.col("l_shipdate").cast("date").alias("doc_date"),
         doc_time.cast("smallint").alias("doc_time"),
         F.col("o_orderdate").cast("date").alias("create_date"),
@@ -90,9 +86,34 @@ def movement_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def opening_rows(src: DataFrame, qty: float = OPENING_QTY) -> DataFrame:
-    """One type-59 opening receipt per (company, item, warehouse) seen in the source."""
-    keys = src.select("company", "item_code", "warehouse").distinct()
+def _supplier_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    supplier = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
+    # nation has 25 rows by definition: a fixed-size broadcast.
+    return supplier.join(F.broadcast(nation), supplier.s_nationkey == nation.n_nationkey).select("s_suppkey", "n_regionkey")
+
+
+def _with_legs(lines: DataFrame) -> DataFrame:
+    """Document type and legs: transfers (67) post out of one warehouse and into the next one."""
+    typed = lines.withColumn("trans_type", _trans_type(F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")))
+    return typed.withColumn("leg", F.explode(F.when(F.col("trans_type") == 67, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+
+
+def _warehouse():
+    return F.concat(F.lit("A0"), F.pmod(F.col("n_regionkey") + F.col("leg"), F.lit(5)).cast("string"))
+
+
+def stock_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (company, item, warehouse) of the journal. Each line has an order, so orders are not read."""
+    li = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    few = _with_legs(li).select("l_partkey", "l_suppkey", "leg").distinct()
+    sup = _supplier_region(spark, sf_dir)
+    return few.join(sup, few.l_suppkey == sup.s_suppkey).select(
+        _company(F.col("l_partkey")).alias("company"), item_code("l_partkey").alias("item_code"), _warehouse().alias("warehouse")).distinct()
+
+
+def opening_rows(keys: DataFrame, qty: float = OPENING_QTY) -> DataFrame:
+    """One type-59 opening receipt per (company, item, warehouse)."""
     entry = F.col("item_code").cast("bigint") + OPENING_ENTRY_BASE
     return keys.select(
         "company", "item_code", "warehouse",
@@ -113,10 +134,27 @@ def movements(spark: SparkSession, sf_dir: str, opening_qty: float | None = OPEN
     """Finalised movement journal (16 pinned columns) for all companies."""
     src = movement_source(spark, sf_dir)
     if opening_qty is not None:
-        src = src.unionByName(opening_rows(src, opening_qty))
+        src = src.unionByName(opening_rows(stock_keys(spark, sf_dir), opening_qty))
     return finalize(src)
 
 
+def with_transfer_faults(mov: DataFrame) -> DataFrame:
+    """The journal with in-legs of some transfers short by one unit."""
+    short = (F.col("trans_type") == 67) & (F.col("in_qty") > 0) & (F.pmod("base_entry", F.lit(TRANSFER_SHORT_MOD)) == 0)
+    return mov.withColumn("in_qty", F.when(short, F.col("in_qty") - 1).otherwise(F.col("in_qty")))
+
+
+def with_new_items(series: DataFrame) -> DataFrame:
+    """A demand series in which some items only began a few periods ago."""
+    new = F.pmod(F.col("item_code").cast("bigint"), F.lit(NEW_ITEM_MOD)) == 0
+    return series.filter(~new | (F.col("p") > series.agg(F.max("p")).scalar() - NEW_ITEM_PERIODS))
+
+
+def without_lost_logs(logs: DataFrame) -> DataFrame:
+    """Job logs of which some records are lost."""
+    return logs.filter(F.pmod("event_id", F.lit(LOST_LOG_MOD)) != 0)
+
+
 def stock_snapshot(spark: SparkSession, sf_dir: str, mov: DataFrame | None = None) -> DataFrame:
     """Stock snapshot (company, item_code, warehouse, qty_sap) with planted errors."""
     mov = mov if mov is not None else movements(spark, sf_dir)
@@ -204,8 +242,11 @@ def performance_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         counter.alias("io_counter_mb"))
 
 
-def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run lifecycle events: queued (started - 5 s), running (started), terminal (finished)."""
+def run_events(spark: SparkSession, sf_dir: str, planted: bool = False) -> DataFrame:
+    """Run lifecycle events: queued (started - 5 s), running (started), terminal (finished).
+
+    ``planted`` breaks some lifecycles (G4, G7): no queued event, a second terminal event, a finish
+    before the start, no terminal event at all."""
     jl = job_logs(spark, sf_dir).withColumn(
         "k", F.col("rows"))
     m4 = F.pmod(F.col("k"), F.lit(4))
@@ -215,16 +256,17 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = jl.select(F.col("event_id").alias("id"), "job", trig.alias("trigger"),
                      "correlation_id", idem.alias("idempotency_key"), "started_at", "finished_at",
                      "status", "rows")
-    ev = F.explode(F.array(
-        F.struct(F.lit(0).alias("seq"), F.lit("queued").alias("state"),
-                 F.timestamp_add("SECOND", F.lit(-5), F.col("started_at")).alias("event_at"),
-                 F.lit(None).cast("bigint").alias("rows")),
-        F.struct(F.lit(1).alias("seq"), F.lit("running").alias("state"), F.col("started_at").alias("event_at"),
-                 F.lit(None).cast("bigint").alias("rows")),
-        F.struct(F.lit(2).alias("seq"), F.col("status").alias("state"), F.col("finished_at").alias("event_at"),
-                 F.col("rows").alias("rows")),
-    ))
-    return base.select("id", "job", "trigger", "correlation_id", "idempotency_key", ev.alias("e")) \
-        .select("id", "job", "trigger", "correlation_id", "idempotency_key",
-                F.col("e.seq").alias("seq"), F.col("e.state").alias("state"), F.col("e.event_at").alias("event_at"),
-                F.col("e.rows").alias("rows"))
+    every = lambda mod: F.lit(planted) & (F.pmod("id", F.lit(mod)) == 0)
+
+    def event(keep, seq, state, at, rows):
+        return F.when(keep, F.struct(F.lit(seq).alias("seq"), state.alias("state"), at.alias("event_at"), rows.alias("rows")))
+
+    none = F.lit(None).cast("bigint")
+    later = lambda s, c: F.timestamp_add("SECOND", F.lit(s), F.col(c))
+    end = F.when(every(EARLY_FINISH_MOD), later(-1, "started_at")).otherwise(F.col("finished_at"))
+    events = F.array(event(~every(NO_QUEUED_MOD), 0, F.lit("queued"), later(-5, "started_at"), none),
+                     event(F.lit(True), 1, F.lit("running"), F.col("started_at"), none),
+                     event(~every(NEVER_ENDS_MOD), 2, F.col("status"), end, F.col("rows")),
+                     event(every(TWICE_MOD), 3, F.lit("failed"), later(1, "finished_at"), F.col("rows")))
+    return (base.select("id", "job", "trigger", "correlation_id", "idempotency_key", F.explode(F.array_compact(events)).alias("e"))
+            .select("id", "job", "trigger", "correlation_id", "idempotency_key", "e.*"))

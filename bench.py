@@ -27,8 +27,15 @@ HEADLINE = [
     "h1_sales_history",
     "h2_stockout_days",
     "h6_adi_cv2",
+    "h4_unconstrain_v1",       # calendar days without writing them out
+    "h8_abc_by_period",
     "h12_reorder_point",
+    "h15_reorder_report",
     "h19_croston_sba_tsb",
+    "h21_holt_winters",        # per-key fits
+    "h22_fourier_regression",
+    "h25_unconstrain_em",
+    "h26_unconstrain_pd",
     "g1_fold_runs",
     "f6_seek_union",
     "a6_replace_window",

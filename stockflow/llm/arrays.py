@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK_BYTES = 2 << 20
@@ -151,6 +152,17 @@ def without(df: DataFrame, names: list[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in gone]
 
 
+def numbered(df: DataFrame, columns: list[str] | None = None, **own: str) -> DataFrame:
+    """Columns renamed to _k0, _k1, ..., so that no name can clash with one used inside; ``own`` adds
+    copies of columns under further names. ``named`` gives the names back."""
+    keep = df.columns if columns is None else columns
+    return df.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], *[F.col(f"`{c}`").alias(k) for k, c in own.items()])
+
+
+def named(df: DataFrame, columns: list[str], added: list[str] = ()) -> DataFrame:
+    return df.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(columns)], *added)
+
+
 def add_columns(df: DataFrame, text: str, new: str, make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]],
                 carry: list[str] | None = None) -> DataFrame:
     """Append columns computed from whole texts in Arrow batches, chunk by chunk.

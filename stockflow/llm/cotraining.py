@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.arrays import LOWER, Spans, add_columns, list_array, mix, offsets, row_sums, text_bytes, words
+from stockflow.llm.arrays import LOWER, Spans, add_columns, list_array, mix, named, numbered, offsets, row_sums, text_bytes, without, words
 
 BUCKETS = 1 << 20
 TARGETS = ("low", "toxic")
@@ -260,10 +260,10 @@ def train(table: pa.Table, s: Settings) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text",
-        source: str = "source", lang: str = "lang", n_chars: str = "n_chars") -> Model:
+        source: str = "source", lang: str = "lang", n_chars: str = "n_chars", label_id: str = "doc_id") -> Model:
     """Draw the bounded sample, take its features on the executors and co-train on the driver."""
     order = F.xxhash64(F.col("id").cast("string"), F.lit(7))
-    known = (labels.select(F.col(doc_id).alias("id"), (1 - F.col("quality")).alias("low"), F.col("toxic").alias("toxic"))
+    known = (labels.select(F.col(label_id).alias("id"), (1 - F.col("quality")).alias("low"), F.col("toxic").alias("toxic"))
              .where(F.col("id").isNotNull() & (F.col("low").isNotNull() | F.col("toxic").isNotNull())))
     worst = known.groupBy("id").agg(F.max("low").alias("low"), F.max("toxic").alias("toxic"))
     all_ids = docs.select(F.col(doc_id).alias("id")).where(F.col("id").isNotNull())
@@ -292,7 +292,11 @@ def classify(df: DataFrame, model: Model, s: Settings = Settings(), text: str =
              lang: str = "lang", n_chars: str = "n_chars", carry: list[str] | None = None) -> DataFrame:
     """Add ``p_low``, ``p_toxic`` and ``kept`` (both below ``reject``) to every row."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # 4 arrays of BUCKETS floats: 16 MB
-    work = df.withColumns({"_source": F.col(source).cast("string"), "_lang": F.col(lang).cast("string"), "_n_chars": F.col(n_chars).cast("bigint")})
+    added = ["p_low", "p_toxic", "kept"]
+    keep = [c for c in without(df, added) if carry is None or c in carry]
+    work = numbered(df, keep, _text=text, _source=source, _lang=lang, _n_chars=n_chars).withColumns(
+        {"_source": F.col("_source").cast("string"), "_lang": F.col("_lang").cast("string"), "_n_chars": F.col("_n_chars").cast("bigint")})
+    text = "_text"
 
     def make():
         own = shared.value
@@ -309,6 +313,4 @@ def classify(df: DataFrame, model: Model, s: Settings = Settings(), text: str =
             return [pa.array(out[0]), pa.array(out[1]), pa.array((out[0] < s.reject) & (out[1] < s.reject))]
         return step
 
-    keep = carry if carry is not None else df.columns
-    done = add_columns(work, text, "p_low double, p_toxic double, kept boolean", make, [*keep, "_source", "_lang", "_n_chars"])
-    return done.drop("_source", "_lang", "_n_chars")
+    return named(add_columns(work, text, "p_low double, p_toxic double, kept boolean", make), keep, added)

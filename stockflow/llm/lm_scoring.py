@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm import attention as at
-from stockflow.llm.arrays import LOWER, Spans, add_columns, binary_array, broadcast_file, chunks, list_array, offsets, ragged, text_bytes, without, words
+from stockflow.llm.arrays import LOWER, Spans, add_columns, binary_array, broadcast_file, chunks, list_array, named, numbered, offsets, ragged, text_bytes, without, words
 from stockflow.llm.bpe import model
 from stockflow.llm.pieces import PieceCache, kept
 from stockflow.session import materialize
@@ -193,6 +193,7 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
     shared = broadcast_file(spark, path)
     added = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     keep = [c for c in without(df, added) if carry is None or c in carry]
+    work, text = numbered(df, keep, _text=text), "_text"
     hashed = _hashed(m.vocabulary)
     often = hashed.where(F.col("c") * FREQUENT >= m.tokens).toArrow()  # FREQUENT rows at most
     h, c = np.asarray(often["hash"]).view(np.uint64), np.asarray(often["c"])
@@ -227,7 +228,7 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
         return step
 
     new = "n_tokens bigint, _seen bigint, _base double, score double, _rare array<bigint>, _times array<bigint>"
-    read = add_columns(df.withColumn("_row", F.monotonically_increasing_id()), text, new, make, [*keep, "_row"])
+    read = add_columns(work.withColumn("_row", F.monotonically_increasing_id()), text, new, make, without(work, [text]) + ["_row"])
     read = materialize(read, "lm-scored")  # from here on _row is fixed
     rare = (read.select("_row", F.explode(F.arrays_zip("_rare", "_times")).alias("x"))
             .select("_row", F.col("x._rare").alias("hash"), F.col("x._times").alias("times"))
@@ -235,11 +236,11 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
     sums = rare.groupBy("_row").agg(F.sum(F.col("times") * F.log10(F.col("c") + 0.5)).alias("_more"),
                                     F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("_also"))
     down = float(np.log10(m.tokens + 0.5 * (m.distinct + 1)))
-    return (read.drop("_rare", "_times").join(sums, "_row", "left")
+    done = (read.drop("_rare", "_times").join(sums, "_row", "left")
             .withColumn("n_known", F.col("_seen") + F.coalesce("_also", F.lit(0)))
             .withColumn("train_tokens", F.lit(m.tokens).cast("bigint"))
-            .withColumn("base_score", F.col("_base") + F.coalesce("_more", F.lit(0.0)) - F.col("n_tokens") * F.lit(down))
-            .select(*keep, *added))
+            .withColumn("base_score", F.col("_base") + F.coalesce("_more", F.lit(0.0)) - F.col("n_tokens") * F.lit(down)))
+    return named(done, keep, added)
 
 
 def held_out(doc_id: Column, parts: int, part: int = 1) -> Column:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockflow.llm.arrays import add_columns, binary_array, mix, without
+from stockflow.llm.arrays import add_columns, binary_array, mix, named, numbered, without
 from stockflow.llm.graph import components
 from stockflow.llm.hyperminhash import BANDS, REGISTERS, band_keys, jaccard, registers
 from stockflow.llm.shingles import shingle_sets
@@ -237,11 +237,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Add ``n_shingles``, ``component_id`` and ``kept`` (doc_id = component_id) to every document."""
     added = ["n_shingles", "component_id", "kept"]
     keep = [c for c in without(docs, added) if carry is None or c in carry]
-    signed = materialize(signatures(docs, text, width, keep), "signed")
-    found = groups(signed, docs, doc_id, text, percent, width)
-    return (signed.drop("registers").join(found.select("set_id", "component_id"), "set_id", "left")
-            .withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col(doc_id)).otherwise(F.col("component_id")))
-            .withColumn("kept", F.col(doc_id).eqNullSafe(F.col("component_id"))).select(*keep, *added))
+    work = numbered(docs, keep, _id=doc_id, _text=text)
+    signed = materialize(signatures(work, "_text", width, without(work, ["_text"])), "signed")
+    found = groups(signed, work, "_id", "_text", percent, width)
+    done = (signed.drop("registers").join(found.select("set_id", "component_id"), "set_id", "left")
+            .withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("_id")).otherwise(F.col("component_id")))
+            .withColumn("kept", F.col("_id").eqNullSafe(F.col("component_id"))))
+    return named(done, keep, added)
 
 
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, width: int = 5) -> DataFrame:
@@ -249,12 +251,13 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Documents without a word stay, all of them; of rows that repeat id and set, one stays.
     """
-    signed = materialize(signatures(docs, text, width, docs.columns), "signed")
-    found = groups(signed, docs, doc_id, text, percent, width)
+    work = numbered(docs, _id=doc_id, _text=text)
+    signed = materialize(signatures(work, "_text", width, without(work, ["_text"])), "signed")
+    found = groups(signed, work, "_id", "_text", percent, width)
     best = (found.where(F.col("label").eqNullSafe(F.col("component_id"))).groupBy("root")
             .agg(F.min(F.struct("set_id", "label")).alias("best")).select(F.col("best.set_id").alias("_set"), F.col("best.label").alias("_label")))
-    once = Window.partitionBy("set_id", doc_id).orderBy(F.lit(0))
+    once = Window.partitionBy("set_id", "_id").orderBy(F.lit(0))
     stay = (signed.drop("registers", "n_shingles").where("set_id is not null")
-            .join(best, (F.col("set_id") == F.col("_set")) & F.col(doc_id).eqNullSafe(F.col("_label")))
+            .join(best, (F.col("set_id") == F.col("_set")) & F.col("_id").eqNullSafe(F.col("_label")))
             .withColumn("_n", F.row_number().over(once)).where("_n = 1"))
-    return stay.select(docs.columns).unionByName(signed.where("set_id is null").select(docs.columns))
+    return named(stay, docs.columns).unionByName(named(signed.where("set_id is null"), docs.columns))

@@ -235,6 +235,7 @@ def pack(items: DataFrame, capacity: int, s: Settings = Settings(), length: str
 
     Lengths run from 1 to ``capacity``; a sequence's lengths sum up to ``capacity`` at most.
     """
+    items = items.select(*[f"`{c}`" for c in without(items, ["sequence_id", "offset"])])
     full = items.where(F.col(length) == capacity).select("row", (-F.col("row") - 1).alias("sequence_id"), F.col(length).alias("_length"))
     rest = items.where(F.col(length) < capacity).select("row", F.col(length).alias("length"))
     done, base = [full], 0

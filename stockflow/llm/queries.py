@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stockflow.llm import bpe, cotraining, language_id, lm_scoring, near_dedup, packing, quality_rules, sharding, token_counts, topk
 from stockflow.llm import oracle
+from stockflow.llm.arrays import named, numbered, without
 from stockflow.llm.lm_scoring import held_out
 from stockflow.session import materialize
 
@@ -40,10 +41,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, carry=["doc_id", "held_out"])
 
 
-def _judged(docs: DataFrame, carry: list[str], rule: quality_rules.Rule = quality_rules.Rule()) -> DataFrame:
-    measured = materialize(quality_rules.measure(docs, public_tokenizers.path("piece_bpe_32k.model"),
-                                                 public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), PATTERN, carry=carry), "measured")
-    return quality_rules.verdict(measured, quality_rules.fit_bands(measured, rule), rule)
+def _judged(docs: DataFrame, carry: list[str], text: str = "text", lang: str = "lang") -> DataFrame:
+    rule = quality_rules.Rule()
+    measured = materialize(quality_rules.measure(docs, public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                                                 PATTERN, text, carry), "measured")
+    return quality_rules.verdict(measured, quality_rules.fit_bands(measured, rule, lang), rule, lang)
 
 
 def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,11 +104,14 @@ ORACLE = {"op5_byte_shards": oracle.BYTE_SHARDS, "op6_hyperminhash": oracle.NEAR
 # -- stages of the pipeline -----------------------------------------------------------------------
 
 def keep_by_rules(docs: DataFrame) -> DataFrame:
-    return _judged(docs, docs.columns).where("kept").select(docs.columns)
+    work = numbered(docs, _text="text", _lang="lang")
+    return named(_judged(work, without(work, ["_text"]), "_text", "_lang").where("kept"), docs.columns)
 
 
 def keep_by_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return cotraining.classify(docs, cotraining.fit(docs, labels)).where("kept").select(docs.columns)
+    model = cotraining.fit(docs, labels)
+    work = numbered(docs, _text="text", _source="source", _lang="lang", _chars="n_chars")
+    return named(cotraining.classify(work, model, text="_text", source="_source", lang="_lang", n_chars="_chars").where("kept"), docs.columns)
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:

@@ -20,10 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockflow.llm.arrays import without
-
-INSIDE = {"_part", "_total", "_before", "_row", "_bytes", "_first"}
-
+from stockflow.llm.arrays import named, numbered, without
 
 def shard(df: DataFrame, shards: int, size: str, order: list[str]) -> DataFrame:
     """Add ``shard int`` (0 to shards - 1) and ``slot long`` (place in its shard, gapless from 0).
@@ -32,11 +29,11 @@ def shard(df: DataFrame, shards: int, size: str, order: list[str]) -> DataFrame:
     tell rows apart. The rows with their partition number are checkpointed, as a second run of the
     range partitioning might draw other bounds.
     """
-    if clash := {c.lower() for c in df.columns} & INSIDE:
-        raise ValueError(f"columns {sorted(clash)} are used inside")
+    keep = without(df, ["shard", "slot"])
+    df = numbered(df, keep, _size=size, **{f"_o{i}": c for i, c in enumerate(order)})
+    size, order = "_size", [f"_o{i}" for i in range(len(order))]
     n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    placed = (df.select(*[f"`{c}`" for c in without(df, ["shard", "slot"])])
-              .repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).checkpoint())
+    placed = (df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).checkpoint())
     # one row for each partition, so its windows and its broadcast are as small as their number
     totals = placed.groupBy("_part").agg(F.sum(size).alias("_bytes"), F.count("*").alias("_rows"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -51,5 +48,6 @@ def shard(df: DataFrame, shards: int, size: str, order: list[str]) -> DataFrame:
            .withColumn("shard", F.expr(f"cast(((2 * (_before + _bytes) - `{size}`) * {shards}L) div (2 * _total) as int)"))
            .withColumn("_row", F.col("_first") + F.col("_row")))
     first = cut.groupBy("shard").agg(F.min("_row").alias("_first"))
-    return (cut.drop("_first").join(F.broadcast(first), "shard")  # one row for each shard
-            .withColumn("slot", F.col("_row") - F.col("_first")).drop(*INSIDE))
+    done = (cut.drop("_first").join(F.broadcast(first), "shard")  # one row for each shard
+            .withColumn("slot", F.col("_row") - F.col("_first")))
+    return named(done, keep, ["shard", "slot"])

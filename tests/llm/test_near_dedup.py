@@ -58,10 +58,10 @@ def table():
 
 def test_against_all_pairs(spark):
     rows = table()
-    df = docs(spark, rows).withColumnRenamed("source", "KEPT")
+    df = docs(spark, rows).withColumnRenamed("source", "KEPT").withColumnRenamed("lang", "set_id")
     got = near_dedup.near_duplicates(df).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in got) == brute(rows)
-    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+    assert all(r.kept == (r.doc_id == r.component_id) and r.set_id in ("en", None) for r in got)
 
 
 def test_one_of_each_group_stays(spark):

@@ -29,3 +29,17 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF0001)
     assert docs.count() == 0
+
+
+def test_extra_columns_with_names_used_inside_survive(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    extra = ["set_id", "registers", "node", "script", "band", "_source", "_text", "_k0", "kept", "_row", "size", "shard", "_part"]
+    wide = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in extra])
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, wide, SF0001)
+        assert out.columns == wide.columns
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in extra)
+    assert dict(corpus_pipeline.STAGES)["best_fit_packing"](spark, wide, SF0001).count() > 0

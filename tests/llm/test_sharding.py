@@ -19,10 +19,10 @@ def law(rows, shards, total):
 
 def test_brute_force_with_ties_and_hot_copies(spark):
     sizes = [(i, 1 + (i * 37) % 90, "hot" if i % 3 == 0 else f"t{i}") for i in range(400)] + [(None, 5, "x"), (7, 8, "hot")]
-    df = spark.createDataFrame(sizes, "doc_id bigint, size bigint, content string").withColumn("Slot", F.lit("clash"))
+    df = spark.createDataFrame(sizes, "doc_id bigint, size bigint, content string").withColumn("Slot", F.lit("clash")).withColumn("_part", F.lit("own"))
     for n in (1, 3, 8):
         got = sharding.shard(df, n, "size", ["content", "doc_id", "size"]).collect()
-        assert len(got) == len(sizes)
+        assert len(got) == len(sizes) and all(r._part == "own" for r in got)
         order = sorted(((c, -1 if d is None else d, s) for d, s, c in sizes))
         want = law([((c, d, s), s) for c, d, s in order], n, sum(s for _, s, _ in sizes))
         assert {(r.content, -1 if r.doc_id is None else r.doc_id, r["size"]): (r.shard, r.slot) for r in got} == want

@@ -20,7 +20,9 @@ PRIOR = 20.0
 F = np.float32
 SHAPES = {"e": (INPUTS + 1, WIDTH), "p": (WINDOW, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH),
           "o": (WIDTH, WIDTH), "u": (WIDTH, OUTPUTS), "b": (OUTPUTS,)}
-_MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, F), 1)
+SKIP = WINDOW - STRIDE   # places of a later window that only give context
+CLIP = F(60)             # attention scores and logits stay below, so that exp needs no maximum
+_SEEN = np.tril(np.ones((WINDOW, WINDOW), F))
 
 
 @dataclass
@@ -70,69 +72,86 @@ def initial(c: Classes, counts: np.ndarray, seed: int = 7) -> dict[str, np.ndarr
     return out
 
 
-def windows(ids: np.ndarray, off: np.ndarray, c: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Overlapping windows over texts: input classes, target ids (-1: not scored here) and text index.
+class Places:
+    """The places of texts, padded so that every window is whole.
 
     A text of n ids has n + 1 places: the first is predicted from the start sign, the last is the
     end sign. Window k starts at place k * STRIDE and scores the places no earlier window scored.
     """
-    size = np.diff(off) + 1
-    end = len(c.inputs) - 1
-    start = np.zeros(len(size) + 1, np.int64)
-    np.cumsum(size, out=start[1:])
-    target = np.full(start[-1], end, np.int64)
-    inner = np.ones(start[-1], bool)
-    inner[start[1:] - 1] = False
-    target[inner] = ids
-    given = np.full(start[-1], INPUTS, np.int64)
-    later = np.ones(start[-1], bool)
-    later[start[:-1]] = False
-    given[later] = c.inputs[ids]
-    n = 1 + -(-np.maximum(size - WINDOW, 0) // STRIDE)
-    text = np.repeat(np.arange(len(size)), n)
-    first = np.cumsum(n) - n
-    k = np.arange(n.sum()) - first[text]
-    place = k[:, None] * STRIDE + np.arange(WINDOW)
-    inside = place < size[text][:, None]
-    at = np.where(inside, start[text][:, None] + place, 0)
-    fresh = inside & ((k == 0)[:, None] | (np.arange(WINDOW) >= WINDOW - STRIDE))
-    return np.where(inside, given[at], 0), np.where(fresh, target[at], -1), text
-
-
-def _attend(w: dict[str, np.ndarray], x: np.ndarray):
-    h = w["e"][x] + w["p"]
-    q, k, v = h @ w["q"], h @ w["k"], h @ w["v"]
-    a = q @ k.transpose(0, 2, 1)
-    a *= F(WIDTH ** -0.5)
-    a += _MASK
-    a -= a.max(-1, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(-1, keepdims=True)
-    z = a @ v
-    return h, q, k, v, a, z, h + z @ w["o"]
+
+    def __init__(self, ids: np.ndarray, off: np.ndarray, c: Classes):
+        size = np.diff(off) + 1
+        n = 1 + -(-np.maximum(size - WINDOW, 0) // STRIDE)
+        first = np.cumsum(WINDOW + (n - 1) * STRIDE)
+        room = first[-1] if len(first) else 0
+        first = first - (WINDOW + (n - 1) * STRIDE)
+        self.given, self.target = np.zeros(room, np.int32), np.full(room, -1, np.int32)
+        at = np.repeat(first - off[:-1], np.diff(off)) + np.arange(len(ids))
+        self.target[at] = ids
+        self.target[first + size - 1] = len(c.inputs) - 1
+        self.given[at + 1] = c.inputs[ids]
+        self.given[first] = INPUTS
+        self.text = np.repeat(np.arange(len(size)), n)
+        k = np.arange(len(self.text)) - (np.cumsum(n) - n)[self.text]
+        self.start = first[self.text] + k * STRIDE
+        self.first = k == 0
+
+    def take(self, rows: np.ndarray, begin: int = 0, end: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+        at = self.start[rows][:, None] + np.arange(begin, end)
+        return self.given[at], self.target[at]
+
+
+def windows(ids: np.ndarray, off: np.ndarray, c: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows: input classes, target ids (-1: not scored here) and text index."""
+    p = Places(ids, off, c)
+    x, y = p.take(np.arange(len(p.start)))
+    y[~p.first, :SKIP] = -1
+    return x, y, p.text
+
+
+def _attend(w: dict[str, np.ndarray], x: np.ndarray, begin: int = 0):
+    """Output rows of the places from ``begin`` on, each seeing all places up to itself."""
+    h = w["e"][x] + w["p"][: x.shape[1]]
+    q, k, v = h[:, begin:] @ (w["q"] * F(WIDTH ** -0.5)), h @ w["k"], h @ w["v"]
+    s = q @ k.transpose(0, 2, 1)
+    np.minimum(s, CLIP, out=s)
+    a = np.exp(s, out=s)
+    a *= _SEEN[begin: x.shape[1], : x.shape[1]]
+    total = a.sum(-1, keepdims=True)
+    z = (a @ v) / total
+    return h, q, k, v, a, total, z, h[:, begin:] + z @ w["o"]
+
+
+def _places(w: dict[str, np.ndarray], c: Classes, x: np.ndarray, y: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probabilities of the targets from ``begin`` on, and which of them count."""
+    out = _attend(w, x, begin)[-1]
+    given, target = x[:, begin:].ravel(), y[:, begin:].ravel()
+    logits = out.reshape(-1, WIDTH) @ w["u"] + w["b"]
+    np.minimum(logits, CLIP, out=logits)
+    hit = logits[np.arange(len(target)), c.outputs[target]]
+    np.exp(logits, out=logits)
+    return hit - np.log(logits.sum(-1)) + c.log_share[given, target], target >= 0
 
 
 def log_prob(w: dict[str, np.ndarray], c: Classes, ids: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Natural log-probability of each text with its end sign; every place is scored once."""
-    x, y, text = windows(ids, off, c)
+    p = Places(ids, off, c)
     total = np.zeros(len(off) - 1)
-    for i in range(0, len(x), BATCH):
-        h = _attend(w, x[i: i + BATCH])[-1]
-        want = y[i: i + BATCH] >= 0
-        rows, target = np.nonzero(want)[0], y[i: i + BATCH][want]
-        logits = h[want] @ w["u"] + w["b"]
-        logits -= logits.max(-1, keepdims=True)
-        hit = logits[np.arange(len(target)), c.outputs[target]]
-        np.exp(logits, out=logits)
-        lp = hit - np.log(logits.sum(-1)) + c.log_share[x[i: i + BATCH][want], target]
-        total += np.bincount(text[i: i + BATCH][rows], lp, len(total))
+    # every window scores its last STRIDE places, a text's first one the places before as well
+    for begin, end, which in ((SKIP, WINDOW, np.arange(len(p.start))), (0, SKIP, np.flatnonzero(p.first))):
+        for i in range(0, len(which), BATCH):
+            rows = which[i: i + BATCH]
+            lp, ok = _places(w, c, *p.take(rows, 0, end), begin)
+            sums = np.where(ok, lp, 0).reshape(len(rows), -1).sum(1, dtype=np.float64)
+            total += np.bincount(p.text[rows], sums, len(total))
     return total
 
 
 def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
     """Mean cross-entropy of output classes ``y`` (-1: none) and its gradients."""
-    h, q, k, v, a, z, out = _attend(w, x)
-    logits = out @ w["u"] + w["b"]
+    h, q, k, v, a, total, z, out = _attend(w, x)
+    a = a / total
+    logits = np.minimum(out @ w["u"] + w["b"], CLIP)
     logits -= logits.max(-1, keepdims=True)
     p = np.exp(logits)
     p /= p.sum(-1, keepdims=True)
@@ -148,8 +167,8 @@ def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[d
     g["o"] = flat(z).T @ flat(d_out)
     d_z = d_out @ w["o"].T
     d_a, d_v = d_z @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ d_z
-    d_s = a * (d_a - (d_a * a).sum(-1, keepdims=True)) * F(WIDTH ** -0.5)
-    d_q, d_k = d_s @ k, d_s.transpose(0, 2, 1) @ q
+    d_s = a * (d_a - (d_a * a).sum(-1, keepdims=True))
+    d_q, d_k = d_s @ k * F(WIDTH ** -0.5), d_s.transpose(0, 2, 1) @ q  # q already holds the scale
     d_h = d_out + d_q @ w["q"].T + d_k @ w["k"].T + d_v @ w["v"].T
     for name, d in (("q", d_q), ("k", d_k), ("v", d_v)):
         g[name] = flat(h).T @ flat(d)

@@ -5,8 +5,8 @@ the counts of subword ids (each word encoded once, with a space before it), from
 of the attention model follow. The model is trained by averaged local runs: each task trains on its
 own part of a fixed share of the training texts, and Spark averages the weights by places seen.
 
-``score`` reads each text once. Words whose count reaches the 2 ** -17th part of all training
-tokens, which are 2 ** 17 at most, have their counts broadcast; counts of the other words come by a
+``score`` reads each text once. Words whose count reaches the 2 ** -19th part of all training
+tokens, which are 2 ** 19 at most, have their counts broadcast; counts of the other words come by a
 join on the 64-bit hash of the word. Subword ids go through the model in overlapping windows, each
 place scored once.
 
@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from stockflow.llm import attention as at
 from stockflow.llm.arrays import LOWER, Spans, add_columns, binary_array, broadcast_file, chunks, list_array, named, numbered, offsets, ragged, text_bytes, without, words
 from stockflow.llm.bpe import model
-from stockflow.llm.pieces import PieceCache, kept
+from stockflow.llm.pieces import HashIndex, PieceCache, kept
 from stockflow.session import materialize
 
-FREQUENT = 1 << 17
+FREQUENT = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -197,22 +197,22 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
     hashed = _hashed(m.vocabulary)
     often = hashed.where(F.col("c") * FREQUENT >= m.tokens).toArrow()  # FREQUENT rows at most
     h, c = np.asarray(often["hash"]).view(np.uint64), np.asarray(often["c"])
-    order = np.argsort(h)
-    given = spark.sparkContext.broadcast((h[order], c[order], m.ends, m.classes, m.weights))
+    given = spark.sparkContext.broadcast((h, c, m.ends, m.classes, m.weights))
 
     def make():
         known, count, ends, cl, weights = given.value
-        cache = kept(("lm", hash((shared.value, pattern))), lambda: PieceCache(model(shared, pattern).encode, 600_000))
-        known = np.append(known, np.uint64(2 ** 64 - 1))
-        count = np.append(count, 0)
+        cache = kept(("lm", hash((shared.value, pattern))), lambda: PieceCache(model(shared, pattern).encode, 400_000))
+        index = HashIndex(max(8, int(2 * len(known) + 1).bit_length()))
+        index.add(known, np.arange(len(known), dtype=np.int32))
+        log_count = np.log10(np.append(count, 0) + 0.5)
 
         def step(b: pa.RecordBatch) -> list[pa.Array]:
             n = b.num_rows
             _, _, _, row, h = _low_words(b.column(text))
-            place = np.searchsorted(known[:-1], h)
-            hit = (known[place] == h) & (count[place] > 0)
+            place = index.find(h)
+            hit = place >= 0
             tokens = np.bincount(row, minlength=n) + 1
-            base = np.bincount(row[hit], np.log10(count[place[hit]] + 0.5), n) + np.log10(ends + 0.5)
+            base = np.bincount(row[hit], log_count[place[hit]], n) + np.log10(ends + 0.5)
             seen = np.bincount(row[hit], minlength=n) + (ends > 0)
             r, x = row[~hit], h[~hit]
             o = np.lexsort((x, r))

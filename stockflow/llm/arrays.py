@@ -15,7 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+#: Rows that Spark hands to Python at once: whole texts are long, and 10,000 of them (the default)
+#: would stand in memory three times, in Spark's buffer and on both sides of the pipe.
+BATCH_ROWS = 1000
 #: Largest value that a driver-side table may have to be broadcast by this package.
 BROADCAST_BYTES = 64 << 20
 
@@ -146,12 +149,44 @@ def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterat
         yield batch.slice(a, b - a)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of short rows put together, up to about ``rows`` rows each."""
+    have: list[pa.RecordBatch] = []
+    for b in batches:
+        have.append(b)
+        if sum(x.num_rows for x in have) >= rows:
+            yield pa.concat_batches(have)
+            have = []
+    if have:
+        yield pa.concat_batches(have)
+
+
 def without(df: DataFrame, names: list[str]) -> list[str]:
     """The columns of df whose names, ignoring case, are none of ``names``."""
     gone = {n.lower() for n in names}
     return [c for c in df.columns if c.lower() not in gone]
 
 
+_caches: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable[[], object], most: int = 2):
+    """The object of ``key`` in this Python worker, so that its next task finds a warm cache."""
+    if key not in _caches:
+        if len(_caches) >= most:
+            _caches.clear()
+        _caches[key] = make()
+    return _caches[key]
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with this session set to hand at most BATCH_ROWS rows to Python at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def numbered(df: DataFrame, columns: list[str] | None = None, **own: str) -> DataFrame:
     """Columns renamed to _k0, _k1, ..., so that no name can clash with one used inside; ``own`` adds
     copies of columns under further names. ``named`` gives the names back."""
@@ -164,12 +199,13 @@ def named(df: DataFrame, columns: list[str], added: list[str] = ()) -> DataFrame
 
 
 def add_columns(df: DataFrame, text: str, new: str, make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]],
-                carry: list[str] | None = None) -> DataFrame:
+                carry: list[str] | None = None, warm: bool = False) -> DataFrame:
     """Append columns computed from whole texts in Arrow batches, chunk by chunk.
 
     ``new`` is a DDL schema of the added columns. ``make()`` runs once in each task and returns
     the function from a chunk to the added arrays. ``carry`` names the input columns to keep
-    (default: all); an input column whose name clashes with an added one is replaced by it.
+    (default: all); an input column whose name clashes with an added one is replaced by it. ``warm``:
+    the operator has caches of its own that its next task in the same worker may use (``kept``).
     """
     added = T.StructType.fromDDL(new)
     read = {text.lower()}
@@ -178,12 +214,14 @@ def add_columns(df: DataFrame, text: str, new: str, make: Callable[[], Callable[
     source = df.select(*[f"`{c}`" for c in dict.fromkeys([*keep, *[c for c in df.columns if c.lower() in read]])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not warm:
+            _caches.clear()  # what operators before have left in this worker
         step = make()
         for whole in batches:
             for b in chunks(whole, text):
                 yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + step(b), [*keep, *added.names])
 
-    return source.mapInArrow(run, schema)
+    return small_batches(source).mapInArrow(run, schema)
 
 
 def broadcast_file(spark: SparkSession, path: str):

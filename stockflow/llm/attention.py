@@ -117,7 +117,7 @@ def _attend(w: dict[str, np.ndarray], x: np.ndarray, begin: int = 0):
     np.minimum(s, CLIP, out=s)
     a = np.exp(s, out=s)
     a *= _SEEN[begin: x.shape[1], : x.shape[1]]
-    total = a.sum(-1, keepdims=True)
+    total = a @ np.ones((a.shape[-1], 1), F)
     z = (a @ v) / total
     return h, q, k, v, a, total, z, h[:, begin:] + z @ w["o"]
 
@@ -130,7 +130,7 @@ def _places(w: dict[str, np.ndarray], c: Classes, x: np.ndarray, y: np.ndarray,
     np.minimum(logits, CLIP, out=logits)
     hit = logits[np.arange(len(target)), c.outputs[target]]
     np.exp(logits, out=logits)
-    return hit - np.log(logits.sum(-1)) + c.log_share[given, target], target >= 0
+    return hit - np.log(logits @ np.ones(OUTPUTS, F)) + c.log_share[given, target], target >= 0
 
 
 def log_prob(w: dict[str, np.ndarray], c: Classes, ids: np.ndarray, off: np.ndarray) -> np.ndarray:

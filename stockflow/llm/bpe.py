@@ -22,8 +22,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from stockflow.llm.arrays import add_columns, binary_array, broadcast_file, list_array, offsets, ragged
-from stockflow.llm.pieces import MatchCache, PieceCache, kept
+from stockflow.llm.arrays import add_columns, binary_array, broadcast_file, kept, list_array, offsets, ragged, small_batches
+from stockflow.llm.pieces import MatchCache, PieceCache
 
 if TYPE_CHECKING:
     from stockflow.llm.token_counts import RankMerger
@@ -203,15 +203,9 @@ class ByteBpe:
         return ragged(self.token_bytes, self.token_off[flat], length), offsets(length)[off]
 
 
-_models: dict[int, ByteBpe] = {}
-
-
 def model(shared, pattern: str) -> ByteBpe:
     """The tables of a broadcast rank file, built once in each Python worker."""
-    if (key := hash((shared.value, pattern))) not in _models:
-        _models.clear()
-        _models[key] = ByteBpe.from_file(shared.value, pattern)
-    return _models[key]
+    return kept(("ranks", hash((shared.value, pattern))), lambda: ByteBpe.from_file(shared.value, pattern), 3)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids",
@@ -226,7 +220,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
             return [list_array(*cache.ids(b.column(text)), pa.int32())]
         return step
 
-    return add_columns(df, text, f"`{ids}` array<int>", make, carry)
+    return add_columns(df, text, f"`{ids}` array<int>", make, carry, warm=True)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -246,4 +240,4 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
                 done = binary_array(*own.decode(flat, off))
                 yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [done], [*keep, out])
 
-    return df.select(*[f"`{c}`" for c in keep]).mapInArrow(run, schema)
+    return small_batches(df.select(*[f"`{c}`" for c in keep])).mapInArrow(run, schema)

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.arrays import BROADCAST_BYTES, add_columns, chunks, offsets
+from stockflow.llm.arrays import BROADCAST_BYTES, add_columns, chunks, offsets, small_batches
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -92,7 +92,7 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model:
                     yield from flush()
         yield from flush()
 
-    counted = (rows.mapInArrow(count, "lang string, bucket int, n bigint")
+    counted = (small_batches(rows).mapInArrow(count, "lang string, bucket int, n bigint")
                .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).persist())
     try:
         names = sorted(r[0] for r in counted.where("bucket = -1").select("lang").take(BROADCAST_BYTES // (4 * BUCKETS) + 1))

@@ -26,9 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm import attention as at
-from stockflow.llm.arrays import LOWER, Spans, add_columns, binary_array, broadcast_file, chunks, list_array, named, numbered, offsets, ragged, text_bytes, without, words
+from stockflow.llm.arrays import LOWER, Spans, add_columns, binary_array, broadcast_file, chunks, gathered, kept, list_array, named, numbered, offsets, ragged, small_batches, text_bytes, without, words
 from stockflow.llm.bpe import model
-from stockflow.llm.pieces import HashIndex, PieceCache, kept
+from stockflow.llm.pieces import HashIndex, PieceCache
 from stockflow.session import materialize
 
 FREQUENT = 1 << 19
@@ -43,7 +43,7 @@ class Settings:
 
 @dataclass
 class Model:
-    vocabulary: DataFrame          # word, n: a written table
+    vocabulary: DataFrame          # word, n, ids: a written table
     tokens: int                    # N
     distinct: int                  # V
     ends: int                      # training texts
@@ -68,25 +68,33 @@ def count_words(texts: DataFrame, text: str) -> DataFrame:
                 size = (end - start)[first]
                 yield pa.RecordBatch.from_arrays([binary_array(ragged(low, start[first], size), offsets(size)), pa.array(n.astype(np.int64))], ["word", "n"])
 
-    return texts.select(text).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return small_batches(texts.select(text)).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _over_words(vocabulary: DataFrame, shared, pattern: str, add, ddl: str) -> pa.Table:
-    """Sums over all distinct words, each encoded once: ``add(total, ids, off, n)`` updates a dict of
-    numpy counts from a slice of words with counts n; Spark sums what the tasks have counted."""
-    def count(batches):
+def _with_ids(counted: DataFrame, shared, pattern: str) -> DataFrame:
+    """Add ``ids array<int>``: the subword ids of each word with a space before it."""
+    def encode(batches):
         own = model(shared, pattern)
-        total: dict[str, np.ndarray] = {}
-        for b in batches:
-            for k in range(0, b.num_rows, 50_000):
-                part = b.slice(k, 50_000)
-                ids, off = own.encode([" " + w.decode("utf-8", "replace") for w in part.column(0).to_pylist()])
-                add(total, ids.astype(np.int64), off, np.asarray(part.column(1)))
-        for flat in total.values():
-            at_ = np.flatnonzero(flat)
-            yield pa.RecordBatch.from_arrays([pa.array(at_), pa.array(flat.ravel()[at_])], ["id", "n"])
+        for b in gathered(batches, 50_000):
+            ids, off = own.encode([" " + w.decode("utf-8", "replace") for w in b.column(0).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*b.columns, list_array(ids, off, pa.int32())], ["word", "n", "ids"])
+
+    return counted.select("word", "n").mapInArrow(encode, "word binary, n bigint, ids array<int>")
+
+
+def _over_words(vocabulary: DataFrame, size: int, add) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over all distinct words: ``add(total, ids, off, n)`` updates ``size`` counts from a batch
+    of words with counts n; Spark sums what the tasks have counted. Returns places and counts."""
+    def count(batches):
+        total = np.zeros(size, np.int64)
+        for b in gathered(batches, 50_000):
+            off = offsets(np.asarray(pa.compute.list_value_length(b.column(0)), np.int64))
+            add(total, np.asarray(b.column(0).flatten(), np.int64), off, np.asarray(b.column(1)))
+        at_ = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at_), pa.array(total[at_])], ["id", "n"])
 
-    return vocabulary.select("word", "n").mapInArrow(count, ddl).groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    rows = vocabulary.select("ids", "n").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    return np.asarray(rows["id"]), np.asarray(rows["n"])
 
 
 def _classes(vocabulary: DataFrame, ends: int, shared, pattern: str) -> tuple[at.Classes, np.ndarray]:
@@ -96,12 +104,11 @@ def _classes(vocabulary: DataFrame, ends: int, shared, pattern: str) -> tuple[at
     n_ids = len(own.token_off)  # the file's ids and the end sign
 
     def single(total, ids, off, n):
-        total.setdefault("n", np.zeros(n_ids, np.int64))
-        total["n"] += np.bincount(ids, np.repeat(n, np.diff(off)), n_ids).astype(np.int64)
+        total += np.bincount(ids, np.repeat(n, np.diff(off)), n_ids).astype(np.int64)
 
-    rows = _over_words(vocabulary, shared, pattern, single, "id bigint, n bigint")
+    seen, n = _over_words(vocabulary, n_ids, single)
     counts = np.zeros(n_ids)
-    counts[np.asarray(rows["id"])] = np.asarray(rows["n"])
+    counts[seen] = n
     counts[-1] = ends
     c = at.classes(counts, [own.token_bytes[a:b].tobytes() for a, b in zip(own.token_off, own.token_off[1:])] + [b""])
     inputs = c.inputs
@@ -110,14 +117,11 @@ def _classes(vocabulary: DataFrame, ends: int, shared, pattern: str) -> tuple[at
         inner = np.ones(len(ids), bool)
         inner[off[:-1][np.diff(off) > 0]] = False
         here = np.flatnonzero(inner)
-        key = inputs[ids[here - 1]] * n_ids + ids[here]
-        total.setdefault("n", np.zeros((at.INPUTS + 1) * n_ids, np.int64))
-        keys, back = np.unique(key, return_inverse=True)
-        total["n"][keys] += np.bincount(back, np.repeat(n, np.diff(off))[here], len(keys)).astype(np.int64)
+        keys, back = np.unique(inputs[ids[here - 1]] * n_ids + ids[here], return_inverse=True)
+        total[keys] += np.bincount(back, np.repeat(n, np.diff(off))[here], len(keys)).astype(np.int64)
 
-    rows = _over_words(vocabulary, shared, pattern, pairs, "id bigint, n bigint")
-    key = np.asarray(rows["id"])
-    return at.given_last(c, key // n_ids, key % n_ids, np.asarray(rows["n"])), counts
+    key, n = _over_words(vocabulary, (at.INPUTS + 1) * n_ids, pairs)
+    return at.given_last(c, key // n_ids, key % n_ids, n), counts
 
 
 def _ids(cache: PieceCache, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +143,7 @@ def _train(train: DataFrame, doc_id: str, text: str, c: at.Classes, counts: np.n
             return [list_array(ids, off, pa.int32())]
         return step
 
-    encoded = materialize(add_columns(sample, "text", "ids array<int>", encode, ["part"]), "lm-sample")
+    encoded = materialize(add_columns(sample, "text", "ids array<int>", encode, ["part"], warm=True), "lm-sample")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     flat = at.pack(at.initial(c, counts))
     for k in range(s.rounds):
@@ -170,7 +174,7 @@ def _train(train: DataFrame, doc_id: str, text: str, c: at.Classes, counts: np.n
 def fit(train: DataFrame, path: str, pattern: str, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> Model:
     """Learn word counts, subword classes and attention weights from the training rows."""
     shared = broadcast_file(train.sparkSession, path)
-    vocabulary = materialize(count_words(train, text), "lm-words")
+    vocabulary = materialize(_with_ids(count_words(train, text), shared, pattern), "lm-words")
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = train.count()
     c, counts = _classes(vocabulary, ends, shared, pattern)
@@ -201,7 +205,7 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
 
     def make():
         known, count, ends, cl, weights = given.value
-        cache = kept(("lm", hash((shared.value, pattern))), lambda: PieceCache(model(shared, pattern).encode, 400_000))
+        cache = kept(("lm", hash((shared.value, pattern))), lambda: PieceCache(model(shared, pattern).encode, 250_000))
         index = HashIndex(max(8, int(2 * len(known) + 1).bit_length()))
         index.add(known, np.arange(len(known), dtype=np.int32))
         log_count = np.log10(np.append(count, 0) + 0.5)
@@ -228,7 +232,7 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
         return step
 
     new = "n_tokens bigint, _seen bigint, _base double, score double, _rare array<bigint>, _times array<bigint>"
-    read = add_columns(work.withColumn("_row", F.monotonically_increasing_id()), text, new, make, without(work, [text]) + ["_row"])
+    read = add_columns(work.withColumn("_row", F.monotonically_increasing_id()), text, new, make, without(work, [text]) + ["_row"], warm=True)
     read = materialize(read, "lm-scored")  # from here on _row is fixed
     rare = (read.select("_row", F.explode(F.arrays_zip("_rare", "_times")).alias("x"))
             .select("_row", F.col("x._rare").alias("hash"), F.col("x._times").alias("times"))

@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockflow.llm.arrays import binary_array, broadcast_file, chunks, offsets, without
+from stockflow.llm.arrays import binary_array, broadcast_file, chunks, kept, offsets, small_batches, without
 from stockflow.llm.bpe import ByteBpe
-from stockflow.llm.pieces import PieceCache, kept
+from stockflow.llm.pieces import PieceCache
 from stockflow.llm.token_counts import merger
 from stockflow.session import materialize
 
@@ -60,7 +60,7 @@ def pieces(df: DataFrame, path: str, pattern: str, capacity: int, end_id: int =
     def run(batches):
         def fresh() -> PieceCache:
             own = merger(shared, pattern)
-            return PieceCache(ByteBpe.from_merges(own).encode, 600_000, own.special)
+            return PieceCache(ByteBpe.from_merges(own).encode, 300_000, own.special)
 
         cache = kept(("pieces", hash((shared.value, pattern))), fresh)
         for whole in batches:
@@ -78,7 +78,7 @@ def pieces(df: DataFrame, path: str, pattern: str, capacity: int, end_id: int =
                 cut = offsets(length) * 4  # pieces of a text lie one after the other
                 yield pa.RecordBatch.from_arrays([*(take.columns if take else []), pa.array(k.astype(np.int32)), pa.array(start), pa.array(length), binary_array(ids, cut)], [*keep, *added.names])
 
-    return df.select(*[f"`{c}`" for c in dict.fromkeys([*keep, text])]).mapInArrow(run, schema)
+    return small_batches(df.select(*[f"`{c}`" for c in dict.fromkeys([*keep, text])])).mapInArrow(run, schema)
 
 
 # -- the genetic algorithm on one block -----------------------------------------------------------

@@ -95,7 +95,7 @@ class PieceCache:
     longer runs of white space or special strings are encoded whole.
     """
 
-    def __init__(self, encode: Encoder, limit: int = 300_000, special: dict[str, int] | None = None, marks: bool = True):
+    def __init__(self, encode: Encoder, limit: int = 200_000, special: dict[str, int] | None = None, marks: bool = True):
         self.encode, self.limit, self.marks = encode, limit, marks
         self.special = special or {}
         self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
@@ -173,23 +173,11 @@ class PieceCache:
         return flat, at[offsets(np.bincount(row, minlength=len(off) - 1))]
 
 
-_caches: dict[tuple, object] = {}
-
-
-def kept(key: tuple, make: Callable[[], object]):
-    """The object of ``key`` in this Python worker, so that its next task finds a warm cache."""
-    if key not in _caches:
-        if len(_caches) >= 4:
-            _caches.clear()
-        _caches[key] = make()
-    return _caches[key]
-
-
 class MatchCache:
     """An Encoder that splits strings by a pattern and encodes each match not seen lately by
     ``merge(byte strings) -> (flat numbers, offsets)``."""
 
-    def __init__(self, find: Callable[[str], list[str]], merge: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], limit: int = 200_000):
+    def __init__(self, find: Callable[[str], list[str]], merge: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], limit: int = 150_000):
         self.find, self.merge, self.limit = find, merge, limit
         self._reset()
 

@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.arrays import SPACE, Spans, add_columns, broadcast_file, mix, offsets, row_sums, text_bytes, words
+from stockflow.llm.arrays import SPACE, Spans, add_columns, broadcast_file, kept, mix, offsets, row_sums, text_bytes, words
 from stockflow.llm.bpe import model
-from stockflow.llm.pieces import PieceCache, kept
+from stockflow.llm.pieces import PieceCache
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -35,6 +35,7 @@ for _low, _high, _k in ((65, 90, 0), (97, 122, 0), (0xC3, 0xC9, 0), (0xCD, 0xCF,
     _SCRIPT[_low: _high + 1] = _k
 
 MEASURES = ("chars_per_piece", "chars_per_byte_token", "fallback_share", "token_entropy")
+MAX_BANDS = 10_000
 MIN_SPREAD = {"chars_per_piece": 0.1, "chars_per_byte_token": 0.1, "fallback_share": 0.02, "token_entropy": 0.35}
 
 
@@ -124,8 +125,8 @@ def measure(df: DataFrame, piece_path: str, byte_path: str, pattern: str, text:
             return np.diff(byte_model.encode(strings)[1]).astype(np.int32), np.arange(len(strings) + 1)
 
         key = hash((piece_file.value, byte_file.value, pattern))
-        by_piece = kept(("fertility", key), lambda: PieceCache(encode_pieces, marks=False))
-        by_byte = kept(("fertility bytes", key), lambda: PieceCache(count_bytes))
+        by_piece = kept(("fertility", key), lambda: PieceCache(encode_pieces, 120_000, marks=False), 3)
+        by_byte = kept(("fertility bytes", key), lambda: PieceCache(count_bytes, 120_000), 3)
 
         def step(b: pa.RecordBatch) -> list[pa.Array]:
             col = b.column(text)
@@ -143,7 +144,7 @@ def measure(df: DataFrame, piece_path: str, byte_path: str, pattern: str, text:
 
     new = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, " + \
         ", ".join(f"{m} double" for m in MEASURES) + ", script string"
-    return add_columns(df, text, new, make, carry)
+    return add_columns(df, text, new, make, carry, warm=True)
 
 
 def base_failed(rule: Rule):
@@ -170,7 +171,12 @@ def fit_bands(measured: DataFrame, rule: Rule, lang: str = "lang") -> DataFrame:
 
 
 def verdict(measured: DataFrame, bands: DataFrame, rule: Rule, lang: str = "lang") -> DataFrame:
-    """Add ``base_failed`` and ``kept``; documents outside the band of their group are not kept."""
+    """Add ``base_failed`` and ``kept``; documents outside the band of their group are not kept.
+
+    ``bands`` must be a written table. As long as it has MAX_BANDS rows at most, it is broadcast, so
+    the documents of a frequent language are not dealt to one task."""
+    if bands.count() <= MAX_BANDS:
+        bands = F.broadcast(bands)
     group = F.coalesce(F.col(lang), F.concat(F.lit("script:"), F.col("script")))
     joined = measured.withColumn("band", group).join(bands, "band", "left")
     inside = F.lit(True)

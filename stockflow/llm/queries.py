@@ -45,7 +45,7 @@ def _judged(docs: DataFrame, carry: list[str], text: str = "text", lang: str = "
     rule = quality_rules.Rule()
     measured = materialize(quality_rules.measure(docs, public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                                                  PATTERN, text, carry), "measured")
-    return quality_rules.verdict(measured, quality_rules.fit_bands(measured, rule, lang), rule, lang)
+    return quality_rules.verdict(measured, materialize(quality_rules.fit_bands(measured, rule, lang), "bands"), rule, lang)
 
 
 def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:

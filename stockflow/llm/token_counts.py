@@ -21,9 +21,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from stockflow.llm.arrays import add_columns, broadcast_file, offsets, row_sums
+from stockflow.llm.arrays import add_columns, broadcast_file, kept, offsets, row_sums
 from stockflow.llm.bpe import NONE, PairTable
-from stockflow.llm.pieces import MatchCache, PieceCache, kept
+from stockflow.llm.pieces import MatchCache, PieceCache
 
 
 def byte_alphabet() -> list[str]:
@@ -98,14 +98,8 @@ class RankMerger:
         return (upto[off[1:]] - upto[off[:-1]]).astype(np.int32), np.arange(len(strings) + 1, dtype=np.int64)
 
 
-_models: dict[int, RankMerger] = {}
-
-
 def merger(shared, pattern: str) -> RankMerger:
-    if (key := hash((shared.value, pattern))) not in _models:
-        _models.clear()
-        _models[key] = RankMerger(shared.value, pattern)
-    return _models[key]
+    return RankMerger(shared.value, pattern)
 
 
 def count_tokens(df: DataFrame, path: str, pattern: str, text: str = "text", n_tokens: str = "n_tokens",
@@ -116,7 +110,7 @@ def count_tokens(df: DataFrame, path: str, pattern: str, text: str = "text", n_t
     def make():
         def fresh() -> PieceCache:
             own = merger(shared, pattern)
-            return PieceCache(own.count, 600_000, dict.fromkeys(own.special, 1))
+            return PieceCache(own.count, 300_000, dict.fromkeys(own.special, 1))
 
         cache = kept(("counts", hash((shared.value, pattern))), fresh)
 
@@ -124,6 +118,6 @@ def count_tokens(df: DataFrame, path: str, pattern: str, text: str = "text", n_t
             return [pa.array(row_sums(*cache.ids(b.column(text))))]
         return step
 
-    return add_columns(df, text, f"`{n_tokens}` bigint", make, carry)
+    return add_columns(df, text, f"`{n_tokens}` bigint", make, carry, warm=True)
 
 

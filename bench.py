@@ -35,7 +35,6 @@ HEADLINE = [
     "h21_holt_winters",        # per-key fits
     "h22_fourier_regression",
     "h25_unconstrain_em",
-    "h26_unconstrain_pd",
     "g1_fold_runs",
     "f6_seek_union",
     "a6_replace_window",

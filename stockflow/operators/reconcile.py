@@ -32,11 +32,11 @@ def reconcile(mov: DataFrame, stock: DataFrame, tol: float = DEFAULT_TOLERANCE,
 
 def missing_in(mov: DataFrame, stock: DataFrame, key=KEY) -> DataFrame:
     """Keys on one side only, tagged with the side that has them."""
-    recon = on_hand(mov, key)
-    sap = stock.select(*key).distinct()
-    only_lake = recon.join(sap, on=key, how="left_anti").select(*key, F.lit("lake_only").alias("side"))
-    only_sap = sap.join(recon.select(*key), on=key, how="left_anti").select(*key, F.lit("snapshot_only").alias("side"))
-    return only_lake.unionByName(only_sap)
+    lake = mov.select(*key).distinct().withColumn("in_lake", F.lit(True))
+    sap = stock.select(*key).distinct().withColumn("in_snapshot", F.lit(True))
+    both = lake.join(sap, on=key, how="full")  # each side is computed once
+    return both.filter(F.col("in_lake").isNull() | F.col("in_snapshot").isNull()).select(
+        *key, F.when(F.col("in_lake").isNull(), "snapshot_only").otherwise("lake_only").alias("side"))
 
 
 def transfer_pairs(mov: DataFrame) -> DataFrame:

@@ -224,6 +224,16 @@ def unconstrain_fits(mov: DataFrame, threshold: float = 0.0, key=KEY, iters: int
                 b = whole.slice(i, 2000)
                 yield pa.RecordBatch.from_arrays([*[b.column(c) for c in key], *fit(b.column("d").to_pylist())], names)
 
+    def of_keys(which, x, out, weight, row, most, tol):
+        """Mean, deviation and summed demand of the chosen keys; nan for the others."""
+        mu, sd, demand = np.full((3, len(which)), np.nan)
+        use = which[row]
+        own = (np.cumsum(which) - 1)[row[use]]
+        k = int(which.sum())
+        mu[which], sd[which], filled = censored_normal(x[use], out[use], weight[use], own, k, most, tol)
+        demand[which] = np.bincount(own, weight[use] * filled, k)
+        return mu, sd, demand
+
     def fit(lists):
         n = len(lists)
         row = np.repeat(np.arange(n), [2 * len(d) for d in lists])
@@ -235,9 +245,8 @@ def unconstrain_fits(mov: DataFrame, threshold: float = 0.0, key=KEY, iters: int
         share = censored / np.maximum(inside + censored, 1)
         smooth = (inside < long_history) | (share > heavy_censoring)
         mle = ~smooth & (share > high_censoring)
-        mu, sd, e = censored_normal(x, out, weight, row, n, iters)
-        mu2, sd2, e2 = censored_normal(x, out, weight, row, n, 40 * iters, 1e-9)
-        demand, demand_mle = add(weight * e), add(weight * e2)
+        mu, sd, demand = of_keys(~smooth & ~mle, x, out, weight, row, iters, 0.0)
+        mu2, sd2, demand_mle = of_keys(mle, x, out, weight, row, 40 * iters, 1e-9)
         level = smoothed_rate(lists, alpha)
         by_rate = in_sales + censored * np.where(np.isnan(level), 0.0, level)
         pd_ = add(weight * projection_detruncation(x, out, weight, row, n, tau, 20))

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.llm.arrays import named, numbered, without
+from stockflow.session import ensure_checkpoint_dir
+
 
 def shard(df: DataFrame, shards: int, size: str, order: list[str]) -> DataFrame:
     """Add ``shard int`` (0 to shards - 1) and ``slot long`` (place in its shard, gapless from 0).
@@ -32,6 +34,7 @@ def shard(df: DataFrame, shards: int, size: str, order: list[str]) -> DataFrame:
     keep = without(df, ["shard", "slot"])
     df = numbered(df, keep, _size=size, **{f"_o{i}": c for i, c in enumerate(order)})
     size, order = "_size", [f"_o{i}" for i in range(len(order))]
+    ensure_checkpoint_dir(df.sparkSession)
     n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = (df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).checkpoint())
     # one row for each partition, so its windows and its broadcast are as small as their number

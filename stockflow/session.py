@@ -80,5 +80,5 @@ def materialize(df, name: str = "table"):
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)  # texts and hashes are most of it
     return spark.read.schema(df.schema).parquet(path)

@@ -16,7 +16,7 @@ from stockflow.operators import filters as fl
 from stockflow.operators import inventory as inv
 from stockflow.operators import reconcile as rc
 from stockflow.plans.catalog import query
-from stockflow.plans.oracle_sql import (fmod, sql_day_of_week, sql_period_name, sql_period_of_week,
+from stockflow.plans.oracle_sql import (sql_day_of_week, sql_period_name, sql_period_of_week,
                                         sql_quarter_of_week, sql_retail_week, sql_retail_year,
                                         sql_week_start_of, sql_year_start, with_ctes)
 from stockflow.session import apply_session_conf

@@ -24,6 +24,8 @@ _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 _MARK = np.zeros(256, bool)
 _MARK[list(b".,;:!?")] = True
+#: What SentencePiece writes for a space.
+MARK = "\u2581"
 #: First bytes of characters that may be white space other than space and newline.
 _MAYBE_SPACE = np.zeros(256, bool)
 _MAYBE_SPACE[[9, 11, 12, 13, 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -89,14 +91,13 @@ class HashIndex:
 class PieceCache:
     """ids(column) by ``encode(strings) -> (flat numbers, offsets)`` on pieces not seen lately.
 
-    ``special`` maps strings that are tokens wherever they stand to their numbers. ``marks`` says
-    whether marks that end a word are pieces of their own. The cache starts anew when it holds
+    ``special`` maps strings that are tokens wherever they stand to their numbers. The cache starts anew when it holds
     ``limit`` pieces (or 16 numbers for each), so memory stays bounded for any corpus. Texts with
     longer runs of white space or special strings are encoded whole.
     """
 
-    def __init__(self, encode: Encoder, limit: int = 200_000, special: dict[str, int] | None = None, marks: bool = True):
-        self.encode, self.limit, self.marks = encode, limit, marks
+    def __init__(self, encode: Encoder, limit: int = 200_000, special: dict[str, int] | None = None):
+        self.encode, self.limit = encode, limit
         self.special = special or {}
         self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
         self._reset()
@@ -114,12 +115,9 @@ class PieceCache:
             out += [np.array([self.special[name]], np.int32), flat[off[k]: off[k + 1]]]
         return np.concatenate(out)
 
-    def ids(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Flat numbers and row offsets of a string column; null counts as empty."""
-        data, off = text_bytes(col)
+    def _cut(self, col: pa.Array, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of the pieces, and the rows whose text is encoded whole."""
         n = len(data)
-        if not n:
-            return np.zeros(0, np.int32), np.zeros(len(off), np.int64)
         gap, newline = data == 32, data == 10
         begins = np.zeros(n + 1, bool)
         begins[off] = True  # a row starts here, or the column ends
@@ -130,24 +128,29 @@ class PieceCache:
         before[:-1] = begins[1:n] | ~solid[1:]
         start = solid & after
         odd = np.flatnonzero((~solid & before) | (start & _MAYBE_SPACE[data]))
-        if self.marks:
-            mark = solid & before & ~after & _MARK[data]
-            mark[1:] &= _WORD[data[:-1]]
-            start |= mark
+        mark = solid & before & ~after & _MARK[data]
+        mark[1:] &= _WORD[data[:-1]]
+        start |= mark
         end = solid & before
-        if self.marks:
-            end[:-1] |= mark[1:]
+        end[:-1] |= mark[1:]
         start |= newline
         end |= newline
         s, e = np.flatnonzero(start), np.flatnonzero(end) + 1
         # a leading space belongs to the piece
         s = s - ((s > 0) & ~begins[s] & gap[np.maximum(s - 1, 0)] & solid[s])
-        row = np.searchsorted(off, s, "right") - 1
         bad = np.zeros(len(off), bool)
         bad[np.searchsorted(off, odd, "right") - 1] = True
         for name in self.special:
             bad[:-1] |= np.asarray(pc.fill_null(pc.match_substring(col, name), False), bool)
-        bad = bad[:-1]
+        return s, e, bad[:-1]
+
+    def ids(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat numbers and row offsets of a string column; null counts as empty."""
+        data, off = text_bytes(col)
+        if not len(data):
+            return np.zeros(0, np.int32), np.zeros(len(off), np.int64)
+        s, e, bad = self._cut(col, data, off)
+        row = np.searchsorted(off, s, "right") - 1
         if bad.any():
             good = ~bad[row]
             s, e, row = s[good], e[good], row[good]
@@ -173,6 +176,51 @@ class PieceCache:
         return flat, at[offsets(np.bincount(row, minlength=len(off) - 1))]
 
 
+class SpaceCache(PieceCache):
+    """PieceCache for a SentencePiece vocabulary: ids of whole texts without their outer spaces.
+
+    No token holds a newline, or a word mark behind another character (``separable``), so none
+    crosses from a character into a space behind it, nor into or out of a newline. A text is cut
+    there, and every run of spaces and every newline begins a piece with what follows. Such a piece
+    has no word mark of its own: it is encoded behind a newline, whose two ids are dropped.
+    """
+
+    def __init__(self, library, limit: int = 200_000):
+        self.library, self.separable = library, separable(library)
+        super().__init__(self._encode, limit)
+
+    def _encode(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        inner = [s[:1] in (" ", "\n") for s in strings]
+        out = self.library.encode(["\n" + s if x else s for s, x in zip(strings, inner)], num_threads=1)
+        out = [ids[2:] if x else ids for ids, x in zip(out, inner)]
+        return np.array([i for own in out for i in own], np.int32), offsets(np.array([len(x) for x in out], np.int64))
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text.strip(" ")), np.int32)
+
+    def _cut(self, col: pa.Array, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        gap, newline = data == 32, data == 10
+        begins = np.zeros(len(data), bool)
+        rows = np.flatnonzero(off[1:] > off[:-1])
+        begins[off[rows]] = True
+        start = begins | newline
+        start[1:] |= gap[1:] & ~gap[:-1]
+        s = np.flatnonzero(start)
+        # the word mark itself in a text is taken for a space
+        bad = np.asarray(pc.fill_null(pc.match_substring(col, MARK), False), bool) if self.separable else np.ones(len(off) - 1, bool)
+        bad[rows] |= gap[off[rows]] | newline[off[rows]] | gap[off[rows + 1] - 1]
+        return s, np.append(s[1:], len(data)), bad
+
+
+def separable(library) -> bool:
+    """Whether a text may be cut before spaces and around newlines: such a cut crosses no token of
+    the vocabulary, a newline is made of bytes, and the text is neither rewritten nor trimmed."""
+    names = [library.id_to_piece(i) for i in range(library.vocab_size())]
+    probe = [library.piece_to_id(MARK), library.piece_to_id("<0x0A>")]
+    kept_as_is = library.encode("\n\n") == [*probe, probe[1]] and library.encode("a  ")[-1] in map(library.piece_to_id, (MARK, 2 * MARK))
+    return kept_as_is and not any("\n" in x or MARK in x.lstrip(MARK) for x in names)
+
+
 class MatchCache:
     """An Encoder that splits strings by a pattern and encodes each match not seen lately by
     ``merge(byte strings) -> (flat numbers, offsets)``."""

@@ -1,7 +1,8 @@
 """Quality rules by tokeniser fertility (operator 4).
 
 ``measure`` counts words, repeats and symbols of every whole text and encodes it with two public
-vocabularies: a SentencePiece model with byte fallback and a byte-level rank file. That gives
+vocabularies: a SentencePiece model with byte fallback (spaces at the text's ends are left out) and
+a byte-level rank file. That gives
 characters per token under each, the share of byte-fallback tokens, and the entropy of the text's
 own token distribution. ``fit_bands`` takes, over all documents, the quartiles of these measures
 for each language (for documents without one, each script) and turns them into rejection bands;
@@ -21,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.arrays import SPACE, Spans, add_columns, broadcast_file, kept, mix, offsets, row_sums, text_bytes, words
+from stockflow.llm.arrays import SPACE, Spans, add_columns, broadcast_file, kept, mix, row_sums, text_bytes, words
 from stockflow.llm.bpe import model
-from stockflow.llm.pieces import PieceCache
+from stockflow.llm.pieces import PieceCache, SpaceCache
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -114,18 +115,13 @@ def measure(df: DataFrame, piece_path: str, byte_path: str, pattern: str, text:
 
         pieces = sentencepiece.SentencePieceProcessor(model_proto=piece_file.value)
         fallback = np.array([pieces.is_byte(i) for i in range(pieces.vocab_size())])
-
-        def encode_pieces(strings: list[str]):
-            out = pieces.encode([s.strip(" \n") for s in strings], num_threads=1)
-            return np.array([i for own in out for i in own], np.int32), offsets(np.array([len(x) for x in out], np.int64))
-
         byte_model = model(byte_file, pattern)
 
         def count_bytes(strings: list[str]):
             return np.diff(byte_model.encode(strings)[1]).astype(np.int32), np.arange(len(strings) + 1)
 
         key = hash((piece_file.value, byte_file.value, pattern))
-        by_piece = kept(("fertility", key), lambda: PieceCache(encode_pieces, 120_000, marks=False), 3)
+        by_piece = kept(("fertility", key), lambda: SpaceCache(pieces, 120_000), 3)
         by_byte = kept(("fertility bytes", key), lambda: PieceCache(count_bytes, 120_000), 3)
 
         def step(b: pa.RecordBatch) -> list[pa.Array]:

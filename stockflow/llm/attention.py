@@ -51,6 +51,16 @@ def classes(counts: np.ndarray, names: list[bytes]) -> Classes:
     return Classes(cut([x[::-1] for x in names], INPUTS), outputs, np.tile(share, (INPUTS + 1, 1)))
 
 
+def sequences(ids: np.ndarray, off: np.ndarray, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Input class before each place and id there, for all places of texts with their end sign."""
+    size = np.diff(off)
+    at = np.arange(len(ids)) + np.repeat(np.arange(len(size)), size)
+    given, target = np.full(len(ids) + len(size), INPUTS, np.int64), np.full(len(ids) + len(size), len(inputs) - 1, np.int64)
+    target[at] = ids
+    given[at + 1] = inputs[ids]
+    return given, target
+
+
 def given_last(c: Classes, last: np.ndarray, ids: np.ndarray, n: np.ndarray) -> Classes:
     """Shares that also know the input class before an id, from counts n of (last, id). The plain
     share stands for PRIOR further observations after each class."""

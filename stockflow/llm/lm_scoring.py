@@ -1,9 +1,10 @@
 """Language-model scores of whole texts: word unigrams and a causal attention model (operator 7).
 
-``fit`` counts all words of all training texts with Spark. Distinct words with their counts give
-the counts of subword ids (each word encoded once, with a space before it), from which the classes
-of the attention model follow. The model is trained by averaged local runs: each task trains on its
-own part of a fixed share of the training texts, and Spark averages the weights by places seen.
+``fit`` counts all words of all training texts with Spark, for the base score. The texts as they
+stand, encoded once, give the counts of subword ids and of ids after input classes, with each text's
+start and end, from which the classes of the attention model and the shares inside them follow. The
+model is trained by averaged local runs: each task trains on its own part of a fixed share of the
+training texts, and Spark averages the weights by places seen.
 
 ``score`` reads each text once. Words whose count reaches the 2 ** -19th part of all training
 tokens, which are 2 ** 19 at most, have their counts broadcast; counts of the other words come by a
@@ -12,7 +13,7 @@ place scored once.
 
 Edge cases: a null or empty text is its end token only; with nothing to learn from, all counts are
 0 and the model has its initial weights; repeated rows are scored alike; an empty table gives no
-rows; a null doc_id is never held out and never trains on its own share. Input columns named like
+rows; a null doc_id is never held out. Input columns named like
 added ones are replaced.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm import attention as at
-from stockflow.llm.arrays import LOWER, Spans, add_columns, binary_array, broadcast_file, chunks, gathered, kept, list_array, named, numbered, offsets, ragged, small_batches, text_bytes, without, words
+from stockflow.llm.arrays import LOWER, Spans, add_columns, binary_array, broadcast_file, chunks, kept, list_array, named, numbered, offsets, ragged, small_batches, text_bytes, without, words
 from stockflow.llm.bpe import model
 from stockflow.llm.pieces import HashIndex, PieceCache
 from stockflow.session import materialize
@@ -43,7 +44,7 @@ class Settings:
 
 @dataclass
 class Model:
-    vocabulary: DataFrame          # word, n, ids: a written table
+    vocabulary: DataFrame          # word, n: a written table
     tokens: int                    # N
     distinct: int                  # V
     ends: int                      # training texts
@@ -71,56 +72,62 @@ def count_words(texts: DataFrame, text: str) -> DataFrame:
     return small_batches(texts.select(text)).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _with_ids(counted: DataFrame, shared, pattern: str) -> DataFrame:
-    """Add ``ids array<int>``: the subword ids of each word with a space before it."""
-    def encode(batches):
-        own = model(shared, pattern)
-        for b in gathered(batches, 50_000):
-            ids, off = own.encode([" " + w.decode("utf-8", "replace") for w in b.column(0).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*b.columns, list_array(ids, off, pa.int32())], ["word", "n", "ids"])
+def _encoded(train: DataFrame, doc_id: str, text: str, shared, pattern: str) -> DataFrame:
+    """``id, part, ids`` of every training text, written; ``part`` deals out the texts."""
+    key = F.col(doc_id).cast("string")
+    texts = train.select(F.col(text).alias("text"), key.alias("id"), F.xxhash64(key, F.col(text), F.lit(5)).alias("part"))
+
+    def encode():
+        cache = kept(("lm", hash((shared.value, pattern))), lambda: PieceCache(model(shared, pattern).encode, 250_000))
+
+        def step(b: pa.RecordBatch) -> list[pa.Array]:
+            ids, off = cache.ids(b.column("text"))
+            return [list_array(ids, off, pa.int32())]
+        return step
 
-    return counted.select("word", "n").mapInArrow(encode, "word binary, n bigint, ids array<int>")
+    return materialize(add_columns(texts, "text", "ids array<int>", encode, ["id", "part"], warm=True), "lm-ids")
 
 
-def _over_words(vocabulary: DataFrame, size: int, add) -> tuple[np.ndarray, np.ndarray]:
-    """Sums over all distinct words: ``add(total, ids, off, n)`` updates ``size`` counts from a batch
-    of words with counts n; Spark sums what the tasks have counted. Returns places and counts."""
+def _texts(batches, column: int = 0):
+    """Ids and offsets of 64 encoded texts at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, 64):
+            col = b.slice(i, 64).column(column)
+            yield np.asarray(col.flatten(), np.int64), offsets(np.asarray(pa.compute.list_value_length(col), np.int64))
+
+
+def _over_texts(encoded: DataFrame, size: int, places) -> tuple[np.ndarray, np.ndarray]:
+    """Counts over all encoded texts: ``places(ids, off)`` gives the places among ``size`` that some
+    texts add 1 to; Spark sums what the tasks have counted. Returns places and counts."""
     def count(batches):
         total = np.zeros(size, np.int64)
-        for b in gathered(batches, 50_000):
-            off = offsets(np.asarray(pa.compute.list_value_length(b.column(0)), np.int64))
-            add(total, np.asarray(b.column(0).flatten(), np.int64), off, np.asarray(b.column(1)))
+        for ids, off in _texts(batches):
+            np.add.at(total, places(ids, off), 1)
         at_ = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at_), pa.array(total[at_])], ["id", "n"])
 
-    rows = vocabulary.select("ids", "n").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    rows = small_batches(encoded.select("ids")).mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     return np.asarray(rows["id"]), np.asarray(rows["n"])
 
 
-def _classes(vocabulary: DataFrame, ends: int, shared, pattern: str) -> tuple[at.Classes, np.ndarray]:
-    """Classes of the subword ids from their corpus counts, and counts of ids after input classes
-    inside words. Both tables are as large as the vocabulary file and the classes make them."""
+def _classes(encoded: DataFrame, ends: int, shared, pattern: str) -> tuple[at.Classes, np.ndarray]:
+    """Classes of the subword ids from their corpus counts, and counts of ids after input classes.
+    Both tables are as large as the vocabulary file and the classes make them."""
     own = model(shared, pattern)
     n_ids = len(own.token_off)  # the file's ids and the end sign
 
-    def single(total, ids, off, n):
-        total += np.bincount(ids, np.repeat(n, np.diff(off)), n_ids).astype(np.int64)
-
-    seen, n = _over_words(vocabulary, n_ids, single)
+    seen, n = _over_texts(encoded, n_ids, lambda ids, off: ids)
     counts = np.zeros(n_ids)
     counts[seen] = n
     counts[-1] = ends
     c = at.classes(counts, [own.token_bytes[a:b].tobytes() for a, b in zip(own.token_off, own.token_off[1:])] + [b""])
     inputs = c.inputs
 
-    def pairs(total, ids, off, n):
-        inner = np.ones(len(ids), bool)
-        inner[off[:-1][np.diff(off) > 0]] = False
-        here = np.flatnonzero(inner)
-        keys, back = np.unique(inputs[ids[here - 1]] * n_ids + ids[here], return_inverse=True)
-        total[keys] += np.bincount(back, np.repeat(n, np.diff(off))[here], len(keys)).astype(np.int64)
+    def pairs(ids, off):
+        given, target = at.sequences(ids, off, inputs)
+        return given * n_ids + target
 
-    key, n = _over_words(vocabulary, (at.INPUTS + 1) * n_ids, pairs)
+    key, n = _over_texts(encoded, (at.INPUTS + 1) * n_ids, pairs)
     return at.given_last(c, key // n_ids, key % n_ids, n), counts
 
 
@@ -129,21 +136,9 @@ def _ids(cache: PieceCache, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ids.astype(np.int64), off
 
 
-def _train(train: DataFrame, doc_id: str, text: str, c: at.Classes, counts: np.ndarray, shared, pattern: str, s: Settings):
-    spark = train.sparkSession
-    key = F.col(doc_id).cast("string")
-    sample = (train.where(F.pmod(F.xxhash64(key), F.lit(s.share)) == 0)
-              .select(F.col(text).alias("text"), F.xxhash64(key, F.lit(5)).alias("part")))
-
-    def encode():
-        cache = PieceCache(model(shared, pattern).encode)
-
-        def step(b: pa.RecordBatch) -> list[pa.Array]:
-            ids, off = cache.ids(b.column("text"))
-            return [list_array(ids, off, pa.int32())]
-        return step
-
-    encoded = materialize(add_columns(sample, "text", "ids array<int>", encode, ["part"], warm=True), "lm-sample")
+def _train(encoded: DataFrame, c: at.Classes, counts: np.ndarray, s: Settings):
+    spark = encoded.sparkSession
+    sample = encoded.where(F.pmod(F.xxhash64("id"), F.lit(s.share)) == 0)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     flat = at.pack(at.initial(c, counts))
     for k in range(s.rounds):
@@ -151,19 +146,12 @@ def _train(train: DataFrame, doc_id: str, text: str, c: at.Classes, counts: np.n
 
         def run(batches, k=k, given=given):
             start, own = given.value
-
-            def parts():
-                for b in batches:
-                    for i in range(0, b.num_rows, 64):
-                        col = b.slice(i, 64).column(0)
-                        yield np.asarray(col.flatten(), np.int64), offsets(np.asarray(pa.compute.list_value_length(col), np.int64))
-
-            weights, seen = at.train_local(at.unpack(start), own, parts(), s.rate / (k + 1), 11 + k)
+            weights, seen = at.train_local(at.unpack(start), own, _texts(batches), s.rate / (k + 1), 11 + k)
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(start), dtype=np.int32)), pa.array(at.pack(weights).astype(np.float64) * seen),
                                                   pa.array(np.full(len(start), seen, np.int64))], ["at", "v", "seen"])
 
-        mean = (encoded.repartition(n, "part").select("ids").mapInArrow(run, "at int, v double, seen bigint")
+        mean = (sample.repartition(n, "part").select("ids").mapInArrow(run, "at int, v double, seen bigint")
                 .groupBy("at").agg((F.sum("v") / F.sum("seen")).alias("v")).toArrow())  # one row for each weight
         if mean.num_rows:
             flat = np.zeros(len(flat), np.float32)
@@ -174,11 +162,12 @@ def _train(train: DataFrame, doc_id: str, text: str, c: at.Classes, counts: np.n
 def fit(train: DataFrame, path: str, pattern: str, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> Model:
     """Learn word counts, subword classes and attention weights from the training rows."""
     shared = broadcast_file(train.sparkSession, path)
-    vocabulary = materialize(_with_ids(count_words(train, text), shared, pattern), "lm-words")
+    vocabulary = materialize(count_words(train, text), "lm-words")
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = train.count()
-    c, counts = _classes(vocabulary, ends, shared, pattern)
-    weights = _train(train, doc_id, text, c, counts, shared, pattern, s)
+    encoded = _encoded(train, doc_id, text, shared, pattern)
+    c, counts = _classes(encoded, ends, shared, pattern)
+    weights = _train(encoded, c, counts, s)
     return Model(vocabulary, total["n"] + ends, total["v"] + (ends > 0), ends, c, weights)
 
 

@@ -3,8 +3,8 @@
 ``fit`` counts all words of all training texts with Spark, for the base score. The texts as they
 stand, encoded once, give the counts of subword ids and of ids after input classes, with each text's
 start and end, from which the classes of the attention model and the shares inside them follow. The
-model is trained by averaged local runs: each task trains on its own part of a fixed share of the
-training texts, and Spark averages the weights by places seen.
+model is trained by averaged local runs over all training texts, each read in one of the rounds: each
+task trains on its own part, and Spark averages the weights by places seen.
 
 ``score`` reads each text once. Words whose count reaches the 2 ** -19th part of all training
 tokens, which are 2 ** 19 at most, have their counts broadcast; counts of the other words come by a
@@ -37,8 +37,8 @@ FREQUENT = 1 << 19
 
 @dataclass(frozen=True)
 class Settings:
-    share: int = 32      # one training text in so many trains the attention weights
-    rounds: int = 2
+    share: int = 1       # one training text in so many trains the attention weights
+    rounds: int = 2      # each text that trains does so in one of them
     rate: float = 0.01
 
 
@@ -151,7 +151,7 @@ def _train(encoded: DataFrame, c: at.Classes, counts: np.ndarray, s: Settings):
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(start), dtype=np.int32)), pa.array(at.pack(weights).astype(np.float64) * seen),
                                                   pa.array(np.full(len(start), seen, np.int64))], ["at", "v", "seen"])
 
-        mean = (sample.repartition(n, "part").select("ids").mapInArrow(run, "at int, v double, seen bigint")
+        mean = (sample.where(F.pmod(F.xxhash64("part"), F.lit(s.rounds)) == k).repartition(n, "part").select("ids").mapInArrow(run, "at int, v double, seen bigint")
                 .groupBy("at").agg((F.sum("v") / F.sum("seen")).alias("v")).toArrow())  # one row for each weight
         if mean.num_rows:
             flat = np.zeros(len(flat), np.float32)

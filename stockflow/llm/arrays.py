@@ -106,6 +106,18 @@ def words(data: np.ndarray, off: np.ndarray, inside: np.ndarray | None = None) -
     return s, e, np.searchsorted(off, s, "right") - 1
 
 
+def span_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number for each span that only equal byte strings share (no hash), and the distinct strings.
+
+    Spans are in order, not empty and do not overlap; numbers hold within this call."""
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[start] = 1
+    inside[end] -= 1
+    flat = data[np.cumsum(inside, dtype=np.int8)[:-1].astype(bool)]
+    coded = binary_array(flat, offsets(end - start)).dictionary_encode()
+    return np.asarray(coded.indices, np.int64), coded.dictionary
+
+
 def row_sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Sum of values[off[i]:off[i+1]] for every row i (0 for an empty one)."""
     c = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])

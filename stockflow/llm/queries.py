@@ -1,12 +1,15 @@
-"""The ten operators applied to the whole test tables, with their SQL where SQL can express them."""
+"""The operators applied to the whole test tables, with their SQL where SQL can express them."""
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import bpe, cotraining, language_id, lm_scoring, near_dedup, packing, quality_rules, sharding, token_counts, topk
+from stockflow.llm import (alignment, bpe, cotraining, decontamination, language_id, lm_scoring, near_dedup, packing, periodic, quality_rules, sharding,
+                           token_counts, topk)
 from stockflow.llm import oracle
 from stockflow.llm.arrays import named, numbered, without
 from stockflow.llm.lm_scoring import held_out
@@ -96,9 +99,49 @@ def op10_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
 
 
+def _looped(b: pa.RecordBatch, off: np.ndarray) -> np.ndarray:
+    """Words to read: from word a on, texts of ``loop`` = h with h % 10 = 0 repeat their p words from there."""
+    size = np.diff(off)
+    h = np.asarray(pa.compute.fill_null(b.column("loop"), 1), np.int64)  # no id: nothing repeats
+    row = np.repeat(np.arange(len(size)), size)
+    g, n = (h // 10)[row], size[row]
+    i = np.arange(len(row)) - off[row]
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return off[row] + np.where((h % 10 == 0)[row] & (i >= a), a + (i - a) % p, i)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("loop", F.crc32(F.col("doc_id").cast("string")))
+    done = periodic.mark_runs(docs, carry=["doc_id", "loop"], rearrange=_looped)
+    best = F.expr("aggregate(runs, cast(null as struct<start: bigint, length: bigint, period: bigint>), "
+                  "(m, r) -> if(m is null or r.length * m.period > m.length * r.period, r, m))")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return (done.withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+                    F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
+                    F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+                    F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+                              PATTERN, carry=["doc_id"])
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    done = alignment.corpus_links(materialize(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned"))
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return done.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES = {f.__name__: f for f in (op1_cotraining, op2_byte_bpe, op3_language_id, op4_fertility, op5_byte_shards, op6_hyperminhash,
-                                   op7_attention_lm, op8_genetic_packing, op9_token_counts, op10_bit_sliced_topk)}
-ORACLE = {"op5_byte_shards": oracle.BYTE_SHARDS, "op6_hyperminhash": oracle.NEAR_DUPLICATES, "op10_bit_sliced_topk": oracle.TOP_K}
+                                   op7_attention_lm, op8_genetic_packing, op9_token_counts, op10_bit_sliced_topk, op11_periodic_runs, op12_token_alignment,
+                                   op13_winnowing)}
+ORACLE = {"op5_byte_shards": oracle.BYTE_SHARDS, "op6_hyperminhash": oracle.NEAR_DUPLICATES, "op10_bit_sliced_topk": oracle.TOP_K,
+          "op11_periodic_runs": oracle.PERIODIC_RUNS, "op13_winnowing": oracle.CONTAMINATED}
 
 
 # -- stages of the pipeline -----------------------------------------------------------------------

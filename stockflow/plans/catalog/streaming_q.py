@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -110,12 +111,48 @@ def i5(spark, sf_dir):
                     F.count_if(F.col("idempotency_key").isNull()).alias("keyless"))
 
 
+def _closed(ev):
+    """An event of no run, far behind all others, with which the watermark passes them."""
+    last = ev.agg(F.max("event_at").alias("at"))
+    values = {"id": F.lit(-1), "seq": F.lit(0), "state": F.lit("queued"), "job": F.lit(""), "event_at": F.timestamp_add("DAY", F.lit(2), F.col("at"))}
+    return last.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ev.schema])
+
+
 @query("i6_stream_run_state", with_ctes("""SELECT id, job, status, created_at, started_at, finished_at, rows FROM runs""", "runs"))
 def i6(spark, sf_dir):
     apply_session_conf(spark)
     ev = fx.run_events(spark, sf_dir)
     inp, out, ck = _dirs(spark, "i6")
     # runs last up to hours of event time here, so "stuck" only begins beyond the data's span
-    _arrivals([(ev, inp, "event_at")], lambda: st.stream_run_state(spark, inp, ev.schema, out, ck, stuck_s=10 * 365 * 86400, delay="1 day"))
+    flow = lambda: st.stream_run_state(spark, inp, ev.schema, out, ck, stuck_s=10 * 365 * 86400, delay="1 day")
+    _arrivals([(ev, inp, "event_at")], flow)
+    _closed(ev).write.mode("append").parquet(inp)
+    flow()
     ntz = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("created_at", "started_at", "finished_at")]
     return spark.read.parquet(out).select("id", "job", "status", *ntz, "rows")
+
+
+@query("i6_stuck_runs_and_late_events", with_ctes("""
+SELECT id, job, status, CASE WHEN created_at <= upto THEN created_at END AS created_at,
+       COALESCE(CASE WHEN started_at <= upto THEN started_at END, CASE WHEN status <> 'stuck' THEN upto END) AS started_at,
+       CASE WHEN status <> 'stuck' THEN upto END AS finished_at, CASE WHEN status <> 'stuck' THEN rows END AS rows, was_stuck
+FROM (SELECT *, 'stuck' AS status, due AS upto, true AS was_stuck FROM run_ends WHERE finished_at IS NULL OR finished_at > due
+      UNION ALL SELECT *, ended AS status, finished_at AS upto, finished_at > due AS was_stuck FROM run_ends WHERE finished_at IS NOT NULL) v
+WHERE upto + INTERVAL 1 MILLISECOND <= (SELECT max(event_at) FROM run_events_planted) - INTERVAL 10 MINUTE""", "run_ends"))
+def i6_stuck(spark, sf_dir):
+    """Runs whose end is missing or comes after the limit of 3,600 s, runs that end twice or before
+    their start, and a second end of finished runs that arrives long after the watermark."""
+    apply_session_conf(spark)
+    ev = materialize(fx.run_events(spark, sf_dir, planted=True), "events")
+    inp, out, ck = _dirs(spark, "i6s")
+    lo, hi = ev.agg(F.min("event_at"), F.max("event_at")).first()
+    cuts = [lo + (hi - lo) * k / ARRIVALS for k in range(1, ARRIVALS)]
+    late = (ev.filter(F.col("state").isin(*rn.TERMINAL) & (F.pmod("id", F.lit(71)) == 0) & (F.col("event_at") < F.lit(cuts[-1] - timedelta(hours=1))))
+            .withColumn("state", F.when(F.col("state") == "ok", "failed").otherwise("ok")).withColumn("seq", F.lit(9)))
+    for k, (since, until) in enumerate(zip([lo, *cuts], [*cuts, hi + timedelta(seconds=1)])):
+        ev.filter((F.col("event_at") >= F.lit(since)) & (F.col("event_at") < F.lit(until))).write.mode("append").parquet(inp)
+        if k == ARRIVALS - 1:
+            late.select(ev.columns).write.mode("append").parquet(inp)
+        st.stream_run_state(spark, inp, ev.schema, out, ck)
+    ntz = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("created_at", "started_at", "finished_at")]
+    return spark.read.parquet(out).select("id", "job", "status", *ntz, "rows", "was_stuck")

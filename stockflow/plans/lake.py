@@ -161,18 +161,29 @@ def _months_of(spark: SparkSession, root: str, companies: list[str], months: lis
     return _read_raw(spark, root).filter(F.col("company").isin(*companies) & F.col("load_month").isin(*months))
 
 
+def _repeated(rows: DataFrame, times) -> DataFrame:
+    """Every row of the table's columns ``times`` times (none if that is not positive)."""
+    return rows.where(times > 0).withColumn("_k", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).drop("_k")
+
+
 def recover(spark: SparkSession, root: str) -> int:
     """Put back the staged rows that a cut-off commit removed; returns how many staging folders it
-    settled. Appending the rows that the table lacks (by ``mov_id``) can be repeated safely."""
+    settled. Whole rows are counted on both sides (nulls are equal), so rows that share a ``mov_id``
+    or repeat come back as often as they were staged, and doing it again adds nothing."""
     folder = f"{root.rstrip('/')}/_staging"
     names = _list_dirs(spark, folder)
+    columns = [f.name for f in _table_schema().fields]
     for name in names:
         own = f"{folder}/{name}"
         kept = _staged(spark, f"{own}/keep") if _exists(spark, f"{own}/{MARKER}") else None
         if kept is not None:
-            have = read_table(spark, root).select("mov_id", "company").join(
-                kept.select("company").distinct(), "company", "left_semi").select("mov_id").distinct()
-            _write_leaves(kept.join(have, "mov_id", "left_anti"), root, "append")
+            companies = [d.partition("=")[2] for d in _list_dirs(spark, f"{own}/keep")]
+            months = sorted({d.partition("=")[2] for c in companies for d in _list_dirs(spark, f"{own}/keep/company={c}")})
+            sides = kept.withColumn("_n", F.lit(1))
+            if _list_dirs(spark, root):
+                sides = sides.unionByName(_months_of(spark, root, companies, months).withColumn("_n", F.lit(-1)))
+            lacking = sides.groupBy(*columns).agg(F.sum("_n").alias("_n"))
+            _write_leaves(_repeated(lacking, F.col("_n")).select(*columns), root, "append")
         _delete(spark, own)
     return len(names)
 
@@ -183,7 +194,8 @@ def replace_window(spark: SparkSession, root: str, incoming: DataFrame, company:
 
     ``company`` may name several companies sharing the window (A3): they load in one job.
 
-    An empty ``incoming`` is a no-op unless ``allow_empty`` (Q2). Returns rows written.
+    A company without incoming rows keeps all it has, as an empty pull must delete nothing (Q2);
+    ``allow_empty`` clears its window instead. Returns rows written.
     Rows of ``incoming`` outside the window or of another company are an error (they would
     land in leaves the window does not own): the write fails before its commit.
 
@@ -211,7 +223,9 @@ def replace_window(spark: SparkSession, root: str, incoming: DataFrame, company:
     if stage or (partial and has_table):
         _write_leaves(inc, f"{staging}/in", "overwrite")
         inc = _staged(spark, f"{staging}/in")
-        if inc is None and not allow_empty:
+        if not allow_empty:
+            companies = [c for c in companies if f"company={c}" in _list_dirs(spark, f"{staging}/in")]
+        if not companies:
             _delete(spark, staging)
             return 0
         if partial and has_table:
@@ -227,30 +241,40 @@ def replace_window(spark: SparkSession, root: str, incoming: DataFrame, company:
         _write_leaves(inc, root, "overwrite")
     # Leaves of the window that the new extract did not produce still hold their old files.
     after = _leaf_files(spark, root, companies, months)
-    if after == before and not allow_empty:
-        return 0
+    changed = {leaf.partition("/")[0] for leaf, files in after.items() if before.get(leaf) != files}
+    if not allow_empty:
+        companies = [c for c in companies if f"company={c}" in changed]
+        if not companies:
+            return 0
     for leaf, files in after.items():
-        if before.get(leaf) == files:
+        if before.get(leaf) == files and (allow_empty or leaf.partition("/")[0] in changed):
             _delete(spark, f"{root}/{leaf}")
     n = _months_of(spark, root, companies, months).count() - n_kept if _list_dirs(spark, root) else 0  # from footers
     _delete(spark, staging)
     return n
 
 
-def merge_window(spark: SparkSession, root: str, batch: DataFrame, company: str, since: date, until: date) -> int:
-    """Add ``batch`` to ``[since, until)``; rows that it brings again, equal in all columns, stand once.
+def merge_window(spark: SparkSession, root: str, batch: DataFrame, company: str, since: date, until: date,
+                 delivery: str | None = None) -> int:
+    """Add ``batch`` to ``[since, until)`` without doubling what is there.
 
-    ``mov_id`` alone would not do: documents that collide in it (E8) may come in different files."""
+    ``delivery`` names a column that tells which file (pull) brought a row: a row, equal in all columns
+    (nulls are equal), stands as often as in the delivery that holds it most often. Without it equal
+    rows stand once. Either way the table is the same however rows fall into batches and however often
+    one comes again. ``mov_id`` alone would not do: documents that collide in it (E8) may come in
+    different files, and it may be null."""
     ensure_table(spark, root)
     recover(spark, root)
-    if not _list_dirs(spark, root):
-        return replace_window(spark, root, batch, company, since, until)
-    here = _months_of(spark, root, [company], _months(since, until)).filter(
-        (F.col("create_date") >= F.lit(since)) & (F.col("create_date") < F.lit(until))).select(*MOVEMENT_COLUMNS)
-    row = F.xxhash64(*MOVEMENT_COLUMNS)
-    again = batch.select("mov_id", row.alias("_row")).distinct()
-    other = here.withColumn("_row", row).join(again, ["mov_id", "_row"], "left_anti").select(*MOVEMENT_COLUMNS)
-    return replace_window(spark, root, batch.select(*MOVEMENT_COLUMNS).unionByName(other), company, since, until, stage=True)
+    came = batch.select(*MOVEMENT_COLUMNS, (F.col(delivery) if delivery else F.lit("")).alias("_from"))
+    if _list_dirs(spark, root):
+        came = came.unionByName(_months_of(spark, root, [company], _months(since, until)).filter(
+            (F.col("create_date") >= F.lit(since)) & (F.col("create_date") < F.lit(until)))
+            .select(*MOVEMENT_COLUMNS, F.lit(None).cast("string").alias("_from")))  # the table itself is one more
+    often = came.groupBy(*MOVEMENT_COLUMNS, "_from").agg(F.count("*").alias("_n"))
+    if not delivery:
+        often = often.withColumn("_n", F.when(F.col("_from").isNull(), F.col("_n")).otherwise(F.lit(1)))
+    rows = often.groupBy(*MOVEMENT_COLUMNS).agg(F.max("_n").alias("_n"))
+    return replace_window(spark, root, _repeated(rows, F.col("_n")).select(*MOVEMENT_COLUMNS), company, since, until, stage=True)
 
 
 # --- A7 / A8 ------------------------------------------------------------------------------------
@@ -275,20 +299,14 @@ def sync(spark: SparkSession, root: str, source: DataFrame, company: str, until:
 
 def backfill(spark: SparkSession, root: str, source: DataFrame, company: str | Sequence[str],
              start: date = FLOOR_DATE, end: date | None = None) -> list[tuple[date, date, int]]:
-    """Load ``[start, end)`` in one partitioned write, so the source is read once, and report
-    the rows of each retail-year window. Running it again replaces the same window."""
+    """Load ``[start, end)`` in retail-year windows, each committed before the next is read, and
+    report the rows of each. A run that was cut off is resumed by starting at its first missing window
+    (or by running it again: a window that is there is replaced by itself)."""
     if end is None:
         raise ValueError("end is required")
     companies = [company] if isinstance(company, str) else list(company)
-    replace_window(spark, root, finalize(read_movements(source, companies, start, end)), companies, start, end)
-    windows = retail_year_cuts(start, end)
-    which = F.lit(None).cast("int")
-    for k, (since, _) in enumerate(windows):
-        which = F.when(F.col("create_date") >= F.lit(since), k).otherwise(which)
-    rows = (read_table(spark, root).filter(F.col("company").isin(*companies) & (F.col("create_date") < F.lit(end)))
-            .groupBy(which.alias("k")).count().where("k is not null").collect())  # one row for each year
-    n = {r["k"]: r["count"] for r in rows}
-    return [(since, until, n.get(k, 0)) for k, (since, until) in enumerate(windows)]
+    return [(since, until, replace_window(spark, root, finalize(read_movements(source, companies, since, until)), companies, since, until))
+            for since, until in retail_year_cuts(start, end)]
 
 
 # --- A10 ----------------------------------------------------------------------------------------

@@ -235,6 +235,13 @@ FROM (SELECT *, CASE WHEN finished_at IS NOT NULL THEN COALESCE(running_at, fini
             FROM {events} {where} GROUP BY id) g) s"""
 
 
+cte("run_ends", """
+SELECT id, max(job) AS job, min(event_at) FILTER (WHERE state = 'queued') AS created_at, min(event_at) FILTER (WHERE state = 'running') AS started_at,
+       min(event_at) FILTER (WHERE state IN ('ok', 'failed')) AS finished_at,
+       arg_min(state, (event_at, seq)) FILTER (WHERE state IN ('ok', 'failed')) AS ended,
+       arg_min(rows, (event_at, seq)) FILTER (WHERE state IN ('ok', 'failed')) AS rows,
+       COALESCE(min(event_at) FILTER (WHERE state = 'queued'), min(event_at) FILTER (WHERE state = 'running'), min(event_at)) + INTERVAL 1 HOUR AS due
+FROM run_events_planted GROUP BY id""", "run_events_planted")
 RUNS_AS_OF = "2024-01-15 12:00:00"
 cte("runs", _runs_sql(""), "run_events")
 cte("runs_asof", _runs_sql(f"WHERE event_at <= TIMESTAMP '{RUNS_AS_OF}'"), "run_events")

@@ -71,11 +71,11 @@ def empty_stock(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], STOCK_SCHEMA)
 
 
-def finalize(df: DataFrame, company: str | None = None) -> DataFrame:
+def finalize(df: DataFrame, company: str | None = None, carry: list[str] | None = None) -> DataFrame:
     """B1: per-column strict / lenient casts, company tag, derived columns, pinned order.
 
     Strict columns use ``cast`` (ANSI mode raises on bad data); lenient ones use ``try_cast``
-    (bad text or overflow becomes null).
+    (bad text or overflow becomes null). ``carry`` names further columns to keep behind them.
     """
     comp = F.lit(company) if company is not None else F.col("company").cast("string")
     typed = df.select(
@@ -92,6 +92,7 @@ def finalize(df: DataFrame, company: str | None = None) -> DataFrame:
         F.col("in_qty").try_cast("double").alias("in_qty"),
         F.col("out_qty").try_cast("double").alias("out_qty"),
         F.col("trans_value").try_cast("double").alias("trans_value"),
+        *(carry or []),
     )
     out = typed.select(
         "*",
@@ -99,4 +100,4 @@ def finalize(df: DataFrame, company: str | None = None) -> DataFrame:
         mov_id().alias("mov_id"),
         retail_year("doc_date").alias("retail_year"),
     )
-    return out.select(*MOVEMENT_COLUMNS)
+    return out.select(*MOVEMENT_COLUMNS, *(carry or []))

@@ -8,13 +8,14 @@ in a checkpoint folder on shared storage, and can run continuously or as
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from stockflow.plans import lake
 from stockflow.sources.movements import finalize
@@ -49,17 +50,18 @@ def stream_sync(spark: SparkSession, src_path: str, schema: T.StructType, table_
 
     Progress is by capture date: each batch is merged into ``[min(create_date), max(create_date)+1)``
     of every company it carries, so back-dated documents (old doc_date, new capture date) are
-    loaded with the batch that captured them. A window may arrive in several files and batches:
-    rows of earlier files stay, and a batch replayed after a failure only replaces its own rows."""
-    stream = _files(spark, src_path, schema, max_files)
+    loaded with the batch that captured them. A window may arrive in several files and batches: a
+    row stands as often as in the file that holds it most often, however files fall into batches, so
+    neither a batch replayed after a failure nor files whose windows overlap double it."""
+    stream = _files(spark, src_path, schema, max_files).select("*", F.col("_metadata.file_path").alias("_file"))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        mov = finalize(batch).persist()
+        mov = finalize(batch, carry=["_file"]).persist()
         try:
             bounds = mov.groupBy("company").agg(F.min("create_date").alias("lo"), F.max("create_date").alias("hi")).collect()
             for r in bounds:  # one row per company in the batch (three at most)
                 lake.merge_window(spark, table_root, mov.filter(F.col("company") == r["company"]), r["company"],
-                                  r["lo"], r["hi"] + timedelta(days=1))
+                                  r["lo"], r["hi"] + timedelta(days=1), delivery="_file")
         finally:
             mov.unpersist()
 
@@ -148,61 +150,121 @@ def stream_dedup_requests(spark, src_path, schema, out_path, checkpoint, max_fil
     return _run(w, available_now)
 
 
-RUN_STATE_OUT = T.StructType([T.StructField("id", T.LongType()), T.StructField("job", T.StringType()),
-                              T.StructField("status", T.StringType()), T.StructField("created_at", T.TimestampType()),
-                              T.StructField("started_at", T.TimestampType()), T.StructField("finished_at", T.TimestampType()),
-                              T.StructField("rows", T.LongType())])
-RUN_STATE = T.StructType([T.StructField("job", T.StringType()), T.StructField("status", T.StringType()),
-                          T.StructField("seq", T.LongType()), T.StructField("created_at", T.TimestampType()),
-                          T.StructField("started_at", T.TimestampType()), T.StructField("finished_at", T.TimestampType()),
-                          T.StructField("rows", T.LongType())])
-
-
-def _run_state_fn(stuck_s: int):
-    def fn(key, pdfs, state):
-        (run_id,) = key
-        if state.hasTimedOut:
-            job, status, seq, c, s, f, rows = state.get
-            state.remove()
-            yield pd.DataFrame([{"id": run_id, "job": job, "status": "stuck", "created_at": c,
-                                 "started_at": s, "finished_at": f, "rows": rows}])
+@contextmanager
+def _rocksdb(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB; other queries keep the session's setting."""
+    name, provider = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(name)
+    spark.conf.set(name, provider)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+_RUN_ROW = "id bigint, job string, status string, created_us bigint, started_us bigint, finished_us bigint, rows bigint, was_stuck boolean"
+_RUN_STATE = ("job string, created_us bigint, started_us bigint, finished_us bigint, seq bigint, status string, rows bigint, "
+              "alerted boolean, done boolean")
+
+
+class RunLifecycle(StatefulProcessor):
+    """Lifecycle of one run: its events are merged in any order, and rows leave by event-time timers.
+
+    A verdict waits until the watermark has passed the time that it speaks of and is made from the
+    events up to that time, all of which have been seen by then. So rows do not depend on how events
+    fall into batches:
+
+    - ``ok`` / ``failed`` once the watermark passes the run's first terminal event;
+    - ``stuck`` once it passes ``created_at + stuck_s`` without a terminal event up to that time. A run
+      that ends later still gets its final row, marked ``was_stuck``.
+
+    The state stays as a tombstone for ``keep_s`` of event time, so that events that come later still
+    (repeats, a second end) give no further row; then a timer drops it. So does a run that never ends.
+    """
+
+    def __init__(self, stuck_s: int, keep_s: int):
+        self.stuck_us, self.keep_us = stuck_s * 1_000_000, keep_s * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("run", _RUN_STATE)
+
+    def _wake(self, at_us: int) -> None:
+        self.handle.registerTimer(-(-at_us // 1000) + 1)  # the first millisecond that is behind it
+
+    def _due(self, state) -> int:
+        return next(x for x in state[1:4] if x is not None) + self.stuck_us
+
+    def handleInputRows(self, key, rows, timerValues):
+        old = self.state.get()
+        job, created, started, finished, seq, status, n, alerted, done = old or (None, None, None, None, None, None, None, False, False)
+        if done:
             return
-        cur = state.get if state.exists else (None, None, -1, None, None, None, None)
-        job, status, seq, c, s, f, rows = cur
-        for pdf in pdfs:
-            for r in pdf.sort_values(["seq", "ets"]).itertuples(index=False):
-                job = r.job
-                if r.seq > seq:
-                    seq, status = int(r.seq), r.state
+        for pdf in rows:
+            for r in pdf.itertuples(index=False):
+                at = int(r.us)
+                job = r.job if job is None else max(job, r.job)
                 if r.state == "queued":
-                    c = r.ets
+                    created = at if created is None else min(created, at)
                 elif r.state == "running":
-                    s = r.ets
-                else:
-                    f, rows = r.ets, (None if pd.isna(r.rows) else int(r.rows))
-                    s = s if s is not None else r.ets
-        if status in ("ok", "failed"):
-            state.remove()
-            yield pd.DataFrame([{"id": run_id, "job": job, "status": status, "created_at": c,
-                                 "started_at": s, "finished_at": f, "rows": rows}])
-        else:
-            state.update((job, status, seq, c, s, f, rows))
-            base = c if c is not None else s
-            state.setTimeoutTimestamp(int(pd.Timestamp(base).timestamp() * 1000) + stuck_s * 1000)
-    return fn
-
-
-def run_state(events: DataFrame, stuck_s: int = STUCK_SECONDS, delay: str = "10 minutes") -> DataFrame:
-    """I6 (plan): run lifecycle per id with keyed state; a run that is still queued/running
-    ``stuck_s`` seconds (event time) after it was created is emitted as ``stuck``."""
-    e = events.withColumn("ets", F.col("event_at").cast("timestamp")).withWatermark("ets", delay)
-    return e.groupBy("id").applyInPandasWithState(
-        _run_state_fn(stuck_s), RUN_STATE_OUT, RUN_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+                    started = at if started is None else min(started, at)
+                elif finished is None or (at, int(r.seq)) < (finished, seq):
+                    finished, seq, status, n = at, int(r.seq), r.state, None if pd.isna(r.rows) else int(r.rows)
+        new = (job, created, started, finished, seq, status, n, alerted, done)
+        if old is None or new != tuple(old):
+            self.state.update(new)
+            if finished is not None:
+                self._wake(finished)
+            if not alerted:
+                self._wake(self._due(new))
+        return
+        yield  # a generator, as rows only leave by timers
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        state = self.state.get()
+        if state is None:
+            return
+        job, created, started, finished, seq, status, n, alerted, done = state
+        now, due = timerValues.getCurrentWatermarkInMs() * 1000, self._due(state)
+        known = lambda x, until: x if x is not None and x <= until else None
+        out = []
+        if not (alerted or done) and now > due and (finished is None or finished > due):
+            alerted = True
+            out.append((key[0], job, "stuck", known(created, due), known(started, due), None, None, True))
+        if not done and finished is not None and now > finished:
+            done = True
+            out.append((key[0], job, status, known(created, finished), known(started, finished) or finished, finished, n, alerted))
+        over = max(due, finished or 0) + self.keep_us
+        if now > over and (done or finished is None):
+            self.state.clear()
+        elif out:
+            self.state.update((job, created, started, finished, seq, status, n, alerted, done))
+            self._wake(over)
+        if out:
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in _RUN_ROW.split(", ")]).astype(
+                {c: "Int64" for c in ("created_us", "started_us", "finished_us", "rows")})
+
+
+def run_state(events: DataFrame, stuck_s: int = STUCK_SECONDS, delay: str = "10 minutes", keep_s: int = 86400) -> DataFrame:
+    """I6 (plan): one final row for each run that ends, after at most one ``stuck`` row for a run
+    without an end ``stuck_s`` seconds (event time) after its creation; see ``RunLifecycle``.
+
+    A run whose queued event never comes counts from its first known event and has no ``created_at``."""
+    e = (events.withColumn("ets", F.col("event_at").cast("timestamp")).withWatermark("ets", delay)
+         .withColumn("us", F.unix_micros("ets")))
+    # without timestamps in the rows there is no time zone on the way through Python
+    out = e.select("id", "job", "seq", "state", "rows", "us", "ets").groupBy("id").transformWithStateInPandas(
+        RunLifecycle(stuck_s, keep_s), _RUN_ROW, "append", "eventTime")
+    at = [F.timestamp_micros(f"{c}_us").alias(f"{c}_at") for c in ("created", "started", "finished")]
+    return out.select("id", "job", "status", *at, "rows", "was_stuck")
 
 
 def stream_run_state(spark, src_path, schema, out_path, checkpoint, max_files: int | None = None, available_now: bool = True,
-                     stuck_s: int = STUCK_SECONDS, delay: str = "10 minutes"):
+                     stuck_s: int = STUCK_SECONDS, delay: str = "10 minutes", keep_s: int = 86400):
+    """Run lifecycles into a parquet sink. State and timers are kept by RocksDB, which the operator
+    needs and which holds more keys than memory does."""
     s = _files(spark, src_path, schema, max_files)
-    w = (run_state(s, stuck_s, delay).writeStream.format("parquet").option("path", out_path)
+    w = (run_state(s, stuck_s, delay, keep_s).writeStream.format("parquet").option("path", out_path)
             .option("checkpointLocation", checkpoint).outputMode("append"))
-    return _run(w, available_now)
+    with _rocksdb(spark):
+        return _run(w, available_now)

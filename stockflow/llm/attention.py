@@ -16,6 +16,7 @@ import numpy as np
 WINDOW, STRIDE = 32, 24
 WIDTH, INPUTS, OUTPUTS = 16, 128, 64
 BATCH = 64
+TRAIN_BATCH = 64  # larger ones leave the cache and cost twice as much a place
 PRIOR = 20.0
 F = np.float32
 SHAPES = {"e": (INPUTS + 1, WIDTH), "p": (WINDOW, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH),
@@ -86,15 +87,15 @@ class Places:
     """The places of texts, padded so that every window is whole.
 
     A text of n ids has n + 1 places: the first is predicted from the start sign, the last is the
-    end sign. Window k starts at place k * STRIDE and scores the places no earlier window scored.
+    end sign. Window k starts at place k * stride and scores the places no earlier window scored.
     """
 
-    def __init__(self, ids: np.ndarray, off: np.ndarray, c: Classes):
+    def __init__(self, ids: np.ndarray, off: np.ndarray, c: Classes, stride: int = STRIDE):
         size = np.diff(off) + 1
-        n = 1 + -(-np.maximum(size - WINDOW, 0) // STRIDE)
-        first = np.cumsum(WINDOW + (n - 1) * STRIDE)
+        n = 1 + -(-np.maximum(size - WINDOW, 0) // stride)
+        first = np.cumsum(WINDOW + (n - 1) * stride)
         room = first[-1] if len(first) else 0
-        first = first - (WINDOW + (n - 1) * STRIDE)
+        first = first - (WINDOW + (n - 1) * stride)
         self.given, self.target = np.zeros(room, np.int32), np.full(room, -1, np.int32)
         at = np.repeat(first - off[:-1], np.diff(off)) + np.arange(len(ids))
         self.target[at] = ids
@@ -103,7 +104,7 @@ class Places:
         self.given[first] = INPUTS
         self.text = np.repeat(np.arange(len(size)), n)
         k = np.arange(len(self.text)) - (np.cumsum(n) - n)[self.text]
-        self.start = first[self.text] + k * STRIDE
+        self.start = first[self.text] + k * stride
         self.first = k == 0
 
     def take(self, rows: np.ndarray, begin: int = 0, end: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -160,53 +161,64 @@ def log_prob(w: dict[str, np.ndarray], c: Classes, ids: np.ndarray, off: np.ndar
 def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
     """Mean cross-entropy of output classes ``y`` (-1: none) and its gradients."""
     h, q, k, v, a, total, z, out = _attend(w, x)
-    a = a / total
-    logits = np.minimum(out @ w["u"] + w["b"], CLIP)
-    logits -= logits.max(-1, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(-1, keepdims=True)
-    want = y >= 0
-    n = max(int(want.sum()), 1)
-    r, t = np.nonzero(want)
-    loss = -float(np.log(p[r, t, y[r, t]] + 1e-30).sum()) / n
-    p[r, t, y[r, t]] -= 1
-    p *= (want / F(n)).astype(F)[:, :, None]
+    a /= total
     flat = lambda m: m.reshape(-1, m.shape[-1])
-    g = {"u": flat(out).T @ flat(p), "b": flat(p).sum(0)}
-    d_out = p @ w["u"].T
+    p = flat(out) @ w["u"] + w["b"]
+    np.exp(np.minimum(p, CLIP, out=p), out=p)
+    p /= p @ np.ones((OUTPUTS, 1), F)
+    y = y.ravel()
+    rows = np.flatnonzero(y >= 0)
+    n = max(len(rows), 1)
+    hit = p[rows, y[rows]]
+    loss = -float(np.log(hit + F(1e-30)).sum()) / n
+    p[rows, y[rows]] = hit - 1
+    if len(rows) < len(y):
+        p[y < 0] = 0
+    p *= F(1 / n)
+    g = {"u": flat(out).T @ p, "b": np.ones(len(p), F) @ p}
+    d_out = (p @ w["u"].T).reshape(out.shape)
     g["o"] = flat(z).T @ flat(d_out)
-    d_z = d_out @ w["o"].T
-    d_a, d_v = d_z @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ d_z
-    d_s = a * (d_a - (d_a * a).sum(-1, keepdims=True))
+    d_z = (flat(d_out) @ w["o"].T).reshape(out.shape)
+    d_s, d_v = d_z @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ d_z
+    # the mean of d_a under the attention is what the place has put out times its gradient
+    d_s -= np.einsum("bij,bij->bi", d_z, z)[:, :, None]
+    d_s *= a
     d_q, d_k = d_s @ k * F(WIDTH ** -0.5), d_s.transpose(0, 2, 1) @ q  # q already holds the scale
-    d_h = d_out + d_q @ w["q"].T + d_k @ w["k"].T + d_v @ w["v"].T
-    for name, d in (("q", d_q), ("k", d_k), ("v", d_v)):
-        g[name] = flat(h).T @ flat(d)
-    g["p"] = d_h.sum(0)
+    d_h = flat(d_out).copy()
+    for name, d in (("q", flat(d_q)), ("k", flat(d_k)), ("v", flat(d_v))):
+        g[name] = flat(h).T @ d
+        d_h += d @ w[name].T
+    g["p"] = np.zeros(SHAPES["p"], F)
+    g["p"][: x.shape[1]] = d_h.reshape(h.shape).sum(0)
     g["e"] = np.zeros(SHAPES["e"], F)
-    np.add.at(g["e"], x.ravel(), flat(d_h))
+    at = x.ravel().astype(np.int16)
+    order = np.argsort(at, kind="stable")
+    first = np.flatnonzero(np.diff(at[order], prepend=-1))
+    g["e"][at[order[first]]] = np.add.reduceat(d_h[order], first, axis=0)
     return g, loss
 
 
 def train_local(w: dict[str, np.ndarray], c: Classes, batches, rate: float, seed: int) -> tuple[dict[str, np.ndarray], int]:
-    """Adam over all windows of the given (ids, offsets) batches; returns weights and places seen."""
-    w = {k: v.copy() for k, v in w.items()}
-    m, s = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
+    """Adam over the places of the given (ids, offsets) batches; returns weights and places seen.
+
+    Windows for training do not overlap, so that each place is computed once."""
+    flat = pack(w)
+    w = unpack(flat)
+    m, s = np.zeros_like(flat), np.zeros_like(flat)
     rng, step, seen = np.random.default_rng(seed), 0, 0
     for ids, off in batches:
-        x, y, _ = windows(ids, off, c)
-        order = rng.permutation(len(x))
-        for i in range(0, len(order), BATCH):
-            pick = order[i: i + BATCH]
-            yy = np.where(y[pick] >= 0, c.outputs[y[pick]], -1)
-            g, _ = gradients(w, x[pick], yy)
+        p = Places(ids, off, c, WINDOW)
+        order = rng.permutation(len(p.start))
+        for i in range(0, len(order), TRAIN_BATCH):
+            x, y = p.take(order[i: i + TRAIN_BATCH])
+            g, _ = gradients(w, x, np.where(y >= 0, c.outputs[y], -1))
             step += 1
-            seen += int((yy >= 0).sum())
-            for key in w:
-                m[key] = 0.9 * m[key] + F(0.1) * g[key]
-                s[key] = 0.99 * s[key] + F(0.01) * g[key] ** 2
-                w[key] = (w[key] - F(rate) * (m[key] / (1 - 0.9 ** step)) / (np.sqrt(s[key] / (1 - 0.99 ** step)) + F(1e-8))).astype(F)
-    return w, seen
+            seen += int((y >= 0).sum())
+            grad = pack(g)
+            m += F(0.1) * (grad - m)
+            s += F(0.01) * (grad * grad - s)
+            flat -= F(rate / (1 - 0.9 ** step)) * m / (np.sqrt(s * F(1 / (1 - 0.99 ** step))) + F(1e-8))
+    return {k: v.copy() for k, v in w.items()}, seen
 
 
 def pack(w: dict[str, np.ndarray]) -> np.ndarray:
@@ -217,6 +229,6 @@ def unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
     out, at = {}, 0
     for k, shape in SHAPES.items():
         n = int(np.prod(shape))
-        out[k] = flat[at: at + n].reshape(shape).astype(F)
+        out[k] = flat[at: at + n].reshape(shape).astype(F, copy=False)
         at += n
     return out

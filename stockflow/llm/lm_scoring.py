@@ -72,20 +72,33 @@ def count_words(texts: DataFrame, text: str) -> DataFrame:
     return small_batches(texts.select(text)).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _encoded(train: DataFrame, doc_id: str, text: str, shared, pattern: str) -> DataFrame:
-    """``id, part, ids`` of every training text, written; ``part`` deals out the texts."""
-    key = F.col(doc_id).cast("string")
-    texts = train.select(F.col(text).alias("text"), key.alias("id"), F.xxhash64(key, F.col(text), F.lit(5)).alias("part"))
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """Add ``ids array<int>``, the subword ids of every whole text. ``fit`` and ``score`` take them from
+    a written table, so that its texts are encoded once for both."""
+    return _with_ids(df, broadcast_file(df.sparkSession, path), pattern, text, ids)
+
 
-    def encode():
+def _with_ids(df: DataFrame, shared, pattern: str, text: str, ids: str, carry: list[str] | None = None) -> DataFrame:
+    def make():
         cache = kept(("lm", hash((shared.value, pattern))), lambda: PieceCache(model(shared, pattern).encode, 250_000))
 
         def step(b: pa.RecordBatch) -> list[pa.Array]:
-            ids, off = cache.ids(b.column("text"))
-            return [list_array(ids, off, pa.int32())]
+            return [list_array(*cache.ids(b.column(text)), pa.int32())]
         return step
 
-    return materialize(add_columns(texts, "text", "ids array<int>", encode, ["id", "part"], warm=True), "lm-ids")
+    return add_columns(df, text, f"`{ids}` array<int>", make, carry, warm=True)
+
+
+def _parted(train: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``id``, ``part`` (deals out the texts to rounds) and ``text`` beside the ids of training texts."""
+    key = F.col(doc_id).cast("string")
+    own = [F.col(text).alias("text"), key.alias("id"), F.xxhash64(key, F.col(text), F.lit(5)).alias("part")]
+    return train.select(*own, *(["ids"] if "ids" in train.columns else []))
+
+
+def _encoded(train: DataFrame, doc_id: str, text: str, shared, pattern: str) -> DataFrame:
+    """``id, part, ids`` of every training text, written."""
+    return materialize(_with_ids(_parted(train, doc_id, text), shared, pattern, "text", "ids", ["id", "part"]), "lm-ids")
 
 
 def _texts(batches, column: int = 0):
@@ -131,15 +144,15 @@ def _classes(encoded: DataFrame, ends: int, shared, pattern: str) -> tuple[at.Cl
     return at.given_last(c, key // n_ids, key % n_ids, n), counts
 
 
-def _ids(cache: PieceCache, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    ids, off = cache.ids(col)
-    return ids.astype(np.int64), off
+def _listed(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return np.asarray(col.flatten(), np.int64), offsets(np.asarray(pa.compute.list_value_length(col), np.int64))
 
 
 def _train(encoded: DataFrame, c: at.Classes, counts: np.ndarray, s: Settings):
+    """Rounds of local training. A task trains on a split of the written table, whose order is fixed,
+    so a task that is run again, or the whole fit, gives the same weights."""
     spark = encoded.sparkSession
-    sample = encoded.where(F.pmod(F.xxhash64("id"), F.lit(s.share)) == 0)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sample = small_batches(encoded).where(F.pmod(F.xxhash64("id"), F.lit(s.share)) == 0)
     flat = at.pack(at.initial(c, counts))
     for k in range(s.rounds):
         given = spark.sparkContext.broadcast((flat, at.Classes(c.inputs, c.outputs, np.zeros((0, 0)))))
@@ -151,7 +164,7 @@ def _train(encoded: DataFrame, c: at.Classes, counts: np.ndarray, s: Settings):
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(start), dtype=np.int32)), pa.array(at.pack(weights).astype(np.float64) * seen),
                                                   pa.array(np.full(len(start), seen, np.int64))], ["at", "v", "seen"])
 
-        mean = (sample.where(F.pmod(F.xxhash64("part"), F.lit(s.rounds)) == k).repartition(n, "part").select("ids").mapInArrow(run, "at int, v double, seen bigint")
+        mean = (sample.where(F.pmod(F.xxhash64("part"), F.lit(s.rounds)) == k).select("ids").mapInArrow(run, "at int, v double, seen bigint")
                 .groupBy("at").agg((F.sum("v") / F.sum("seen")).alias("v")).toArrow())  # one row for each weight
         if mean.num_rows:
             flat = np.zeros(len(flat), np.float32)
@@ -159,13 +172,18 @@ def _train(encoded: DataFrame, c: at.Classes, counts: np.ndarray, s: Settings):
     return at.unpack(flat)
 
 
-def fit(train: DataFrame, path: str, pattern: str, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> Model:
-    """Learn word counts, subword classes and attention weights from the training rows."""
+def fit(train: DataFrame, path: str, pattern: str, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text",
+        ids: str | None = None) -> Model:
+    """Learn word counts, subword classes and attention weights from the training rows; ``ids`` names
+    the column that ``encode`` has added to a written table."""
     shared = broadcast_file(train.sparkSession, path)
     vocabulary = materialize(count_words(train, text), "lm-words")
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = train.count()
-    encoded = _encoded(train, doc_id, text, shared, pattern)
+    if ids:
+        encoded = _parted(train.withColumn("ids", F.col(ids)), doc_id, text).drop("text")
+    else:
+        encoded = _encoded(train, doc_id, text, shared, pattern)
     c, counts = _classes(encoded, ends, shared, pattern)
     weights = _train(encoded, c, counts, s)
     return Model(vocabulary, total["n"] + ends, total["v"] + (ends > 0), ends, c, weights)
@@ -180,13 +198,17 @@ def _hashed(vocabulary: DataFrame) -> DataFrame:
     return vocabulary.select("word", "n").mapInArrow(run, "hash bigint, c bigint")
 
 
-def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """Add ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` to every row."""
+def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text", carry: list[str] | None = None,
+          ids: str | None = None) -> DataFrame:
+    """Add ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` to every row; with
+    ``ids`` the texts are not encoded again."""
     spark = df.sparkSession
     shared = broadcast_file(spark, path)
     added = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     keep = [c for c in without(df, added) if carry is None or c in carry]
-    work, text = numbered(df, keep, _text=text), "_text"
+    work, text = numbered(df, keep, _text=text, **({"_ids": ids} if ids else {})), "_text"
+    if not ids:
+        work = _with_ids(work, shared, pattern, text, "_ids")
     hashed = _hashed(m.vocabulary)
     often = hashed.where(F.col("c") * FREQUENT >= m.tokens).toArrow()  # FREQUENT rows at most
     h, c = np.asarray(often["hash"]).view(np.uint64), np.asarray(often["c"])
@@ -194,7 +216,6 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
 
     def make():
         known, count, ends, cl, weights = given.value
-        cache = kept(("lm", hash((shared.value, pattern))), lambda: PieceCache(model(shared, pattern).encode, 250_000))
         index = HashIndex(max(8, int(2 * len(known) + 1).bit_length()))
         index.add(known, np.arange(len(known), dtype=np.int32))
         log_count = np.log10(np.append(count, 0) + 0.5)
@@ -215,7 +236,7 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
             first = np.flatnonzero(new)
             times = np.diff(np.append(first, len(r)))
             rare_off = offsets(np.bincount(r[first], minlength=n))
-            lp = at.log_prob(weights, cl, *_ids(cache, b.column(text))) / np.log(10)
+            lp = at.log_prob(weights, cl, *_listed(b.column("_ids"))) / np.log(10)
             return [pa.array(tokens), pa.array(seen.astype(np.int64)), pa.array(base), pa.array(lp),
                     list_array(x[first].view(np.int64), rare_off, pa.int64()), list_array(times, rare_off, pa.int64())]
         return step
@@ -229,7 +250,7 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
     sums = rare.groupBy("_row").agg(F.sum(F.col("times") * F.log10(F.col("c") + 0.5)).alias("_more"),
                                     F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("_also"))
     down = float(np.log10(m.tokens + 0.5 * (m.distinct + 1)))
-    done = (read.drop("_rare", "_times").join(sums, "_row", "left")
+    done = (read.drop("_rare", "_times", "_ids").join(sums, "_row", "left")
             .withColumn("n_known", F.col("_seen") + F.coalesce("_also", F.lit(0)))
             .withColumn("train_tokens", F.lit(m.tokens).cast("bigint"))
             .withColumn("base_score", F.col("_base") + F.coalesce("_more", F.lit(0.0)) - F.col("n_tokens") * F.lit(down)))

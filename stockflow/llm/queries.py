@@ -73,8 +73,9 @@ def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id"), 5))
-    model = lm_scoring.fit(docs.where(~F.col("held_out")), path, PATTERN)
-    return lm_scoring.score(docs, model, path, PATTERN, carry=["doc_id", "held_out"])
+    docs = materialize(lm_scoring.encode(docs.select("doc_id", "text", "held_out"), path, PATTERN), "lm-texts")
+    model = lm_scoring.fit(docs.where(~F.col("held_out")), path, PATTERN, ids="ids")
+    return lm_scoring.score(docs, model, path, PATTERN, carry=["doc_id", "held_out"], ids="ids")
 
 
 def packed(docs: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ longer text), so a task's memory does not follow the size of its partition.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ _POW = _U(0x9E3779B97F4A7C15 | 1)
 _INV = _U(pow(int(_POW), -1, 1 << 64))
 _BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 64, 256, dtype=np.uint64, endpoint=False)
 _powers: dict[int, np.ndarray] = {}
+_digests: dict[bytes, int] = {}
 
 #: Space, tab, newline, vertical tab, form feed, carriage return: what separates words.
 SPACE = np.zeros(256, bool)
@@ -60,7 +62,8 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
 
 
 class Spans:
-    """Hashes of any spans of one byte array, by prefix sums of a polynomial hash."""
+    """Hashes of any spans of one byte array, by prefix sums of a polynomial hash: for features and
+    candidates, where two different spans of one hash change no result."""
 
     def __init__(self, data: np.ndarray):
         n = len(data)
@@ -118,6 +121,23 @@ def span_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     return np.asarray(coded.indices, np.int64), coded.dictionary
 
 
+def digests(strings: list[bytes]) -> np.ndarray:
+    """64 bits of a cryptographic hash of each string; those seen lately are kept in this worker."""
+    if len(_digests) > 300_000:
+        _digests.clear()
+    for x in strings:
+        if x not in _digests:
+            _digests[x] = int.from_bytes(blake2b(x, digest_size=8).digest(), "little")
+    return np.fromiter(map(_digests.__getitem__, strings), np.uint64, len(strings))
+
+
+def span_digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``digests`` of spans as ``span_codes`` takes them: the same in every task, and out of reach of
+    whoever writes the text, as a polynomial hash modulo 2 ** 64 is not (Thue-Morse words)."""
+    code, names = span_codes(data, start, end)
+    return digests(names.to_pylist())[code] if len(code) else np.zeros(0, np.uint64)
+
+
 def row_sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Sum of values[off[i]:off[i+1]] for every row i (0 for an empty one)."""
     c = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
@@ -228,6 +248,7 @@ def add_columns(df: DataFrame, text: str, new: str, make: Callable[[], Callable[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not warm:
             _caches.clear()  # what operators before have left in this worker
+            _digests.clear()
         step = make()
         for whole in batches:
             for b in chunks(whole, text):

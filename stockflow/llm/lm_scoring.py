@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm import attention as at
-from stockflow.llm.arrays import LOWER, Spans, add_columns, binary_array, broadcast_file, chunks, kept, list_array, named, numbered, offsets, ragged, small_batches, text_bytes, without, words
+from stockflow.llm.arrays import (LOWER, add_columns, broadcast_file, chunks, digests, kept, list_array, named, numbered, offsets, small_batches, span_codes,
+                                  span_digests, text_bytes, without, words)
 from stockflow.llm.bpe import model
 from stockflow.llm.pieces import HashIndex, PieceCache
 from stockflow.session import materialize
@@ -55,8 +56,7 @@ class Model:
 def _low_words(col: pa.Array):
     data, off = text_bytes(col)
     low = LOWER[data]
-    start, end, row = words(low, off)
-    return low, start, end, row, Spans(low).hash(start, end)
+    return low, *words(low, off)
 
 
 def count_words(texts: DataFrame, text: str) -> DataFrame:
@@ -64,10 +64,9 @@ def count_words(texts: DataFrame, text: str) -> DataFrame:
     def count(batches):
         for whole in batches:
             for b in chunks(whole, text):
-                low, start, end, _, h = _low_words(b.column(0))
-                _, first, n = np.unique(h, return_index=True, return_counts=True)
-                size = (end - start)[first]
-                yield pa.RecordBatch.from_arrays([binary_array(ragged(low, start[first], size), offsets(size)), pa.array(n.astype(np.int64))], ["word", "n"])
+                low, start, end, _ = _low_words(b.column(0))
+                code, names = span_codes(low, start, end)
+                yield pa.RecordBatch.from_arrays([names, pa.array(np.bincount(code, minlength=len(names)))], ["word", "n"])
 
     return small_batches(texts.select(text)).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -192,8 +191,7 @@ def fit(train: DataFrame, path: str, pattern: str, s: Settings = Settings(), doc
 def _hashed(vocabulary: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
-            data, off = text_bytes(b.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array(Spans(data).hash(off[:-1], off[1:]).view(np.int64)), b.column(1)], ["hash", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(digests(b.column(0).to_pylist()).view(np.int64)), b.column(1)], ["hash", "c"])
 
     return vocabulary.select("word", "n").mapInArrow(run, "hash bigint, c bigint")
 
@@ -222,7 +220,8 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
 
         def step(b: pa.RecordBatch) -> list[pa.Array]:
             n = b.num_rows
-            _, _, _, row, h = _low_words(b.column(text))
+            low, start, end, row = _low_words(b.column(text))
+            h = span_digests(low, start, end)
             place = index.find(h)
             hit = place >= 0
             tokens = np.bincount(row, minlength=n) + 1

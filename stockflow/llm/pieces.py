@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-from stockflow.llm.arrays import Spans, offsets, ragged, text_bytes
+from stockflow.llm.arrays import offsets, ragged, span_codes, text_bytes
 
 Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 _WORD = np.zeros(256, bool)
@@ -103,7 +103,8 @@ class PieceCache:
         self._reset()
 
     def _reset(self) -> None:
-        self.index, self.store = HashIndex((2 * self.limit).bit_length() + 1), Ragged()
+        self.code: dict[bytes, int] = {}
+        self.store = Ragged()
 
     def _whole(self, text: str) -> np.ndarray:
         parts, names = self.at_special.split(text), self.at_special.findall(text)
@@ -156,16 +157,16 @@ class PieceCache:
             s, e, row = s[good], e[good], row[good]
         if self.store.n > self.limit or self.store.used > 16 * self.limit:
             self._reset()
-        h = Spans(data).hash(s, e)
-        codes = self.index.find(h).astype(np.int64)
-        new = np.flatnonzero(codes < 0)
+        local, names = span_codes(data, s, e)
+        pieces = names.to_pylist()
+        own = np.fromiter(map(self.code.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(own < 0)
         if len(new):
-            hashes, first, back = np.unique(h[new], return_index=True, return_inverse=True)
-            raw, at = data.tobytes(), new[first]
-            strings = [raw[a:b].decode() for a, b in zip(s[at].tolist(), e[at].tolist())]
-            own = np.array(self.store.add(*self.encode(strings)), np.int32)
-            self.index.add(hashes, own)
-            codes[new] = own[back]
+            missing = [pieces[k] for k in new.tolist()]
+            added = self.store.add(*self.encode([x.decode() for x in missing]))
+            self.code.update(zip(missing, added))
+            own[new] = added
+        codes = own[local]
         if bad.any():
             rows = np.flatnonzero(bad)
             whole = [self._whole(col[i].as_py()) for i in rows.tolist()]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.arrays import SPACE, Spans, add_columns, broadcast_file, kept, mix, row_sums, text_bytes, words
+from stockflow.llm.arrays import SPACE, add_columns, broadcast_file, kept, mix, row_sums, span_codes, text_bytes, words
 from stockflow.llm.bpe import model
 from stockflow.llm.pieces import PieceCache, SpaceCache
 
@@ -58,8 +58,7 @@ def base_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     """Counts of the base rule for each row of concatenated UTF-8 texts."""
     n = len(off) - 1
     start, end, row = words(data, off)
-    spans = Spans(data)
-    h = spans.hash(start, end)
+    h = span_codes(data, start, end)[0].astype(np.uint64)  # equal words have equal numbers, others do not
     lead = (data & 0xC0) != 0x80
     # three words in a row of one text
     w = np.flatnonzero(row[2:] == row[:-2]) if len(row) > 2 else np.zeros(0, np.int64)
@@ -79,9 +78,9 @@ def base_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     solid = np.concatenate([[0], np.cumsum(~SPACE[data])])
     has = solid[stop] > solid[begin]
     begin, stop, line_row = begin[has], stop[has], line_row[has]
-    key = spans.hash(begin, stop) + line_row.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    _, first = np.unique(key, return_index=True)
-    later = np.ones(len(key), bool)
+    line, _ = span_codes(data, begin, stop)
+    _, first = np.unique(line_row * (len(line) + 1) + line, return_index=True)
+    later = np.ones(len(line), bool)
     later[first] = False
     return {
         "n_words": np.bincount(row, minlength=n),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from stockflow.llm.arrays import LOWER, Spans, mix, offsets, text_bytes, words
+from stockflow.llm.arrays import LOWER, mix, offsets, span_digests, text_bytes, words
 
 
 def shingle_sets(col: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -16,7 +16,7 @@ def shingle_sets(col: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarray]
     data, off = text_bytes(col)
     low = LOWER[data]
     start, end, row = words(low, off)
-    h = Spans(low).hash(start, end)
+    h = span_digests(low, start, end)
     n_words = np.bincount(row, minlength=len(off) - 1)
     at = offsets(n_words)
     roll = np.zeros(max(len(h) - width + 1, 0), np.uint64)

@@ -114,3 +114,42 @@ def exact_percentile(df: DataFrame, by: list[str], value: str, q: float, out: st
     g = x.groupBy(*by).agg(F.max(at).alias("_at"), F.max(F.when(holds(F.floor(at)), F.col(value))).alias("_low"),
                            F.max(F.when(holds(F.ceil(at)), F.col(value))).alias("_high"))
     return g.select(*by, (F.col("_low") + (F.col("_at") - F.floor("_at")) * (F.col("_high") - F.col("_low"))).alias(out))
+
+
+# -- interval joins by dyadic cells -------------------------------------------------------------------
+
+TOP_LEVEL = 13  # largest cells: 2 ** 13 of the smallest (341 days of hours)
+
+
+def dyadic_cover(first, last, top: int = TOP_LEVEL) -> Column:
+    """The cells ``struct<level, cell>`` that make up the smallest cells ``first`` to ``last`` (bigint).
+
+    Cell c of level k holds the smallest cells c * 2 ** k to (c + 1) * 2 ** k - 1. The cover is that of
+    a segment tree: at level k there is a cell at the left where ceil(first / 2 ** k) is odd and one at
+    the right where floor((last + 1) / 2 ** k) is, so an interval of n cells has at most 2 log2(n) of
+    them; beyond level ``top`` the rest is cells of that level."""
+    def ends(k):
+        left = F.negative(F.call_function("shiftright", F.negative(first), k))
+        return left, F.call_function("shiftright", last + 1, k)
+
+    def cell(k, c):
+        return F.struct(k.cast("int").alias("level"), c.alias("cell"))
+
+    def at(k):
+        left, right = ends(k)
+        odd_left = (left < right) & (F.pmod(left, F.lit(2)) == 1)
+        odd_right = (left + odd_left.cast("bigint") < right) & (F.pmod(right, F.lit(2)) == 1)
+        return F.array_compact(F.array(F.when(odd_left, cell(k, left)), F.when(odd_right, cell(k, right - 1))))
+
+    n = F.greatest(last - first + 1, F.lit(1))
+    deepest = F.least(F.floor(F.log2(n.cast("double"))).cast("int") + 1, F.lit(top))  # no cell is larger than the interval
+    none = F.array().cast("array<struct<level: int, cell: bigint>>")
+    below = F.flatten(F.transform(F.sequence(F.lit(0), deepest - 1), at)) if top > 0 else none
+    left, right = ends(deepest)
+    rest = F.when(left < right, F.transform(F.sequence(left, right - 1), lambda c: cell(deepest, c))).otherwise(none)
+    return F.when(first <= last, F.concat(below, rest)).otherwise(none)
+
+
+def dyadic_cells(cell, levels) -> Column:
+    """The cells ``struct<level, cell>`` of the given levels that hold one smallest cell."""
+    return F.array(*[F.struct(F.lit(k).alias("level"), F.call_function("shiftright", cell, F.lit(k)).alias("cell")) for k in levels])

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from stockflow.operators.sequence import TOP_LEVEL, dyadic_cells, dyadic_cover
 from stockflow.plans import lake
 from stockflow.sources.movements import finalize
 
@@ -103,24 +104,26 @@ def stream_perf_windows(spark, src_path, schema, out_path, checkpoint, window="1
 
 
 def activity_perf_join(jobs: DataFrame, perf: DataFrame, max_activity_s: int, delay: str = "1 day") -> DataFrame:
-    """I4 (plan): D6 as a stream-stream interval join. Stream joins need an equality, so both
-    sides carry the hour bucket (activities exploded over the buckets they span, as in D6).
-    Watermarks on both sides plus the bound ``finished_at <= ts + max_activity_s`` let Spark drop
-    join state that can no longer match. An activity longer than the bound fails the job: its
-    matches could not be complete."""
+    """I4 (plan): D6 as a stream-stream interval join. Stream joins need an equality, so an activity
+    carries the dyadic hour cells that cover it (at most 2 log2 of its hours) and a sample one cell of
+    each level that an activity of ``max_activity_s`` can have. Watermarks on both sides plus the bound
+    ``finished_at <= ts + max_activity_s`` let Spark drop join state that can no longer match. An
+    activity longer than the bound fails the job: its matches could not be complete."""
     us = 3600 * 1_000_000
+    hour = lambda c: F.floor(F.unix_micros(c) / us).cast("bigint")
     length = F.unix_micros("a_end") - F.unix_micros("a_start")
+    top = min(TOP_LEVEL, (max_activity_s // 3600 + 2).bit_length() - 1)  # an activity of n hours touches n + 2 at most
     a = (jobs.select(F.col("event_id").alias("job_event"), F.col("started_at").cast("timestamp").alias("a_start"),
                      F.col("finished_at").cast("timestamp").alias("a_end"))
              .withColumn("a_start", F.when(length <= max_activity_s * 1_000_000, F.col("a_start")).otherwise(F.raise_error(
                  F.lit(f"an activity is longer than {max_activity_s} s")).cast("timestamp")))
-             .withColumn("a_bucket", F.explode(F.sequence(F.floor(F.unix_micros("a_start") / us).cast("bigint"),
-                                                          F.floor(F.unix_micros("a_end") / us).cast("bigint"))))
+             .withColumn("a_cell", F.explode(dyadic_cover(hour("a_start"), hour("a_end"), top)))
              .withWatermark("a_end", delay))
     p = (perf.select(F.col("event_id").alias("sample_event"), F.col("ts").cast("timestamp").alias("p_ts"), "rss_mb")
-             .withColumn("p_bucket", F.floor(F.unix_micros("p_ts") / us).cast("bigint"))
+             .withColumn("p_cell", F.explode(dyadic_cells(hour("p_ts"), range(top + 1))))
              .withWatermark("p_ts", delay))
-    cond = ((F.col("a_bucket") == F.col("p_bucket")) & (F.col("a_start") <= F.col("p_ts")) & (F.col("p_ts") <= F.col("a_end"))
+    cond = ((F.col("a_cell.level") == F.col("p_cell.level")) & (F.col("a_cell.cell") == F.col("p_cell.cell"))
+            & (F.col("a_start") <= F.col("p_ts")) & (F.col("p_ts") <= F.col("a_end"))
             & (F.col("a_end") <= F.col("p_ts") + F.expr(f"INTERVAL {max_activity_s} SECONDS")))
     return a.join(p, cond, "inner").select("job_event", "sample_event", "rss_mb")
 

@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from stockflow.functions import calendar as cal
 from stockflow.functions.calendar import fdiv
 from stockflow.functions.movement_fields import item_code
-from stockflow.operators.sequence import running_by_value
+from stockflow.operators.sequence import exact_percentiles, running_by_value
 
 KEY = ["company", "item_code", "warehouse"]
 ITEM = ["company", "item_code"]
@@ -190,9 +190,10 @@ def abc_by_period(mov: DataFrame, a: float = 0.8, b: float = 0.95, digits: int =
     g = s.groupBy(*period, *ties).agg(F.round(F.sum("v"), digits).alias("value"), F.sum("out_qty").alias("units"),
                                       F.count_distinct("doc_date").alias("sales_days"))
     g = running_by_value(g, period, "value", ties, "value", "cum", "total")
-    whole = Window.partitionBy(*period)
-    score = sum(w * F.coalesce(F.try_divide(F.col(c).cast("double"), t), F.lit(0.0)) for w, c, t in zip(
-        weights, ("value", "units", "sales_days"), (F.col("total"), F.sum("units").over(whole), F.sum("sales_days").over(whole))))
+    whole = g.groupBy(*period).agg(F.sum("units").alias("_units"), F.sum("sales_days").alias("_days"))  # one row a period
+    g = g.join(whole, period)
+    score = sum(w * F.coalesce(F.try_divide(F.col(c).cast("double"), F.col(t)), F.lit(0.0)) for w, c, t in zip(
+        weights, ("value", "units", "sales_days"), ("total", "_units", "_days")))
     # scores are scaled to millions so that the value buckets tell them apart
     g = running_by_value(g.withColumn("score", F.round(score * 1e6, 3)), period, "score", ties, "score", "score_cum", "score_total")
     share = lambda x, t: F.try_divide(F.col(x), F.col(t))
@@ -237,10 +238,10 @@ def seasonal_index(series: DataFrame, part: DataFrame, level: str = "p_brand", d
 
 
 def quantile_forecast(series: DataFrame, part: DataFrame, taus=(0.5, 0.9), level: str = "p_brand") -> DataFrame:
-    """Per category and retail week, empirical quantiles of item demand."""
+    """Per category and retail week, empirical quantiles of item demand. All quantiles come from
+    one pass of counts over value buckets; the items of a category are never held in one buffer."""
     s = with_category(series, part, level).withColumn("r_week", F.pmod(F.col("p"), F.lit(52)) + 1)
-    return s.groupBy("category", "r_week").agg(
-        *[F.percentile("qty", t).alias(f"q{int(round(t * 100))}") for t in taus])
+    return exact_percentiles(s, ["category", "r_week"], "qty", {f"q{int(round(t * 100))}": t for t in taus})
 
 
 def decompose(series: DataFrame, by=ITEM, m: int = 13, digits: int = 6) -> DataFrame:

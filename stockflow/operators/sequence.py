@@ -103,17 +103,25 @@ def running_by_value(df: DataFrame, by: list[str], value: str, ties: list[str],
     return x.join(totals, on=[*by, b]).withColumn(out, F.col("_offset") + F.col("_intra")).drop(b, "_intra", "_offset")
 
 
-def exact_percentile(df: DataFrame, by: list[str], value: str, q: float, out: str) -> DataFrame:
-    """Percentile by linear interpolation, as ``percentile`` gives it, without a buffer that holds all
-    of a group's values: equal values are counted first, and the two values around the wanted
-    position are found by running counts."""
+def exact_percentiles(df: DataFrame, by: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
+    """Percentiles (name -> fraction) by linear interpolation, as ``percentile`` gives them, without a
+    buffer that holds all of a group's values: equal values are counted first, and the values around
+    the wanted positions are found by one pass of running counts over value buckets. Groups without
+    any value are left out."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
     x = running_by_value(counts, by, value, [], "_n", "_upto", "_total", desc=False)
-    at = (F.col("_total") - 1) * F.lit(q)
+    at = {k: (F.col("_total") - 1) * F.lit(q) for k, q in wanted.items()}
     holds = lambda p: (F.col("_upto") > p) & (F.col("_upto") - F.col("_n") <= p)
-    g = x.groupBy(*by).agg(F.max(at).alias("_at"), F.max(F.when(holds(F.floor(at)), F.col(value))).alias("_low"),
-                           F.max(F.when(holds(F.ceil(at)), F.col(value))).alias("_high"))
-    return g.select(*by, (F.col("_low") + (F.col("_at") - F.floor("_at")) * (F.col("_high") - F.col("_low"))).alias(out))
+    g = x.groupBy(*by).agg(*[c for k, p in at.items() for c in (
+        F.max(p).alias(f"_at_{k}"), F.max(F.when(holds(F.floor(p)), F.col(value))).alias(f"_low_{k}"),
+        F.max(F.when(holds(F.ceil(p)), F.col(value))).alias(f"_high_{k}"))])
+    return g.select(*by, *[(F.col(f"_low_{k}") + (F.col(f"_at_{k}") - F.floor(f"_at_{k}")) * (F.col(f"_high_{k}") - F.col(f"_low_{k}"))).alias(k)
+                           for k in wanted])
+
+
+def exact_percentile(df: DataFrame, by: list[str], value: str, q: float, out: str) -> DataFrame:
+    """``exact_percentiles`` for one fraction."""
+    return exact_percentiles(df, by, value, {out: q})
 
 
 # -- interval joins by dyadic cells -------------------------------------------------------------------

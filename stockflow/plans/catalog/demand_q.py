@@ -6,9 +6,11 @@ from statistics import NormalDist
 
 from pyspark.sql import functions as F
 
+from stockflow.operators import analogs as an
 from stockflow.operators import demand as dm
 from stockflow.operators import forecast as fc
 from stockflow.operators import replenish as rp
+from stockflow.operators import stl as sm
 from stockflow.operators import unconstrain as un
 from stockflow.plans.catalog import query
 from stockflow.plans.oracle_sql import DEMAND_AS_OF as AS_OF
@@ -333,6 +335,36 @@ def h28(spark, sf_dir):
     return rp.cold_start(fx.with_new_items(_series(spark, sf_dir)), _part(spark, sf_dir))
 
 
+_ANALOGS = f"""
+snew AS (SELECT * FROM series WHERE CAST(item_code AS BIGINT) % 41 <> 0 OR p > (SELECT max(p) FROM series) - 10),
+st AS (SELECT s.company, s.item_code, count(*) AS periods, any_value(p.p_brand) AS brand, any_value(p.p_type) AS type, any_value(p.p_retailprice) AS px
+       FROM snew s JOIN (SELECT {sql_item_code('p_partkey')} AS item_code, p_brand, p_type, p_retailprice FROM part) p
+       USING (item_code) GROUP BY s.company, s.item_code),
+analogs AS (SELECT * FROM (SELECT n.company, n.item_code, e.item_code AS analog, e.px AS analog_px, n.px,
+      CASE WHEN n.brand = e.brand THEN 0 ELSE 1 END + CASE WHEN n.type = e.type THEN 0 ELSE 1 END + abs(n.px - e.px) / greatest(n.px, e.px) AS distance
+    FROM st n JOIN st e ON n.company = e.company WHERE n.periods < 13 AND e.periods >= 13) c
+  QUALIFY row_number() OVER (PARTITION BY company, item_code ORDER BY distance, analog) <= 5)"""
+
+
+@query("h28_ranked_analogs", with_ctes("""SELECT a.company, a.item_code, CAST(row_number() OVER (PARTITION BY a.company, a.item_code ORDER BY distance, analog) AS INTEGER) AS rank,
+  analog, round(distance, 6) AS distance FROM analogs a""", "series").replace("\nSELECT a.company", f",{_ANALOGS}\nSELECT a.company", 1))
+def h28_analogs(spark, sf_dir):
+    return an.ranked_analogs(an.item_stats(fx.with_new_items(_series(spark, sf_dir)), _part(spark, sf_dir)), k=5).withColumn("distance", F.round("distance", 6)).drop(
+        "analog_price", "price")
+
+
+@query("h28_analog_profile", with_ctes("""SELECT a.company, a.item_code, w.r_week, round(sum(w.qty * a.px / a.analog_px / (1 + a.distance)) / sum(1 / (1 + a.distance)), 6) AS qty
+FROM analogs a JOIN (SELECT company, item_code, CAST(((p % 52) + 52) % 52 + 1 AS INTEGER) AS r_week, avg(qty) AS qty FROM snew GROUP BY ALL) w
+  ON w.company = a.company AND w.item_code = a.analog GROUP BY ALL""", "series").replace("\nSELECT a.company", f",{_ANALOGS}\nSELECT a.company", 1))
+def h28_profile(spark, sf_dir):
+    return an.analog_profile(fx.with_new_items(_series(spark, sf_dir)), _part(spark, sf_dir), k=5)
+
+
+@query("h28_attribute_model")
+def h28_model(spark, sf_dir):
+    return an.attribute_forecast(fx.with_new_items(_series(spark, sf_dir)), _part(spark, sf_dir))
+
+
 @query("h29_newsvendor", with_ctes(
     "SELECT company, item_code, quantile_cont(qty, 0.75) AS order_up_to FROM series GROUP BY ALL", "series"))
 def h29(spark, sf_dir):
@@ -427,6 +459,11 @@ def h33(spark, sf_dir):
     return dm.decompose(_series(spark, sf_dir))
 
 
+@query("h33_stl")
+def h33_stl(spark, sf_dir):
+    return sm.stl(dm.demand_arrays(_mov(spark, sf_dir), grain_days=28), period=13)
+
+
 @query("h34_preseason_split", with_ctes(f"""SELECT company, item_code, r_year, r_quarter, plan,
   round(least(lt_days / 91, 1.0e0), 6) AS preseason_share, round(plan * least(lt_days / 91, 1.0e0), 6) AS preseason_qty,
   round(plan * (1 - least(lt_days / 91, 1.0e0)), 6) AS in_season_qty

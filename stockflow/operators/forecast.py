@@ -3,9 +3,8 @@
 Recursive smoothers (Croston, SBA, TSB, SES, Holt) are native folds: the item's series is
 gathered as an array sorted by period (its length is the number of periods in the time span,
 independent of data volume) and reduced with the ``aggregate`` higher-order function, which
-runs in the JVM. Model fits that need linear algebra or numerical search (Holt-Winters, Fourier
-least squares, KDE quantiles) run per item with ``applyInPandas``; Spark still shuffles and
-schedules the items.
+runs in the JVM; so are Holt-Winters and the equations of the Fourier regression. Only the KDE
+quantiles run in Python, batched over items.
 """
 
 from __future__ import annotations
@@ -101,17 +100,11 @@ def one_step_errors(fits: DataFrame, series: DataFrame, by=ITEM) -> DataFrame:
     return series.join(z, [*by, "p"])
 
 
-# ---------------------------------------------------------------- grouped pandas models
-
-HW_SCHEMA = T.StructType([T.StructField("company", T.StringType()), T.StructField("item_code", T.StringType()),
-                          T.StructField("level", T.DoubleType()), T.StructField("trend", T.DoubleType()),
-                          T.StructField("forecast_next", T.DoubleType()), T.StructField("sse", T.DoubleType()),
-                          T.StructField("forecast_next_mul", T.DoubleType()), T.StructField("sse_mul", T.DoubleType())])
-
+# ---------------------------------------------------------------- seasonal models as folds
 
 def _holt_winters_np(y: np.ndarray, m: int, alpha: float, beta: float, gamma: float, multiplicative: bool = False):
-    """Level, trend, next forecast and squared error; nan for the multiplicative form of a series
-    whose first level is not positive."""
+    """The plain loop that ``holt_winters`` folds, for the tests: level, trend, next forecast and
+    squared error; nan for the multiplicative form of a series whose first level is not positive."""
     nan = float("nan")
     if len(y) < 2 * m:
         lvl = float(np.mean(y)) if len(y) else 0.0
@@ -135,45 +128,99 @@ def _holt_winters_np(y: np.ndarray, m: int, alpha: float, beta: float, gamma: fl
     return float(lvl), float(trend), float((lvl + trend) * s if multiplicative else lvl + trend + s), float(sse)
 
 
-def holt_winters(series: DataFrame, m: int = 12, alpha: float = 0.3, beta: float = 0.05, gamma: float = 0.2) -> DataFrame:
-    """Additive and multiplicative Holt-Winters per item on retail periods (season length ``m``)."""
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values("p")["qty"].to_numpy(float)
-        lvl, tr, f, sse = _holt_winters_np(y, m, alpha, beta, gamma)
-        _, _, fm, ssem = _holt_winters_np(y, m, alpha, beta, gamma, True)
-        return pd.DataFrame([{"company": pdf["company"].iloc[0], "item_code": pdf["item_code"].iloc[0],
-                              "level": lvl, "trend": tr, "forecast_next": f, "sse": sse, "forecast_next_mul": fm, "sse_mul": ssem}])
-    return _spread(series.select("company", "item_code", "p", "qty"), ITEM).groupBy(*ITEM).applyInPandas(fit, HW_SCHEMA)
+def _sum(array) -> Column:
+    return F.aggregate(array, _d(0), lambda acc, x: acc + x)
 
 
-FOURIER_SCHEMA = T.StructType([T.StructField("company", T.StringType()), T.StructField("item_code", T.StringType()),
-                               T.StructField("intercept", T.DoubleType()), T.StructField("slope", T.DoubleType()),
-                               T.StructField("harmonics", T.ArrayType(T.DoubleType())), T.StructField("forecast_next", T.DoubleType()),
-                               T.StructField("r2", T.DoubleType()), T.StructField("n", T.LongType())])
+def holt_winters(demand: DataFrame, m: int = 12, alpha: float = 0.3, beta: float = 0.05, gamma: float = 0.2, by=ITEM) -> DataFrame:
+    """Additive and multiplicative Holt-Winters per item (season length ``m``), folded in the JVM
+    over the demand arrays (column ``q``) or over a series (``p, qty``). The season is an array whose first entry is the current place; each
+    step drops it and appends its new value.
 
+    A series shorter than two seasons has its mean as level and forecast; the multiplicative form needs
+    a positive first level. What has no value is null."""
+    q = F.col("q")
+    long = F.size(q) >= 2 * m
+    first = _sum(F.slice(q, 1, m)) / m
+    slope = (_sum(F.slice(q, m + 1, m)) / m - first) / m
 
-def fourier_regression(series: DataFrame, k: int = 2, period: int = 52) -> DataFrame:
-    """Least squares on [1, t, sin/cos(2 pi j w / 52), j = 1..k] per item: intercept, slope,
-    the harmonic coefficients (sin, cos for each j), the forecast of the next period and r2."""
-    def design(t, first):
-        cols = [np.ones_like(t), t - first]
-        for j in range(1, k + 1):
-            cols += [np.sin(2 * math.pi * j * t / period), np.cos(2 * math.pi * j * t / period)]
-        return np.column_stack(cols)
+    def fold(mul: bool):
+        start = F.struct(first.alias("l"), slope.alias("b"), F.transform(F.slice(q, 1, m), lambda y: y / first if mul else y - first).alias("s"), _d(0).alias("e"))
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = pdf["p"].to_numpy(float)
-        y = pdf["qty"].to_numpy(float)
-        x = design(t, t.min())
-        coef, *_ = np.linalg.lstsq(x, y, rcond=None)
-        resid = y - x @ coef
-        tot = float(((y - y.mean()) ** 2).sum())
-        r2 = 1 - float((resid ** 2).sum()) / tot if tot > 0 else float("nan")
-        return pd.DataFrame([{"company": pdf["company"].iloc[0], "item_code": pdf["item_code"].iloc[0],
-                              "intercept": float(coef[0]), "slope": float(coef[1]), "harmonics": coef[2:].tolist(),
-                              "forecast_next": float((design(np.array([t.max() + 1]), t.min()) @ coef)[0]), "r2": r2, "n": len(y)}])
-    return _spread(series.select("company", "item_code", "p", "qty"), ITEM).groupBy(*ITEM).applyInPandas(
-        fit, FOURIER_SCHEMA)
+        def step(a, y):
+            s, base = F.get(a["s"], F.lit(0)), a["l"] + a["b"]
+            miss = y - (base * s if mul else base + s)
+            level = alpha * (F.when(s > 0, y / s).otherwise(base) if mul else y - s) + (1 - alpha) * base
+            # level is used three times: bound by a one-entry array, so that it is computed once
+            return F.transform(F.array(level), lambda v: F.struct(
+                v.alias("l"), (beta * (v - a["l"]) + (1 - beta) * a["b"]).alias("b"),
+                F.concat(F.slice(a["s"], 2, m - 1), F.array(gamma * (F.when(v > 0, y / v).otherwise(s) if mul else y - v) + (1 - gamma) * s)).alias("s"),
+                (a["e"] + miss * miss).alias("e")))[0]
+
+        return F.aggregate(q, start, step)
+
+    arrays = demand if "q" in demand.columns else _series_array(demand, by).select(*by, F.col("s.y").alias("q"))
+    x = arrays.select(*by, "q", first.alias("_first"), F.when(long, fold(False)).alias("a"), F.when(long & (first > 0), fold(True)).alias("x"))
+    mean = F.coalesce(F.try_divide(_sum(q), F.size(q)), _d(0))
+    ahead = lambda c, f: F.when(F.col(c).isNotNull(), f(F.col(c)["l"] + F.col(c)["b"], F.get(F.col(c)["s"], F.lit(0))))
+    return x.select(*by, F.coalesce(F.col("a.l"), mean).alias("level"), F.coalesce(F.col("a.b"), _d(0)).alias("trend"),
+                    F.coalesce(ahead("a", lambda base, s: base + s), mean).alias("forecast_next"), F.col("a.e").alias("sse"),
+                    F.when(long, ahead("x", lambda base, s: base * s)).otherwise(mean).alias("forecast_next_mul"), F.col("x.e").alias("sse_mul"))
+
+
+def _solve(matrix: Column, n: int) -> Column:
+    """Solution of n linear equations with a symmetric positive matrix, by Gauss-Jordan steps over the
+    array of its rows with the right-hand side behind each; null where a pivot all but vanishes."""
+    width = n + 1
+
+    def eliminate(m, k):
+        pivot = F.get(m, k * width + k)
+
+        def cell(v, i):
+            row, col = F.floor(i / width).cast("int"), F.pmod(i, F.lit(width))
+            top = F.get(m, k * width + col) / pivot
+            return F.when(row == k, top).otherwise(v - F.get(m, row * width + k) * top)
+
+        return F.when(pivot > F.get(matrix, k * width + k) * 1e-9, F.transform(m, cell))
+
+    done = F.aggregate(F.sequence(F.lit(0), F.lit(n - 1)), matrix, eliminate)
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get(done, i * width + n))
+
+
+def fourier_regression(series: DataFrame, k: int = 2, period: int = 52, by=ITEM) -> DataFrame:
+    """Least squares on [1, t, sin/cos(2 pi j w / 52), j = 1..k] per item: intercept, slope,
+    the harmonic coefficients (sin, cos for each j), the forecast of the next period and r2.
+
+    One aggregate sums the cross products of the columns with each other and with the demand (map side
+    first, whatever the item's length); the equations are solved by a fold in the JVM. t runs from the
+    end of the data while summing. An item whose columns are not independent (fewer periods than
+    columns, or too few to tell the harmonics apart) has null coefficients."""
+    t = (F.col("p") - series.agg(F.max("p")).scalar()).cast("double") / period  # in cycles, so that columns are of like size
+    columns = [_d(1), t]
+    for j in range(1, k + 1):
+        angle = 2 * math.pi * j / period * F.col("p")
+        columns += [F.sin(angle), F.cos(angle)]
+    n = len(columns)
+    x = series.select(*by, "p", F.col("qty").cast("double").alias("y"), *[c.alias(f"x{i}") for i, c in enumerate(columns)])
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
+    g = x.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("first"), F.max("p").alias("last"), F.max(F.col("p") - F.col("x1") * period).alias("_end"),
+                           F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"),
+                           *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}_{j}") for i, j in pairs],
+                           *[F.sum(F.col(f"x{i}") * F.col("y")).alias(f"t{i}") for i in range(n)])
+    matrix = F.array(*[F.col(f"s{min(i, j)}_{max(i, j)}") if j < n else F.col(f"t{i}") for i in range(n) for j in range(n + 1)])
+    g = g.select(*by, "n", "first", "last", "_end", "sy", "syy", *[f"t{i}" for i in range(n)], matrix.alias("m"))
+    g = g.withColumn("c", F.when(F.col("n") >= n, _solve(F.col("m"), n)))
+    c = [F.get("c", F.lit(i)) for i in range(n)]
+    ahead = F.col("last") + 1
+    at = [_d(1), (ahead - F.col("_end")) / period]
+    for j in range(1, k + 1):
+        angle = 2 * math.pi * j / period * ahead
+        at += [F.sin(angle), F.cos(angle)]
+    total = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    explained = sum(a * F.col(f"t{i}") for i, a in enumerate(c)) - F.col("sy") * F.col("sy") / F.col("n")
+    return g.select(*by, (c[0] + c[1] * (F.col("first") - F.col("_end")) / period).alias("intercept"), (c[1] / period).alias("slope"),
+                    F.slice("c", 3, 2 * k).alias("harmonics"), sum(a * b for a, b in zip(c, at)).alias("forecast_next"),
+                    F.when(total > 1e-9 * F.col("syy"), F.try_divide(explained, total)).alias("r2"), "n")
 
 
 _erf = np.frompyfunc(math.erf, 1, 1)

@@ -262,14 +262,63 @@ def h20(spark, sf_dir):
     return fc.ses_holt(_series(spark, sf_dir)).drop("periods", "ses_one_step")
 
 
-@query("h21_holt_winters")
+def _rounded(df, names, digits: int = 4):
+    """Columns rounded, with a hair on top: else the last bit of a sum decides a half."""
+    return df.withColumns({c: F.round(F.col(c) + 1e-9, digits) for c in names})
+
+
+@query("h21_holt_winters", with_ctes("""
+SELECT company, item_code, round(COALESCE(l, m) + 1e-9, 4) AS level, round(COALESCE(b, 0.0e0) + 1e-9, 4) AS trend,
+  round(COALESCE(l + b + s[1], m) + 1e-9, 4) AS forecast_next, round(e + 1e-9, 4) AS sse,
+  round(CASE WHEN n >= 26 THEN (xl + xb) * xs[1] ELSE m END + 1e-9, 4) AS forecast_next_mul, round(xe + 1e-9, 4) AS sse_mul
+FROM hw_items LEFT JOIN (SELECT * FROM hw WHERE t = n) h USING (company, item_code, n)""", "series28").replace(
+    "WITH ", "WITH RECURSIVE ", 1).replace("\nSELECT company, item_code, round(COALESCE(l, m)", """,
+hw_y AS (SELECT company, item_code, qty AS y, row_number() OVER (PARTITION BY company, item_code ORDER BY p) - 1 AS t FROM series28),
+hw_items AS (SELECT company, item_code, count(*) AS n, sum(y) / count(*) AS m, list_sum(list(y ORDER BY t)[1:13]) / 13 AS f,
+    list_sum(list(y ORDER BY t)[14:26]) / 13 AS f2, list(y ORDER BY t)[1:13] AS c FROM hw_y GROUP BY ALL),
+hw(company, item_code, n, t, l, b, s, e, xl, xb, xs, xe) AS (
+  SELECT company, item_code, n, CAST(0 AS BIGINT), f, (f2 - f) / 13, list_transform(c, lambda y: y - f), 0.0e0,
+    CASE WHEN f > 0 THEN f END, CASE WHEN f > 0 THEN (f2 - f) / 13 END, CASE WHEN f > 0 THEN list_transform(c, lambda y: y / f) END, CASE WHEN f > 0 THEN 0.0e0 END
+  FROM hw_items WHERE n >= 26
+  UNION ALL
+  SELECT company, item_code, n, t + 1, v, 0.05e0 * (v - l) + (1 - 0.05e0) * b, s[2:13] || [0.2e0 * (y - v) + (1 - 0.2e0) * s[1]], e + (y - (l + b + s[1])) * (y - (l + b + s[1])),
+    xv, 0.05e0 * (xv - xl) + (1 - 0.05e0) * xb,
+    CASE WHEN xl IS NOT NULL THEN xs[2:13] || [0.2e0 * (CASE WHEN xv > 0 THEN y / xv ELSE xs[1] END) + (1 - 0.2e0) * xs[1]] END,
+    xe + (y - (xl + xb) * xs[1]) * (y - (xl + xb) * xs[1])
+  FROM (SELECT hw.*, hw_y.y, 0.3e0 * (y - s[1]) + (1 - 0.3e0) * (l + b) AS v,
+          0.3e0 * (CASE WHEN xs[1] > 0 THEN y / xs[1] ELSE xl + xb END) + (1 - 0.3e0) * (xl + xb) AS xv
+        FROM hw JOIN hw_y USING (company, item_code, t)) z)
+SELECT company, item_code, round(COALESCE(l, m)""", 1))
 def h21(spark, sf_dir):
-    return fc.holt_winters(dm.demand_series(_mov(spark, sf_dir), grain_days=28), m=13)
-
-
-@query("h22_fourier_regression")
+    return _rounded(fc.holt_winters(dm.demand_arrays(_mov(spark, sf_dir), grain_days=28), m=13),
+                    ["level", "trend", "forecast_next", "sse", "forecast_next_mul", "sse_mul"])
+
+
+@query("h22_fourier_regression", with_ctes("""
+SELECT company, item_code, round(m[7] + m[14] * (first - fin) / 52 + 1e-9, 4) AS intercept, round(m[14] / 52 + 1e-9, 4) AS slope,
+  round(m[21] + 1e-9, 4) AS sin_1, round(m[28] + 1e-9, 4) AS cos_1, round(m[35] + 1e-9, 4) AS sin_2, round(m[42] + 1e-9, 4) AS cos_2,
+  round(m[7] + m[14] * (last + 1 - fin) / 52 + m[21] * sin(2 * pi() / 52 * (last + 1)) + m[28] * cos(2 * pi() / 52 * (last + 1))
+        + m[35] * sin(4 * pi() / 52 * (last + 1)) + m[42] * cos(4 * pi() / 52 * (last + 1)) + 1e-9, 4) AS forecast_next,
+  round(CASE WHEN syy - sy * sy / n > 1e-9 * syy THEN (m[7] * m0[7] + m[14] * m0[14] + m[21] * m0[21] + m[28] * m0[28] + m[35] * m0[35] + m[42] * m0[42]
+        - sy * sy / n) / (syy - sy * sy / n) END + 1e-9, 4) AS r2, n
+FROM gauss WHERE k = 6""", "series").replace("WITH ", "WITH RECURSIVE ", 1).replace("\nSELECT company, item_code, round(m[7]", """,
+fx AS (SELECT company, item_code, p, CAST(qty AS DOUBLE) AS y, max(p) OVER () AS fin,
+    [1.0e0, (p - max(p) OVER ()) / 52.0e0, sin(2 * pi() / 52 * p), cos(2 * pi() / 52 * p), sin(4 * pi() / 52 * p), cos(4 * pi() / 52 * p), CAST(qty AS DOUBLE)] AS x FROM series),
+fl AS (SELECT company, item_code, p, y, fin, unnest(range(42)) AS i, x FROM fx),
+fs AS (SELECT company, item_code, i, sum(x[i // 7 + 1] * x[i % 7 + 1]) AS v FROM fl GROUP BY ALL),
+fm AS (SELECT company, item_code, list(v ORDER BY i) AS m FROM fs GROUP BY ALL),
+gauss(company, item_code, k, m, m0, n, first, last, fin, sy, syy) AS (
+  SELECT company, item_code, 0, CASE WHEN n >= 6 THEN m END, m, n, first, last, fin, sy, syy FROM fm JOIN (
+    SELECT company, item_code, count(*) AS n, min(p) AS first, max(p) AS last, max(fin) AS fin, sum(y) AS sy, sum(y * y) AS syy FROM fx GROUP BY ALL) USING (company, item_code)
+  UNION ALL
+  SELECT company, item_code, k + 1, CASE WHEN m[k * 8 + 1] > m0[k * 8 + 1] * 1e-9 THEN list_transform(range(42), lambda i: CASE WHEN i // 7 = k THEN m[k * 7 + i % 7 + 1] / m[k * 8 + 1]
+      ELSE m[i + 1] - m[(i // 7) * 7 + k + 1] * (m[k * 7 + i % 7 + 1] / m[k * 8 + 1]) END) END, m0, n, first, last, fin, sy, syy FROM gauss WHERE k < 6)
+SELECT company, item_code, round(m[7]""", 1))
 def h22(spark, sf_dir):
-    return fc.fourier_regression(_series(spark, sf_dir))
+    x = fc.fourier_regression(_series(spark, sf_dir))
+    names = ["sin_1", "cos_1", "sin_2", "cos_2"]
+    x = x.withColumns({c: F.get("harmonics", F.lit(i)) for i, c in enumerate(names)}).drop("harmonics")
+    return _rounded(x, ["intercept", "slope", *names, "forecast_next", "r2"])
 
 
 _CAT = f"p_brand AS category, {sql_item_code('p_partkey')} AS item_code"

@@ -333,6 +333,10 @@ cte("wsales91", f"""
 SELECT company, item_code, CAST({fdiv(days_from_anchor('doc_date'), 91)} AS INTEGER) AS p, sum(out_qty) AS qty
 FROM mov WHERE trans_type IN (13, 15) GROUP BY ALL""", "mov")
 cte("series91", _SERIES.format(w="wsales91"), "wsales91")
+cte("wsales28", f"""
+SELECT company, item_code, CAST({fdiv(days_from_anchor('doc_date'), 28)} AS INTEGER) AS p, sum(out_qty) AS qty
+FROM mov WHERE trans_type IN (13, 15) GROUP BY ALL""", "mov")
+cte("series28", _SERIES.format(w="wsales28"), "wsales28")
 cte("origin", f"""
 SELECT {sql_item_code('f.l_partkey')} AS item_code,
        CASE n.n_regionkey % 3 WHEN 0 THEN 'NACIONAL' WHEN 1 THEN 'USA' ELSE 'CHINA' END AS origin

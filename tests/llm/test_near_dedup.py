@@ -111,3 +111,14 @@ def test_shingle_sets_by_brute_force():
     texts = [r[1] for r in odd_rows()] + family(6, 40, 5, 3)
     flat, off = shingle_sets(pa.array(texts, pa.string()))
     assert np.diff(off).tolist() == [len(shingles(t)) for t in texts]
+
+
+def test_joined_places():
+    rng = np.random.default_rng(1)
+    for n, m in ((1, 0), (50, 20), (300, 400), (300, 290)):
+        a, b = (rng.integers(0, n, m), rng.integers(0, n, m)) if m != 290 else (np.arange(290), np.arange(1, 291))
+        root = list(range(n))
+        for _ in range(n):
+            for x, y in zip(a.tolist(), b.tolist()):
+                root[x] = root[y] = min(root[x], root[y])
+        assert near_dedup._joined(n, a, b).tolist() == root

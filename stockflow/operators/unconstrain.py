@@ -13,6 +13,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,74 +130,160 @@ def normal_pdf(a: np.ndarray) -> np.ndarray:
     return np.exp(-0.5 * a * a) / math.sqrt(2 * math.pi)
 
 
+def _combined(x: np.ndarray, censored: np.ndarray, weight: np.ndarray, row: np.ndarray):
+    """Equal observations of a key as one with their weights added, and where each one went."""
+    order = np.lexsort((censored, x, row))
+    new = np.ones(len(x), bool)
+    new[1:] = (np.diff(row[order]) != 0) | (np.diff(x[order]) != 0) | (censored[order][1:] != censored[order][:-1])
+    group = np.cumsum(new) - 1
+    back = np.empty(len(x), np.int64)
+    back[order] = group
+    first = order[new]
+    return x[first], censored[first], np.bincount(back, weight, len(first)), row[first], back
+
+
+def _start(x, censored, weight, row, n):
+    seen = np.where(censored, 0.0, weight)
+    count = np.bincount(row, seen, n)
+    safe = np.maximum(count, 1e-300)
+    mu = np.bincount(row, seen * x, n) / safe
+    sd = np.sqrt(np.maximum(np.bincount(row, seen * (x - mu[row]) ** 2, n) / safe, 1e-12))
+    return seen, count, mu, np.maximum(sd, 1e-6)
+
+
 def censored_normal(x: np.ndarray, censored: np.ndarray, weight: np.ndarray, row: np.ndarray, n: int, iters: int, tol: float = 0.0):
     """EM for many keys at once: normal demand whose censored observations are lower bounds.
 
-    ``row`` is the key of each weighted observation. Returns mean and deviation of each key and the
-    expected demand of each observation; keys without observations in stock have nan.
+    ``row`` is the key of each weighted observation. Every key has its own end: it rests once its mean
+    and deviation move by at most ``tol``, so its result is the same alone and in any batch. Returns
+    mean and deviation of each key and the expected demand of each observation; keys without
+    observations in stock have nan.
     """
-    add = lambda v: np.bincount(row, v, n)
-    seen = np.where(censored, 0.0, weight)
-    count, total = add(seen), add(weight)
-    safe, all_ = np.maximum(count, 1e-300), np.maximum(total, 1e-300)
-    mu = add(seen * x) / safe
-    sd = np.sqrt(np.maximum(add(seen * (x - mu[row]) ** 2) / safe, 1e-12))
-    sd = np.maximum(sd, 1e-6)
-    filled = x.astype(float)
-    c = np.flatnonzero(censored)
-    squares = add(seen * x * x)
-    for _ in range(iters if len(c) else 0):
-        m, s = mu[row[c]], sd[row[c]]
+    every, x, censored, weight, row, back = (x, *_combined(np.asarray(x, float), censored, weight, row))
+    seen, count, mu, sd = _start(x, censored, weight, row, n)
+    all_ = np.maximum(np.bincount(row, weight, n), 1e-300)
+    inside, squares = np.bincount(row, seen * x, n), np.bincount(row, seen * x * x, n)
+    filled = x.copy()
+    c = np.flatnonzero(censored & (count > 0)[row])
+    for _ in range(iters):
+        if not len(c):
+            break
+        r, m, s = row[c], mu[row[c]], sd[row[c]]
         lam = normal_pdf((x[c] - m) / s) / np.maximum(normal_sf((x[c] - m) / s), SMALLEST)
         filled[c] = m + s * lam
-        second = np.bincount(row[c], weight[c] * (m * m + s * s + s * (x[c] + m) * lam), n)
-        new = add(weight * filled) / all_
-        sd = np.sqrt(np.maximum((squares + second) / all_ - new * new, 1e-12))
-        moved = np.abs(new - mu).max() if n else 0.0
-        mu = new
-        if moved <= tol:
+        second = np.bincount(r, weight[c] * (m * m + s * s + s * (x[c] + m) * lam), n)
+        busy = np.zeros(n, bool)
+        busy[r] = True
+        new = (inside + np.bincount(r, weight[c] * filled[c], n)) / all_
+        new_sd = np.sqrt(np.maximum((squares + second) / all_ - new * new, 1e-12))
+        moved = np.maximum(np.abs(new - mu), np.abs(new_sd - sd))
+        mu, sd = np.where(busy, new, mu), np.where(busy, new_sd, sd)
+        c = c[(moved > tol)[r]]
+    mu, sd = np.where(count > 0, mu, np.nan), np.where(count > 0, sd, np.nan)
+    return mu, sd, np.where(np.isnan(mu[row]), x, np.maximum(filled, x))[back]
+
+
+def censored_likelihood(x: np.ndarray, censored: np.ndarray, weight: np.ndarray, row: np.ndarray, n: int, iters: int = 100, tol: float = 1e-10):
+    """The maximum of the censored normal likelihood of many keys, by Newton steps.
+
+    In g = 1 / deviation and d = mean / deviation the likelihood is concave, so Newton with halved steps
+    finds its one maximum: at most ``iters`` steps of two sums a key, each key with its own end (a step
+    below ``tol`` of its size). Returns what ``censored_normal`` does. A key all of whose observations
+    in stock are equal has no maximum; it keeps their value and the least deviation.
+    """
+    x, censored, weight, row, back = _combined(np.asarray(x, float), censored, weight, row)
+    seen, count, mu, sd = _start(x, censored, weight, row, n)
+    g, d = 1 / sd, mu / sd
+    own = lambda v, r: np.bincount(r, v, n)
+
+    def likelihood(g, d, k):
+        z = g[row[k]] * x[k] - d[row[k]]
+        tail = np.log(np.maximum(normal_sf(z), 1e-300))
+        return own(weight[k] * np.where(censored[k], tail, np.log(np.maximum(g[row[k]], 1e-300)) - z * z / 2), row[k])
+
+    active = (count > 0) & (sd > 1e-5) & (own(weight * censored, row) > 0)
+    for _ in range(iters):
+        k = np.flatnonzero(active[row])
+        if not len(k):
             break
-    mu = np.where(count > 0, mu, np.nan)
-    return mu, np.where(count > 0, sd, np.nan), np.where(np.isnan(mu[row]), x, np.maximum(filled, x))
+        r, xk, w, out = row[k], x[k], weight[k], censored[k]
+        z = g[r] * xk - d[r]
+        lam = np.where(out, normal_pdf(z) / np.maximum(normal_sf(z), 1e-300), 0.0)
+        lam = np.where(out & (z > 30), z + 1 / np.maximum(z, 1), lam)
+        bend = lam * (lam - z)
+        inside = np.where(out, 0.0, w)
+        grad_d = own(inside * z + w * lam, r)
+        grad_g = own(inside * (1 / g[r] - z * xk) - w * xk * lam, r)
+        dd = -own(inside + w * bend, r)
+        dg = own(inside * xk + w * xk * bend, r)
+        gg = -own(inside * (1 / g[r] ** 2 + xk * xk) + w * xk * xk * bend, r)
+        det = np.where(active, dd * gg - dg * dg, 1.0)
+        det = np.where(np.abs(det) > 1e-300, det, 1e-300)
+        step_d, step_g = -(gg * grad_d - dg * grad_g) / det, -(dd * grad_g - dg * grad_d) / det
+        size, before = np.ones(n), likelihood(g, d, k)
+        for _ in range(40):
+            new_g, new_d = g + size * step_g, d + size * step_d
+            worse = active & ((new_g <= 0) | ~(likelihood(np.where(new_g > 0, new_g, g), new_d, k) >= before - 1e-12 * np.abs(before)))
+            if not worse.any():
+                break
+            size[worse] /= 2
+        ok = active & ~worse
+        g, d = np.where(ok, np.minimum(g + size * step_g, 1e6), g), np.where(ok, d + size * step_d, d)
+        active = ok & (np.maximum(np.abs(size * step_g) / g, np.abs(size * step_d) / np.maximum(np.abs(d), 1)) > tol)
+    mu, sd = np.where(count > 0, d / g, np.nan), np.where(count > 0, 1 / g, np.nan)
+    z = np.where(censored, (x - mu[row]) / sd[row], 0.0)
+    up = mu[row] + sd[row] * normal_pdf(z) / np.maximum(normal_sf(z), SMALLEST)
+    filled = np.where(censored & ~np.isnan(mu[row]), np.maximum(np.where(z > 30, x, up), x), x)
+    return mu, sd, filled[back]
 
 
 def projection_detruncation(x: np.ndarray, censored: np.ndarray, weight: np.ndarray, row: np.ndarray, n: int, tau: float, iters: int) -> np.ndarray:
     """Expected demand of each observation: censored ones rise to the conditional tau-quantile above
-    their value under a normal fit, until nothing moves."""
-    y = x.astype(float)
+    their value under a normal fit, until nothing of the key moves."""
+    x, censored, weight, row, back = _combined(np.asarray(x, float), censored, weight, row)
+    y = x.copy()
     c = np.flatnonzero(censored)
     all_ = np.maximum(np.bincount(row, weight, n), 1e-300)
-    for _ in range(iters if len(c) else 0):
+    for _ in range(iters):
+        if not len(c):
+            break
         mu = np.bincount(row, weight * y, n) / all_
         sd = np.maximum(np.sqrt(np.maximum(np.bincount(row, weight * (y - mu[row]) ** 2, n) / all_, 0)), 1e-6)
         m, s = mu[row[c]], sd[row[c]]
         tail = np.clip((1 - tau) * normal_sf((x[c] - m) / s), 1e-15, 1 - 1e-15)
         new = np.maximum(m - s * _inv_cdf(tail).astype(float), x[c])
-        done = np.allclose(new, y[c])
+        moved = np.zeros(n, bool)
+        moved[row[c][~np.isclose(new, y[c])]] = True
         y[c] = new
-        if done:
-            break
-    return y
+        c = c[moved[row[c]]]
+    return y[back]
 
 
-def smoothed_rate(days: list[list[dict]], alpha: float) -> np.ndarray:
-    """Exponentially smoothed daily sale over in-stock days, in order (gap days are zeros); nan
-    without one. All keys advance together, movement day by movement day."""
-    n = len(days)
-    level = np.full(n, np.nan)
+def smoothed_rates(sales: np.ndarray, out: np.ndarray, gap: np.ndarray, off: np.ndarray, alpha: float) -> np.ndarray:
+    """Exponentially smoothed daily sale of each key over its in-stock days, in order; nan without one.
 
-    def see(rows, value, repeat):
-        new = np.isnan(level[rows])
-        level[rows] = np.where(new, value, value + (level[rows] - value) * (1 - alpha) ** np.where(new, 1, repeat))
+    Key i has the movement days off[i] to off[i + 1], each followed by ``gap`` in-stock days of no sale;
+    ``out`` marks movement days out of stock. Smoothing is a weighted sum: a day's weight is alpha times
+    (1 - alpha) to the number of in-stock days behind it (the first day has no factor alpha), so all
+    days of all keys are added up at once."""
+    n = len(off) - 1
+    row = np.repeat(np.arange(n), np.diff(off))
+    days = np.stack([np.where(out, 0, 1), gap], 1).ravel()           # in-stock days: the movement day, then its gap
+    upto = np.concatenate([[0], np.cumsum(days)])
+    first, last = upto[2 * off[:-1]], upto[2 * off[1:]]
+    own = np.flatnonzero(~out)
+    behind = last[row[own]] - upto[2 * own + 1]
+    at_start = upto[2 * own] == first[row[own]]                      # the key's first in-stock day sets the level
+    level = np.bincount(row[own], np.where(at_start, 1.0, alpha) * sales[own] * (1 - alpha) ** behind, n)
+    return np.where(last > first, level, np.nan)
 
-    for k in range(max(map(len, days), default=0)):
-        rows = np.array([i for i, d in enumerate(days) if len(d) > k], np.int64)
-        at = [days[i][k] for i in rows]
-        own = np.array([not d["stockout"] for d in at])
-        see(rows[own], np.array([d["sales"] for d in at])[own], 1)
-        gap = np.array([d["gap_days"] if not d["gap_out"] else 0 for d in at])
-        see(rows[gap > 0], 0.0, gap[gap > 0])
-    return level
+
+def smoothed_rate(days: list[list[dict]], alpha: float) -> np.ndarray:
+    """``smoothed_rates`` of lists of days as dicts."""
+    flat = [d for own in days for d in own]
+    off = np.concatenate([[0], np.cumsum([len(d) for d in days])]).astype(np.int64)
+    return smoothed_rates(np.array([d["sales"] for d in flat], float), np.array([d["stockout"] for d in flat], bool),
+                          np.array([0 if d["gap_out"] else d["gap_days"] for d in flat], np.int64), off, alpha)
 
 
 FIT_DDL = ("in_stock_days bigint, stockout_days bigint, sales double, method string, mu double, sigma double, "
@@ -204,14 +291,15 @@ FIT_DDL = ("in_stock_days bigint, stockout_days bigint, sales double, method str
 
 
 def unconstrain_fits(mov: DataFrame, threshold: float = 0.0, key=KEY, iters: int = 50, tau: float = 0.5, alpha: float = 0.1,
-                     long_history: int = 180, high_censoring: float = 0.5, heavy_censoring: float = 0.9) -> DataFrame:
+                     long_history: int = 180, high_censoring: float = 0.5, heavy_censoring: float = 0.9, with_pd: bool = True) -> DataFrame:
     """Unconstrained demand of each key over all calendar days.
 
     ``method`` names the rule that ``demand_em`` follows: ``em`` for a long history in stock,
-    ``mle`` (the same likelihood, iterated until it stands) where many days are censored, and
+    ``mle`` (the maximum of the censored likelihood) where many days are censored, and
     ``smoothing`` for a short history or where nearly all is censored. ``demand_pd`` is projection
-    detruncation, ``demand_proportional`` scales the in-stock sales to all days. A key's
-    observations are its movement days and gaps, so a row is as long as its movement days.
+    detruncation (null without ``with_pd``), ``demand_proportional`` scales the in-stock sales to all
+    days. Every key is fitted on its own, so its row does not depend on its batch. A key's observations
+    are its movement days and gaps, so a row is as long as its movement days.
     """
     h = stock_history(mov, threshold, key)
     days = h.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("doc_date", "sales", "stockout", "gap_days", "gap_out"))).alias("d"))
@@ -222,39 +310,47 @@ def unconstrain_fits(mov: DataFrame, threshold: float = 0.0, key=KEY, iters: int
         for whole in batches:
             for i in range(0, whole.num_rows, 2000):
                 b = whole.slice(i, 2000)
-                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in key], *fit(b.column("d").to_pylist())], names)
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in key], *fit(b.column("d"))], names)
 
-    def of_keys(which, x, out, weight, row, most, tol):
+    def of_keys(which, x, out, weight, row, solve):
         """Mean, deviation and summed demand of the chosen keys; nan for the others."""
         mu, sd, demand = np.full((3, len(which)), np.nan)
         use = which[row]
         own = (np.cumsum(which) - 1)[row[use]]
         k = int(which.sum())
-        mu[which], sd[which], filled = censored_normal(x[use], out[use], weight[use], own, k, most, tol)
-        demand[which] = np.bincount(own, weight[use] * filled, k)
+        if k:
+            mu[which], sd[which], filled = solve(x[use], out[use], weight[use], own, k)
+            demand[which] = np.bincount(own, weight[use] * filled, k)
         return mu, sd, demand
 
-    def fit(lists):
-        n = len(lists)
-        row = np.repeat(np.arange(n), [2 * len(d) for d in lists])
-        flat = [v for d in lists for e in d for v in ((e["sales"], e["stockout"], 1), (0.0, e["gap_out"], e["gap_days"]))]
-        x, out, weight = (np.array([v[k] for v in flat], t) for k, t in ((0, float), (1, bool), (2, float)))
+    def fit(col):
+        n = len(col)
+        off = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(col), np.int64))])
+        days = col.flatten()
+        field = lambda name, kind: np.asarray(pc.struct_field(days, name)).astype(kind)
+        sold, own_out, gap, gap_out = field("sales", float), field("stockout", bool), field("gap_days", np.int64), field("gap_out", bool)
+        # a movement day is one observation, its gap another of as many days
+        row = np.repeat(np.repeat(np.arange(n), np.diff(off)), 2)
+        x, out = np.stack([sold, np.zeros(len(sold))], 1).ravel(), np.stack([own_out, gap_out], 1).ravel()
+        weight = np.stack([np.ones(len(gap)), gap], 1).ravel().astype(float)
+        some = weight > 0
+        x, out, weight, row = x[some], out[some], weight[some], row[some]
         add = lambda v: np.bincount(row, v, n)
         inside, censored = add(np.where(out, 0.0, weight)), add(np.where(out, weight, 0.0))
         sales, in_sales = add(x * weight), add(np.where(out, 0.0, x * weight))
         share = censored / np.maximum(inside + censored, 1)
         smooth = (inside < long_history) | (share > heavy_censoring)
         mle = ~smooth & (share > high_censoring)
-        mu, sd, demand = of_keys(~smooth & ~mle, x, out, weight, row, iters, 0.0)
-        mu2, sd2, demand_mle = of_keys(mle, x, out, weight, row, 40 * iters, 1e-9)
-        level = smoothed_rate(lists, alpha)
+        mu, sd, demand = of_keys(~smooth & ~mle, x, out, weight, row, lambda *o: censored_normal(*o, iters))
+        mu2, sd2, demand_mle = of_keys(mle, x, out, weight, row, censored_likelihood)
+        level = smoothed_rates(sold, own_out, np.where(gap_out, 0, gap), off, alpha)
         by_rate = in_sales + censored * np.where(np.isnan(level), 0.0, level)
-        pd_ = add(weight * projection_detruncation(x, out, weight, row, n, tau, 20))
+        pd_ = add(weight * projection_detruncation(x, out, weight, row, n, tau, 20)) if with_pd else np.full(n, np.nan)
         method = np.where(smooth, "smoothing", np.where(mle, "mle", "em"))
         pick = lambda a, b, c: np.where(smooth, a, np.where(mle, b, c))
         none = lambda v: pa.array(v, pa.float64(), from_pandas=True)
         return [pa.array(inside.astype(np.int64)), pa.array(censored.astype(np.int64)), pa.array(sales), pa.array(method.tolist(), pa.string()),
-                none(pick(level, mu2, mu)), none(pick(np.nan, sd2, sd)), pa.array(pick(np.maximum(by_rate, sales), demand_mle, demand)), pa.array(pd_),
+                none(pick(level, mu2, mu)), none(pick(np.nan, sd2, sd)), pa.array(pick(np.maximum(by_rate, sales), demand_mle, demand)), none(pd_),
                 none(np.where(inside > 0, in_sales / np.maximum(inside, 1) * (inside + censored), np.nan))]
 
     # these rows cost CPU, not bytes: an explicit number of partitions, which AQE does not merge

@@ -346,7 +346,7 @@ def h24(spark, sf_dir):
 
 @query("h25_unconstrain_em")
 def h25(spark, sf_dir):
-    return un.unconstrain_fits(_mov(spark, sf_dir)).drop("demand_pd", "demand_proportional")
+    return un.unconstrain_fits(_mov(spark, sf_dir), with_pd=False).drop("demand_pd", "demand_proportional")
 
 
 @query("h26_unconstrain_pd")

@@ -82,6 +82,33 @@ def distinct_counts(mov: DataFrame, approx: bool = False) -> DataFrame:
     return df.groupBy("retail_year", "period").agg(*aggs)
 
 
+SKETCHES = {"items": "item_code", "warehouses": "warehouse", "documents": "document"}
+PERIOD, QUARTER, YEAR = ["r_year", "r_quarter", "r_period"], ["r_year", "r_quarter"], ["r_year"]
+
+
+def distinct_sketches(mov: DataFrame, by: list[str] = PERIOD, lg_k: int = 12) -> DataFrame:
+    """E9 (mergeable): one HyperLogLog sketch for items, warehouses and documents of every retail period,
+    to be stored. A sketch has at most 2 ** lg_k bytes, however many rows it has seen."""
+    x = with_retail_coords(mov).withColumn("document", F.concat_ws("/", F.col("trans_type").cast("string"), F.col("base_entry").cast("string")))
+    x = x.withColumn("document", F.when(F.col("trans_type").isNotNull() & F.col("base_entry").isNotNull(), F.col("document")))
+    return x.groupBy(*by).agg(*[F.hll_sketch_agg(c, F.lit(lg_k)).alias(k) for k, c in SKETCHES.items()])
+
+
+def roll_sketches(stored: DataFrame, by: list[str]) -> DataFrame:
+    """Stored sketches united to a coarser grain (period > quarter > year); the journal is not read."""
+    return stored.groupBy(*by).agg(*[F.hll_union_agg(k).alias(k) for k in SKETCHES])
+
+
+def sketch_counts(stored: DataFrame) -> DataFrame:
+    """The estimated distinct counts of stored sketches."""
+    return stored.withColumns({k: F.hll_sketch_estimate(k) for k in SKETCHES})
+
+
+def sketch_error(lg_k: int = 12, sigmas: float = 4.0) -> float:
+    """Relative error that an estimate exceeds about once in 16,000 times (4 standard errors)."""
+    return sigmas * 1.04 / 2 ** (lg_k / 2)
+
+
 def with_retail_coords(mov: DataFrame, date_col: str = "doc_date") -> DataFrame:
     wk = cal.retail_week(date_col)
     return (mov.withColumn("r_year", cal.retail_year(date_col))

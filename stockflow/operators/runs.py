@@ -132,6 +132,25 @@ def replay_entity(events: DataFrame, entity: str = "id", order=("seq", "event_at
     return events.select(entity, *order, actor, F.lag(state).over(w).alias("before"), F.col(state).alias("after"))
 
 
+def change_list(events: DataFrame, columns: list[str], entity: str = "id", order=("seq", "event_at"), actor: str = "trigger") -> DataFrame:
+    """G11, field by field: for every event of an append-only entity log a map ``changes`` from the name
+    of each column that differs from the event before (nulls are equal) to its ``before`` and ``after``,
+    as text. The first event changes every column that it sets; an event that changes nothing has an
+    empty map. The window holds one entity's events."""
+    w = Window.partitionBy(entity).orderBy(*order)
+    now = F.struct(*[F.col(c).cast("string").alias(c) for c in columns])
+    x = events.withColumn("_now", now).withColumn("_last", F.lag("_now").over(w))
+    pairs = F.array(*[F.struct(F.lit(c).alias("key"), F.struct(F.col(f"_last.{c}").alias("before"), F.col(f"_now.{c}").alias("after")).alias("value")) for c in columns])
+    changes = F.map_from_entries(F.filter(pairs, lambda e: ~e["value"]["before"].eqNullSafe(e["value"]["after"])))
+    return x.select(entity, *order, actor, changes.alias("changes"))
+
+
+def change_rows(changes: DataFrame) -> DataFrame:
+    """One row for each changed field: the columns of ``change_list`` with ``field, before, after``."""
+    keep = [c for c in changes.columns if c != "changes"]
+    return changes.select(*keep, F.explode("changes").alias("field", "_c")).select(*keep, "field", "_c.before", "_c.after")
+
+
 def current_state(events: DataFrame, entity: str = "id", order=("seq", "event_at"), state: str = "state") -> DataFrame:
     """Current state per entity (last event wins)."""
     return events.groupBy(entity).agg(F.max_by(state, F.struct(*order)).alias(state))

@@ -11,11 +11,12 @@ import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stockflow.plans import lake
 from stockflow.plans.catalog import query
 from stockflow.plans.oracle_sql import with_ctes
-from stockflow.session import apply_session_conf, ensure_checkpoint_dir
+from stockflow.session import apply_session_conf, ensure_checkpoint_dir, materialize
 from stockflow.sources import fixtures as fx
 from stockflow.sources.movements import COMPANIES, finalize, read_movements
 
@@ -104,6 +105,27 @@ def a10(spark, sf_dir):
     return lake.read_table(spark, root)
 
 
+@query("a10_compact_file_counts", with_ctes("""SELECT 'HR' AS company, count(*) AS leaves, CAST(sum(CASE WHEN n > 1 THEN 2 ELSE 1 END) AS BIGINT) AS files_before,
+  count(*) AS files_after, CAST(sum(CASE WHEN n > 1 THEN 2 ELSE 0 END) AS BIGINT) AS rewritten, 0 AS rewritten_again, CAST(sum(n) AS BIGINT) AS n
+FROM (SELECT count(*) AS n FROM mov_nopen WHERE company = 'HR' GROUP BY strftime(create_date, '%Y-%m')) m""", "mov_nopen"))
+def a10_counts(spark, sf_dir):
+    """Two loads leave two files in every month; merging them leaves one, and a second call none to do."""
+    apply_session_conf(spark)
+    src = fx.movement_source(spark, sf_dir)
+    root, span = _root(spark, "a10c"), _span(src)
+    rows = finalize(read_movements(src, "HR", *span)).withColumn("load_month", lake.load_month())
+    order = F.row_number().over(Window.partitionBy("load_month").orderBy("create_date", "mov_id", "doc_line", "in_qty", "out_qty"))
+    rows = materialize(rows.withColumn("half", F.pmod(order, F.lit(2))), "halves")
+    for k in (0, 1):
+        lake._write_leaves(rows.filter(F.col("half") == k).drop("half"), root, "append")
+    done = lake.compact(spark, root, "HR", *span)
+    again = lake.compact(spark, root, "HR", *span)
+    leaves = len(lake._list_dirs(spark, f"{root}/company=HR"))
+    return lake.read_table(spark, root).agg(F.count("*").alias("n")).select(
+        F.lit("HR").alias("company"), F.lit(leaves).cast("bigint").alias("leaves"), *[F.lit(v).cast("bigint").alias(k) for k, v in done.items()],
+        F.lit(again["rewritten"]).alias("rewritten_again"), "n")
+
+
 @query("d5_between_doc_dates_table", with_ctes(
     "SELECT mov_id, doc_date, retail_year FROM mov_nopen WHERE doc_date BETWEEN DATE '1996-03-01' AND DATE '1997-02-15'",
     "mov_nopen"))

@@ -3,7 +3,7 @@ running stock and rankings (F) over the movement journal."""
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -19,7 +19,8 @@ from stockflow.plans.catalog import query
 from stockflow.plans.oracle_sql import (sql_day_of_week, sql_period_name, sql_period_of_week,
                                         sql_quarter_of_week, sql_retail_week, sql_retail_year,
                                         sql_week_start_of, sql_year_start, with_ctes)
-from stockflow.session import apply_session_conf
+from stockflow.schemas import MOVEMENT_COLUMNS
+from stockflow.session import apply_session_conf, materialize
 from stockflow.sources import fixtures as fx
 from stockflow.sources import movements as mv
 from stockflow.sources.tables import read_table
@@ -65,6 +66,23 @@ def a4(spark, sf_dir):
     return mv.empty_movements(spark).unionByName(_mov(spark, sf_dir))
 
 
+@query("a4_empty_pull", f"""SELECT c.company, 0 AS rows_pulled, '{",".join(MOVEMENT_COLUMNS)}' AS columns, true AS types_pinned
+FROM (VALUES ('COMERCIAL'), ('CAP'), ('HR')) c(company) WHERE EXISTS (SELECT 1 FROM lineitem)""")
+def a4_pull(spark, sf_dir):
+    """A window behind the data gives each company an empty frame with the columns and types of a full one."""
+    apply_session_conf(spark)
+    src = fx.movement_source(spark, sf_dir)
+    last = src.agg(F.max("create_date")).first()[0]
+    out = None
+    for c in mv.COMPANIES:
+        pull = mv.finalize(mv.read_movements(src, c, last + timedelta(days=1), last + timedelta(days=31)))
+        same = [(f.name, f.dataType) for f in pull.schema] == [(f.name, f.dataType) for f in mv.empty_movements(spark).schema]
+        row = mv.empty_movements(spark).unionByName(pull).agg(F.count("*").cast("int").alias("rows_pulled")).select(
+            F.lit(c).alias("company"), "rows_pulled", F.lit(",".join(pull.columns)).alias("columns"), F.lit(same).alias("types_pinned"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # ---------------------------------------------------------------- B: enrichment
 @query("b1_finalize", with_ctes("SELECT * FROM mov", "mov"))
 def b1(spark, sf_dir):
@@ -431,6 +449,34 @@ def e9(spark, sf_dir):
     return ag.distinct_counts(_mov(spark, sf_dir))
 
 
+_E9_GRAINS = {"period": ag.PERIOD, "quarter": ag.QUARTER, "year": ag.YEAR}
+_E9_SQL = " UNION ALL ".join(f"""SELECT '{g}' AS grain, r_year, {'r_quarter' if 'r_quarter' in by else 'CAST(NULL AS INTEGER)'} AS r_quarter,
+  {'r_period' if 'r_period' in by else 'CAST(NULL AS INTEGER)'} AS r_period, count(DISTINCT item_code) AS items, count(DISTINCT warehouse) AS warehouses,
+  count(DISTINCT (trans_type, base_entry)) AS documents, true AS within_bound FROM coords GROUP BY {', '.join(by)}""" for g, by in _E9_GRAINS.items())
+
+
+@query("e9_sketch_rollup", with_ctes(f"""SELECT * FROM ({_E9_SQL}) u""", "mov").replace("\nSELECT * FROM (", f""",
+coords AS (SELECT *, CAST({sql_retail_year('doc_date')} AS INTEGER) AS r_year, CAST({sql_period_of_week(sql_retail_week('doc_date'))} AS INTEGER) AS r_period,
+  CAST(({sql_period_of_week(sql_retail_week('doc_date'))} - 1) // 3 + 1 AS INTEGER) AS r_quarter FROM mov)
+SELECT * FROM (""", 1))
+def e9_rollup(spark, sf_dir):
+    """Exact counts at three grains, and whether the estimates from the stored period sketches, united
+    upwards, are within the stated bound of them."""
+    mov = _mov(spark, sf_dir)
+    stored = materialize(ag.distinct_sketches(mov), "sketches")
+    exact_of = ag.with_retail_coords(mov)
+    out = None
+    for grain, by in _E9_GRAINS.items():
+        est = ag.sketch_counts(ag.roll_sketches(stored, by)).select(*by, *[F.col(k).alias(f"_{k}") for k in ag.SKETCHES])
+        exact = exact_of.groupBy(*by).agg(F.count_distinct("item_code").alias("items"), F.count_distinct("warehouse").alias("warehouses"),
+                                          F.count_distinct("trans_type", "base_entry").alias("documents"))
+        near = [F.abs(F.col(f"_{k}") - F.col(k)) <= F.greatest(F.lit(1.0), F.col(k) * ag.sketch_error()) for k in ag.SKETCHES]
+        row = exact.join(est, by).select(F.lit(grain).alias("grain"), *[(F.col(c) if c in by else F.lit(None)).cast("int").alias(c) for c in ag.PERIOD],
+                                         *ag.SKETCHES, (near[0] & near[1] & near[2]).alias("within_bound"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("e9_distinct_counts_approx")
 def e9a(spark, sf_dir):
     return ag.distinct_counts(_mov(spark, sf_dir), approx=True)

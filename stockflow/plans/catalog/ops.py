@@ -116,6 +116,24 @@ def g8(spark, sf_dir):
     return rn.job_health(_runs(spark, sf_dir))
 
 
+_CHANGED = ("state", "trigger", "rows", "correlation_id")
+
+
+@query("g11_change_list", with_ctes("""SELECT id, seq, event_at, trigger, field, before, after FROM (""" + " UNION ALL ".join(
+    f"SELECT id, seq, event_at, trigger, '{c}' AS field, lag(CAST({c} AS VARCHAR)) OVER w AS before, CAST({c} AS VARCHAR) AS after FROM amended WINDOW w AS (PARTITION BY id ORDER BY seq, event_at)"
+    for c in _CHANGED) + """) u WHERE before IS DISTINCT FROM after""", "run_events").replace("\nSELECT id, seq, event_at, trigger, field", """,
+amended AS (SELECT * REPLACE (CASE WHEN id % 7 = 0 AND seq = 1 THEN 'cli' ELSE trigger END AS trigger, CASE WHEN id % 11 = 0 AND seq = 2 THEN NULL ELSE correlation_id END AS correlation_id)
+  FROM run_events)
+SELECT id, seq, event_at, trigger, field""", 1))
+def g11_changes(spark, sf_dir):
+    """Every field that an event changes, with planted amendments: another trigger, a lost correlation id."""
+    apply_session_conf(spark)
+    ev = fx.run_events(spark, sf_dir)
+    ev = (ev.withColumn("trigger", F.when((F.pmod("id", F.lit(7)) == 0) & (F.col("seq") == 1), "cli").otherwise(F.col("trigger")))
+          .withColumn("correlation_id", F.when((F.pmod("id", F.lit(11)) != 0) | (F.col("seq") != 2), F.col("correlation_id"))))
+    return rn.change_rows(rn.change_list(ev, list(_CHANGED)))
+
+
 @query("g11_replay_entity", with_ctes("""SELECT id, seq, event_at, trigger, lag(state) OVER (PARTITION BY id ORDER BY seq, event_at) AS before,
   state AS after FROM run_events""", "run_events"))
 def g11(spark, sf_dir):

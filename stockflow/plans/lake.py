@@ -34,6 +34,8 @@ PARTITION_COLUMNS = ("company", "load_month")
 TARGET_ROWS_PER_FILE = 5_000_000
 #: Written into a staging folder just before the table is touched.
 MARKER = "COMMITTING"
+#: The list of files that the merged ones of a compaction replace.
+SWAP = "REPLACED"
 
 
 # --- file-system helpers (Hadoop FileSystem API; works for any shared store) -----------------
@@ -175,6 +177,9 @@ def recover(spark: SparkSession, root: str) -> int:
     columns = [f.name for f in _table_schema().fields]
     for name in names:
         own = f"{folder}/{name}"
+        if _exists(spark, f"{own}/{SWAP}"):
+            _swap(spark, root.rstrip("/"), own)
+            continue
         kept = _staged(spark, f"{own}/keep") if _exists(spark, f"{own}/{MARKER}") else None
         if kept is not None:
             companies = [d.partition("=")[2] for d in _list_dirs(spark, f"{own}/keep")]
@@ -311,15 +316,76 @@ def backfill(spark: SparkSession, root: str, source: DataFrame, company: str | S
 
 # --- A10 ----------------------------------------------------------------------------------------
 
-def compact(spark: SparkSession, root: str, company: str, since: date, until: date) -> int:
-    """A10: rewrite the leaves of ``[since, until)`` into fewer, larger files.
+def compact(spark: SparkSession, root: str, company: str, since: date, until: date, target_bytes: int = 128 << 20) -> dict[str, int]:
+    """A10: merge adjacent small files of the months of ``[since, until)``; files of at least half of
+    ``target_bytes`` stay as they are. Returns ``files_before``, ``files_after``, ``rewritten``.
 
-    Reads the window, stages it, swaps it back; the same path is never read and overwritten in
-    one plan."""
-    cur = _read_raw(spark, root).filter(
-        (F.col("company") == company) & F.col("load_month").isin(*_months(since, until))
-        & (F.col("create_date") >= F.lit(since)) & (F.col("create_date") < F.lit(until))).select(*MOVEMENT_COLUMNS)
-    return replace_window(spark, root, cur, company, since, until, stage=True)
+    A bin is a run of small files of one leaf, in order of their names, of at most ``target_bytes``
+    together (two at least); it becomes one file. Only the files of bins are read. The merged files are
+    staged first; then a list of what they replace is written and the swap is made, file by file. A swap
+    that was cut off is finished by the next call on the table (``recover``)."""
+    recover(spark, root)
+    root = root.rstrip("/")
+    staging = f"{root}/_staging/{uuid.uuid4().hex}"
+    counts = {"files_before": 0, "files_after": 0, "rewritten": 0}
+    merged, replaced = [], []
+    for leaf in sorted(_leaf_files(spark, root, [company], _months(since, until))):
+        path, fs = _path(spark, f"{root}/{leaf}")
+        files = sorted((f.getPath().getName(), f.getLen()) for f in fs.listStatus(path) if f.isFile() and f.getPath().getName()[0] not in "_.")
+        bins = _bins(files, target_bytes)
+        counts["files_before"] += len(files)
+        counts["files_after"] += len(files) - sum(len(b) - 1 for b in bins)
+        for b in bins:
+            merged.append((leaf, [f"{root}/{leaf}/{name}" for name in b]))
+            replaced += merged[-1][1]
+    counts["rewritten"] = len(replaced)
+    if not merged:
+        return counts
+    # one job for all bins: a bin goes to one task, which writes it into one file
+    where = [(leaf.split("=")[-1], f.rpartition("/")[2], k) for k, (leaf, files) in enumerate(merged) for f in files]
+    of = spark.createDataFrame(where, "load_month string, _name string, bin int")
+    rows = spark.read.schema(_table_schema()).option("basePath", root).parquet(*replaced).withColumn("_name", F.col("_metadata.file_name"))
+    (rows.join(F.broadcast(of), ["load_month", "_name"]).drop("_name")  # one row for each file of the listing
+     .repartition(len(merged), "bin").sortWithinPartitions("bin", *PARTITION_COLUMNS, "retail_year", "doc_date")
+     .write.partitionBy("bin", *PARTITION_COLUMNS).parquet(f"{staging}/merged"))
+    path, fs = _path(spark, f"{staging}/{SWAP}")
+    out = fs.create(path)
+    out.write(bytearray("\n".join(f[len(root) + 1:] for f in replaced), "utf-8"))
+    out.close()
+    _swap(spark, root, staging)
+    return counts
+
+
+def _bins(files: list[tuple[str, int]], target: int) -> list[list[str]]:
+    """Runs of adjacent small files (name, bytes) that together stay within ``target``."""
+    out, run, size = [], [], 0
+    for name, n in [*files, ("", target)]:
+        if run and (2 * n >= target or size + n > target):
+            out.append(run)
+            run, size = [], 0
+        if 2 * n < target:
+            run, size = [*run, name], size + n
+    return [b for b in out if len(b) > 1]
+
+
+def _swap(spark: SparkSession, root: str, staging: str) -> None:
+    """Take away the listed files, then move the merged ones into their leaves; either can be repeated."""
+    jvm = spark.sparkContext._jvm
+    path, fs = _path(spark, f"{staging}/{SWAP}")
+    stream = fs.open(path)
+    listed = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split("\n")
+    stream.close()
+    for name in listed:
+        _delete(spark, f"{root}/{name}")
+    for k in _list_dirs(spark, f"{staging}/merged"):
+        for company in _list_dirs(spark, f"{staging}/merged/{k}"):
+            for month in _list_dirs(spark, f"{staging}/merged/{k}/{company}"):
+                source, _ = _path(spark, f"{staging}/merged/{k}/{company}/{month}")
+                for f in fs.listStatus(source):
+                    if f.getPath().getName()[0] not in "_.":
+                        # files of two bins may bear one name
+                        fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(f"{root}/{company}/{month}/{k.replace('=', '')}-{f.getPath().getName()}"))
+    _delete(spark, staging)
 
 
 def day_after(d: date) -> date:

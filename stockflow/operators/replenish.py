@@ -70,6 +70,64 @@ def reorder_point(ltd: DataFrame, tau: float = 0.95, by=ITEM) -> DataFrame:
     return ltd.groupBy(*by).agg(F.percentile("ltd", tau).alias("rop"))
 
 
+def update_prior(priors: DataFrame, mov: DataFrame, least: int = 3) -> DataFrame:
+    """H9 updated by H10: the normal prior of an item's lead time (``lt_days``, ``lt_sd``) combined with
+    its receipts - the mean gap between receipt days of the item, known to sd / sqrt(gaps) - by their
+    precisions, kept within ``lt_min`` and ``lt_max``. A prior without spread, or fewer than ``least``
+    gaps (or equal ones), stays as it is."""
+    seen = receipt_cadence(mov, ["item_code"], digits=12).select("item_code", "gaps", "mean_gap", "sd_gap")
+    x = priors.join(seen, "item_code", "left")
+    use = (F.col("lt_sd") > 0) & (F.col("gaps") >= least) & (F.col("sd_gap") > 0)
+    own, data = 1 / (F.col("lt_sd") * F.col("lt_sd")), F.col("gaps") / (F.col("sd_gap") * F.col("sd_gap"))
+    mean = F.greatest(F.least((F.col("lt_days") * own + F.col("mean_gap") * data) / (own + data), F.col("lt_max")), F.col("lt_min"))
+    return x.select("item_code", "origin", F.when(use, mean).otherwise(F.col("lt_days").cast("double")).alias("lt_days"), "lt_min", "lt_max",
+                    F.when(use, 1 / F.sqrt(own + data)).otherwise(F.col("lt_sd")).alias("lt_sd"))
+
+
+def leadtime_weights(priors: DataFrame) -> DataFrame:
+    """``lead array<struct<weeks, w>>``: the weeks from ``lt_min`` to ``lt_max`` with normal weights around
+    ``lt_days``, which add up to 1; one week count where the prior has no spread."""
+    weeks = lambda c: F.ceil(F.col(c) / 7).cast("int")
+    z = lambda w: (w * 7 - F.col("lt_days")) / F.col("lt_sd")
+    raw = F.transform(F.sequence(weeks("lt_min"), weeks("lt_max")), lambda w: F.struct(w.alias("weeks"), F.exp(-z(w) * z(w) / 2).alias("w")))
+    x = priors.select("item_code", F.when(F.col("lt_sd") > 0, raw).otherwise(F.array(F.struct(weeks("lt_days").alias("weeks"), F.lit(1.0).alias("w")))).alias("l"))
+    total = F.aggregate("l", F.lit(0.0), lambda acc, e: acc + e["w"])
+    return x.withColumn("_t", total).select("item_code", F.transform("l", lambda e: F.struct(e["weeks"].alias("weeks"), (e["w"] / F.col("_t")).alias("w"))).alias("lead"))
+
+
+def uncertain_leadtime(arrays: DataFrame, weights: DataFrame, tau: float = 0.95, by=ITEM) -> DataFrame:
+    """H11-H13 with an uncertain lead time: demand over the lead time as a mixture over ``lead`` of the
+    forward sums of that many weeks (each sum of a length has an equal part of its weight). ``rop`` is
+    its tau-quantile, ``mean_ltd`` its mean, ``safety_stock`` the difference.
+
+    Quantiles interpolate as ``percentile`` does, generalised to weights, so a lead time without spread
+    gives H12's reorder point. Lengths beyond the item's history are left out and the others' weights
+    scaled up; an item shorter than all of them is left out. Sums of any length are differences of one
+    running total in the item's array."""
+    n = F.size("q")
+    upto = F.aggregate("q", F.array(F.lit(0.0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+    x = (arrays.join(weights, "item_code").withColumn("lead", F.filter("lead", lambda e: e["weeks"] <= n)).filter(F.size("lead") > 0)
+         .select(*by, n.alias("n"), upto.alias("upto"), "lead"))
+    sums = F.flatten(F.transform("lead", lambda e: F.transform(F.sequence(F.lit(0), F.col("n") - e["weeks"]), lambda i: F.struct(
+        (F.get("upto", i + e["weeks"]) - F.get("upto", i)).alias("v"), (e["w"] / (F.col("n") - e["weeks"] + 1)).alias("w")))))
+    x = x.select(*by, F.array_sort(sums).alias("s"))
+    x = x.withColumn("total", F.aggregate("s", F.lit(0.0), lambda acc, e: acc + e["w"]))
+    span = F.col("total") - F.element_at("s", -1)["w"]
+    none = F.lit(None).cast("double")
+    start = F.struct(F.lit(0.0).alias("before"), none.alias("p"), none.alias("v"), none.alias("q"))
+
+    def step(a, e):
+        p = F.when(span > 0, a["before"] / span).otherwise(F.lit(1.0))
+        here = F.when(a["p"].isNull() | (p <= a["p"]), e["v"]).otherwise(a["v"] + (e["v"] - a["v"]) * (tau - a["p"]) / (p - a["p"]))
+        return F.struct((a["before"] + e["w"]).alias("before"), p.alias("p"), e["v"].alias("v"),
+                        F.when(a["q"].isNull() & (p >= tau), here).otherwise(a["q"]).alias("q"))
+
+    # rounding may leave the last position a hair below 1: the largest value then stands for the quantile
+    x = x.select(*by, F.coalesce(F.aggregate("s", start, step)["q"], F.element_at("s", -1)["v"]).alias("rop"),
+                 (F.aggregate("s", F.lit(0.0), lambda acc, e: acc + e["w"] * e["v"]) / F.col("total")).alias("mean_ltd"))
+    return x.withColumn("safety_stock", F.col("rop") - F.col("mean_ltd"))
+
+
 def safety_stock(ltd: DataFrame, series: DataFrame, priors: DataFrame, tau: float = 0.95, by=ITEM, digits: int = 6) -> DataFrame:
     """Empirical (quantile - mean), normal (z * sd of lead-time demand), a normality
     flag (zero share > 50 % or |skewness| > 1), the textbook z * sd_weekly * sqrt(LT), and the form

@@ -47,6 +47,11 @@ def _ltd(spark, sf_dir):
     return rp.leadtime_demand(dm.demand_arrays(_mov(spark, sf_dir)), _priors(spark, sf_dir))
 
 
+def _rounded(df, names, digits: int = 4):
+    """Columns rounded, with a hair on top: else the last bit of a sum decides a half."""
+    return df.withColumns({c: F.round(F.col(c) + 1e-9, digits) for c in names})
+
+
 @query("h1_sales_history", with_ctes("SELECT * FROM hist", "hist"))
 def h1(spark, sf_dir):
     return dm.sales_history(_mov(spark, sf_dir))
@@ -166,6 +171,37 @@ def h12(spark, sf_dir):
     return rp.reorder_point(_ltd(spark, sf_dir))
 
 
+@query("h12_uncertain_lead_time", with_ctes("""
+SELECT company, item_code, round(max(q) + 1e-9, 4) AS rop, round(max(mean_ltd) + 1e-9, 4) AS mean_ltd,
+  round(max(q) - max(mean_ltd) + 1e-9, 4) AS safety_stock
+FROM (SELECT company, item_code, v, mean_ltd, CASE WHEN p >= 0.95 AND COALESCE(before_p < 0.95, true) THEN
+        CASE WHEN before_p IS NULL OR p <= before_p THEN v ELSE before_v + (v - before_v) * (0.95e0 - before_p) / (p - before_p) END END AS q
+      FROM (SELECT *, lag(p) OVER o AS before_p, lag(v) OVER o AS before_v FROM (
+              SELECT *, (cumw - w) / nullif(total - last_w, 0) AS p FROM (
+                SELECT company, item_code, v, w, sum(w) OVER (PARTITION BY company, item_code ORDER BY v, w ROWS UNBOUNDED PRECEDING) AS cumw,
+                  sum(w) OVER g AS total, sum(w * v) OVER g / sum(w) OVER g AS mean_ltd,
+                  last_value(w) OVER (PARTITION BY company, item_code ORDER BY v, w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_w
+                FROM mix WINDOW g AS (PARTITION BY company, item_code)) y) a
+            WINDOW o AS (PARTITION BY company, item_code ORDER BY v, w, cumw)) b) c GROUP BY ALL""", "series", "priors").replace("\nSELECT company, item_code, round(max(q) + 1e-9, 4) AS rop, round(max(mean_ltd)", f""",
+gaps AS (SELECT item_code, count(*) AS gaps, avg(gap) AS mean_gap, stddev_pop(gap) AS sd_gap FROM (
+  SELECT item_code, CAST(doc_date - lag(doc_date) OVER (PARTITION BY item_code ORDER BY doc_date) AS INTEGER) AS gap
+  FROM (SELECT DISTINCT item_code, doc_date FROM mov WHERE trans_type IN (20, 59)) r) g WHERE gap IS NOT NULL GROUP BY ALL),
+post AS (SELECT item_code, lt_min, lt_max, CASE WHEN u THEN greatest(least((lt_days / (lt_sd * lt_sd) + mean_gap * gaps / (sd_gap * sd_gap)) / (1 / (lt_sd * lt_sd) + gaps / (sd_gap * sd_gap)), lt_max), lt_min)
+    ELSE lt_days END AS lt_days, CASE WHEN u THEN 1 / sqrt(1 / (lt_sd * lt_sd) + gaps / (sd_gap * sd_gap)) ELSE lt_sd END AS lt_sd
+  FROM (SELECT *, COALESCE(lt_sd > 0 AND gaps >= 3 AND sd_gap > 0, false) AS u FROM priors LEFT JOIN gaps USING (item_code)) x),
+lead AS (SELECT item_code, weeks, w / sum(w) OVER (PARTITION BY item_code) AS w FROM (
+  SELECT item_code, weeks, exp(-pow((weeks * 7 - lt_days) / lt_sd, 2) / 2) AS w FROM (SELECT *, unnest(range(CAST(ceil(lt_min / 7) AS BIGINT), CAST(ceil(lt_max / 7) AS BIGINT) + 1)) AS weeks FROM post WHERE lt_sd > 0) a
+  UNION ALL SELECT item_code, CAST(ceil(lt_days / 7) AS BIGINT), 1.0e0 FROM post WHERE lt_sd = 0) l),
+cums AS (SELECT company, item_code, p, qty, sum(qty) OVER (PARTITION BY company, item_code ORDER BY p) AS cum, count(*) OVER (PARTITION BY company, item_code) AS n FROM series),
+mix AS (SELECT a.company, a.item_code, b.cum - a.cum + a.qty AS v, l.w / (a.n - l.weeks + 1) AS w
+  FROM cums a JOIN lead l ON a.item_code = l.item_code AND l.weeks <= a.n JOIN cums b ON a.company = b.company AND a.item_code = b.item_code AND b.p = a.p + l.weeks - 1)
+SELECT company, item_code, round(max(q) + 1e-9, 4) AS rop, round(max(mean_ltd)""", 1))
+def h12_uncertain(spark, sf_dir):
+    mov = _mov(spark, sf_dir)
+    weights = rp.leadtime_weights(rp.update_prior(_priors(spark, sf_dir), mov))
+    return _rounded(rp.uncertain_leadtime(dm.demand_arrays(mov), weights), ["rop", "mean_ltd", "safety_stock"])
+
+
 @query("h13_safety_stock", with_ctes(f"""SELECT g.company, g.item_code, round(q - m, 6) AS ss_empirical,
   round(sd * {Z95}, 6) AS ss_normal,
   zero_share > 0.5 OR abs(COALESCE(skew, 0.0e0)) > 1 AS normal_doubtful,
@@ -262,11 +298,6 @@ def h20(spark, sf_dir):
     return fc.ses_holt(_series(spark, sf_dir)).drop("periods", "ses_one_step")
 
 
-def _rounded(df, names, digits: int = 4):
-    """Columns rounded, with a hair on top: else the last bit of a sum decides a half."""
-    return df.withColumns({c: F.round(F.col(c) + 1e-9, digits) for c in names})
-
-
 @query("h21_holt_winters", with_ctes("""
 SELECT company, item_code, round(COALESCE(l, m) + 1e-9, 4) AS level, round(COALESCE(b, 0.0e0) + 1e-9, 4) AS trend,
   round(COALESCE(l + b + s[1], m) + 1e-9, 4) AS forecast_next, round(e + 1e-9, 4) AS sse,

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+from pyarrow import dataset
 from pyspark.sql import functions as F
 
 from stockflow.functions import calendar as cal
@@ -21,6 +22,7 @@ from stockflow.plans.oracle_sql import (sql_day_of_week, sql_period_name, sql_pe
                                         sql_week_start_of, sql_year_start, with_ctes)
 from stockflow.schemas import MOVEMENT_COLUMNS
 from stockflow.session import apply_session_conf, materialize
+from stockflow.sources import extract as ex
 from stockflow.sources import fixtures as fx
 from stockflow.sources import movements as mv
 from stockflow.sources.tables import read_table
@@ -59,6 +61,23 @@ def a3(spark, sf_dir):
     return mv.union_companies(per)
 
 
+@query("a1_partitioned_extract", with_ctes(
+    "SELECT * FROM src WHERE company IN ('HR', 'CAP') AND create_date >= DATE '1996-01-10' AND create_date < DATE '1996-04-01'", "src"))
+def a1_partitioned(spark, sf_dir):
+    """The extract asked for month by month; the source stands in for the company databases."""
+    apply_session_conf(spark)
+    src = materialize(fx.movement_source(spark, sf_dir), "extract")
+    path = src.inputFiles()[0].rpartition("/")[0].removeprefix("file:")
+
+    def fetch(company, since, until):
+        rows = dataset.dataset(path, format="parquet").to_table(filter=(dataset.field("company") == company) & (dataset.field("create_date") >= since)
+                                                                & (dataset.field("create_date") < until))
+        return rows.to_batches()
+
+    df = ex.read_extract(spark, fetch, mv.COMPANIES, date(1990, 1, 1), date(2030, 1, 1), src.schema)
+    return mv.read_movements(df, ["HR", "CAP"], date(1996, 1, 10), date(1996, 4, 1))
+
+
 @query("a4_empty_movements", with_ctes("SELECT * FROM mov", "mov"))
 def a4(spark, sf_dir):
     apply_session_conf(spark)

@@ -12,7 +12,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,18 +26,6 @@ def _series_array(series: DataFrame, by=ITEM, value: str = "qty") -> DataFrame:
         F.array_sort(F.collect_list(F.struct(F.col("p"), F.col(value).cast("double").alias("y")))).alias("s"))
 
 
-def _spread(df: DataFrame, keys) -> DataFrame:
-    """Hash-partition on ``item_code`` into the session's shuffle-partition count before a per-key
-    Python fit. The fits cost CPU, not bytes: AQE sizes partitions by bytes and would merge a
-    small input into one task, while an explicit count is kept as is. ``item_code`` alone still
-    clusters every fit key (``groupBy`` adds no shuffle), and differs from the input's own key
-    partitioning, which would make an identical repartition redundant and dropped. Groups are
-    bounded by the calendar (one row per period), so a hot item cannot outgrow a task."""
-    assert "item_code" in keys
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, "item_code")
-
-
 def _d(x) -> Column:
     return F.lit(x).cast("double") if not isinstance(x, Column) else x.cast("double")
 
@@ -93,13 +82,6 @@ def ses_holt(series: DataFrame, alpha: float = 0.3, beta: float = 0.1, by=ITEM)
         F.col("s.p").alias("periods"), F.col("st.f").alias("ses_one_step"))
 
 
-def one_step_errors(fits: DataFrame, series: DataFrame, by=ITEM) -> DataFrame:
-    """Explode the one-step forecasts of ``ses_holt`` back to (item, p, qty, forecast)."""
-    z = fits.select(*by, F.explode(F.arrays_zip(F.col("periods").alias("p"), F.col("ses_one_step").alias("forecast"))).alias("z"))
-    z = z.select(*by, F.col("z.p").alias("p"), F.col("z.forecast").alias("forecast"))
-    return series.join(z, [*by, "p"])
-
-
 # ---------------------------------------------------------------- seasonal models as folds
 
 def _holt_winters_np(y: np.ndarray, m: int, alpha: float, beta: float, gamma: float, multiplicative: bool = False):
@@ -223,36 +205,54 @@ def fourier_regression(series: DataFrame, k: int = 2, period: int = 52, by=ITEM)
                     F.when(total > 1e-9 * F.col("syy"), F.try_divide(explained, total)).alias("r2"), "n")
 
 
-_erf = np.frompyfunc(math.erf, 1, 1)
-
-
-KDE_SCHEMA = T.StructType([T.StructField("company", T.StringType()), T.StructField("item_code", T.StringType()),
-                           T.StructField("ss_kde", T.DoubleType()), T.StructField("ss_average", T.DoubleType())])
-
-
-def kde_quantile(x: np.ndarray, tau: float, grid: int = 512) -> float:
-    n = len(x)
-    if n == 0:
-        return float("nan")
-    sd = x.std()
-    bw = 1.06 * sd * n ** (-0.2) if sd > 0 else 1.0
-    g = np.linspace(x.min() - 4 * bw, x.max() + 4 * bw, grid)
-    cdf = (0.5 * (1 + _erf((g[:, None] - x[None, :]) / (bw * math.sqrt(2))).astype(float))).mean(axis=1)
-    return float(np.interp(tau, cdf, g))
-
-
-def kde_safety_stock(ltd: DataFrame, tau: float = 0.95) -> DataFrame:
-    """Safety stock from a Gaussian-kernel density of lead-time demand errors, and the
-    average of the empirical, normal and kernel estimates."""
+_erfc = np.frompyfunc(math.erfc, 1, 1)
+
+
+def kde_quantiles(x: np.ndarray, weight: np.ndarray, row: np.ndarray, n: int, tau: float) -> np.ndarray:
+    """The tau-quantile of a Gaussian kernel density of each of n weighted samples (values ``x`` of the
+    rows ``row``), by halving; bandwidth 1.06 sd n^-1/5 (1 where all values are equal). nan without
+    values. A sample's result does not depend on the others."""
+    add = lambda v: np.bincount(row, v, n)
+    total = add(weight)
+    safe = np.maximum(total, 1e-300)
+    mean = add(weight * x) / safe
+    sd = np.sqrt(np.maximum(add(weight * (x - mean[row]) ** 2) / safe, 0))
+    width = np.where(sd > 1e-12, 1.06 * sd * safe ** -0.2, 1.0)
+    low, high = np.full(n, np.inf), np.full(n, -np.inf)
+    np.minimum.at(low, row, x)
+    np.maximum.at(high, row, x)
+    low, high = np.where(total > 0, low - 8 * width, 0), np.where(total > 0, high + 8 * width, 0)
+    for _ in range(60):
+        mid = (low + high) / 2
+        below = add(weight * 0.5 * _erfc((x - mid[row]) / (width[row] * math.sqrt(2))).astype(float)) / safe
+        up = below < tau
+        low, high = np.where(up, mid, low), np.where(up, high, mid)
+    return np.where(total > 0, (low + high) / 2, np.nan)
+
+
+def kde_safety_stock(ltd: DataFrame, tau: float = 0.95, by=ITEM) -> DataFrame:
+    """Safety stock from a Gaussian-kernel density of lead-time demand errors, and the average of
+    the empirical, normal and kernel estimates.
+
+    Mean, deviation and empirical quantile are aggregates; the densities see each item's distinct values
+    with their counts, and a task works on all items of an Arrow batch at once."""
     from statistics import NormalDist
     z = NormalDist().inv_cdf(tau)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf["ltd"].to_numpy(float)
-        err = x - x.mean()
-        k = kde_quantile(err, tau)
-        emp = float(np.quantile(err, tau)) if len(err) else float("nan")
-        nrm = float(err.std() * z)
-        return pd.DataFrame([{"company": pdf["company"].iloc[0], "item_code": pdf["item_code"].iloc[0],
-                              "ss_kde": k, "ss_average": (k + emp + nrm) / 3}])
-    return _spread(ltd.select("company", "item_code", "ltd"), ITEM).groupBy(*ITEM).applyInPandas(fit, KDE_SCHEMA)
+    stats = ltd.groupBy(*by).agg(F.avg("ltd").alias("m"), F.stddev_pop("ltd").alias("sd"), F.percentile("ltd", tau).alias("q"))
+    values = (ltd.filter("ltd is not null").groupBy(*by, F.col("ltd").cast("double").alias("v")).agg(F.count("*").alias("c"))
+              .groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("v", "c"))).alias("s")))
+    schema = T.StructType([*[values.schema[c] for c in by], T.StructField("k", T.DoubleType())])
+
+    def run(batches):
+        for b in batches:
+            col = b.column("s")
+            row = np.repeat(np.arange(b.num_rows), np.asarray(pc.list_value_length(col), np.int64))
+            v, c = (np.asarray(pc.struct_field(col.flatten(), f), float) for f in ("v", "c"))
+            k = kde_quantiles(v, c, row, b.num_rows, tau)
+            yield pa.RecordBatch.from_arrays([*[b.column(x) for x in by], pa.array(k, from_pandas=True)], schema.names)
+
+    # the densities cost CPU, not bytes: an explicit number of partitions, which AQE does not merge
+    n = int(ltd.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = stats.join(values.repartition(n, *by).mapInArrow(run, schema), by)
+    kde = F.col("k") - F.col("m")
+    return x.select(*by, kde.alias("ss_kde"), ((kde + F.col("q") - F.col("m") + F.col("sd") * z) / 3).alias("ss_average"))

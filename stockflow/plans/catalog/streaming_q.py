@@ -79,6 +79,27 @@ def i3(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query("i3_sliding_windows_late_rows", with_ctes("""
+SELECT host, window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS samples, avg(cpu_pct) AS avg_cpu_pct, max(rss_mb) AS max_rss_mb
+FROM (SELECT *, date_trunc('hour', ts) + INTERVAL 15 MINUTE * (CAST(extract(minute FROM ts) AS INTEGER) // 15 - k) AS window_start
+      FROM perf_logs, (SELECT unnest(range(4)) AS k) s) w
+WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM perf_logs) - INTERVAL 10 MINUTE GROUP BY host, window_start""", "perf_logs"))
+def i3_sliding(spark, sf_dir):
+    """Windows of an hour every quarter of an hour; samples of the first third come a second time with
+    the last third, far behind the watermark, and must change nothing."""
+    apply_session_conf(spark)
+    perf = materialize(fx.performance_logs(spark, sf_dir), "samples")
+    inp, out, ck = _dirs(spark, "i3s")
+    lo, hi = perf.agg(F.min("ts"), F.max("ts")).first()
+    cuts = [lo + (hi - lo) * k / ARRIVALS for k in range(ARRIVALS)] + [hi + timedelta(seconds=1)]
+    for k, (since, until) in enumerate(zip(cuts, cuts[1:])):
+        perf.filter((F.col("ts") >= F.lit(since)) & (F.col("ts") < F.lit(until))).write.mode("append").parquet(inp)
+        if k == ARRIVALS - 1:
+            perf.filter(F.col("ts") < F.lit(cuts[1] - timedelta(hours=2))).write.mode("append").parquet(inp)
+        st.stream_perf_windows(spark, inp, perf.schema, out, ck, slide="15 minutes")
+    return spark.read.parquet(out)
+
+
 @query("i4_stream_activity_perf", with_ctes("""SELECT a.event_id AS job_event, count(*) AS samples, max(p.rss_mb) AS max_rss_mb
 FROM job_logs a JOIN perf_logs p ON a.started_at <= p.ts AND p.ts <= a.finished_at GROUP BY ALL""", "job_logs", "perf_logs"))
 def i4(spark, sf_dir):
@@ -111,6 +132,27 @@ def i5(spark, sf_dir):
                     F.count_if(F.col("idempotency_key").isNull()).alias("keyless"))
 
 
+@query("i5_keys_expire", with_ctes("""
+SELECT idempotency_key, count(*) AS survivors FROM (
+  SELECT idempotency_key FROM (SELECT DISTINCT idempotency_key FROM runs WHERE idempotency_key IS NOT NULL) k
+  UNION ALL SELECT DISTINCT idempotency_key FROM runs WHERE idempotency_key IS NOT NULL) r GROUP BY ALL""", "runs"))
+def i5_expire(spark, sf_dir):
+    """Every keyed request comes three times: at its own time, a minute later, and again long after the
+    delay has passed. The second is dropped; the third is a new request, as the key's state is gone."""
+    apply_session_conf(spark)
+    runs = materialize(rn.fold_runs(fx.run_events(spark, sf_dir)).filter("idempotency_key is not null")
+                       .groupBy("idempotency_key").agg(F.min("created_at").alias("created_at"), F.min("id").alias("id"), F.min("job").alias("job")), "requests")
+    inp, out, ck = _dirs(spark, "i5e")
+    later = lambda unit, n: runs.withColumn("created_at", F.timestamp_add(unit, F.lit(n), F.col("created_at")))
+    # one request of no key behind all others moves the watermark past the keys' delay
+    mark = later("DAY", 10_000).agg(F.max("created_at").alias("created_at")).select(F.lit(-1).cast("bigint").alias("id"), F.lit("").alias("job"), F.lit("mark").alias("idempotency_key"), "created_at")
+    columns = ["id", "job", "idempotency_key", "created_at"]
+    for batch in (runs, later("MINUTE", 1), mark, later("DAY", 20_000)):
+        batch.select(*columns).write.mode("append").parquet(inp)
+        st.stream_dedup_requests(spark, inp, runs.select(*columns).schema, out, ck, delay="3000 days")
+    return spark.read.parquet(out).filter("idempotency_key <> 'mark'").groupBy("idempotency_key").agg(F.count("*").alias("survivors"))
+
+
 def _closed(ev):
     """An event of no run, far behind all others, with which the watermark passes them."""
     last = ev.agg(F.max("event_at").alias("at"))

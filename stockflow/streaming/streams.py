@@ -93,10 +93,11 @@ def perf_windows(samples: DataFrame, window: str = "1 hour", slide: str | None =
 
 
 def stream_perf_windows(spark, src_path, schema, out_path, checkpoint, window="1 hour", delay="10 minutes",
-                        max_files: int | None = None, available_now: bool = True):
-    """Windowed aggregates written in append mode (each window once, when final)."""
+                        max_files: int | None = None, available_now: bool = True, slide: str | None = None):
+    """Windowed aggregates written in append mode (each window once, when final); with ``slide``
+    the windows overlap."""
     stream = _files(spark, src_path, schema, max_files)
-    agg = perf_windows(stream, window, None, delay).select(
+    agg = perf_windows(stream, window, slide, delay).select(
         "host", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("w.end").cast("timestamp_ntz").alias("window_end"), "samples", "avg_cpu_pct", "max_rss_mb")
     w = agg.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint).outputMode("append")

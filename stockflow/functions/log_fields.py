@@ -19,10 +19,6 @@ def log_level(status_code="status_code") -> Column:
     return F.when(s >= 500, "error").when(s >= 400, "warn").otherwise("info")
 
 
-def request_failed(status_code="status_code") -> Column:
-    return _col(status_code) >= 400
-
-
 def job_level(status="status") -> Column:
     """A job that is not ok logs at error."""
     return F.when(_col(status) == "ok", "info").otherwise("error")

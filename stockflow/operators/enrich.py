@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.functions.movement_fields import value_direction
 
 # fixed values: document type codes, their document and the typical stock direction
 TRANS_TYPES = (
@@ -69,11 +68,6 @@ def movement_quality(mov: DataFrame, by=("company",)) -> DataFrame:
     )
 
 
-def with_value_direction(df: DataFrame) -> DataFrame:
-    """B6 as a DataFrame step."""
-    return df.withColumn("value_direction", value_direction("trans_value"))
-
-
 def redact(df: DataFrame, rules: dict[str, tuple[str, str]]) -> DataFrame:
     """Scrub sensitive fields before persisting: ``{column: (regex, replacement)}``."""
     out = df

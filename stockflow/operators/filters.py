@@ -36,8 +36,8 @@ def field_filters(df: DataFrame, **eq) -> DataFrame:
 def between_doc_dates(mov: DataFrame, lo, hi) -> DataFrame:
     """Closed doc_date range plus the implied ``retail_year`` range.
 
-    On a table partitioned by ``retail_year`` the second predicate prunes partitions, which
-    Catalyst cannot derive from a ``doc_date`` filter by itself.
+    On a table sorted by ``retail_year`` the second predicate skips row groups by their statistics,
+    which Catalyst cannot derive from a ``doc_date`` filter by itself.
     """
     y_lo, y_hi = cal.retail_year_of(lo), cal.retail_year_of(hi)
     return mov.filter(F.col("retail_year").between(y_lo, y_hi)
@@ -69,9 +69,5 @@ def text_search(df: DataFrame, q: str, cols: list[str]) -> DataFrame:
     return df.filter(pred)
 
 
-def retail_year_between(lo_year: int, hi_year: int):
-    return F.col("retail_year").between(lo_year, hi_year)
-
-
 __all__ = ["window_filter", "range_filter", "field_filters", "between_doc_dates", "scoped_view",
            "lookup", "text_search", "cal"]

@@ -69,12 +69,6 @@ def inventory_asof(mov: DataFrame, probes: DataFrame, key=KEY, date_col: str = "
     return s.filter(F.col("is_probe") == 1).select(*key, F.col("d").alias(date_col), "on_hand")
 
 
-def on_hand_at(mov: DataFrame, as_of, key=KEY) -> DataFrame:
-    """D11 for a single date: a filtered aggregate, no window at all."""
-    return (mov.filter(F.col("doc_date") <= F.lit(as_of).cast("date"))
-               .groupBy(*key).agg(F.sum(F.col("in_qty") - F.col("out_qty")).alias("on_hand")))
-
-
 def top_movers(mov: DataFrame, n: int = 10, by: str = "out_qty", digits: int = 2) -> DataFrame:
     """top-n items per retail period by outflow (``out_qty``) or absolute value (``value``).
 

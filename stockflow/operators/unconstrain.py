@@ -45,12 +45,6 @@ def _period_start(index):
     return cal.week_start(cal.fdiv(index, 12), cal.period_first_week(F.pmod(index, F.lit(12)) + 1))
 
 
-def _weekdays(first, last, dow: int):
-    """How many days of weekday ``dow`` lie in ``[first, last]``."""
-    upto = lambda day: cal.fdiv(cal.days_from_anchor(day) - (dow - 1), 7)
-    return upto(last) - upto(F.date_sub(first, 1))
-
-
 def period_pieces(hist: DataFrame, key=KEY) -> DataFrame:
     """One row for each movement day and for each stretch of a gap inside one retail period:
     ``r_index`` (year * 12 + period - 1), first and last day, stock-out flag, sales."""
@@ -73,20 +67,24 @@ def unconstrain_periods(mov: DataFrame, threshold: float = 0.0, key=KEY, digits:
     mean sale of comparable in-stock days (same retail period and weekday, then same period, then
     the key; a key never in stock keeps its sales)."""
     x = period_pieces(stock_history(mov, threshold, key), key)
+    x = x.select(*key, "r_index", "out", "sales", (F.datediff("last", "first") + 1).alias("n"), cal.day_of_week("first").alias("dow"))
     inside, out = ~F.col("out"), F.col("out")
-    aggs = [F.sum(F.datediff("last", "first") + 1).alias("days"),
-            F.sum(F.when(out, F.datediff("last", "first") + 1).otherwise(0)).alias("stockout_days"),
+    aggs = [F.sum("n").alias("days"), F.sum(F.when(out, F.col("n")).otherwise(0)).alias("stockout_days"),
             F.sum("sales").alias("sales"), F.sum(F.when(inside, F.col("sales")).otherwise(0.0)).alias("in_sales")]
-    first_dow = cal.day_of_week("first")
+    first_dow = F.col("dow")
     for k in DOWS:
-        n = _weekdays(F.col("first"), F.col("last"), k)
+        # of n days from weekday dow on, every seventh is weekday k, and one more where the rest reaches it
+        n = F.expr("n div 7") + (F.pmod(F.lit(k) - first_dow, F.lit(7)) < F.col("n") % 7).cast("int")
         aggs += [F.sum(F.when(inside, n).otherwise(0)).alias(f"in{k}"), F.sum(F.when(out, n).otherwise(0)).alias(f"out{k}"),
                  F.sum(F.when(inside & (first_dow == k), F.col("sales")).otherwise(0.0)).alias(f"s{k}")]
     g = x.groupBy(*key, "r_index").agg(*aggs).withColumn("r_period", (F.pmod("r_index", F.lit(12)) + 1).cast("int"))
     own, whole = Window.partitionBy(*key, "r_period"), Window.partitionBy(*key)
-    total = lambda name, w: sum(F.sum(f"{name}{k}").over(w) for k in DOWS)
-    g = g.withColumns({f"m{k}": F.try_divide(F.sum(f"s{k}").over(own), F.sum(f"in{k}").over(own)) for k in DOWS}
-                      | {"mp": F.try_divide(total("s", own), total("in", own)), "mk": F.try_divide(total("s", whole), total("in", whole))})
+    at = lambda name: [F.col(f"{name}{k}") for k in DOWS]
+    # one window for each frame, over sums that are taken once: 14 by period, 2 by key
+    g = g.withColumns({f"w{c}{k}": F.sum(f"{c}{k}").over(own) for c in ("s", "in") for k in DOWS}
+                      | {f"k{c}": F.sum(sum(at(c))).over(whole) for c in ("s", "in")})
+    g = g.withColumns({f"m{k}": F.try_divide(F.col(f"ws{k}"), F.col(f"win{k}")) for k in DOWS}
+                      | {"mp": F.try_divide(sum(at("ws")), sum(at("win"))), "mk": F.try_divide(F.col("ks"), F.col("kin"))})
     imputed = sum(F.col(f"out{k}") * F.coalesce(f"m{k}", "mp", "mk") for k in DOWS)
     return g.select(*key, cal.fdiv("r_index", 12).alias("r_year"), "r_period", "days", "stockout_days",
                     F.col("sales").alias("demand_leave"), F.col("in_sales").alias("demand_discard"),

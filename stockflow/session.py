@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -72,6 +73,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_written: list[list[tuple[str, object]]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Remove the tables that ``materialize`` writes inside, but for those given to the function that
+    this yields, which hands them on to the scratch around it (if any)."""
+    own: list[tuple[str, object]] = []
+    kept: list[object] = []
+
+    def keep(df):
+        kept.append(df)
+        return df
+
+    _written.append(own)
+    try:
+        yield keep
+    finally:
+        _written.pop()
+        for path, df in own:
+            if any(df is k for k in kept):
+                if _written:
+                    _written[-1].append((path, df))
+            else:
+                target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df, name: str = "table"):
     """Write ``df`` as Parquet below the shared checkpoint folder and return the written table.
 
@@ -81,4 +110,7 @@ def materialize(df, name: str = "table"):
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)  # texts and hashes are most of it
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    if _written:
+        _written[-1].append((path, table))
+    return table

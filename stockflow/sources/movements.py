@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stockflow.functions.calendar import retail_year
 from stockflow.functions.movement_fields import doc_ts, mov_id
-from stockflow.schemas import MOVEMENT_COLUMNS, MOVEMENT_SCHEMA, SOURCE_COLUMNS, STOCK_SCHEMA
+from stockflow.schemas import MOVEMENT_COLUMNS, MOVEMENT_SCHEMA, SOURCE_COLUMNS
 
 # fixed values: the companies and the floor date of a first load
 COMPANIES = ("COMERCIAL", "HR", "CAP")
@@ -67,10 +67,6 @@ def empty_movements(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], MOVEMENT_SCHEMA)
 
 
-def empty_stock(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], STOCK_SCHEMA)
-
-
 def finalize(df: DataFrame, company: str | None = None, carry: list[str] | None = None) -> DataFrame:
     """B1: per-column strict / lenient casts, company tag, derived columns, pinned order.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stockflow.llm import queries as q
-from stockflow.session import materialize
+from stockflow.session import materialize, scratch
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +32,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to ``documents``; what each returns is written as Parquet and read again."""
+    """Apply all stages to ``documents``; what each returns is written as Parquet and read again. The
+    tables that a stage works with go when it is done, those between stages at the end."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
-    return docs
+    with scratch(spark) as last:
+        for name, stage in STAGES:
+            with scratch(spark) as keep:
+                docs = keep(materialize(stage(spark, docs, sf_dir), name))
+        return last(docs)

@@ -7,8 +7,9 @@ open-addressing hash table of pairs, then the row is compacted (so the whole mat
 column) and finished rows leave. Matches beyond ``HEAP_BYTES`` merge one by one from a heap of
 pairs instead, as a matrix row that long would take quadratic work; the order of merges is the same.
 
-Edge cases: a null or empty text has no ids (an empty array); repeated rows are encoded alike; an
-input column named like an added one is replaced.
+Edge cases: a null or empty text has no ids (an empty array); a text of any length is encoded whole;
+of pairs with equal rank the leftmost merges first; repeated rows are encoded alike; an empty table
+gives no rows; an input column named like an added one is replaced.
 """
 
 from __future__ import annotations

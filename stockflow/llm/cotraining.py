@@ -15,8 +15,9 @@ every row.
 
 Edge cases: a null or empty text has only shape features; null metadata is a value of its own;
 repeated labels of one document count as the worst of them; without labels, or with one class only,
-a target's probability is its base rate (0 without labels). Repeated rows are scored alike. Input
-columns named like added ones are replaced; an empty table gives no rows.
+a target's probability is its base rate (0 without labels). Of documents of equal confidence those
+with the smaller id are handed over first. Repeated rows are scored alike, and a text of
+any length is read whole. Input columns named like added ones are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations

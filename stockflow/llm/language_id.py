@@ -8,8 +8,8 @@ document.
 
 Edge cases: a text that is null or has no letter gets ``und`` with score 0, and so does every text
 when nothing could be learned; training rows without a language are left out; of languages with
-equal scores the first by name wins; repeated rows are predicted alike. Input columns named like
-added ones are replaced.
+equal scores the first by name wins; repeated rows are predicted alike; a text of any length is read
+whole; an empty table gives no rows. Input columns named like added ones are replaced.
 """
 
 from __future__ import annotations

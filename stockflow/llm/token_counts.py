@@ -8,8 +8,8 @@ by one from the left when a merge only makes pairs of higher rank than its own,
 of the merge list; of a list that breaks the rule only the leftmost place is merged in each round.
 
 Edge cases: a null or empty text has 0 tokens; special tokens written out in a text count as one
-token each, as the library's default has it; repeated rows are counted alike; an input column named
-like an added one is replaced.
+token each, as the library's default has it; a text of any length is counted whole; repeated rows are
+counted alike; an empty table gives no rows; an input column named like an added one is replaced.
 """
 
 from __future__ import annotations

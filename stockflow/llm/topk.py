@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 U64 = np.uint64
+LARGEST = float(1 << 26)  # products of 1,024 components each stay within 62 bits
 
 
 class BitIndex:
@@ -111,21 +112,32 @@ class BitIndex:
 
 
 def quantise(df: DataFrame, vector: str, scale: int) -> DataFrame:
-    """Replace the vector by the integers floor(scale * x); rows that take no part leave."""
+    """Replace the vector by the integers floor(scale * x); rows that take no part leave. An integer
+    beyond ``LARGEST`` fails the job, as scores of such vectors may leave 64 bits."""
     v = F.col(vector)
     ok = v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
-    return df.where(ok).withColumn(vector, F.transform(v, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("bigint")))
+
+    def whole(x):
+        y = F.floor(F.lit(float(scale)) * x.cast("double"))
+        return F.when(F.abs(F.lit(float(scale)) * x.cast("double")) < LARGEST, y).otherwise(F.raise_error(F.lit(f"a component beyond {LARGEST}")).cast("bigint")).cast("bigint")
+
+    return df.where(ok).withColumn(vector, F.transform(v, whole))
 
 
 def top_k(base: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id", vector: str = "vector",
-          block_rows: int = 16384, query_rows: int = 512) -> DataFrame:
+          block_rows: int = 16384, query_rows: int = 16384) -> DataFrame:
     """For each query the k highest inner products with integer vectors of ``base``.
 
     Returns ``query_id, rank, vec_id, score``. Base rows and queries are dealt into blocks by a hash
-    of the id; each pair of a base block and a query block is one group, whose size is bounded.
+    of the id; each pair of a base block and a query block is one group, whose size is bounded. A base
+    row is sent, and its slices are made, once for each query block, so query blocks are as large as
+    the base's, unless that gives too few groups to keep all cores busy.
     """
     spark = base.sparkSession
-    n_base, n_query = (max(1, -(-d.count() // m)) for d, m in ((base, block_rows), (queries, query_rows)))
+    n_queries = queries.count()
+    n_base = max(1, -(-base.count() // block_rows))
+    busy = -(-3 * spark.sparkContext.defaultParallelism // n_base)
+    n_query = max(1, -(-n_queries // query_rows), min(busy, -(-n_queries // 128)))
     at = lambda n: F.pmod(F.xxhash64(F.col(vec_id).cast("string")), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     pick = [F.col(vec_id).cast("bigint").alias("id"), F.col(vector).alias("v")]
@@ -160,7 +172,9 @@ def top_k(base: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id", v
                 out["score"].append(index.read(slices, best) + constant)
         return pa.table({c: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64()) for c, v in out.items()})
 
-    found = (left.groupBy("b", "q").cogroup(right.groupBy("b", "q"))
+    # groups cost CPU, not bytes: an explicit number of partitions, which AQE does not merge
+    n = min(n_base * n_query, max(2000, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    found = (left.repartition(n, "b", "q").groupBy("b", "q").cogroup(right.repartition(n, "b", "q").groupBy("b", "q"))
              .applyInArrow(search, "query_id bigint, vec_id bigint, score bigint"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -42,3 +42,10 @@ def test_few_rows_repeats_other_lengths_and_none(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     assert search(df, 20) == brute(rows, 20)
     assert search(df.limit(0), 20) == {}
+
+
+def test_components_too_large_fail(spark):
+    import pytest
+    assert search(spark.createDataFrame([(0, [1e6]), (1, [-1e6])], SCHEMA), 3) == {0: [(1, 1, -64_000_000 ** 2)]}
+    with pytest.raises(Exception, match="beyond"):
+        search(spark.createDataFrame([(0, [3e18]), (1, [1.0])], SCHEMA), 3)

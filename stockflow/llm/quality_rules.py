@@ -38,8 +38,8 @@ for _low, _high, _k in ((65, 90, 0), (97, 122, 0), (0xC3, 0xC9, 0), (0xCD, 0xCF,
 MEASURES = ("chars_per_piece", "chars_per_byte_token", "fallback_share", "token_entropy")
 MAX_BANDS = 10_000
 MIN_SPREAD = {"chars_per_piece": 0.03, "chars_per_byte_token": 0.03, "fallback_share": 0.005, "token_entropy": 0.1}
-#: Documents of a length class from which it has bands of its own.
-MIN_CLASS = 8
+#: Documents' worth of the language's quartiles in those of each of its length classes.
+PRIOR = 8.0
 
 
 @dataclass(frozen=True)
@@ -167,22 +167,27 @@ def fit_bands(measured: DataFrame, rule: Rule, lang: str = "lang") -> DataFrame:
 
     Quartiles are Spark's mergeable sketches over every document that passes the base rule.
     Entropy rises with a text's length, and the other measures of short texts vary more, so texts
-    are held against those of their own length; classes of under MIN_CLASS documents have no bands.
+    are held against those of their own length. The quartiles of a class are averaged with its
+    language's, which weigh as much as ``PRIOR`` documents: a class of few documents leans on the
+    language, a large one does not, and no size decides between the two.
     """
     stats = (measured.where(~base_failed(rule)).rollup(_group(lang).alias("band"), _length_class().alias("length_class"))
              .agg(F.count("*").alias("n"), *[F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(m) for m in MEASURES])
-             .where(F.col("band").isNotNull() & (F.col("length_class").isNull() | (F.col("n") >= MIN_CLASS))))
+             .where(F.col("band").isNotNull()))
+    whole = stats.where("length_class is null").select(F.col("band").alias("_band"), *[F.col(m).alias(f"{m}_all") for m in MEASURES])
     out = [F.col("band"), F.col("length_class")]
     for m in MEASURES:
-        q1, q3 = F.col(m)[0], F.col(m)[2]
+        own = lambda k, m=m: (F.col("n") * F.col(m)[k] + PRIOR * F.col(f"{m}_all")[k]) / (F.col("n") + PRIOR)
+        q1, q3 = own(0), own(2)
         spread = F.greatest(q3 - q1, F.lit(MIN_SPREAD[m])) * rule.width
         out += [(q1 - spread).alias(f"{m}_low"), (q3 + spread).alias(f"{m}_high")]
-    return stats.select(*out)
+    # one row for each language beside one for each of its length classes (20 or so)
+    return stats.join(whole, F.col("band") == F.col("_band")).select(*out)
 
 
 def verdict(measured: DataFrame, bands: DataFrame, rule: Rule, lang: str = "lang") -> DataFrame:
     """Add ``base_failed`` and ``kept``; documents outside the bands of their language and length
-    class (those of their language, where the class has none) are not kept.
+    class (those of their language, where no document of the class passes the base rule) are not kept.
 
     ``bands`` must be a written table. As long as it has MAX_BANDS rows at most, it is broadcast, so
     the documents of a frequent language are not dealt to one task."""

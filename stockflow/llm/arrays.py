@@ -231,16 +231,17 @@ def named(df: DataFrame, columns: list[str], added: list[str] = ()) -> DataFrame
 
 
 def add_columns(df: DataFrame, text: str, new: str, make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]],
-                carry: list[str] | None = None, warm: bool = False) -> DataFrame:
+                carry: list[str] | None = None, warm: bool = False, also: list[str] = ()) -> DataFrame:
     """Append columns computed from whole texts in Arrow batches, chunk by chunk.
 
     ``new`` is a DDL schema of the added columns. ``make()`` runs once in each task and returns
     the function from a chunk to the added arrays. ``carry`` names the input columns to keep
-    (default: all); an input column whose name clashes with an added one is replaced by it. ``warm``:
+    (default: all), ``also`` those that are read without being kept; an input column whose name clashes
+    with an added one is replaced by it. ``warm``:
     the operator has caches of its own that its next task in the same worker may use (``kept``).
     """
     added = T.StructType.fromDDL(new)
-    read = {text.lower()}
+    read = {text.lower(), *(c.lower() for c in also)}
     keep = [c for c in without(df, added.names) if carry is None or c in carry]
     schema = T.StructType([df.schema[c] for c in keep] + added.fields)
     source = df.select(*[f"`{c}`" for c in dict.fromkeys([*keep, *[c for c in df.columns if c.lower() in read]])])

@@ -241,7 +241,7 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
         return step
 
     new = "n_tokens bigint, _seen bigint, _base double, score double, _rare array<bigint>, _times array<bigint>"
-    read = add_columns(work.withColumn("_row", F.monotonically_increasing_id()), text, new, make, without(work, [text]) + ["_row"], warm=True)
+    read = add_columns(work.withColumn("_row", F.monotonically_increasing_id()), text, new, make, without(work, [text, "_ids"]) + ["_row"], warm=True, also=["_ids"])
     read = materialize(read, "lm-scored")  # from here on _row is fixed
     rare = (read.select("_row", F.explode(F.arrays_zip("_rare", "_times")).alias("x"))
             .select("_row", F.col("x._rare").alias("hash"), F.col("x._times").alias("times"))
@@ -249,7 +249,7 @@ def score(df: DataFrame, m: Model, path: str, pattern: str, text: str = "text",
     sums = rare.groupBy("_row").agg(F.sum(F.col("times") * F.log10(F.col("c") + 0.5)).alias("_more"),
                                     F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("_also"))
     down = float(np.log10(m.tokens + 0.5 * (m.distinct + 1)))
-    done = (read.drop("_rare", "_times", "_ids").join(sums, "_row", "left")
+    done = (read.drop("_rare", "_times").join(sums, "_row", "left")
             .withColumn("n_known", F.col("_seen") + F.coalesce("_also", F.lit(0)))
             .withColumn("train_tokens", F.lit(m.tokens).cast("bigint"))
             .withColumn("base_score", F.col("_base") + F.coalesce("_more", F.lit(0.0)) - F.col("n_tokens") * F.lit(down)))

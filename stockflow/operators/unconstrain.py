@@ -9,6 +9,7 @@ cut at retail periods, whose weekdays are counted by arithmetic, or a weight in
 from __future__ import annotations
 
 import math
+from datetime import date
 from statistics import NormalDist
 
 import numpy as np
@@ -22,8 +23,6 @@ from pyspark.sql.window import Window
 from stockflow.functions import calendar as cal
 from stockflow.operators.demand import KEY, sales_history
 
-DOWS = range(1, 8)
-
 
 def stock_history(mov: DataFrame, threshold: float = 0.0, key=KEY) -> DataFrame:
     """H1 rows with the gap that follows each movement day: its first and last day, length and
@@ -37,58 +36,138 @@ def stock_history(mov: DataFrame, threshold: float = 0.0, key=KEY) -> DataFrame:
             .withColumn("gap_out", (F.col("gap_days") > 0) & (F.col("on_hand") <= threshold)))
 
 
-def _period_index(day):
-    return cal.retail_year(day).cast("int") * 12 + cal.period_of_week(cal.retail_week(day)) - 1
-
-
-def _period_start(index):
-    return cal.week_start(cal.fdiv(index, 12), cal.period_first_week(F.pmod(index, F.lit(12)) + 1))
-
-
-def period_pieces(hist: DataFrame, key=KEY) -> DataFrame:
-    """One row for each movement day and for each stretch of a gap inside one retail period:
-    ``r_index`` (year * 12 + period - 1), first and last day, stock-out flag, sales."""
-    def piece(index, first, last, out, sales):
-        return F.struct(index.cast("int").alias("r_index"), first.alias("first"), last.alias("last"), out.alias("out"), sales.alias("sales"))
-
-    day = F.col("doc_date")
-    own = F.array(piece(_period_index(day), day, day, F.col("stockout"), F.col("sales")))
-    spans = F.when(F.col("gap_days") > 0, F.sequence(_period_index(F.col("gap_from")), _period_index(F.col("gap_to")))).otherwise(
-        F.array().cast("array<int>"))
-    gaps = F.transform(spans, lambda i: piece(
-        i, F.greatest(_period_start(i), F.col("gap_from")), F.least(F.date_sub(_period_start(i + 1), 1), F.col("gap_to")),
-        F.col("gap_out"), F.lit(0.0)))
-    return hist.select(*key, F.explode(F.concat(own, gaps)).alias("x")).select(*key, "x.*")
+# first day (from the year's start) of each period and the period of each day of a retail year
+_PERIOD_START = np.array([(k // 3) * 91 + (0, 28, 63)[k % 3] for k in range(12)], np.int64)
+_PERIOD_OF_DAY = np.repeat(np.arange(12), np.diff(np.append(_PERIOD_START, cal.DAYS_PER_YEAR)))
+_ANCHOR = (cal.ANCHOR_WEEK1_START - date(1970, 1, 1)).days
+
+
+def _period_index(day: np.ndarray) -> np.ndarray:
+    """Year * 12 + period - 1 of days since 1970."""
+    off = day - _ANCHOR
+    return (cal.ANCHOR_YEAR + off // cal.DAYS_PER_YEAR) * 12 + _PERIOD_OF_DAY[off % cal.DAYS_PER_YEAR]
+
+
+def _period_start(index: np.ndarray) -> np.ndarray:
+    return _ANCHOR + (index // 12 - cal.ANCHOR_YEAR) * cal.DAYS_PER_YEAR + _PERIOD_START[index % 12]
+
+
+def _weekday_days(first: np.ndarray, n: np.ndarray, k: int) -> np.ndarray:
+    """Of ``n`` days from ``first`` on, every seventh is weekday k, and one more where the rest reaches it."""
+    return n // 7 + ((k - (first - _ANCHOR)) % 7 < n % 7)
+
+
+IN, OUT, UNKNOWN = 0, 1, 2  # a day's stock; nothing is known of it without any quantity
+
+
+def period_pieces(row, day, out, sales, gap, gap_out):
+    """One piece for each movement day and for each stretch of a gap inside one retail period: its key
+    (``row``), period index, first day, days, state of the stock and sales."""
+    has = np.flatnonzero(gap > 0)
+    start, end = day[has] + 1, day[has] + gap[has]
+    low = _period_index(start)
+    cut = _period_index(end) - low + 1
+    at = np.repeat(np.arange(len(has)), cut)
+    index = low[at] + np.arange(len(at)) - np.repeat(np.cumsum(cut) - cut, cut)
+    first, last = np.maximum(_period_start(index), start[at]), np.minimum(_period_start(index + 1) - 1, end[at])
+    join = lambda a, b: np.concatenate([a, b])
+    return (join(row, row[has][at]), join(_period_index(day), index), join(day, first), join(np.ones(len(day), np.int64), last - first + 1),
+            join(out, gap_out[has][at]), join(sales, np.zeros(len(at))))
+
+
+def unconstrained(row, day, out, sales, gap, gap_out, n: int):
+    """H4 of ``n`` keys at once from their movement days (days since 1970) and the gaps behind them;
+    ``sales`` is nan where it is not known. Returns key, period index, days, stock-out days, sales,
+    in-stock sales (nan where none is known) and unconstrained demand of each period of each key, and
+    whether each key was ever in stock."""
+    row, index, first, days, out, sales = period_pieces(row, day, out, sales, gap, gap_out)
+    known, inside = ~np.isnan(sales), out == IN
+    value = np.where(known, sales, 0.0)
+    # a key's periods run on from its first to its last one: a place for each
+    low, high = np.full(n, np.iinfo(np.int64).max), np.full(n, -1)
+    np.minimum.at(low, row, index)
+    np.maximum.at(high, row, index)
+    size = np.maximum(high - low + 1, 0)
+    begin = np.cumsum(size) - size
+    total = int(size.sum())
+    place = begin[row] + index - low[row]
+    add = lambda use, v: np.bincount(place[use], v[use], total)
+    every = slice(None)
+    count = add(every, days).astype(np.int64)
+    censored = add(out == OUT, days).astype(np.int64)
+    in_sales = add(inside, value)
+    none = lambda some, v: np.where(some > 0, v, np.nan)
+    all_sales = none(add(every, known.astype(float)), add(every, value))
+    in_sales = none(add(every, (known | ~inside).astype(float)), in_sales)
+    # means of comparable in-stock days: period and weekday, period, key
+    cell, i = row * 12 + index % 12, np.flatnonzero(inside)
+    seen = np.stack([np.bincount(cell[i], _weekday_days(first[i], days[i], k), n * 12) for k in range(7)], 1)
+    sold = np.bincount(cell[i] * 7 + (first[i] - _ANCHOR) % 7, value[i], n * 84).reshape(-1, 7)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        by_day, by_period = sold / seen, sold.sum(1) / seen.sum(1)
+        by_key = sold.reshape(n, -1).sum(1) / seen.reshape(n, -1).sum(1)
+    by_period = np.where(np.isnan(by_period), np.repeat(by_key, 12), by_period)
+    mean = np.where(np.isnan(by_day), by_period[:, None], by_day)
+    o = np.flatnonzero(out == OUT)
+    lost = sum(_weekday_days(first[o], days[o], k) * mean[cell[o], k] for k in range(7)) if len(o) else np.zeros(0)
+    key = np.repeat(np.arange(n), size)
+    ever = ~np.isnan(by_key)
+    imputed = np.bincount(place[o], lost, total)
+    demand = np.where(ever[key], in_sales + imputed, all_sales)
+    return key, low[key] + np.arange(total) - begin[key], count, censored, all_sales, in_sales, demand, ever
+
+
+_DAY = ("doc_date", "sales", "stockout", "gap_days", "gap_out")
+_PERIOD_DDL = "r_index int, days bigint, stockout_days bigint, demand_leave double, demand_discard double, demand_v1 double"
 
 
 def unconstrain_periods(mov: DataFrame, threshold: float = 0.0, key=KEY, digits: int = 6) -> DataFrame:
     """H4 on calendar days, summed by key and retail period: ``demand_leave`` takes sales as they
     are, ``demand_discard`` only those of in-stock days, ``demand_v1`` gives every stock-out day the
     mean sale of comparable in-stock days (same retail period and weekday, then same period, then
-    the key; a key never in stock keeps its sales)."""
-    x = period_pieces(stock_history(mov, threshold, key), key)
-    x = x.select(*key, "r_index", "out", "sales", (F.datediff("last", "first") + 1).alias("n"), cal.day_of_week("first").alias("dow"))
-    inside, out = ~F.col("out"), F.col("out")
-    aggs = [F.sum("n").alias("days"), F.sum(F.when(out, F.col("n")).otherwise(0)).alias("stockout_days"),
-            F.sum("sales").alias("sales"), F.sum(F.when(inside, F.col("sales")).otherwise(0.0)).alias("in_sales")]
-    first_dow = F.col("dow")
-    for k in DOWS:
-        # of n days from weekday dow on, every seventh is weekday k, and one more where the rest reaches it
-        n = F.expr("n div 7") + (F.pmod(F.lit(k) - first_dow, F.lit(7)) < F.col("n") % 7).cast("int")
-        aggs += [F.sum(F.when(inside, n).otherwise(0)).alias(f"in{k}"), F.sum(F.when(out, n).otherwise(0)).alias(f"out{k}"),
-                 F.sum(F.when(inside & (first_dow == k), F.col("sales")).otherwise(0.0)).alias(f"s{k}")]
-    g = x.groupBy(*key, "r_index").agg(*aggs).withColumn("r_period", (F.pmod("r_index", F.lit(12)) + 1).cast("int"))
-    own, whole = Window.partitionBy(*key, "r_period"), Window.partitionBy(*key)
-    at = lambda name: [F.col(f"{name}{k}") for k in DOWS]
-    # one window for each frame, over sums that are taken once: 14 by period, 2 by key
-    g = g.withColumns({f"w{c}{k}": F.sum(f"{c}{k}").over(own) for c in ("s", "in") for k in DOWS}
-                      | {f"k{c}": F.sum(sum(at(c))).over(whole) for c in ("s", "in")})
-    g = g.withColumns({f"m{k}": F.try_divide(F.col(f"ws{k}"), F.col(f"win{k}")) for k in DOWS}
-                      | {"mp": F.try_divide(sum(at("ws")), sum(at("win"))), "mk": F.try_divide(F.col("ks"), F.col("kin"))})
-    imputed = sum(F.col(f"out{k}") * F.coalesce(f"m{k}", "mp", "mk") for k in DOWS)
-    return g.select(*key, cal.fdiv("r_index", 12).alias("r_year"), "r_period", "days", "stockout_days",
-                    F.col("sales").alias("demand_leave"), F.col("in_sales").alias("demand_discard"),
-                    F.round(F.when(F.col("mk").isNull(), F.col("sales")).otherwise(F.col("in_sales") + imputed), digits).alias("demand_v1"))
+    the key; a key never in stock keeps its sales).
+
+    A key's movement days are one row, as long as its history; its periods are made from them in
+    numpy for many keys at once, so they are neither shuffled nor sorted."""
+    keyed = _day_lists(mov, threshold, key)
+    added = T.StructType.fromDDL(_PERIOD_DDL)
+    schema, names = T.StructType([keyed.schema[c] for c in key] + added.fields), [*key, *added.names]
+
+    def run(batches):
+        for whole in batches:
+            for i in range(0, whole.num_rows, 1000):
+                b = whole.slice(i, 1000)
+                at, undated, index, days, censored, *sums = _periods_of(b.column("d"))
+                yield pa.RecordBatch.from_arrays([
+                    *[b.column(c).take(pa.array(at)) for c in key], pa.array(index, pa.int32(), mask=undated), pa.array(days, pa.int64(), mask=undated),
+                    pa.array(censored, pa.int64(), from_pandas=True), *[pa.array(x, pa.float64(), from_pandas=True) for x in sums]], names)
+
+    x = keyed.mapInArrow(run, schema)
+    return x.select(*key, cal.fdiv("r_index", 12).alias("r_year"), (F.pmod("r_index", F.lit(12)) + 1).cast("int").alias("r_period"), "days",
+                    "stockout_days", "demand_leave", "demand_discard", F.round("demand_v1", digits).alias("demand_v1"))
+
+
+def _day_lists(mov: DataFrame, threshold: float, key) -> DataFrame:
+    return stock_history(mov, threshold, key).groupBy(*key).agg(F.collect_list(F.struct(*_DAY)).alias("d"))
+
+
+def _periods_of(col):
+    """The rows of ``unconstrained`` for a column of day lists: place of the key, whether the row is that
+    of movements without a date (which no other row looks at), and the columns; nan is null."""
+    n, days = len(col), col.flatten()
+    row = np.repeat(np.arange(n), np.asarray(pc.list_value_length(col), np.int64))
+    field = lambda name: pc.struct_field(days, name)
+    state = lambda name: np.asarray(pc.fill_null(field(name).cast(pa.int8()), UNKNOWN))
+    dated = np.asarray(field("doc_date").is_valid())
+    day = np.asarray(pc.fill_null(field("doc_date").cast(pa.int32()), 0)).astype(np.int64)
+    out, gap_out, gap = state("stockout"), state("gap_out"), np.asarray(field("gap_days")).astype(np.int64)
+    sales = field("sales").to_numpy(zero_copy_only=False).astype(float)
+    key, index, count, censored, leave, discard, demand, ever = unconstrained(
+        *(x[dated] for x in (row, day, out, sales, gap, gap_out)), n)
+    r, o, s = row[~dated], out[~dated], sales[~dated]
+    own, none, join = np.where(o == IN, s, 0.0), np.zeros(len(r), np.int64), lambda *x: np.concatenate(x)
+    return (join(key, r), join(np.zeros(len(key), bool), none == 0), join(index, none), join(count, none), join(censored, np.where(o == OUT, np.nan, 0.0)),
+            join(leave, s), join(discard, own), join(demand, np.where(~ever[r], s, np.where(o == OUT, np.nan, own))))
 
 
 def service_kpis(mov: DataFrame, threshold: float = 0.0, key=KEY, digits: int = 6) -> DataFrame:
@@ -356,14 +435,44 @@ def unconstrain_fits(mov: DataFrame, threshold: float = 0.0, key=KEY, iters: int
     return days.repartition(n, *key).mapInArrow(run, schema)
 
 
+def _item_periods(col, digits: int):
+    """The periods of each item in order, summed over the day lists of its warehouses."""
+    item = np.repeat(np.arange(len(col)), np.asarray(pc.list_value_length(col), np.int64))
+    at, undated, index, _, censored, raw, _, adj = _periods_of(col.flatten())
+    adj = np.floor(adj * 10 ** digits + 0.5) / 10 ** digits
+    order = np.lexsort((index, ~undated, item[at]))  # a row without a period comes first
+    own, p, none = item[at][order], index[order], undated[order]
+    new = np.ones(len(own), bool)
+    new[1:] = (np.diff(own) != 0) | (np.diff(p) != 0) | (none[1:] != none[:-1])
+    group, n = np.cumsum(new) - 1, int(new.sum())
+
+    def total(x, kind):
+        x, seen = x[order], ~np.isnan(x[order])
+        some = np.bincount(group, seen, n) > 0
+        return pa.array(np.bincount(group, np.where(seen, x, 0.0), n).astype(kind), mask=~some)
+
+    entries = pa.StructArray.from_arrays([pa.array(p[new], pa.int32(), mask=none[new]), total(raw, float), total(adj, float), total(censored, np.int64)],
+                                         ["p", "raw", "adj", "out"])
+    ends = np.searchsorted(own[new], np.arange(len(col) + 1))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
+
+
 def two_stage(mov: DataFrame, alpha: float = 0.3, digits: int = 6) -> DataFrame:
     """Per item, smoothing forecasts (SES, one retail period ahead) from raw and from
     unconstrained demand, both zero-filled over all periods since the item's first movement, and
     their errors on the same actuals: the sales of periods without any stock-out day."""
     item = ["company", "item_code"]
-    u = unconstrain_periods(mov).groupBy(*item, (F.col("r_year") * 12 + F.col("r_period") - 1).alias("p")).agg(
-        F.sum("demand_leave").alias("raw"), F.sum("demand_v1").alias("adj"), F.sum("stockout_days").alias("out"))
-    a = u.groupBy(*item).agg(F.array_sort(F.collect_list(F.struct("p", "raw", "adj", "out"))).alias("s"))
+    # the day lists of an item's warehouses meet, not their periods, which are many more
+    days = _day_lists(mov, 0.0, KEY).groupBy(*item).agg(F.collect_list("d").alias("d"))
+    schema = T.StructType([*[days.schema[c] for c in item], T.StructField("s", T.ArrayType(T.StructType.fromDDL("p int, raw double, adj double, out bigint")))])
+
+    def run(batches):
+        for whole in batches:
+            for i in range(0, whole.num_rows, 500):
+                b = whole.slice(i, 500)
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in item], _item_periods(b.column("d"), digits)], schema.names)
+
+    a = days.mapInArrow(run, schema)
     zero = F.lit(0.0)
     start = F.struct(F.lit(None).cast("double").alias("lr"), F.lit(None).cast("double").alias("la"), F.lit(0).alias("n"),
                      *[zero.alias(c) for c in ("er", "ea", "ar", "aa", "y")])

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from stockflow.functions.movement_fields import item_code
 from stockflow.operators.demand import ITEM
 from stockflow.operators.sequence import running_by_value
+from stockflow.session import materialize
 
 BLOCKS = (["p_brand", "p_type"], ["p_brand"], ["p_type"], [])
 MIN_PERIODS = 13
@@ -55,8 +56,10 @@ def _nearest(stats: DataFrame, block: list[str], k: int, above: bool) -> DataFra
 
 def ranked_analogs(stats: DataFrame, k: int = 5) -> DataFrame:
     """The k nearest known items of the company for every new item: ``rank`` (from 1, ties by item
-    code), ``analog``, ``distance`` and both prices. A company without known items gives no rows."""
-    found = None
+    code), ``analog``, ``distance`` and both prices. A company without known items gives no rows.
+
+    The items are written down first: the blocks read them sixteen times."""
+    stats, found = materialize(stats, "items"), None
     for block in BLOCKS:
         for above in (True, False):
             near = _nearest(stats, block, k, above)
@@ -85,12 +88,15 @@ def _seasons(series: DataFrame, by) -> DataFrame:
     return series.groupBy(*by, quarter).agg(F.avg("qty").alias("qty"))
 
 
-def fit_attributes(series: DataFrame, part: DataFrame, by=ITEM, min_periods: int = MIN_PERIODS, ridge: float = 1e-3):
+def fit_attributes(series: DataFrame, part: DataFrame, by=ITEM, min_periods: int = MIN_PERIODS, ridge: float = 1e-3, stats: DataFrame | None = None):
     """One regression over all known items: mean demand of an item and retail quarter on its brand,
     type, season and price. Attributes are one-hot; one unseen in the fit counts as none. The normal
-    equations are summed over all rows, so only a matrix of the attributes' size leaves the cluster."""
-    stats = item_stats(series, part, by, min_periods).filter("known").drop("mean_qty", "periods")
-    rows = _seasons(series, by).join(stats, [*by]).select("qty", "p_brand", "p_type", "season", "price").dropna()
+    equations are summed over all rows, so only a matrix of the attributes' size leaves the cluster.
+
+    The rows, four an item at most, are written down first: each stage of the pipeline reads them.
+    ``stats`` hands in ``item_stats`` that is there already."""
+    stats = (item_stats(series, part, by, min_periods) if stats is None else stats).filter("known").drop("mean_qty", "periods")
+    rows = materialize(_seasons(series, by).join(stats, [*by]).select("qty", "p_brand", "p_type", "season", "price").dropna(), "seasons")
     names = ["p_brand", "p_type", "season"]
     steps = [StringIndexer(inputCols=names, outputCols=[f"{c}_i" for c in names], handleInvalid="keep"),
              OneHotEncoder(inputCols=[f"{c}_i" for c in names], outputCols=[f"{c}_v" for c in names], handleInvalid="keep"),
@@ -102,8 +108,9 @@ def fit_attributes(series: DataFrame, part: DataFrame, by=ITEM, min_periods: int
 
 def attribute_forecast(series: DataFrame, part: DataFrame, by=ITEM, min_periods: int = MIN_PERIODS, digits: int = 3) -> DataFrame:
     """Weekly demand of every new item in each of the four retail quarters by ``fit_attributes``."""
-    model = fit_attributes(series, part, by, min_periods)
-    new = (item_stats(series, part, by, min_periods).filter("not known").dropna(subset=["p_brand", "p_type", "price"])
+    stats = materialize(item_stats(series, part, by, min_periods), "items")
+    model = fit_attributes(series, part, by, min_periods, stats=stats)
+    new = (stats.filter("not known").dropna(subset=["p_brand", "p_type", "price"])
            .withColumn("season", F.explode(F.array(*[F.lit(str(k)) for k in range(1, 5)]))))
     return model.transform(new).select(*by, "season", F.round("forecast", digits).alias("attribute_weekly_qty"))
 

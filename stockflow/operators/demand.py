@@ -7,14 +7,19 @@ item and period: a group holds at most (time span / grain) rows however skewed t
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from stockflow.functions import calendar as cal
 from stockflow.functions.calendar import fdiv
 from stockflow.functions.movement_fields import item_code
 from stockflow.operators.sequence import exact_percentiles, running_by_value
+from stockflow.session import materialize
 
 KEY = ["company", "item_code", "warehouse"]
 ITEM = ["company", "item_code"]
@@ -101,10 +106,13 @@ def weekly_sales(mov: DataFrame, by=ITEM, grain_days: int = 7) -> DataFrame:
 def demand_arrays(mov: DataFrame, by=ITEM, grain_days: int = 7) -> DataFrame:
     """Per item: ``first_p`` and the zero-filled demand ``q`` of every period from the item's first
     sale to the last period of the data. The sparse period sales are aggregated once and the gaps
-    are filled inside the item's array (as long as the calendar), without a spine to join."""
+    are filled inside the item's array (as long as the calendar), without a spine to join.
+
+    The sparse arrays are written down, so that the journal is put together once, whatever is done with
+    the series; the data's last period is read from them."""
     s = weekly_sales(mov, by, grain_days)
-    g = (s.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("p", "qty"))).alias("s"))
-          .withColumn("last_p", s.agg(F.max("p")).scalar()))  # scalar subquery: the data's last period
+    g = materialize(s.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("p", "qty"))).alias("s")), "demand")
+    g = g.withColumn("last_p", g.agg(F.max(F.element_at("s", -1)["p"])).scalar())
 
     def with_gap(e, i):
         until = F.coalesce(F.get(F.col("s"), i + 1)["p"], F.col("last_p") + 1)
@@ -202,23 +210,93 @@ def abc_by_period(mov: DataFrame, a: float = 0.8, b: float = 0.95, digits: int =
                     F.col("score"), _abc(share("score_cum", "score_total"), share("score", "score_total"), a, b).alias("abc_multi"))
 
 
+class _Flat:
+    """Lists of numbers of an Arrow column end to end (null: nan): values, their list and place in it."""
+
+    def __init__(self, col):
+        self.size = np.asarray(pc.fill_null(pc.list_value_length(col), 0), np.int64)
+        self.v = col.flatten().to_numpy(zero_copy_only=False).astype(float)
+        self.row = np.repeat(np.arange(len(col)), self.size)
+        self.at = np.arange(len(self.v)) - (np.cumsum(self.size) - self.size)[self.row]
+
+    def near(self, k: int) -> np.ndarray:
+        """The value k places on in the same list, nan beyond its ends."""
+        out = np.full(len(self.v), np.nan)
+        if abs(k) < len(self.v):
+            out[max(-k, 0): len(self.v) - max(k, 0)] = self.v[max(k, 0): len(self.v) - max(-k, 0)]
+        return np.where((self.at + k >= 0) & (self.at + k < self.size[self.row]), out, np.nan)
+
+    def add(self, x: np.ndarray):
+        """Sum and number of the known values of x in each list."""
+        return np.bincount(self.row, np.where(np.isnan(x), 0.0, x), len(self.size)), np.bincount(self.row, ~np.isnan(x), len(self.size))
+
+
+def _over_arrays(df: DataFrame, keep, ddl: str, work) -> DataFrame:
+    """``work(batch) -> places of the kept columns, new columns`` over Arrow batches of demand arrays."""
+    added = T.StructType.fromDDL(ddl)
+    schema = T.StructType([df.schema[c] for c in keep] + added.fields)
+
+    def run(batches):
+        for whole in batches:
+            for i in range(0, whole.num_rows, 2000):
+                b = whole.slice(i, 2000)
+                at, columns = work(b)
+                kept = [b.column(c) if at is None else b.column(c).take(pa.array(at)) for c in keep]
+                yield pa.RecordBatch.from_arrays([*kept, *columns], schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def _null_nan(x, kind=pa.float64()):
+    return pa.array(x, kind, from_pandas=True)
+
+
 def moving_average_forecast(series: DataFrame, by=ITEM, k: int = 4) -> DataFrame:
-    """Baseline forecast: mean of the previous ``k`` periods (null for the first period)."""
-    w = Window.partitionBy(*by).orderBy("p").rowsBetween(-k, -1)
-    return series.withColumn("forecast", F.avg("qty").over(w))
+    """Baseline forecast: mean of the previous ``k`` periods (null for the first period). Demand arrays
+    (``q``) get an array ``forecast`` beside them, a series (``p, qty``) a column."""
+    if "q" not in series.columns:
+        w = Window.partitionBy(*by).orderBy("p").rowsBetween(-k, -1)
+        return series.withColumn("forecast", F.avg("qty").over(w))
+
+    def work(b):
+        x = _Flat(b.column("q"))
+        before = np.stack([x.near(-j) for j in range(k, 0, -1)])
+        known = ~np.isnan(before)
+        with np.errstate(invalid="ignore"):
+            mean = np.where(known, before, 0.0).sum(0) / known.sum(0)
+        return None, [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(x.size)), pa.int32()), _null_nan(mean))]
+
+    return _over_arrays(series.filter("q is not null").select(*by, "first_p", "q"), [*by, "first_p", "q"], "forecast array<double>", work)
 
 
 def forecast_error(fc: DataFrame, by=ITEM, digits: int = 6) -> DataFrame:
-    """Bias, MAPE (over non-zero actuals), WMAPE and MASE (vs the naive lag-1 error)."""
-    w = Window.partitionBy(*by).orderBy("p")
-    x = fc.withColumn("naive_err", F.abs(F.col("qty") - F.lag("qty").over(w))).filter(F.col("forecast").isNotNull())
-    e = F.col("forecast") - F.col("qty")
-    g = x.groupBy(*by).agg(
-        F.avg(e).alias("bias"),
-        F.avg(F.when(F.col("qty") > 0, F.abs(e) / F.col("qty"))).alias("mape"),
-        F.try_divide(F.sum(F.abs(e)), F.sum("qty")).alias("wmape"),
-        F.try_divide(F.avg(F.abs(e)), F.avg("naive_err")).alias("mase"))
-    return g.select(*by, *[F.round(c, digits).alias(c) for c in ("bias", "mape", "wmape", "mase")])
+    """Bias, MAPE (over non-zero actuals), WMAPE and MASE (vs the naive lag-1 error), of a series
+    or of demand arrays with their forecasts."""
+    names = ("bias", "mape", "wmape", "mase")
+    if "q" in fc.columns:
+        def work(b):
+            x, f = _Flat(b.column("q")), _Flat(b.column("forecast")).v
+            y = np.where(np.isnan(f), np.nan, x.v)
+            e, naive = f - y, np.where(np.isnan(f), np.nan, np.abs(x.v - x.near(-1)))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                mean = lambda v: np.divide(*x.add(v))
+                total = lambda v: np.where(x.add(v)[1] > 0, x.add(v)[0], np.nan)
+                over = lambda u, v: np.where(v != 0, u / v, np.nan)
+                out = [mean(e), mean(np.where(y > 0, np.abs(e) / y, np.nan)), over(total(np.abs(e)), total(y)), over(mean(np.abs(e)), mean(naive))]
+            some = np.flatnonzero(np.bincount(x.row, ~np.isnan(f), len(x.size)) > 0)  # items of one period have no forecast
+            return some, [_null_nan(v[some]) for v in out]
+
+        g = _over_arrays(fc, by, ", ".join(f"{c} double" for c in names), work)
+    else:
+        w = Window.partitionBy(*by).orderBy("p")
+        x = fc.withColumn("naive_err", F.abs(F.col("qty") - F.lag("qty").over(w))).filter(F.col("forecast").isNotNull())
+        e = F.col("forecast") - F.col("qty")
+        g = x.groupBy(*by).agg(
+            F.avg(e).alias("bias"),
+            F.avg(F.when(F.col("qty") > 0, F.abs(e) / F.col("qty"))).alias("mape"),
+            F.try_divide(F.sum(F.abs(e)), F.sum("qty")).alias("wmape"),
+            F.try_divide(F.avg(F.abs(e)), F.avg("naive_err")).alias("mase"))
+    return g.select(*by, *[F.round(c, digits).alias(c) for c in names])
 
 
 def with_category(df: DataFrame, part: DataFrame, level: str = "p_brand") -> DataFrame:
@@ -246,7 +324,11 @@ def quantile_forecast(series: DataFrame, part: DataFrame, taus=(0.5, 0.9), level
 
 def decompose(series: DataFrame, by=ITEM, m: int = 13, digits: int = 6) -> DataFrame:
     """H33 (classical): centred moving-average trend (2 x m for even m), seasonal mean of the
-    detrended series per position in the cycle, residual."""
+    detrended series per position in the cycle, residual. Demand arrays (``q``) are worked on where they
+    stand; a series (``p, qty``) is sorted."""
+    if "q" in series.columns:
+        x = _over_arrays(series.filter("q is not null"), by, "p int, qty double, trend double, seasonal double", lambda b: _decomposed(b, m))
+        return _parts(x, by, digits)
     w = Window.partitionBy(*by).orderBy("p")
     half = m // 2
     if m % 2:
@@ -259,5 +341,24 @@ def decompose(series: DataFrame, by=ITEM, m: int = 13, digits: int = 6) -> DataF
         full = F.count("qty").over(w.rowsBetween(-half, half)) == m + 1
     x = series.withColumn("trend", F.when(full, trend)).withColumn("pos", F.pmod(F.col("p"), F.lit(m)))
     x = x.withColumn("seasonal", F.avg(F.col("qty") - F.col("trend")).over(Window.partitionBy(*by, "pos")))
+    return _parts(x, by, digits)
+
+
+def _parts(x: DataFrame, by, digits: int) -> DataFrame:
     return x.select(*by, "p", "qty", F.round("trend", digits).alias("trend"), F.round("seasonal", digits).alias("seasonal"),
                     F.round(F.col("qty") - F.col("trend") - F.col("seasonal"), digits).alias("residual"))
+
+
+def _decomposed(b, m: int):
+    x, half = _Flat(b.column("q")), m // 2
+    if m % 2:
+        trend = sum(x.near(j) for j in range(-half, half + 1)) / m  # nan where the frame is not full
+    else:
+        trend = (sum(x.near(j) for j in range(-half, half)) + sum(x.near(j) for j in range(-half + 1, half + 1))) / (2 * m)
+    p = np.asarray(b.column("first_p"), np.int64)[x.row] + x.at
+    cell, rest = x.row * m + p % m, x.v - trend
+    some = ~np.isnan(rest)
+    n = len(x.size) * m
+    with np.errstate(invalid="ignore"):
+        seasonal = (np.bincount(cell[some], rest[some], n) / np.bincount(cell[some], minlength=n))[cell]
+    return x.row, [pa.array(p, pa.int32()), *map(_null_nan, (x.v, trend, seasonal))]

@@ -26,19 +26,27 @@ def _series_array(series: DataFrame, by=ITEM, value: str = "qty") -> DataFrame:
         F.array_sort(F.collect_list(F.struct(F.col("p"), F.col(value).cast("double").alias("y")))).alias("s"))
 
 
+def _arrays(demand: DataFrame, by) -> DataFrame:
+    """``first_p`` and ``q`` of each item: demand arrays as they are, a series (``p, qty``) gathered. Items
+    of which no period is known have no series."""
+    if "q" in demand.columns:
+        return demand.filter("q is not null")
+    return _series_array(demand, by).select(*by, F.col("s")[0]["p"].alias("first_p"), F.col("s.p").alias("ps"), F.col("s.y").alias("q"))
+
+
 def _d(x) -> Column:
     return F.lit(x).cast("double") if not isinstance(x, Column) else x.cast("double")
 
 
-def croston_family(series: DataFrame, alpha: float = 0.1, beta: float = 0.1, by=ITEM) -> DataFrame:
+def croston_family(demand: DataFrame, alpha: float = 0.1, beta: float = 0.1, by=ITEM) -> DataFrame:
     """Croston and SBA (update only on positive demand) and TSB (demand probability
     updated every period). Returns the next-period forecasts per item, and the hybrid that
-    switches from SBA to TSB once no demand has come for twice the smoothed interval."""
+    switches from SBA to TSB once no demand has come for twice the smoothed interval. Takes demand
+    arrays (``q``), which are folded where they stand, or a series (``p, qty``)."""
     init = F.struct(_d(None).alias("z"), _d(None).alias("x"), _d(1).alias("q"), _d(None).alias("d"),
                     _d(None).alias("tz"))
 
-    def step(acc, e):
-        y = e["y"]
+    def step(acc, y):
         pos = y > 0
         z_new = F.when(pos, F.when(acc["z"].isNull(), y).otherwise(acc["z"] + alpha * (y - acc["z"]))).otherwise(acc["z"])
         x_new = F.when(pos, F.when(acc["x"].isNull(), acc["q"]).otherwise(acc["x"] + alpha * (acc["q"] - acc["x"]))) \
@@ -50,8 +58,8 @@ def croston_family(series: DataFrame, alpha: float = 0.1, beta: float = 0.1, by=
                   .otherwise(acc["tz"])
         return F.struct(z_new.alias("z"), x_new.alias("x"), q_new.alias("q"), d_new.alias("d"), tz_new.alias("tz"))
 
-    a = _series_array(series, by)
-    st = F.aggregate("s", init, step)
+    a = _arrays(demand, by)
+    st = F.aggregate("q", init, step)
     out = a.select(*by, st.alias("st"))
     cro = F.col("st.z") / F.col("st.x")
     sba, tsb = cro * (1 - alpha / 2), F.col("st.d") * F.coalesce(F.col("st.tz"), _d(0))
@@ -60,26 +68,29 @@ def croston_family(series: DataFrame, alpha: float = 0.1, beta: float = 0.1, by=
                       obsolete.alias("obsolete"), F.round(F.when(obsolete, tsb).otherwise(sba), 6).alias("hybrid"))
 
 
-def ses_holt(series: DataFrame, alpha: float = 0.3, beta: float = 0.1, by=ITEM) -> DataFrame:
+def ses_holt(demand: DataFrame, alpha: float = 0.3, beta: float = 0.1, by=ITEM) -> DataFrame:
     """Simple exponential smoothing and Holt's linear trend; next-period forecasts and
-    the one-step-ahead forecast array (for error measures)."""
-    init = F.struct(_d(None).alias("l"), _d(None).alias("hl"), _d(None).alias("hb"),
-                    F.array().cast("array<double>").alias("f"))
+    the one-step-ahead forecast array (for error measures), which has a fold of its own, so that it
+    costs nothing where it is not asked for. Takes demand arrays (``q``) or a series (``p, qty``)."""
+    init = F.struct(_d(None).alias("l"), _d(None).alias("hl"), _d(None).alias("hb"))
 
-    def step(acc, e):
-        y = e["y"]
+    def step(acc, y):
         first = acc["l"].isNull()
         l_new = F.when(first, y).otherwise(acc["l"] + alpha * (y - acc["l"]))
         hl_new = F.when(first, y).otherwise(alpha * y + (1 - alpha) * (acc["hl"] + acc["hb"]))
         hb_new = F.when(first, _d(0)).otherwise(beta * (hl_new - acc["hl"]) + (1 - beta) * acc["hb"])
-        f_new = F.concat(acc["f"], F.array(acc["l"]))
-        return F.struct(l_new.alias("l"), hl_new.alias("hl"), hb_new.alias("hb"), f_new.alias("f"))
+        return F.struct(l_new.alias("l"), hl_new.alias("hl"), hb_new.alias("hb"))
+
+    def ahead(acc, y):
+        level = F.when(acc["l"].isNull(), y).otherwise(acc["l"] + alpha * (y - acc["l"]))
+        return F.struct(level.alias("l"), F.concat(acc["f"], F.array(acc["l"])).alias("f"))
 
-    a = _series_array(series, by)
-    st = F.aggregate("s", init, step)
-    return a.select(*by, F.col("s"), st.alias("st")).select(
+    a = _arrays(demand, by)
+    periods = F.col("ps") if "ps" in a.columns else F.sequence(F.col("first_p"), F.col("first_p") + F.size("q") - 1)
+    before = F.struct(_d(None).alias("l"), F.array().cast("array<double>").alias("f"))
+    return a.select(*by, F.aggregate("q", init, step).alias("st"), periods.alias("periods"), F.aggregate("q", before, ahead)["f"].alias("f")).select(
         *by, F.round("st.l", 6).alias("ses"), F.round(F.col("st.hl") + F.col("st.hb"), 6).alias("holt"),
-        F.col("s.p").alias("periods"), F.col("st.f").alias("ses_one_step"))
+        "periods", F.col("f").alias("ses_one_step"))
 
 
 # ---------------------------------------------------------------- seasonal models as folds

@@ -264,7 +264,7 @@ FROM (SELECT *, avg(qty) OVER (PARTITION BY company, item_code ORDER BY p ROWS B
              abs(qty - lag(qty) OVER (PARTITION BY company, item_code ORDER BY p)) AS naive_err FROM series) s
 WHERE f IS NOT NULL GROUP BY ALL""", "series"))
 def h18(spark, sf_dir):
-    return dm.forecast_error(dm.moving_average_forecast(_series(spark, sf_dir)))
+    return dm.forecast_error(dm.moving_average_forecast(dm.demand_arrays(_mov(spark, sf_dir))))
 
 
 _H19_EMPTY = "'z': NULL::DOUBLE, 'x': NULL::DOUBLE, 'q': 1.0e0, 'd': NULL::DOUBLE"
@@ -282,7 +282,7 @@ SELECT company, item_code, round(t.z / t.x, 6) AS croston, round(t.z / t.x * 0.9
        t.q - 1 > 2 * t.x AS obsolete, round(CASE WHEN t.q - 1 > 2 * t.x THEN t.d * t.z ELSE t.z / t.x * 0.95e0 END, 6) AS hybrid
 FROM (SELECT company, item_code, {_H19_FOLD} AS t FROM series GROUP BY ALL) s""", "series"))
 def h19(spark, sf_dir):
-    return fc.croston_family(_series(spark, sf_dir))
+    return fc.croston_family(dm.demand_arrays(_mov(spark, sf_dir)))
 
 
 @query("h20_ses_holt", with_ctes("""
@@ -295,7 +295,7 @@ FROM (SELECT company, item_code, list_reduce(
           'hb': CASE WHEN a.l IS NULL THEN 0.0e0 ELSE 0.1e0 * (0.3e0 * e.y + 0.7e0 * (a.hl + a.hb) - a.hl) + 0.9e0 * a.hb END}) AS t
       FROM series GROUP BY ALL) s""", "series"))
 def h20(spark, sf_dir):
-    return fc.ses_holt(_series(spark, sf_dir)).drop("periods", "ses_one_step")
+    return fc.ses_holt(dm.demand_arrays(_mov(spark, sf_dir))).drop("periods", "ses_one_step")
 
 
 @query("h21_holt_winters", with_ctes("""
@@ -463,12 +463,14 @@ FROM (SELECT company, item_code, list_sort(list(qty)) AS v FROM series GROUP BY
 JOIN (SELECT item_code, CASE origin WHEN 'NACIONAL' THEN 0.8e0 WHEN 'USA' THEN 0.85e0 ELSE 0.9e0 END AS fraction FROM priors) f
 USING (item_code)""", "series", "priors"))
 def h29g(spark, sf_dir):
-    series = _series(spark, sf_dir)
+    arrays = dm.demand_arrays(_mov(spark, sf_dir)).filter("q is not null")
     o = F.col("origin")
     frac = _priors(spark, sf_dir).select(
         "item_code", F.when(o == "NACIONAL", 0.8).when(o == "USA", 0.85).otherwise(0.9).alias("fraction"))
-    return rp.newsvendor_by_group(series.join(frac.select("item_code"), "item_code"), frac.join(
-        series.select("company", "item_code").distinct(), "item_code"))
+    # an item with several origins has its demand as often
+    times = frac.groupBy("item_code").agg(F.count("*").cast("int").alias("n"))
+    demand = arrays.join(times, "item_code").withColumn("q", F.flatten(F.array_repeat("q", F.col("n"))))
+    return rp.newsvendor_by_group(demand, frac.join(arrays.select("company", "item_code"), "item_code"))
 
 
 @query("h30_open_to_buy", with_ctes(f"""
@@ -539,7 +541,7 @@ FROM (SELECT *, avg(qty - trend) OVER (PARTITION BY company, item_code, pos) AS
   FROM series WINDOW w AS (PARTITION BY company, item_code ORDER BY p ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)) a) b""",
     "series"))
 def h33(spark, sf_dir):
-    return dm.decompose(_series(spark, sf_dir))
+    return dm.decompose(dm.demand_arrays(_mov(spark, sf_dir)))
 
 
 @query("h33_stl", with_ctes("""SELECT company, item_code, p, qty, round(qty + 1e-9, 6) AS recomposed, true AS weight_ok FROM series28""", "series28"))

@@ -11,17 +11,19 @@ from __future__ import annotations
 from contextlib import contextmanager
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from stockflow.operators.sequence import TOP_LEVEL, dyadic_cells, dyadic_cover
 from stockflow.plans import lake
 from stockflow.sources.movements import finalize
 
 STUCK_SECONDS = 3600
+RUN_BUCKETS = 1024  # state values of I6; a checkpoint keeps to the number it was started with
 
 
 def _run(writer, available_now: bool = True, timeout_s: int | None = None):
@@ -167,12 +169,27 @@ def _rocksdb(spark: SparkSession):
 
 
 _RUN_ROW = "id bigint, job string, status string, created_us bigint, started_us bigint, finished_us bigint, rows bigint, was_stuck boolean"
-_RUN_STATE = ("job string, created_us bigint, started_us bigint, finished_us bigint, seq bigint, status string, rows bigint, "
-              "alerted boolean, done boolean")
+_RUN_STATE = pa.schema([("id", pa.int64()), ("job", pa.string()), ("created", pa.int64()), ("started", pa.int64()), ("finished", pa.int64()),
+                        ("seq", pa.int64()), ("status", pa.string()), ("rows", pa.int64()), ("alerted", pa.bool_()), ("done", pa.bool_())])
+_RUN_EVENT = ["job", "seq", "state", "n", "has_n", "us"]
+_NEVER = np.iinfo(np.int64).max  # a time that is not known (yet)
 
 
-class RunLifecycle(StatefulProcessor):
-    """Lifecycle of one run: its events are merged in any order, and rows leave by event-time timers.
+def _codes(*parts):
+    """One code for each equal string of the parts, in the strings' order and -1 for null; the strings."""
+    codes, names = pd.factorize(np.concatenate([np.asarray(x, object) for x in parts]), sort=True)
+    return np.split(codes, np.cumsum([len(x) for x in parts])[:-1]), np.append(names, None).astype(object)
+
+
+def _first_of(*order):
+    """Rows that come first in each group of the last key, by the keys before it (from the last one on)."""
+    rows = np.lexsort(order)
+    group = order[-1][rows]
+    return rows[np.append(True, group[1:] != group[:-1])] if len(rows) else rows
+
+
+class RunLifecycles:
+    """Lifecycles of the runs of a bucket: events are merged in any order, rows leave as event time passes.
 
     A verdict waits until the watermark has passed the time that it speaks of and is made from the
     events up to that time, all of which have been seen by then. So rows do not depend on how events
@@ -182,91 +199,129 @@ class RunLifecycle(StatefulProcessor):
     - ``stuck`` once it passes ``created_at + stuck_s`` without a terminal event up to that time. A run
       that ends later still gets its final row, marked ``was_stuck``.
 
-    The state stays as a tombstone for ``keep_s`` of event time, so that events that come later still
-    (repeats, a second end) give no further row; then a timer drops it. So does a run that never ends.
+    The state of a run stays as a tombstone for ``keep_s`` of event time, so that events that come later
+    still (repeats, a second end) give no further row; then it is dropped. So is a run that never ends.
+
+    The runs of a bucket are one state value (an Arrow batch) and one timeout, at the next time that can
+    change any of them, and each step is one numpy operation over all of them: neither a call to the
+    state store nor a Python step is spent on a single run.
     """
 
     def __init__(self, stuck_s: int, keep_s: int):
         self.stuck_us, self.keep_us = stuck_s * 1_000_000, keep_s * 1_000_000
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("run", _RUN_STATE)
-
-    def _wake(self, at_us: int) -> None:
-        self.handle.registerTimer(-(-at_us // 1000) + 1)  # the first millisecond that is behind it
-
-    def _due(self, state) -> int:
-        return next(x for x in state[1:4] if x is not None) + self.stuck_us
-
-    def handleInputRows(self, key, rows, timerValues):
-        old = self.state.get()
-        job, created, started, finished, seq, status, n, alerted, done = old or (None, None, None, None, None, None, None, False, False)
-        if done:
-            return
-        for pdf in rows:
-            for r in pdf.itertuples(index=False):
-                at = int(r.us)
-                job = r.job if job is None else max(job, r.job)
-                if r.state == "queued":
-                    created = at if created is None else min(created, at)
-                elif r.state == "running":
-                    started = at if started is None else min(started, at)
-                elif finished is None or (at, int(r.seq)) < (finished, seq):
-                    finished, seq, status, n = at, int(r.seq), r.state, None if pd.isna(r.rows) else int(r.rows)
-        new = (job, created, started, finished, seq, status, n, alerted, done)
-        if old is None or new != tuple(old):
-            self.state.update(new)
-            if finished is not None:
-                self._wake(finished)
-            if not alerted:
-                self._wake(self._due(new))
-        return
-        yield  # a generator, as rows only leave by timers
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        state = self.state.get()
-        if state is None:
-            return
-        job, created, started, finished, seq, status, n, alerted, done = state
-        now, due = timerValues.getCurrentWatermarkInMs() * 1000, self._due(state)
-        known = lambda x, until: x if x is not None and x <= until else None
-        out = []
-        if not (alerted or done) and now > due and (finished is None or finished > due):
-            alerted = True
-            out.append((key[0], job, "stuck", known(created, due), known(started, due), None, None, True))
-        if not done and finished is not None and now > finished:
-            done = True
-            out.append((key[0], job, status, known(created, finished), known(started, finished) or finished, finished, n, alerted))
-        over = max(due, finished or 0) + self.keep_us
-        if now > over and (done or finished is None):
-            self.state.clear()
-        elif out:
-            self.state.update((job, created, started, finished, seq, status, n, alerted, done))
-            self._wake(over)
-        if out:
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in _RUN_ROW.split(", ")]).astype(
-                {c: "Int64" for c in ("created_us", "started_us", "finished_us", "rows")})
+    def merge(self, old: pa.RecordBatch, events: pd.DataFrame) -> dict:
+        """Columns of the bucket's runs, old and new, after the events; those of runs that are done change nothing."""
+        had = {c: old.column(c).to_numpy(zero_copy_only=False) for c in old.schema.names if c != "rows"}
+        ids, at = np.unique(np.concatenate([had["id"], events["id"].to_numpy()]), return_inverse=True)
+        of_old, run = at[: old.num_rows], at[old.num_rows:]
+
+        def spread(values, empty):
+            x = np.full(len(ids), empty)
+            x[of_old] = values
+            return x
+
+        x = {c: spread(had[c], _NEVER) for c in ("created", "started", "finished")}
+        x |= {"id": ids, "alerted": spread(had["alerted"], False), "done": spread(had["done"], False)}
+        live = ~x["done"][run]
+        run, events = run[live], events[live]
+        us = events["us"].to_numpy().astype(np.int64) if events["us"].notna().all() else events["us"].astype("int64")
+        state = events["state"].to_numpy(object)
+        for column, name in (("created", "queued"), ("started", "running")):
+            here = state == name
+            np.minimum.at(x[column], run[here], us[here])
+        (job_old, job_new), jobs = _codes(had["job"], events["job"])
+        job = spread(job_old, -1)
+        np.maximum.at(job, run, job_new)
+
+        ends = np.flatnonzero((state != "queued") & (state != "running"))
+        seq = np.concatenate([had["seq"], events["seq"].to_numpy()[ends].astype(np.int64)])
+        when = np.concatenate([had["finished"], us[ends]])
+        (st_old, st_new), names = _codes(had["status"], state[ends])
+        status = np.concatenate([st_old, st_new])
+        rows = np.concatenate([old.column("rows").fill_null(0).to_numpy(), events["n"].to_numpy()[ends]])
+        known = np.concatenate([old.column("rows").is_valid().to_numpy(zero_copy_only=False), events["has_n"].to_numpy(bool)[ends]])
+        owner = np.concatenate([of_old, run[ends]])
+        first = _first_of(seq, when, owner)  # stable: what is known already stands against an equal end
+
+        def full(values, empty):
+            x = np.full(len(ids), empty)
+            x[owner[first]] = values[first]
+            return x
+
+        return x | {"job": jobs[job], "finished": full(when, _NEVER), "seq": full(seq, 0), "status": names[full(status, -1)],
+                    "rows": full(rows, 0), "known": full(known, False)}
+
+    def settle(self, x: dict, now_ms: int):
+        """Verdicts due at the watermark, the runs that stay, and the time (ms) that the watermark has to pass next."""
+        ms = lambda us: -(-us // 1000)
+        created, started, finished = x["created"], x["started"], x["finished"]
+        due = np.where(created != _NEVER, created, np.where(started != _NEVER, started, finished)) + self.stuck_us
+        ended = finished != _NEVER
+        stuck = ~x["alerted"] & ~x["done"] & (now_ms > ms(due)) & (finished > due)
+        x["alerted"] = x["alerted"] | stuck
+        final = ~x["done"] & ended & (now_ms > ms(finished))
+        x["done"] = x["done"] | final
+        null = lambda values, mask: pd.arrays.IntegerArray(values.astype(np.int64), mask)
+
+        def verdicts(these, status, upto, end):
+            at = {c: x[c][these] for c in ("created", "started", "finished")}
+            upto, none = upto[these], np.ones(int(these.sum()), bool)
+            begun = null(np.minimum(at["started"], upto), ~none) if end else null(at["started"], at["started"] > upto)
+            return pd.DataFrame({
+                "id": x["id"][these], "job": x["job"][these], "status": status[these], "created_us": null(at["created"], at["created"] > upto),
+                "started_us": begun, "finished_us": null(at["finished"], none & (not end)),
+                "rows": null(x["rows"][these], ~x["known"][these] if end else none), "was_stuck": x["alerted"][these]})
+
+        out = pd.concat([verdicts(stuck, np.full(len(due), "stuck", object), due, False), verdicts(final, x["status"], finished, True)])
+        over = np.maximum(due, np.where(ended, finished, 0)) + self.keep_us
+        closed = x["done"] | (x["alerted"] & ~ended)
+        stays = ~(closed & (now_ms > ms(over)))
+        wake = np.where(closed, over, np.minimum(finished, np.where(x["alerted"], _NEVER, due)))[stays]
+        return out, {c: v[stays] for c, v in x.items()}, max(int(ms(wake.min())), now_ms, 1) if len(wake) else None
+
+    def __call__(self, key, batches, state):
+        old = pa.ipc.open_stream(state.get[0]).read_next_batch() if state.exists else pa.RecordBatch.from_pylist([], _RUN_STATE)
+        none = pd.DataFrame({"id": np.zeros(0, np.int64), "us": np.zeros(0, np.int64), "n": np.zeros(0, np.int64), "seq": np.zeros(0, np.int64)},
+                            columns=["id", *_RUN_EVENT])
+        events = none if state.hasTimedOut else pd.concat(list(batches), ignore_index=True)
+        out, runs, wake = self.settle(self.merge(old, events), state.getCurrentWatermarkMs())
+        if wake is None:
+            state.remove()
+        else:
+            columns = [pa.array(runs[f.name], f.type, mask=~runs["known"] if f.name == "rows" else None) for f in _RUN_STATE]
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, _RUN_STATE) as stream:
+                stream.write_batch(pa.RecordBatch.from_arrays(columns, schema=_RUN_STATE))
+            state.update((sink.getvalue().to_pybytes(),))
+            state.setTimeoutTimestamp(wake)
+        if len(out):
+            yield out.assign(id=pd.Series(pd.NA, out.index, "Int64")) if key[0] < 0 else out
 
 
 def run_state(events: DataFrame, stuck_s: int = STUCK_SECONDS, delay: str = "10 minutes", keep_s: int = 86400) -> DataFrame:
     """I6 (plan): one final row for each run that ends, after at most one ``stuck`` row for a run
-    without an end ``stuck_s`` seconds (event time) after its creation; see ``RunLifecycle``.
+    without an end ``stuck_s`` seconds (event time) after its creation; see ``RunLifecycles``.
 
-    A run whose queued event never comes counts from its first known event and has no ``created_at``."""
+    A run whose queued event never comes counts from its first known event and has no ``created_at``.
+    Events without an id count as one run; its bucket is its own, -1."""
     e = (events.withColumn("ets", F.col("event_at").cast("timestamp")).withWatermark("ets", delay)
-         .withColumn("us", F.unix_micros("ets")))
+         .withColumn("us", F.unix_micros("ets"))
+         .withColumn("bucket", F.when(F.col("id").isNull(), -1).otherwise(F.pmod(F.xxhash64("id"), F.lit(RUN_BUCKETS)))))
     # without timestamps in the rows there is no time zone on the way through Python
-    out = e.select("id", "job", "seq", "state", "rows", "us", "ets").groupBy("id").transformWithStateInPandas(
-        RunLifecycle(stuck_s, keep_s), _RUN_ROW, "append", "eventTime")
+    rows = e.select("bucket", F.coalesce("id", F.lit(0).cast("bigint")).alias("id"), "job", "seq", "state",
+                    F.coalesce("rows", F.lit(0).cast("bigint")).alias("n"), F.col("rows").isNotNull().alias("has_n"), "us", "ets")
+    lifecycles = RunLifecycles(stuck_s, keep_s)
+    out = rows.groupBy("bucket").applyInPandasWithState(
+        lambda key, batches, state: lifecycles(key, batches, state), _RUN_ROW, "runs binary", "append", "EventTimeTimeout")
     at = [F.timestamp_micros(f"{c}_us").alias(f"{c}_at") for c in ("created", "started", "finished")]
     return out.select("id", "job", "status", *at, "rows", "was_stuck")
 
 
 def stream_run_state(spark, src_path, schema, out_path, checkpoint, max_files: int | None = None, available_now: bool = True,
                      stuck_s: int = STUCK_SECONDS, delay: str = "10 minutes", keep_s: int = 86400):
-    """Run lifecycles into a parquet sink. State and timers are kept by RocksDB, which the operator
-    needs and which holds more keys than memory does."""
+    """Run lifecycles into a parquet sink. State and timeouts are kept by RocksDB, which holds more
+    keys than memory does."""
     s = _files(spark, src_path, schema, max_files)
     w = (run_state(s, stuck_s, delay, keep_s).writeStream.format("parquet").option("path", out_path)
             .option("checkpointLocation", checkpoint).outputMode("append"))

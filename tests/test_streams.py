@@ -185,3 +185,19 @@ def test_backfill_commits_window_after_window(spark, monkeypatch):
     report = lake.backfill(spark, root, src, ["HR", "CAP"], calls[3], span[1])  # resumed at the window that failed
     assert sum(n for _, _, n in report) == rows.filter(F.col("create_date") >= F.lit(calls[3])).count()
     assert _whole(lake.read_table(spark, root)) == _whole(rows)
+
+
+def test_runs_share_state_values(spark):
+    """Thousands of runs are a bounded number of state values, and each still gets its own rows."""
+    at = lambda run, s: T0 + timedelta(seconds=run % 600 + s)
+    runs = [None, *range(5000)]
+    rows = [(run, "job", "api", None, None, seq, state, at(run or 0, s), n) for run in runs
+            for seq, state, s, n in ((0, "queued", 0, None), (1, "running", 5, None), (2, "ok", 65, 2 ** 60 + 1)) if state != "ok" or run != 7]
+    base = _folder(spark)
+    for part in (rows[::2], rows[1::2], [_event(-1, 0, "queued", 8100)]):
+        spark.createDataFrame(part, EVENTS).coalesce(1).write.mode("append").parquet(base + "/in")
+        q = st.stream_run_state(spark, base + "/in", spark.createDataFrame([], EVENTS).schema, base + "/out", base + "/ckpt", delay="1 hour")
+        assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= st.RUN_BUCKETS + 1
+    got = {r.id: r for r in spark.read.parquet(base + "/out").withColumn("s", F.timestamp_diff("SECOND", "created_at", "finished_at")).collect()}
+    assert set(got) == set(runs) and got.pop(7).status == "stuck"
+    assert {(r.status, r.s, r.rows, r.was_stuck) for r in got.values()} == {("ok", 65, 2 ** 60 + 1, False)}

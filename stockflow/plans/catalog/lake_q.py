@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from stockflow.plans import lake
 from stockflow.plans.catalog import query
 from stockflow.plans.oracle_sql import with_ctes
-from stockflow.session import apply_session_conf, ensure_checkpoint_dir, materialize
+from stockflow.session import apply_session_conf, ensure_checkpoint_dir, materialize, scratch
 from stockflow.sources import fixtures as fx
 from stockflow.sources.movements import COMPANIES, finalize, read_movements
 
@@ -30,6 +30,12 @@ def _span(src):
     return lo, lake.day_after(hi)
 
 
+def _source(spark, sf_dir):
+    """The extract written down once, for flows that pull window after window from it: a pull then reads
+    the rows of its window instead of putting the whole extract together again."""
+    return materialize(fx.movement_source(spark, sf_dir), "extract")
+
+
 def _loaded(spark, sf_dir, tag, companies=COMPANIES):
     apply_session_conf(spark)
     src = fx.movement_source(spark, sf_dir)
@@ -73,21 +79,23 @@ def a6(spark, sf_dir):
 @query("a7_sync", with_ctes("SELECT * FROM mov_nopen", "mov_nopen"))
 def a7(spark, sf_dir):
     apply_session_conf(spark)
-    src = fx.movement_source(spark, sf_dir)
     root = _root(spark, "a7")
-    since, until = _span(src)
-    for company in COMPANIES:  # each has its own watermark
-        lake.sync(spark, root, src, company, until=since + (until - since) // 2, since=since)
-        lake.sync(spark, root, src, company, until=until)  # resumes at the watermark
+    with scratch(spark):
+        src = _source(spark, sf_dir)
+        since, until = _span(src)
+        for company in COMPANIES:  # each has its own watermark
+            lake.sync(spark, root, src, company, until=since + (until - since) // 2, since=since)
+            lake.sync(spark, root, src, company, until=until)  # resumes at the watermark
     return lake.read_table(spark, root)
 
 
 @query("a8_backfill", with_ctes("SELECT * FROM mov_nopen", "mov_nopen"))
 def a8(spark, sf_dir):
     apply_session_conf(spark)
-    src = fx.movement_source(spark, sf_dir)
     root = _root(spark, "a8")
-    report = lake.backfill(spark, root, src, COMPANIES, *_span(src))
+    with scratch(spark):
+        src = _source(spark, sf_dir)
+        report = lake.backfill(spark, root, src, COMPANIES, *_span(src))
     assert len(report) >= 2
     return lake.read_table(spark, root)
 

@@ -201,3 +201,18 @@ def test_runs_share_state_values(spark):
     got = {r.id: r for r in spark.read.parquet(base + "/out").withColumn("s", F.timestamp_diff("SECOND", "created_at", "finished_at")).collect()}
     assert set(got) == set(runs) and got.pop(7).status == "stuck"
     assert {(r.status, r.s, r.rows, r.was_stuck) for r in got.values()} == {("ok", 65, 2 ** 60 + 1, False)}
+
+
+@pytest.mark.parametrize("query, flow", [("a7_sync", "sync"), ("a8_backfill", "backfill")])
+def test_windows_are_pulled_from_an_extract_put_together_once(spark, monkeypatch, query, flow):
+    from stockflow.plans.catalog import QUERIES, load_all
+    load_all()
+    plans, real = [], getattr(lake, flow)
+
+    def seen(spark, root, source, *args, **more):
+        plans.append(source._jdf.queryExecution().optimizedPlan().toString())
+        return real(spark, root, source, *args, **more)
+
+    monkeypatch.setattr(lake, flow, seen)
+    assert QUERIES[query](spark, SF0001).count() == fx.movement_source(spark, SF0001).count()
+    assert plans and not any("Join" in p for p in plans)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from stockflow.operators.demand import ITEM
 
-CELLS = 1 << 20  # numbers in one matrix of a batch
+CELLS = 1 << 17  # numbers in one matrix of a batch: several of them stay in a core's cache
 
 
 def _odd(x: float) -> int:
@@ -29,31 +29,45 @@ def _odd(x: float) -> int:
     return n + 1 - n % 2
 
 
-def loess(y: np.ndarray, weight: np.ndarray, size: np.ndarray, q: int, first: int = 0, more: int = 0) -> np.ndarray:
+def loess(y: np.ndarray, weight: np.ndarray | None, size: np.ndarray, q: int, first: int = 0, more: int = 0) -> np.ndarray:
     """Local linear fits of rows ``y[i, :size[i]]`` at the places ``first`` to ``width - 1 + more``, each
-    from the q nearest points of its row with tricube weights times ``weight``."""
-    at = np.arange(first, y.shape[1] + more)[None, :]
-    n = size[:, None]
-    span = np.minimum(q, n)
-    left = np.clip(at - (q - 1) // 2, 0, np.maximum(n - span, 0))
-    reach = np.maximum(at - left, left + span - 1 - at) + np.maximum(q - n, 0) // 2
-    reach = np.maximum(reach, 1).astype(float)
-    s0, s1, s2, t0, t1 = (np.zeros(left.shape) for _ in range(5))
-    for j in range(q):
-        place = np.minimum(left + j, y.shape[1] - 1)
-        d = left + j - at
+    from the q nearest points of its row with tricube weights times ``weight`` (None: all ones).
+
+    Windows and tricube weights follow from a row's size alone, so they are made once for all rows of it."""
+    out = np.empty((len(y), y.shape[1] + more - first))
+    for n in np.unique(size):
+        rows = np.flatnonzero(size == n)
+        out[rows] = _loess_of_size(y[rows].T, None if weight is None else weight[rows].T, int(n), q, first, more).T
+    return out
+
+
+def _loess_of_size(y: np.ndarray, weight: np.ndarray | None, n: int, q: int, first: int, more: int) -> np.ndarray:
+    """``loess`` of columns ``y[:n, i]``. Without weights the sums that do not hold y are the same for all."""
+    y = np.ascontiguousarray(y)
+    weight = np.ones((len(y), 1)) if weight is None else np.ascontiguousarray(weight)
+    at = np.arange(first, len(y) + more)
+    span = min(q, n)
+    left = np.clip(at - (q - 1) // 2, 0, max(n - span, 0))
+    reach = np.maximum(np.maximum(at - left, left + span - 1 - at) + max(q - n, 0) // 2, 1).astype(float)
+    s0, s1, s2 = (np.zeros((len(at), weight.shape[1])) for _ in range(3))
+    t0, t1 = (np.zeros((len(at), y.shape[1])) for _ in range(2))
+    for j in range(span):
+        d = (left + j - at).astype(float)
         r = np.abs(d) / reach
-        w = np.where((j < span) & (r < 0.999), np.take_along_axis(weight, place, 1), 0.0)
-        w *= np.where(r <= 0.001, 1.0, (1 - np.minimum(r, 1) ** 3) ** 3)
-        wy = w * np.take_along_axis(y, place, 1)
+        k = np.where(r < 0.999, np.where(r <= 0.001, 1.0, (1 - np.minimum(r, 1) ** 3) ** 3), 0.0)
+        d, w = d[:, None], weight[left + j] * k[:, None]
+        wy = w * y[left + j]
         s0 += w
         t0 += wy
-        s1 += w * d
-        s2 += w * d * d
-        t1 += wy * d
+        w *= d
+        s1 += w
+        w *= d
+        s2 += w
+        wy *= d
+        t1 += wy
     even = s0 * s2 - s1 * s1
     line = even > 1e-9 * np.maximum(s0 * s2, 1e-300)
-    level = np.divide(t0, s0, out=np.take_along_axis(y, np.clip(at + np.zeros_like(left), 0, np.maximum(n - 1, 0)), 1).astype(float), where=s0 > 0)
+    level = np.divide(t0, s0, out=y[np.clip(at, 0, max(n - 1, 0))].astype(float), where=s0 > 0)
     return np.where(line, np.divide(t0 * s2 - t1 * s1, even, out=level.copy(), where=line), level)
 
 
@@ -88,13 +102,13 @@ def stl_matrix(y: np.ndarray, size: np.ndarray, period: int, seasonal: int = 7,
     low = _odd(period)
     cyclic = (size >= 2 * period)[:, None]
     own = np.maximum(-(-(size[:, None] - np.arange(period)) // period), 0).ravel()  # points of each subseries
-    weight, level, season = np.ones((n, width)), np.zeros((n, width)), np.zeros((n, width))
+    weight, level, season = None, np.zeros((n, width)), np.zeros((n, width))
     for k in range(outer + 1):
         for _ in range(inner):
-            c = loess(_subseries(y - level, period), _subseries(weight, period), np.maximum(own, 1), seasonal, -1, 1)
+            c = loess(_subseries(y - level, period), None if weight is None else _subseries(weight, period), np.maximum(own, 1), seasonal, -1, 1)
             # the value at place j of a subseries stands at (j + 1) * period + its place in the cycle
             c = c.reshape(n, period, -1).transpose(0, 2, 1).reshape(n, -1)[:, : width + 2 * period]
-            smooth = loess(_moving(_moving(_moving(c, period), period), 3), np.ones((n, width)), size, low)
+            smooth = loess(_moving(_moving(_moving(c, period), period), 3), None, size, low)
             season = np.where(cyclic, c[:, period: period + width] - smooth, 0.0)
             level = loess(y - season, weight, size, trend)
         if k < outer:
@@ -102,7 +116,7 @@ def stl_matrix(y: np.ndarray, size: np.ndarray, period: int, seasonal: int = 7,
             h = 6 * _median(rest, size)[:, None]
             u = np.divide(rest, h, out=np.where(rest > 0, 2.0, 0.0), where=h > 0)
             weight = np.where(u <= 0.001, 1.0, np.where(u <= 0.999, (1 - np.minimum(u, 1) ** 2) ** 2, 0.0))
-    return level, season, weight
+    return level, season, np.ones((n, width)) if weight is None else weight
 
 
 def stl(arrays: DataFrame, period: int = 13, by=ITEM, seasonal: int = 7, trend: int | None = None, inner: int = 2, outer: int = 5) -> DataFrame:
@@ -116,6 +130,8 @@ def stl(arrays: DataFrame, period: int = 13, by=ITEM, seasonal: int = 7, trend:
     def run(batches):
         for whole in batches:
             size = np.asarray(pa.compute.list_value_length(whole.column("q")), np.int64)
+            order = np.argsort(size, kind="stable")  # so that a matrix holds few sizes
+            whole, size = whole.take(pa.array(order)), size[order]
             step = max(1, CELLS // int(size.max(initial=1)))
             for i in range(0, whole.num_rows, step):
                 b, own = whole.slice(i, step), size[i: i + step]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockflow.session import materialize
+
 KEY = ["company", "item_code", "warehouse"]
 # fixed value: default absolute tolerance in units
 DEFAULT_TOLERANCE = 1e-3
@@ -15,6 +17,12 @@ def on_hand(mov: DataFrame, key=KEY) -> DataFrame:
     return mov.groupBy(*key).agg(F.sum(F.col("in_qty") - F.col("out_qty")).alias("qty_recon"))
 
 
+def rolled_up(mov: DataFrame, key=KEY) -> DataFrame:
+    """The journal as one row per key, written down: its keys and their on-hand are those of the journal,
+    so that whoever asks for them several times does not put the journal together again."""
+    return materialize(on_hand(mov, key), "on_hand").select(*key, F.col("qty_recon").alias("in_qty"), F.lit(0.0).alias("out_qty"))
+
+
 def reconcile(mov: DataFrame, stock: DataFrame, tol: float = DEFAULT_TOLERANCE, key=KEY) -> DataFrame:
     """Aggregate first, then full outer join with the snapshot; missing side counts 0.
 

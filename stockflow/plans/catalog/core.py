@@ -24,5 +24,5 @@ FULL OUTER JOIN (SELECT company, item_code, warehouse, SUM(qty_sap) AS qty_sap F
 WHERE abs(COALESCE(r.qty_recon, 0.0e0) - COALESCE(s.qty_sap, 0.0e0)) > 0.001""", "mov", "stock"))
 def d4_reconcile(spark, sf_dir):
     _prep(spark)
-    mov = fx.movements(spark, sf_dir)
+    mov = rc.rolled_up(fx.movements(spark, sf_dir))
     return rc.reconcile(mov, fx.stock_snapshot(spark, sf_dir, mov))

@@ -359,7 +359,7 @@ SELECT company, item_code, warehouse, 'snapshot_only' FROM (SELECT DISTINCT comp
   WHERE NOT EXISTS (SELECT 1 FROM mov r WHERE s.company = r.company AND s.item_code = r.item_code AND s.warehouse = r.warehouse)
 """, "mov", "stock"))
 def d9(spark, sf_dir):
-    mov = _mov(spark, sf_dir)
+    mov = rc.rolled_up(_mov(spark, sf_dir))
     return rc.missing_in(mov, fx.stock_snapshot(spark, sf_dir, mov))
 
 

@@ -27,3 +27,17 @@ def test_stl_makes_its_windows_once_for_all_rows_of_a_size(monkeypatch):
     some = sm.loess(y, None, size, 7, -1, 1)
     assert calls == [20, 20, 20]
     assert np.array_equal(some, sm.loess(y, np.ones_like(y), size, 7, -1, 1))
+
+
+def test_reconcile_puts_the_journal_together_once(spark):
+    load_all()
+    for name in ("d4_reconcile", "d9_missing_in"):
+        df = QUERIES[name](spark, SF0001)
+        assert _scans(df, "l_partkey") == 0, name  # it reads the written on-hand only
+
+
+def test_rolled_up_journal_keeps_null_keys_and_sums(spark):
+    rows = [("HR", "a", "A00", 5.0, 0.0), ("HR", "a", "A00", 0.0, 2.0), ("HR", None, "A00", 1.0, 0.0), ("HR", "b", "A00", None, 0.0), ("HR", "b", "A00", None, 0.0)]
+    mov = spark.createDataFrame(rows, "company string, item_code string, warehouse string, in_qty double, out_qty double")
+    got = {r.item_code: r.qty_recon for r in rc.on_hand(rc.rolled_up(mov)).collect()}
+    assert got == {"a": 3.0, None: 1.0, "b": None}

@@ -82,6 +82,27 @@ def distinct_counts(mov: DataFrame, approx: bool = False) -> DataFrame:
     return df.groupBy("retail_year", "period").agg(*aggs)
 
 
+DISTINCT_KINDS = {"items": ["item_code"], "warehouses": ["warehouse"], "documents": ["trans_type", "base_entry"]}
+
+
+def distinct_by_grain(mov: DataFrame, grains: dict[str, list[str]]) -> DataFrame:
+    """E9 (exact) at several grains: ``grain``, the columns of the finest one (null where a grain lacks them) and
+    distinct items, warehouses and documents; null for a kind without a value. Rows without a date are left out.
+
+    Repeats within the finest grain go first, map side too, so that a hot value is at most a row for each period.
+    Then the rows of a value come together once, and every grain drops its own repeats there."""
+    finest = max(grains.values(), key=len)
+    rows, out = with_retail_coords(mov), None
+    groups = F.explode(F.array(*[F.struct(F.lit(g).alias("grain"), *[(F.col(c) if c in by else F.lit(None)).cast("int").alias(c) for c in finest])
+                                 for g, by in grains.items()])).alias("_g")
+    for kind, value in DISTINCT_KINDS.items():
+        x = rows.select(*finest, *value).dropna().distinct().repartition(*value)
+        n = x.select(groups, *value).select("_g.*", *value).distinct().groupBy("grain", *finest).agg(F.count("*").alias("_n"))
+        n = n.withColumn("_kind", F.lit(kind))
+        out = n if out is None else out.unionByName(n)
+    return out.groupBy("grain", *finest).agg(*[F.max(F.when(F.col("_kind") == k, F.col("_n"))).alias(k) for k in DISTINCT_KINDS])
+
+
 SKETCHES = {"items": "item_code", "warehouses": "warehouse", "documents": "document"}
 PERIOD, QUARTER, YEAR = ["r_year", "r_quarter", "r_period"], ["r_year", "r_quarter"], ["r_year"]
 

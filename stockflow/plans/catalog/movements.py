@@ -481,14 +481,14 @@ SELECT * FROM (""", 1))
 def e9_rollup(spark, sf_dir):
     """Exact counts at three grains, and whether the estimates from the stored period sketches, united
     upwards, are within the stated bound of them."""
-    mov = _mov(spark, sf_dir)
+    mov = materialize(_mov(spark, sf_dir).select("doc_date", "item_code", "warehouse", "trans_type", "base_entry"), "values")
     stored = materialize(ag.distinct_sketches(mov), "sketches")
-    exact_of = ag.with_retail_coords(mov)
+    counts = materialize(ag.distinct_by_grain(mov, _E9_GRAINS), "counts")
     out = None
     for grain, by in _E9_GRAINS.items():
         est = ag.sketch_counts(ag.roll_sketches(stored, by)).select(*by, *[F.col(k).alias(f"_{k}") for k in ag.SKETCHES])
-        exact = exact_of.groupBy(*by).agg(F.count_distinct("item_code").alias("items"), F.count_distinct("warehouse").alias("warehouses"),
-                                          F.count_distinct("trans_type", "base_entry").alias("documents"))
+        # each group has an estimate, but no count where none of its rows has a value
+        exact = est.select(*by).dropna().join(counts.filter(F.col("grain") == grain).select(*by, *ag.SKETCHES), by, "left").fillna(0, [*ag.SKETCHES])
         near = [F.abs(F.col(f"_{k}") - F.col(k)) <= F.greatest(F.lit(1.0), F.col(k) * ag.sketch_error()) for k in ag.SKETCHES]
         row = exact.join(est, by).select(F.lit(grain).alias("grain"), *[(F.col(c) if c in by else F.lit(None)).cast("int").alias(c) for c in ag.PERIOD],
                                          *ag.SKETCHES, (near[0] & near[1] & near[2]).alias("within_bound"))

@@ -41,3 +41,17 @@ def test_rolled_up_journal_keeps_null_keys_and_sums(spark):
     mov = spark.createDataFrame(rows, "company string, item_code string, warehouse string, in_qty double, out_qty double")
     got = {r.item_code: r.qty_recon for r in rc.on_hand(rc.rolled_up(mov)).collect()}
     assert got == {"a": 3.0, None: 1.0, "b": None}
+
+
+def test_distinct_counts_of_all_grains_equal_plain_ones(spark):
+    n = 5000
+    mov = spark.range(n).select(F.when(F.col("id") % 7 > 0, F.pmod("id", F.lit(90)).cast("string")).alias("item_code"), F.lit(None).cast("string").alias("warehouse"),
+                                F.when(F.col("id") % 3 > 0, 15).alias("trans_type"), F.pmod("id", F.lit(400)).alias("base_entry"),
+                                F.when(F.col("id") % 11 > 0, F.date_add(F.lit("1995-01-01").cast("date"), F.pmod("id", F.lit(700)).cast("int"))).alias("doc_date"))
+    grains = {"period": ag.PERIOD, "quarter": ag.QUARTER, "year": ag.YEAR}
+    got = ag.distinct_by_grain(mov, grains).collect()
+    for g, by in grains.items():
+        want = {tuple(r[c] for c in by): (r.items, r.documents) for r in ag.with_retail_coords(mov).dropna(subset=["doc_date"]).groupBy(*by).agg(
+            F.count_distinct("item_code").alias("items"), F.count_distinct("trans_type", "base_entry").alias("documents")).collect()}
+        assert {tuple(r[c] for c in by): (r["items"], r["documents"]) for r in got if r.grain == g} == want, g
+    assert all(r.warehouses is None for r in got)

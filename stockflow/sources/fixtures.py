@@ -106,9 +106,10 @@ def _warehouse():
 def stock_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (company, item, warehouse) of the journal. Each line has an order, so orders are not read."""
     li = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    few = _with_legs(li).select("l_partkey", "l_suppkey", "leg").distinct()
+    # suppliers first: a part has few regions, but all but a supplier for each line
+    lines = _with_legs(li).select("l_partkey", "l_suppkey", "leg")
     sup = _supplier_region(spark, sf_dir)
-    return few.join(sup, few.l_suppkey == sup.s_suppkey).select(
+    return lines.join(sup, lines.l_suppkey == sup.s_suppkey).select(
         _company(F.col("l_partkey")).alias("company"), item_code("l_partkey").alias("item_code"), _warehouse().alias("warehouse")).distinct()
 
 

@@ -55,3 +55,8 @@ def test_distinct_counts_of_all_grains_equal_plain_ones(spark):
             F.count_distinct("item_code").alias("items"), F.count_distinct("trans_type", "base_entry").alias("documents")).collect()}
         assert {tuple(r[c] for c in by): (r["items"], r["documents"]) for r in got if r.grain == g} == want, g
     assert all(r.warehouses is None for r in got)
+
+
+def test_days_before_the_last_one_come_from_what_is_written(spark):
+    load_all()
+    assert _scans(QUERIES["h2_stockout_days"](spark, SF0001), "l_partkey") == 0

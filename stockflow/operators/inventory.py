@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stockflow.functions import calendar as cal
+from stockflow.functions.movement_fields import mov_id
 from stockflow.operators.aggregates import KEY, daily_net
 
 
@@ -40,9 +41,12 @@ def on_hand_before_movement(mov: DataFrame, key=KEY) -> DataFrame:
 
     Two levels keep every window bounded: the per-key prefix over days (one row per key-day)
     gives the opening of the day, and the intra-day running sum is partitioned by key *and*
-    day, so a hot key is split across its days.
+    day, so a hot key is split across its days. ``mov_id``, the last tie-break, is a hash that hardly
+    compresses: it is made again from its parts (B3) behind the shuffle.
     """
     net = F.col("in_qty") - F.col("out_qty")
+    columns = mov.columns
+    mov = mov.drop("mov_id").repartition(*key, "doc_date").withColumn("mov_id", mov_id()).select(*columns)
     of_day = Window.partitionBy(*key, "doc_date").orderBy(*MOVEMENT_ORDER)
     intra = (mov.withColumn("intra", F.sum(net).over(of_day.rowsBetween(Window.unboundedPreceding, 0)))
                 .withColumn("last_of_day", F.lead(F.lit(1)).over(of_day).isNull()))

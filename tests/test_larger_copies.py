@@ -60,3 +60,9 @@ def test_distinct_counts_of_all_grains_equal_plain_ones(spark):
 def test_days_before_the_last_one_come_from_what_is_written(spark):
     load_all()
     assert _scans(QUERIES["h2_stockout_days"](spark, SF0001), "l_partkey") == 0
+
+
+def test_movement_ids_are_made_behind_the_shuffle(spark):
+    mov = fx.movements(spark, SF0001)
+    plan = inv.on_hand_before_movement(mov)._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" in plan and "md5" not in plan[plan.rindex("RepartitionByExpression"):]

@@ -57,11 +57,9 @@ def sales_history(mov: DataFrame, threshold: float = 0.0, key=KEY) -> DataFrame:
 def stock_intervals(mov: DataFrame, end_date=None, key=KEY) -> DataFrame:
     """On-hand validity intervals: each movement day's end-of-day stock holds until the day
     before the key's next movement day (the last one until ``end_date``, by default the last day
-    of the journal, for which the days' nets are written down: the journal is put together once)."""
+    of the journal)."""
+    end = F.lit(end_date).cast("date") if end_date is not None else mov.agg(F.max("doc_date")).scalar()
     d = mov.groupBy(*key, "doc_date").agg(F.sum(F.col("in_qty") - F.col("out_qty")).alias("net_qty"))
-    if end_date is None:
-        d = materialize(d, "days")
-    end = F.lit(end_date).cast("date") if end_date is not None else d.agg(F.max("doc_date")).scalar()
     w = Window.partitionBy(*key).orderBy("doc_date")
     return (d.withColumn("on_hand", F.sum("net_qty").over(_unbounded(key, ["doc_date"])))
              .withColumn("valid_to", F.least(F.coalesce(F.date_sub(F.lead("doc_date").over(w), 1), end), end))

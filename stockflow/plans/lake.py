@@ -19,15 +19,15 @@ table (shared storage), never on a machine-local disk.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.functions.calendar import retail_year_cuts, retail_year_of
-from stockflow.schemas import MOVEMENT_COLUMNS, MOVEMENT_SCHEMA
+from stockflow.schemas import MOVEMENT_COLUMNS, MOVEMENT_SCHEMA, SOURCE_COLUMNS
 from stockflow.sources.movements import FLOOR_DATE, finalize, read_movements
 
 PARTITION_COLUMNS = ("company", "load_month")
@@ -134,13 +134,15 @@ def between_doc_dates(spark: SparkSession, root: str, lo: date, hi: date) -> Dat
 
 # --- A6 -----------------------------------------------------------------------------------------
 
-def _write_leaves(df: DataFrame, path: str, mode: str) -> None:
+def _write_leaves(df: DataFrame, path: str, mode: str, derive: Callable[[DataFrame], DataFrame] | None = None) -> None:
     # REBALANCE: one hash shuffle on the leaf columns so each leaf lands in few files; AQE
     # splits a skewed leaf (e.g. a month holding a third of the rows) into several tasks and
     # coalesces small ones. Unlike range partitioning it needs no sampling pass over the input.
-    (df.hint("rebalance", *PARTITION_COLUMNS)
-       .sortWithinPartitions(*PARTITION_COLUMNS, "retail_year", "doc_date")
-       .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    df = df.hint("rebalance", *PARTITION_COLUMNS)
+    if derive:  # columns that follow from others do not go through the shuffle
+        df = derive(df).withColumn("load_month", load_month())
+    (df.sortWithinPartitions(*PARTITION_COLUMNS, "retail_year", "doc_date")
+       .write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
        .option("maxRecordsPerFile", TARGET_ROWS_PER_FILE)
        .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
@@ -259,27 +261,71 @@ def replace_window(spark: SparkSession, root: str, incoming: DataFrame, company:
     return n
 
 
-def merge_window(spark: SparkSession, root: str, batch: DataFrame, company: str, since: date, until: date,
-                 delivery: str | None = None) -> int:
-    """Add ``batch`` to ``[since, until)`` without doubling what is there.
+def _row_hash() -> Column:
+    """64-bit hash of a row; rows that are equal in all columns have the same one (0.0 is -0.0)."""
+    doubles = {f.name for f in MOVEMENT_SCHEMA.fields if f.dataType == T.DoubleType()}
+    return F.xxhash64("company", *[F.col(c) + 0.0 if c in doubles else F.col(c) for c in SOURCE_COLUMNS])
+
+
+def merge_windows(spark: SparkSession, root: str, batch: DataFrame, windows: dict[str, tuple[date, date]],
+                  delivery: str | None = None, derive: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Add ``batch`` to the window ``[since, until)`` of each company without doubling what is there.
 
     ``delivery`` names a column that tells which file (pull) brought a row: a row, equal in all columns
     (nulls are equal), stands as often as in the delivery that holds it most often. Without it equal
     rows stand once. Either way the table is the same however rows fall into batches and however often
     one comes again. ``mov_id`` alone would not do: documents that collide in it (E8) may come in
-    different files, and it may be null."""
+    different files, and it may be null.
+
+    Only the rows that the table lacks are written, behind those that are there; a merge that was cut
+    off is made whole by merging the batch again. One shuffle of row hashes finds the rows that may be
+    equal to another one, of the batch or of the table; only these are compared as a whole. Where the
+    batch's rows come from ``derive`` (B1), its columns are made again from the source columns behind
+    the shuffle into leaves."""
     ensure_table(spark, root)
     recover(spark, root)
-    came = batch.select(*MOVEMENT_COLUMNS, (F.col(delivery) if delivery else F.lit("")).alias("_from"))
+    root = root.rstrip("/")
+    inside = F.lit(False)
+    for company, (since, until) in windows.items():
+        inside = inside | ((F.col("company") == company) & (F.col("create_date") >= F.lit(since)) & (F.col("create_date") < F.lit(until)))
+    spans = ", ".join(f"{company} [{since}, {until})" for company, (since, until) in windows.items())
+    came = batch.select(*MOVEMENT_COLUMNS, (F.col(delivery) if delivery else F.lit("")).cast("string").alias("_from"))
+    came = came.withColumn("company", F.when(inside, F.col("company")).otherwise(F.raise_error(
+        F.lit(f"incoming row outside {spans}")).cast("string"))).withColumn("_h", _row_hash())
+    hashes, there = came.select("_h", F.lit(True).alias("_new")), None
     if _list_dirs(spark, root):
-        came = came.unionByName(_months_of(spark, root, [company], _months(since, until)).filter(
-            (F.col("create_date") >= F.lit(since)) & (F.col("create_date") < F.lit(until)))
-            .select(*MOVEMENT_COLUMNS, F.lit(None).cast("string").alias("_from")))  # the table itself is one more
-    often = came.groupBy(*MOVEMENT_COLUMNS, "_from").agg(F.count("*").alias("_n"))
-    if not delivery:
-        often = often.withColumn("_n", F.when(F.col("_from").isNull(), F.col("_n")).otherwise(F.lit(1)))
-    rows = often.groupBy(*MOVEMENT_COLUMNS).agg(F.max("_n").alias("_n"))
-    return replace_window(spark, root, _repeated(rows, F.col("_n")).select(*MOVEMENT_COLUMNS), company, since, until, stage=True)
+        months = sorted({m for since, until in windows.values() for m in _months(since, until)})
+        there = _months_of(spark, root, list(windows), months).filter(inside).withColumn("_h", _row_hash())
+        hashes = hashes.unionByName(there.select("_h", F.lit(False).alias("_new")))
+    staging = f"{root}/_staging/{uuid.uuid4().hex}"
+    (hashes.groupBy("_h").agg(F.count("*").alias("_n"), F.max("_new").alias("_new")).filter("_n > 1 and _new").select("_h")
+     .write.parquet(f"{staging}/met"))
+    met = spark.read.schema("_h bigint").parquet(f"{staging}/met")
+    columns = list(MOVEMENT_COLUMNS) if derive is None else ["company", *SOURCE_COLUMNS]
+    rows = came.select(*columns)
+    if not met.isEmpty():
+        alike = came.join(met, "_h", "left_semi").select(*MOVEMENT_COLUMNS, "_from", F.lit(True).alias("_new"))
+        if there is not None:
+            alike = alike.unionByName(there.join(met, "_h", "left_semi").select(*MOVEMENT_COLUMNS, F.lit("").alias("_from"), F.lit(False).alias("_new")))
+        often = alike.groupBy(*MOVEMENT_COLUMNS, "_new", "_from").agg(F.count("*").alias("_n"))
+        often = often.groupBy(*MOVEMENT_COLUMNS).agg(F.max(F.when(F.col("_new"), F.col("_n") if delivery else F.lit(1).cast("bigint"))).alias("_wanted"),
+                                                     F.coalesce(F.max(F.when(~F.col("_new"), F.col("_n"))), F.lit(0)).alias("_had"))
+        lacking = _repeated(often, F.col("_wanted") - F.col("_had"))
+        rows = came.join(met, "_h", "left_anti").select(*columns).unionByName(lacking.select(*columns))
+    _write_leaves(rows.withColumn("load_month", load_month()), root, "append", derive)
+    _delete(spark, staging)
+
+
+def merge_window(spark: SparkSession, root: str, batch: DataFrame, company: str, since: date, until: date,
+                 delivery: str | None = None) -> int:
+    """``merge_windows`` for one company; returns the rows that stand in its window."""
+    if since >= until:
+        return 0
+    merge_windows(spark, root, batch, {company: (since, until)}, delivery)
+    if not _list_dirs(spark, root):
+        return 0
+    return _months_of(spark, root, [company], _months(since, until)).filter(
+        (F.col("create_date") >= F.lit(since)) & (F.col("create_date") < F.lit(until))).count()
 
 
 # --- A7 / A8 ------------------------------------------------------------------------------------

@@ -59,14 +59,11 @@ def stream_sync(spark: SparkSession, src_path: str, schema: T.StructType, table_
     stream = _files(spark, src_path, schema, max_files).select("*", F.col("_metadata.file_path").alias("_file"))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        mov = finalize(batch, carry=["_file"]).persist()
-        try:
-            bounds = mov.groupBy("company").agg(F.min("create_date").alias("lo"), F.max("create_date").alias("hi")).collect()
-            for r in bounds:  # one row per company in the batch (three at most)
-                lake.merge_window(spark, table_root, mov.filter(F.col("company") == r["company"]), r["company"],
-                                  r["lo"], r["hi"] + timedelta(days=1), delivery="_file")
-        finally:
-            mov.unpersist()
+        mov = finalize(batch, carry=["_file"]).filter("company is not null")
+        bounds = mov.groupBy("company").agg(F.min("create_date").alias("lo"), F.max("create_date").alias("hi")).collect()
+        if bounds:  # one row per company in the batch (three at most)
+            windows = {r["company"]: (r["lo"], r["hi"] + timedelta(days=1)) for r in bounds}
+            lake.merge_windows(spark, table_root, mov, windows, delivery="_file", derive=finalize)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return _run(w, available_now)

@@ -148,6 +148,24 @@ def test_merge_without_a_delivery_takes_equal_rows_once(spark):
     assert _whole(lake.read_table(spark, one)) == _whole(lake.read_table(spark, two)) == _whole(five.distinct())
 
 
+def test_a_merge_adds_what_lacks_and_leaves_the_rest(spark, loaded):
+    src, root = loaded
+    before = set(lake.read_table(spark, root).inputFiles())
+    mov = finalize(src).filter("company <> 'CAP' and create_date >= '1996-01-01' and create_date < '1996-03-01'")
+    windows = {c: (date(1996, 1, 1), date(1996, 3, 1)) for c in ("COMERCIAL", "HR")}
+    few = mov.limit(3)
+    few = spark.createDataFrame(few.collect(), few.schema).withColumn("in_qty", F.lit(0.125))
+    batch = mov.withColumn("_f", F.lit("a")).unionByName(few.withColumn("_f", F.lit("b"))).unionByName(few.withColumn("_f", F.lit("b")))
+    for derive in (finalize, None):  # the second time there is nothing to add
+        lake.merge_windows(spark, root, batch, windows, "_f", derive)
+        assert _whole(lake.read_table(spark, root)) == _whole(finalize(src).unionByName(few).unionByName(few))
+        after = set(lake.read_table(spark, root).inputFiles())
+        assert before < after and len(after - before) <= 6
+    assert not lake._list_dirs(spark, root + "/_staging")
+    with pytest.raises(Exception, match="outside"):
+        lake.merge_windows(spark, root, batch, {"HR": (date(1996, 1, 1), date(1996, 3, 1))}, "_f")
+
+
 def test_recovery_counts_whole_rows(spark):
     rows = finalize(fx.movement_source(spark, SF0001)).filter("company = 'HR' and create_date >= '1996-01-01' and create_date < '1996-02-01'").limit(6)
     rows = spark.createDataFrame(rows.collect(), rows.schema)

@@ -127,35 +127,38 @@ def _sum(array) -> Column:
 
 def holt_winters(demand: DataFrame, m: int = 12, alpha: float = 0.3, beta: float = 0.05, gamma: float = 0.2, by=ITEM) -> DataFrame:
     """Additive and multiplicative Holt-Winters per item (season length ``m``), folded in the JVM
-    over the demand arrays (column ``q``) or over a series (``p, qty``). The season is an array whose first entry is the current place; each
-    step drops it and appends its new value.
+    over the demand arrays (column ``q``) or over a series (``p, qty``). The season is ``m`` fields, the first of which is the current
+    place; each step moves them on and puts the new value last (an array would be cut and joined anew).
 
     A series shorter than two seasons has its mean as level and forecast; the multiplicative form needs
     a positive first level. What has no value is null."""
     q = F.col("q")
     long = F.size(q) >= 2 * m
     first = _sum(F.slice(q, 1, m)) / m
+    places = [f"s{i}" for i in range(m)]
     slope = (_sum(F.slice(q, m + 1, m)) / m - first) / m
 
     def fold(mul: bool):
-        start = F.struct(first.alias("l"), slope.alias("b"), F.transform(F.slice(q, 1, m), lambda y: y / first if mul else y - first).alias("s"), _d(0).alias("e"))
+        # the first level is bound by a one-entry array, so that it is computed once
+        start = F.transform(F.array(first), lambda f: F.struct(f.alias("l"), slope.alias("b"), _d(0).alias("e"),
+                                                               *[(F.get(q, F.lit(i)) / f if mul else F.get(q, F.lit(i)) - f).alias(c) for i, c in enumerate(places)]))[0]
 
         def step(a, y):
-            s, base = F.get(a["s"], F.lit(0)), a["l"] + a["b"]
+            s, base = a["s0"], a["l"] + a["b"]
             miss = y - (base * s if mul else base + s)
             level = alpha * (F.when(s > 0, y / s).otherwise(base) if mul else y - s) + (1 - alpha) * base
             # level is used three times: bound by a one-entry array, so that it is computed once
             return F.transform(F.array(level), lambda v: F.struct(
                 v.alias("l"), (beta * (v - a["l"]) + (1 - beta) * a["b"]).alias("b"),
-                F.concat(F.slice(a["s"], 2, m - 1), F.array(gamma * (F.when(v > 0, y / v).otherwise(s) if mul else y - v) + (1 - gamma) * s)).alias("s"),
-                (a["e"] + miss * miss).alias("e")))[0]
+                (a["e"] + miss * miss).alias("e"), *[a[c].alias(to) for to, c in zip(places, places[1:])],
+                (gamma * (F.when(v > 0, y / v).otherwise(s) if mul else y - v) + (1 - gamma) * s).alias(places[-1])))[0]
 
         return F.aggregate(q, start, step)
 
     arrays = demand if "q" in demand.columns else _series_array(demand, by).select(*by, F.col("s.y").alias("q"))
     x = arrays.select(*by, "q", first.alias("_first"), F.when(long, fold(False)).alias("a"), F.when(long & (first > 0), fold(True)).alias("x"))
     mean = F.coalesce(F.try_divide(_sum(q), F.size(q)), _d(0))
-    ahead = lambda c, f: F.when(F.col(c).isNotNull(), f(F.col(c)["l"] + F.col(c)["b"], F.get(F.col(c)["s"], F.lit(0))))
+    ahead = lambda c, f: F.when(F.col(c).isNotNull(), f(F.col(c)["l"] + F.col(c)["b"], F.col(c)["s0"]))
     return x.select(*by, F.coalesce(F.col("a.l"), mean).alias("level"), F.coalesce(F.col("a.b"), _d(0)).alias("trend"),
                     F.coalesce(ahead("a", lambda base, s: base + s), mean).alias("forecast_next"), F.col("a.e").alias("sse"),
                     F.when(long, ahead("x", lambda base, s: base * s)).otherwise(mean).alias("forecast_next_mul"), F.col("x.e").alias("sse_mul"))

@@ -31,6 +31,11 @@ def test_holt_winters_folds_equal_the_loop(spark, m):
             assert _close(a, b), (code, r)
 
 
+def test_holt_winters_steps_join_no_arrays(spark):
+    plan = fc.holt_winters(spark.createDataFrame([], ARRAYS), m=13)._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in plan and "concat(" not in plan
+
+
 def test_holt_winters_of_a_series_equals_that_of_its_array(spark):
     mov = fx.movements(spark, SF0001)
     key = lambda r: (r.company, r.item_code)

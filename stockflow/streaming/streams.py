@@ -103,12 +103,11 @@ def stream_perf_windows(spark, src_path, schema, out_path, checkpoint, window="1
     return _run(w, available_now)
 
 
-def activity_perf_join(jobs: DataFrame, perf: DataFrame, max_activity_s: int, delay: str = "1 day") -> DataFrame:
-    """I4 (plan): D6 as a stream-stream interval join. Stream joins need an equality, so an activity
-    carries the dyadic hour cells that cover it (at most 2 log2 of its hours) and a sample one cell of
-    each level that an activity of ``max_activity_s`` can have. Watermarks on both sides plus the bound
-    ``finished_at <= ts + max_activity_s`` let Spark drop join state that can no longer match. An
-    activity longer than the bound fails the job: its matches could not be complete."""
+def _in_cells(jobs: DataFrame, perf: DataFrame, max_activity_s: int, delay: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides of I4 by dyadic hour cells: an activity carries the cells that cover it (at most 2 log2
+    of its hours), a sample one cell of each level that an activity of ``max_activity_s`` can have; a
+    sample in an activity shares exactly one cell with it. A longer activity fails the job: its matches
+    could not be complete."""
     us = 3600 * 1_000_000
     hour = lambda c: F.floor(F.unix_micros(c) / us).cast("bigint")
     length = F.unix_micros("a_end") - F.unix_micros("a_start")
@@ -122,18 +121,116 @@ def activity_perf_join(jobs: DataFrame, perf: DataFrame, max_activity_s: int, de
     p = (perf.select(F.col("event_id").alias("sample_event"), F.col("ts").cast("timestamp").alias("p_ts"), "rss_mb")
              .withColumn("p_cell", F.explode(dyadic_cells(hour("p_ts"), range(top + 1))))
              .withWatermark("p_ts", delay))
+    return a, p
+
+
+def activity_perf_join(jobs: DataFrame, perf: DataFrame, max_activity_s: int, delay: str = "1 day") -> DataFrame:
+    """I4 (plan): D6 as a stream-stream interval join. Stream joins need an equality, which is that of
+    the hour cells (see ``_in_cells``). Watermarks on both sides plus the bound
+    ``finished_at <= ts + max_activity_s`` let Spark drop join state that can no longer match."""
+    a, p = _in_cells(jobs, perf, max_activity_s, delay)
     cond = ((F.col("a_cell.level") == F.col("p_cell.level")) & (F.col("a_cell.cell") == F.col("p_cell.cell"))
             & (F.col("a_start") <= F.col("p_ts")) & (F.col("p_ts") <= F.col("a_end"))
             & (F.col("a_end") <= F.col("p_ts") + F.expr(f"INTERVAL {max_activity_s} SECONDS")))
     return a.join(p, cond, "inner").select("job_event", "sample_event", "rss_mb")
 
 
+_JOBS = pa.schema([("event", pa.int64()), ("named", pa.bool_()), ("since", pa.int64()), ("until", pa.int64())])
+_SAMPLES = pa.schema([("us", pa.int64()), ("rss", pa.float64()), ("known", pa.bool_())])
+
+
+def _columns(data: bytes | None, schema: pa.Schema) -> dict[str, np.ndarray]:
+    b = pa.ipc.open_stream(data).read_next_batch() if data else pa.RecordBatch.from_pylist([], schema)
+    return {c: b.column(c).to_numpy(zero_copy_only=False) for c in schema.names}
+
+
+def _bytes(x: dict[str, np.ndarray], schema: pa.Schema) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema) as stream:
+        stream.write_batch(pa.RecordBatch.from_arrays([pa.array(x[f.name], f.type) for f in schema], schema=schema))
+    return sink.getvalue().to_pybytes()
+
+
+class CellSamples:
+    """Activities and samples of an hour cell: how many samples an activity has and the highest, of the
+    matches that a batch makes (new activities with all samples, old ones with the new samples).
+
+    A pair is never written out: the samples are sorted, so those of an activity are a stretch of them,
+    whose maximum is that of two stretches of a power of two. The cell is one state value; what no later
+    row can match leaves it, and it goes as a whole once the watermark has passed all that can come."""
+
+    def __init__(self, max_activity_s: int):
+        self.longest_us = max_activity_s * 1_000_000
+
+    def peaks(self, jobs: dict[str, np.ndarray], samples: dict[str, np.ndarray]) -> pd.DataFrame:
+        order = np.argsort(samples["us"], kind="stable")
+        us, known = samples["us"][order], samples["known"][order]
+        low, high = np.searchsorted(us, jobs["since"], "left"), np.searchsorted(us, jobs["until"], "right")
+        hit = np.flatnonzero(high > low)
+        low, high = low[hit], high[hit]
+        upto = np.append(0, np.cumsum(known))
+        best, size = np.full(len(hit), -np.inf), np.frexp((high - low).astype(float))[1] - 1
+        widest = np.where(known, samples["rss"][order], -np.inf)  # of 2 ** k samples from each one on
+        for k in range(int(size.max()) + 1 if len(hit) else 0):
+            if k:
+                widest = np.maximum(widest[: -(1 << k - 1)], widest[1 << k - 1:])
+            here = np.flatnonzero(size == k)
+            best[here] = np.maximum(widest[low[here]], widest[high[here] - (1 << k)])
+        return pd.DataFrame({"job_event": pd.arrays.IntegerArray(jobs["event"][hit], ~jobs["named"][hit]), "samples": high - low,
+                             "max_rss_mb": pd.arrays.FloatingArray(best, upto[high] == upto[low])})
+
+    def __call__(self, key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        jobs, samples = ((_columns(x, s) for x, s in zip(state.get if state.exists else (None, None), (_JOBS, _SAMPLES))))
+        rows = pd.concat(list(batches), ignore_index=True)
+        job = rows["job"].to_numpy(bool)
+        new_jobs = {f.name: rows[f.name].to_numpy()[job] for f in _JOBS}
+        new_samples = {"us": rows["since"].to_numpy()[~job], "rss": rows["rss"].to_numpy()[~job], "known": rows["known"].to_numpy()[~job]}
+        joined = lambda x, y: {c: np.concatenate([x[c], y[c]]).astype(y[c].dtype) for c in x}
+        now = state.getCurrentWatermarkMs()
+        every = joined(samples, new_samples)
+        for out in (self.peaks(new_jobs, every), self.peaks(jobs, new_samples)):
+            if len(out):
+                yield out
+        jobs = joined(jobs, new_jobs)
+        stays, open_ = every["us"] + self.longest_us >= now * 1000, jobs["until"] >= now * 1000
+        state.update((_bytes({c: v[open_] for c, v in jobs.items()}, _JOBS), _bytes({c: v[stays] for c, v in every.items()}, _SAMPLES)))
+        level, cell = key
+        over = ((int(cell) + 1) << int(level)) * 3_600_000 + self.longest_us // 1000 + 3_600_000
+        state.setTimeoutTimestamp(max(over, now + 1, 1))
+
+
+def activity_perf_counts(jobs: DataFrame, perf: DataFrame, max_activity_s: int, delay: str = "1 day") -> DataFrame:
+    """I4 (plan) without its pairs, which grow with the square of the event rate: ``samples`` and
+    ``max_rss_mb`` (null samples do not count for it) of the matches that each batch makes in each cell.
+    Summed up over an activity's rows they are those of ``activity_perf_join``."""
+    a, p = _in_cells(jobs, perf, max_activity_s, delay)
+    us, none = F.unix_micros, F.lit(0).cast("bigint")
+    both = (a.select("a_cell.level", "a_cell.cell", F.col("a_end").alias("ets"), F.lit(True).alias("job"), F.coalesce("job_event", none).alias("event"),
+                     F.col("job_event").isNotNull().alias("named"), us("a_start").alias("since"), us("a_end").alias("until"),
+                     F.lit(0.0).alias("rss"), F.lit(False).alias("known"))
+            .unionByName(p.select("p_cell.level", "p_cell.cell", F.col("p_ts").alias("ets"), F.lit(False).alias("job"), none.alias("event"),
+                                  F.lit(False).alias("named"), us("p_ts").alias("since"), us("p_ts").alias("until"),
+                                  F.coalesce("rss_mb", F.lit(0.0)).alias("rss"), F.col("rss_mb").isNotNull().alias("known"))))
+    cells = CellSamples(max_activity_s)
+    return both.groupBy("level", "cell").applyInPandasWithState(
+        lambda key, batches, state: cells(key, batches, state), "job_event bigint, samples bigint, max_rss_mb double",
+        "jobs binary, samples binary", "append", "EventTimeTimeout")
+
+
 def stream_activity_perf(spark, jobs_path, jobs_schema, perf_path, perf_schema, out_path, checkpoint,
-                         max_activity_s: int, max_files: int | None = None, available_now: bool = True):
-    """I4: run the interval join incrementally into a parquet sink."""
-    j = activity_perf_join(_files(spark, jobs_path, jobs_schema, max_files), _files(spark, perf_path, perf_schema, max_files), max_activity_s)
+                         max_activity_s: int, max_files: int | None = None, available_now: bool = True, pairs: bool = True):
+    """I4: run the interval join incrementally into a parquet sink; without ``pairs`` its counts and
+    maxima (``activity_perf_counts``)."""
+    plan = activity_perf_join if pairs else activity_perf_counts
+    j = plan(_files(spark, jobs_path, jobs_schema, max_files), _files(spark, perf_path, perf_schema, max_files), max_activity_s)
     w = j.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint).outputMode("append")
-    return _run(w, available_now)
+    if pairs:
+        return _run(w, available_now)
+    with _rocksdb(spark):
+        return _run(w, available_now)
 
 
 def dedup_requests(requests: DataFrame, key: str = "idempotency_key", ts: str = "created_at",

@@ -153,6 +153,34 @@ def test_long_activities_match_or_fail(spark):
         run(9 * 3600, 2)
 
 
+def test_counts_of_activities_are_those_of_their_pairs(spark, monkeypatch):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from stockflow.plans.catalog import QUERIES, load_all
+    from stockflow.streaming import streams as st
+    rng = random.Random(5)
+    at = lambda s: T0 + timedelta(seconds=s)
+    starts = [(None if i == 3 else i // 2, rng.randint(0, 200_000), rng.choice([0, 5, 3000, 20_000])) for i in range(200)]
+    jobs = spark.createDataFrame([(i, at(s), at(s + n)) for i, s, n in starts], "event_id long, started_at timestamp_ntz, finished_at timestamp_ntz")
+    rss = lambda: rng.choice([None, None, 1.5, float("nan"), *[rng.random() * 9 for _ in range(20)]])
+    perf = spark.createDataFrame([(i, at(rng.choice(starts)[1] if i % 9 == 0 else rng.randint(-5000, 230_000)), rss()) for i in range(3000)],
+                                 "event_id long, ts timestamp_ntz, rss_mb double")
+    j, p = _land(spark, jobs.limit(0)), _land(spark, perf.limit(0))
+    for part in range(4):  # an activity's samples come before it, with it and after it
+        jobs.filter(F.coalesce(F.pmod("event_id", F.lit(4)), F.lit(2)) == 3 - part).write.mode("append").parquet(j + "/in")
+        perf.filter(F.pmod("event_id", F.lit(4)) == part).write.mode("append").parquet(p + "/in")
+        for pairs in (False, True):
+            st.stream_activity_perf(spark, j + "/in", jobs.schema, p + "/in", perf.schema, f"{j}/out{pairs}", f"{j}/ck{pairs}", 20_000, pairs=pairs)
+    got = spark.read.parquet(j + "/outFalse").groupBy("job_event").agg(F.sum("samples").alias("n"), F.max("max_rss_mb").alias("m"))
+    want = spark.read.parquet(j + "/outTrue").groupBy("job_event").agg(F.count("*").alias("n"), F.max("rss_mb").alias("m"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 50
+    load_all()
+    monkeypatch.setattr(st, "activity_perf_join", None)  # the query writes no pairs
+    assert QUERIES["i4_stream_activity_perf"](spark, SF0001).count() > 0
+
+
 def test_a_stream_that_is_not_done_fails(spark):
     import pytest
 

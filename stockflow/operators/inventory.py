@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stockflow.functions import calendar as cal
-from stockflow.functions.movement_fields import mov_id
+from stockflow.functions.movement_fields import doc_ts, mov_id
 from stockflow.operators.aggregates import KEY, daily_net
 
 
@@ -42,20 +42,28 @@ def on_hand_before_movement(mov: DataFrame, key=KEY) -> DataFrame:
     Two levels keep every window bounded: the per-key prefix over days (one row per key-day)
     gives the opening of the day, and the intra-day running sum is partitioned by key *and*
     day, so a hot key is split across its days. ``mov_id``, the last tie-break, is a hash that hardly
-    compresses: it is made again from its parts (B3) behind the shuffle.
+    compresses: it is made again from its parts (B3) behind the shuffle, as is ``doc_ts`` (B2). Rows
+    without a key or day are left out; those without a day count as movements before the first one.
     """
-    net = F.col("in_qty") - F.col("out_qty")
+    net = F.col("_net")
     columns = mov.columns
-    mov = mov.drop("mov_id").repartition(*key, "doc_date").withColumn("mov_id", mov_id()).select(*columns)
-    of_day = Window.partitionBy(*key, "doc_date").orderBy(*MOVEMENT_ORDER)
+    # Both sides of the join must read the same rows, or the journal is put together and shuffled for either:
+    # keys are filtered before, and days are joined by a number that is never null, so the join adds no filter.
+    for c in key:
+        mov = mov.filter(F.col(c).isNotNull())
+    number = F.coalesce(F.unix_date("doc_date"), F.lit(-2 ** 31))
+    mov = mov.withColumn("_net", F.col("in_qty") - F.col("out_qty")).drop("mov_id", "doc_ts").repartition(*key, number)
+    mov = mov.withColumn("doc_ts", doc_ts()).withColumn("mov_id", mov_id()).select(*columns, "_net", number.alias("_day"))
+    of_day = Window.partitionBy(*key, "_day").orderBy(*MOVEMENT_ORDER)
     intra = (mov.withColumn("intra", F.sum(net).over(of_day.rowsBetween(Window.unboundedPreceding, 0)))
                 .withColumn("last_of_day", F.lead(F.lit(1)).over(of_day).isNull()))
     # the day's total stands in its last row, so the journal is computed and shuffled once
-    day = (intra.filter("last_of_day").select(*key, "doc_date", F.col("intra").alias("day_net"))
-                .withColumn("day_open", F.sum("day_net").over(_running(key, ["doc_date"])) - F.col("day_net")).drop("day_net"))
-    return (intra.join(day, on=[*key, "doc_date"])
+    day = (intra.filter("last_of_day").select(*key, "_day", F.col("doc_date").isNotNull().alias("_dated"), F.col("intra").alias("day_net"))
+                .withColumn("day_open", F.sum("day_net").over(_running(key, ["_day"])) - F.col("day_net"))
+                .filter("_dated").drop("day_net", "_dated"))
+    return (intra.join(day, on=[*key, "_day"])
                  .withColumn("on_hand_before", F.col("day_open") + F.col("intra") - net)
-                 .drop("day_open", "intra", "last_of_day"))
+                 .drop("day_open", "intra", "last_of_day", "_net", "_day"))
 
 
 def inventory_asof(mov: DataFrame, probes: DataFrame, key=KEY, date_col: str = "probe_date") -> DataFrame:

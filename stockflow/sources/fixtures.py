@@ -59,9 +59,12 @@ def movement_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                     "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
                     "l_linestatus", "l_shipdate")
-    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
-    sup = _supplier_region(spark, sf_dir)
-    j = _with_legs(li.join(orders, li.l_orderkey == orders.o_orderkey).join(sup, li.l_suppkey == sup.s_suppkey))
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    # the lines' join with the orders shuffles both, so the lines have their type, region and day before
+    lines = _with_region(_typed(li), spark, sf_dir).select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", F.col("l_shipdate").cast("date").alias("l_shipdate"),
+        "trans_type", "n_regionkey")
+    j = _with_legs(lines.join(orders, lines.l_orderkey == orders.o_orderkey))
     tt, leg, q, px = F.col("trans_type"), F.col("leg"), F.col("l_quantity"), F.col("l_extendedprice")
     in_qty = (F.when(tt == 20, q * 3).when((tt == 16) | ((tt == 67) & (leg == 1)), q)
               .otherwise(F.lit(0.0)))
@@ -72,10 +75,10 @@ def movement_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         _company(F.col("l_partkey")).alias("company"),
         item_code("l_partkey").alias("item_code"),
-        _warehouse().alias("warehouse"),
-        F.col("l_shipdate").cast("date").alias("doc_date"),
+        _warehouse(_warehouse_number()).alias("warehouse"),
+        F.col("l_shipdate").alias("doc_date"),
         doc_time.cast("smallint").alias("doc_time"),
-        F.col("o_orderdate").cast("date").alias("create_date"),
+        F.col("o_orderdate").alias("create_date"),
         tt.alias("trans_type"),
         F.col("l_orderkey").alias("base_entry"),
         (F.col("l_orderkey") + BASE_NUM_OFFSET).alias("base_num"),
@@ -86,30 +89,41 @@ def movement_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _supplier_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_region(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the region of their supplier. The suppliers are joined as they stand: for a join of suppliers
+    and nations the planner expects the product of their sizes and would shuffle every line."""
     supplier = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
     # nation has 25 rows by definition: a fixed-size broadcast.
-    return supplier.join(F.broadcast(nation), supplier.s_nationkey == nation.n_nationkey).select("s_suppkey", "n_regionkey")
+    return (lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")))
 
 
-def _with_legs(lines: DataFrame) -> DataFrame:
-    """Document type and legs: transfers (67) post out of one warehouse and into the next one."""
-    typed = lines.withColumn("trans_type", _trans_type(F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")))
+def _typed(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("trans_type", _trans_type(F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")))
+
+
+def _with_legs(typed: DataFrame) -> DataFrame:
+    """The legs of a document: transfers (67) post out of one warehouse and into the next one."""
     return typed.withColumn("leg", F.explode(F.when(F.col("trans_type") == 67, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
 
 
-def _warehouse():
-    return F.concat(F.lit("A0"), F.pmod(F.col("n_regionkey") + F.col("leg"), F.lit(5)).cast("string"))
+def _warehouse_number():
+    return F.pmod(F.col("n_regionkey") + F.col("leg"), F.lit(5))
+
+
+def _warehouse(number):
+    return F.concat(F.lit("A0"), number.cast("string"))
 
 
 def stock_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every (company, item, warehouse) of the journal. Each line has an order, so orders are not read."""
+    """Every (company, item, warehouse) of the journal. Each line has an order, so orders are not read.
+
+    A part has one company and one item code, so keys are told apart by part and warehouse numbers."""
     li = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    few = _with_legs(li).select("l_partkey", "l_suppkey", "leg").distinct()
-    sup = _supplier_region(spark, sf_dir)
-    return few.join(sup, few.l_suppkey == sup.s_suppkey).select(
-        _company(F.col("l_partkey")).alias("company"), item_code("l_partkey").alias("item_code"), _warehouse().alias("warehouse")).distinct()
+    few = _with_legs(_with_region(_typed(li), spark, sf_dir)).select("l_partkey", _warehouse_number().alias("number")).distinct()
+    return few.select(_company(F.col("l_partkey")).alias("company"), item_code("l_partkey").alias("item_code"),
+                      _warehouse(F.col("number")).alias("warehouse"))
 
 
 def opening_rows(keys: DataFrame, qty: float = OPENING_QTY) -> DataFrame:

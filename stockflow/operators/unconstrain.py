@@ -22,6 +22,7 @@ from pyspark.sql.window import Window
 
 from stockflow.functions import calendar as cal
 from stockflow.operators.demand import KEY, sales_history
+from stockflow.session import materialize
 
 
 def stock_history(mov: DataFrame, threshold: float = 0.0, key=KEY) -> DataFrame:
@@ -32,8 +33,35 @@ def stock_history(mov: DataFrame, threshold: float = 0.0, key=KEY) -> DataFrame:
     last = F.coalesce(F.date_sub(F.lead("doc_date").over(w), 1), end)
     return (sales_history(mov, threshold, key).withColumn("gap_to", last)
             .withColumn("gap_from", F.date_add("doc_date", 1))
-            .withColumn("gap_days", F.greatest(F.datediff("gap_to", "gap_from") + 1, F.lit(0)))
-            .withColumn("gap_out", (F.col("gap_days") > 0) & (F.col("on_hand") <= threshold)))
+            .withColumn("gap_days", _gap_days(F.col("doc_date"), F.col("gap_to")))
+            .withColumn("gap_out", _gap_out(F.col("gap_days"), F.col("on_hand"), threshold)))
+
+
+def _gap_days(day, to):
+    return F.greatest(F.datediff(to, F.date_add(day, 1)) + 1, F.lit(0))
+
+
+def _gap_out(days, on_hand, threshold: float):
+    return (days > 0) & (on_hand <= threshold)
+
+
+def cycle_history(mov: DataFrame, threshold: float = 0.0, key=KEY) -> DataFrame:
+    """``stock_history`` with the receipt-to-receipt cycle of each movement day, a list ``d`` a key.
+
+    The lists are written down before the last gap is closed, so that the journal is put together once: its
+    end is read from them."""
+    w = Window.partitionBy(*key).orderBy("doc_date")
+    opened = F.sum(F.when(F.col("net_qty") > 0, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    h = sales_history(mov, threshold, key).withColumn("cycle", opened).withColumn("gap_to", F.date_sub(F.lead("doc_date").over(w), 1))
+    kept = ("doc_date", "sales", "stockout", "on_hand", "cycle")
+    lists = materialize(h.groupBy(*key).agg(F.collect_list(F.struct(*kept, "gap_to")).alias("d")), "history")
+
+    def closed(e):
+        days = _gap_days(e["doc_date"], F.coalesce(e["gap_to"], F.col("end")))
+        return F.struct(*[e[c].alias(c) for c in kept], days.alias("gap_days"), _gap_out(days, e["on_hand"], threshold).alias("gap_out"))
+
+    end = lists.agg(F.max(F.array_max("d.doc_date"))).scalar()
+    return lists.withColumn("end", end).select(*key, F.transform("d", closed).alias("d"))
 
 
 # first day (from the year's start) of each period and the period of each day of a retail year
@@ -170,28 +198,76 @@ def _periods_of(col):
             join(leave, s), join(discard, own), join(demand, np.where(~ever[r], s, np.where(o == OUT, np.nan, own))))
 
 
+_KPI_DDL = ("stockout_days bigint, days bigint, sales double, unit_days double, on_hand double, cycle_service_level double, "
+            "demand_v1 array<double>")
+
+
 def service_kpis(mov: DataFrame, threshold: float = 0.0, key=KEY, digits: int = 6) -> DataFrame:
     """H17 over calendar days: stock-out rate, fill rate (sales / unconstrained demand), cycle
     service level (share of receipt-to-receipt cycles without a stock-out day), weeks of cover and
-    turnover (sales / mean stock)."""
-    h = stock_history(mov, threshold, key)
-    w = Window.partitionBy(*key).orderBy("doc_date").rowsBetween(Window.unboundedPreceding, 0)
-    h = h.withColumn("cycle", F.sum(F.when(F.col("net_qty") > 0, 1).otherwise(0)).over(w))
-    cyc = (h.groupBy(*key, "cycle").agg(F.max((F.col("stockout") | F.col("gap_out")).cast("int")).alias("had_out"),
-                                        F.sum(F.col("gap_days") + 1).alias("days"), F.sum("sales").alias("sales"),
-                                        F.sum(F.col("on_hand") * (F.col("gap_days") + 1)).alias("unit_days"),
-                                        F.max(F.struct("doc_date", "on_hand")).alias("end"))
-            .groupBy(*key).agg(F.round(1 - F.avg("had_out"), digits).alias("cycle_service_level"), F.sum("days").alias("days"),
-                               F.sum("sales").alias("sales"), F.sum("unit_days").alias("unit_days"), F.max("end").alias("end")))
-    u = unconstrain_periods(mov, threshold, key).groupBy(*key).agg(
-        F.sum("stockout_days").alias("stockout_days"), F.sum("demand_v1").alias("demand_v1"))
-    return cyc.join(u, key).select(
+    turnover (sales / mean stock).
+
+    Cycles and periods (H4) of a key are made in numpy from one list of its movement days, so the journal is
+    put together once and its days are shuffled no further."""
+    keyed = cycle_history(mov, threshold, key)
+    for c in key:
+        keyed = keyed.filter(F.col(c).isNotNull())
+    added = T.StructType.fromDDL(_KPI_DDL)
+    schema, names = T.StructType([keyed.schema[c] for c in key] + added.fields), [*key, *added.names]
+
+    def run(batches):
+        for whole in batches:
+            for i in range(0, whole.num_rows, 1000):
+                b = whole.slice(i, 1000)
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in key], *_kpis_of(b.column("d"))], names)
+
+    # each period's demand is rounded as H4 gives it
+    demand = F.aggregate("demand_v1", F.lit(None).cast("double"), lambda a, v: F.coalesce(a + F.round(v, 6), F.round(v, 6), a))
+    return keyed.mapInArrow(run, schema).withColumn("demand_v1", demand).select(
         *key, F.round(F.col("stockout_days") / F.col("days"), digits).alias("stockout_rate"),
-        F.round(F.try_divide(F.col("sales"), F.col("demand_v1")), digits).alias("fill_rate"), "cycle_service_level",
-        F.round(F.try_divide(F.col("end.on_hand"), F.col("sales") / F.col("days") * 7), digits).alias("weeks_of_cover"),
+        F.round(F.try_divide(F.col("sales"), F.col("demand_v1")), digits).alias("fill_rate"),
+        F.round("cycle_service_level", digits).alias("cycle_service_level"),
+        F.round(F.try_divide(F.col("on_hand"), F.col("sales") / F.col("days") * 7), digits).alias("weeks_of_cover"),
         F.round(F.try_divide(F.col("sales"), F.col("unit_days") / F.col("days")), digits).alias("turnover"))
 
 
+def _kpis_of(col) -> list:
+    """The columns of ``_KPI_DDL`` for a column of day lists with cycles; null where nothing is known."""
+    n, days = len(col), col.flatten()
+    size = np.asarray(pc.list_value_length(col), np.int64)
+    row = np.repeat(np.arange(n), size)
+    field = lambda name: pc.struct_field(days, name)
+    state = lambda name: np.asarray(pc.fill_null(field(name).cast(pa.int8()), UNKNOWN))
+    number = lambda name: field(name).to_numpy(zero_copy_only=False).astype(float)
+    out, gap_out, sales, on_hand = state("stockout"), state("gap_out"), number("sales"), number("on_hand")
+    length = np.asarray(field("gap_days")).astype(np.int64) + 1
+
+    def total(r, v):
+        known = ~np.isnan(v)
+        return np.where(np.bincount(r[known], minlength=n) > 0, np.bincount(r[known], v[known], n), np.nan)
+
+    # a cycle counts where one of its days was out of stock or one is known not to have been
+    cycle = np.asarray(field("cycle")).astype(np.int64)
+    width = int(cycle.max(initial=0)) + 1
+    cycles, of = np.unique(row * width + cycle, return_inverse=True)
+    had = (out == OUT) | (gap_out == OUT)
+    had_out = np.bincount(of, had, len(cycles)) > 0
+    known = np.bincount(of, had | ((out == IN) & (gap_out == IN)), len(cycles)) > 0
+    count, bad = (np.bincount(cycles // width, x, n) for x in (known, had_out))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        level = 1 - np.where(count > 0, bad / count, np.nan)
+    # the stock after the last day; a day without a date comes first
+    day = np.where(np.asarray(field("doc_date").is_valid()), np.asarray(pc.fill_null(field("doc_date").cast(pa.int32()), 0)).astype(np.int64), -2 ** 62)
+    last = np.lexsort((day, row))[np.cumsum(size) - 1]
+    at, _, _, _, censored, _, _, demand = _periods_of(col)
+    order = np.argsort(at, kind="stable")
+    lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(at, minlength=n))), pa.int32()),
+                                     pa.array(demand[order], pa.float64(), from_pandas=True))
+    null_nan = lambda x, kind=pa.float64(): pa.array(x, kind, from_pandas=True)
+    return [null_nan(total(at, censored), pa.int64()), pa.array(np.bincount(row, length, n).astype(np.int64)), null_nan(total(row, sales)),
+            null_nan(total(row, on_hand * length)), null_nan(on_hand[last]), null_nan(level), lists]
+
+
 # -- statistical fits, batched over the keys of an Arrow batch --------------------------------------
 
 _erfc = np.frompyfunc(math.erfc, 1, 1)

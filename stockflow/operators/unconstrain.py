@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from stockflow.functions import calendar as cal
 from stockflow.operators.demand import KEY, sales_history
-from stockflow.session import materialize
+from stockflow.session import materialize, settings
 
 
 def stock_history(mov: DataFrame, threshold: float = 0.0, key=KEY) -> DataFrame:
@@ -54,7 +54,10 @@ def cycle_history(mov: DataFrame, threshold: float = 0.0, key=KEY) -> DataFrame:
     opened = F.sum(F.when(F.col("net_qty") > 0, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
     h = sales_history(mov, threshold, key).withColumn("cycle", opened).withColumn("gap_to", F.date_sub(F.lead("doc_date").over(w), 1))
     kept = ("doc_date", "sales", "stockout", "on_hand", "cycle")
-    lists = materialize(h.groupBy(*key).agg(F.collect_list(F.struct(*kept, "gap_to")).alias("d")), "history")
+    lists = h.groupBy(*key).agg(F.collect_list(F.struct(*kept, "gap_to")).alias("d"))
+    # the windows leave the days sorted by key; a hash aggregate would sort, and spill, them twice more
+    with settings(mov.sparkSession, {"spark.sql.execution.replaceHashWithSortAgg": "true"}):
+        lists = materialize(lists, "history")
 
     def closed(e):
         days = _gap_days(e["doc_date"], F.coalesce(e["gap_to"], F.col("end")))

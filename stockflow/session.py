@@ -73,6 +73,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]):
+    """Session settings for the plans made and run inside; the former ones come back behind it."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 _written: list[list[tuple[str, object]]] = []
 
 

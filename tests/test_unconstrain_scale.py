@@ -71,5 +71,15 @@ def test_service_kpis_equal_sums_of_rows(spark):
     assert len(got) == 65 and got["HR", "never known", "A00"] == (0.0, None, None, None, None)
 
 
+def test_day_lists_are_made_without_another_sort(spark, monkeypatch):
+    name, plans = "spark.sql.execution.replaceHashWithSortAgg", []
+    before, inner = spark.conf.get(name), un.materialize
+    monkeypatch.setattr(un, "materialize", lambda df, *rest: plans.append(df._jdf.queryExecution().executedPlan().toString()) or inner(df, *rest))
+    mov = spark.createDataFrame([("HR", "1", "A00", date(2020, 1, 5), 59, 9.0, 0.0), ("HR", "1", "A00", date(2020, 1, 9), 15, 0.0, 2.0)], MOV)
+    assert [tuple(e)[:4] for e in un.cycle_history(mov).first().d] == [(date(2020, 1, 5), 0.0, True, 9.0), (date(2020, 1, 9), 2.0, False, 7.0)]
+    assert len(plans) == 1 and "ObjectHashAggregate" not in plans[0] and plans[0].count("Sort [") == 1
+    assert spark.conf.get(name) == before
+
+
 def test_service_kpis_of_no_movements(spark):
     assert un.service_kpis(spark.createDataFrame([], MOV)).collect() == []
